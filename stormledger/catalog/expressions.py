@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.catalog.registry import query, table
@@ -17,14 +17,18 @@ from stormledger.operators import filters
 from stormledger.operators.numbering import index_rows
 from stormledger.plans import spine as spine_plan
 
-EVENT_URL = F.concat(
-    F.lit("https://news"),
-    (F.col("l_suppkey") % 7).cast("string"),
-    F.lit(".example.org/"),
-    F.col("l_partkey").cast("string"),
-    F.lit("?from="),
-    F.col("l_orderkey").cast("string"),
-)
+def event_url() -> Column:
+    """URL of a line item taken as an article; its part and host repeat, its order does not."""
+    return F.concat(
+        F.lit("https://news"),
+        (F.col("l_suppkey") % 7).cast("string"),
+        F.lit(".example.org/"),
+        F.col("l_partkey").cast("string"),
+        F.lit("?from="),
+        F.col("l_orderkey").cast("string"),
+    )
+
+
 EVENT_URL_SQL = (
     "'https://news' || CAST(l_suppkey % 7 AS VARCHAR) || '.example.org/' ||"
     " CAST(l_partkey AS VARCHAR) || '?from=' || CAST(l_orderkey AS VARCHAR)"
@@ -411,7 +415,7 @@ def min_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     fips = codes.zero_pad(F.col("l_suppkey").cast("string"), 5)
-    url = F.concat(F.lit(" "), EVENT_URL, F.lit("\n"))
+    url = F.concat(F.lit(" "), event_url(), F.lit("\n"))
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", keys.row_key(F.col("l_orderkey"), fips, url).alias("key")
     )
@@ -474,7 +478,9 @@ def declaration_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def valid_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declarations(spark, sf_dir).select(
         F.col("disasterNumber").alias("o_orderkey"),
-        codes.valid_code(F.col("fipsStateCode"), F.col("fipsCountyCode")).alias("valid"),
+        codes.valid_code(
+            codes.compose_geoid(F.col("fipsStateCode"), F.col("fipsCountyCode"))
+        ).alias("valid"),
     )
 
 

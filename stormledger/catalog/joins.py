@@ -178,7 +178,6 @@ def newest_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_start",
         "window_end",
         "l_shipdate",
-        ["o_orderkey"],
         TIE_BREAK,
         MAX_ARTICLES_PER_EVENT,
     )

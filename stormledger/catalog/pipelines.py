@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.catalog.expressions import EVENT_URL, EVENT_URL_SQL, keyword_list_sql
+from stormledger.catalog.expressions import EVENT_URL_SQL, event_url, keyword_list_sql
 from stormledger.catalog.registry import query, table
 from stormledger.catalog.stand_ins import SPINE_SQL, county_map, declarations
 from stormledger.functions.fixed import TYPE_SYNONYMS
 from stormledger.functions.keys import row_key
 from stormledger.plans import articles as article_plan
 from stormledger.plans import spine as spine_plan
+from stormledger.schemas import SPINE
+from stormledger.sinks.writers import append_ndjson
+from stormledger.sources.ndjson import read_ndjson
+from stormledger.storage import scratch_path
 
 
 @query(SPINE_SQL)
@@ -45,13 +49,13 @@ events AS (
     strftime(l_shipdate, '%Y%m%dT000000Z') AS seen
   FROM lineitem
 ), scored AS (
-  SELECT fema_disaster_number, county_fips, disaster, window_start, window_end, label, query,
-    url, title, seen, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  SELECT fema_disaster_number, county_fips, disaster, window_start, window_end, trim(label) AS label, query,
+    url, title, seen,
     len(list_filter({keyword_list_sql("query")}, lambda k: contains(lower(title), k))) AS score
   FROM events JOIN items ON l_orderkey = fema_disaster_number
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY split_part(url, '?', 1)
-    ORDER BY fema_disaster_number, seen, url, l_linenumber) AS copy
+    ORDER BY fema_disaster_number, seen, url, title) AS copy
   FROM scored WHERE score >= 1
 )
 SELECT CAST(fema_disaster_number AS VARCHAR) || '_' || county_fips || '_' ||
@@ -67,14 +71,17 @@ FROM ranked WHERE copy = 1
 def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spine -> payload articles -> title score -> one row per URL -> row key.
 
-    Line items are the landed articles of their order.
+    Line items are the landed articles of their order. The spine is written and read
+    again, as between the two jobs.
     """
-    events = article_plan.events_from_spine(enriched_spine(spark, sf_dir))
+    path = scratch_path(spark, "spine")
+    append_ndjson(enriched_spine(spark, sf_dir), path)
+    events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
     flag = F.col("l_returnflag")
     article = F.struct(
         F.when(flag == "R", TITLES["R"]).when(flag == "A", TITLES["A"]).otherwise(TITLES["N"])
         .alias("title"),
-        EVENT_URL.alias("url"),
+        event_url().alias("url"),
         F.lit("").alias("seendateurl"),
         F.date_format("l_shipdate", "yyyyMMdd'T000000Z'").alias("seendate"),
         F.lit(None).cast("string").alias("date"),
@@ -84,18 +91,18 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     payloads = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("disasterNumber"),
-        F.col("l_linenumber").alias("line"),
         F.array(article).alias("articles"),
         F.array(article).alias("timeline"),
     )
     candidates = article_plan.attach_payloads(events, payloads, ["disasterNumber"])
-    order = ["_event", "_seen", "_url"]
+    order = ["_event", "_seen", "_url", "_title"]
     kept = article_plan.select_articles(
         candidates.withColumns(
             {
                 "_event": F.col("disasterNumber"),
                 "_seen": F.col("seendate"),
                 "_url": F.col("url"),
+                "_title": F.col("title"),
             }
         ),
         order,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.catalog.expressions import EVENT_URL, EVENT_URL_SQL
+from stormledger.catalog.expressions import EVENT_URL_SQL, event_url
 from stormledger.catalog.registry import query, table
 from stormledger.operators import dedup, numbering, ranking
 
@@ -137,5 +137,5 @@ def dedup_after_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per URL without its query part, over all events."""
-    linked = _items(spark, sf_dir).withColumn("url", EVENT_URL)
+    linked = _items(spark, sf_dir).withColumn("url", event_url())
     return dedup.keep_first_url(linked, "url", *ITEM_ORDER).select("url", "l_orderkey")

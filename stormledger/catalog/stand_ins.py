@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stormledger.catalog.registry import table
 from stormledger.functions.codes import compose_geoid
+from stormledger.functions.dates import iso_text
 from stormledger.schemas import DECLARATION
 
 STATES = 56
@@ -23,8 +24,8 @@ def _state_code(customer: str):
 
 def declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    two_days_on = F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 2), "yyyy-MM-dd")
+    day = iso_text(F.col("o_orderdate"))
+    two_days_on = iso_text(F.date_add(F.col("o_orderdate").cast("date"), 2))
     return (
         table(spark, sf_dir, "orders")
         .select(

@@ -26,8 +26,10 @@ def normalize_category(
     labels_of: dict[str, list[str]] = {}
     for known, category in exact.items():
         labels_of.setdefault(category, []).append(known)
-    # A label that is only white space is filled in: it takes the default.
-    chain = F.when(F.coalesce(label, F.lit("")) == "", F.lit(None))
+    # Only a label without any character has no category; one of white space takes the
+    # default. Every condition reads the key, so that Spark computes it once per row.
+    no_key = F.coalesce(key == "", F.lit(True))
+    chain = F.when(no_key & (F.coalesce(label, F.lit("")) == ""), F.lit(None))
     for category, known in labels_of.items():
         chain = chain.when(key.isin(known), category)
     for part, category in substrings:

@@ -17,11 +17,12 @@ def compose_geoid(state: Column, county: Column) -> Column:
     return F.concat(zero_pad(state, 2), zero_pad(county, 3))
 
 
-def valid_code(state: Column, county: Column) -> Column:
-    """Both padded codes are digits only. Empty codes pad to zeros and pass."""
-    return compose_geoid(F.coalesce(state, F.lit("")), F.coalesce(county, F.lit(""))).rlike(
-        "^[0-9]+$"
-    )
+def valid_code(geoid: Column) -> Column:
+    """Both codes of a composed geoid are digits only.
+
+    Empty codes pad to zeros and pass; they then find no county.
+    """
+    return geoid.rlike("^[0-9]+$")
 
 
 def _digits(text: Column) -> Column:

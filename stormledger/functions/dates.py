@@ -11,12 +11,13 @@ from stormledger.functions.text import nullif_empty, strip
 _DATE = r"(?!0000)\d{4}-\d{2}-\d{2}"
 _HOUR = r"(?:[01]\d|2[0-3])"
 _SIXTY = r"[0-5]\d"
-_CLOCK = (
-    rf"{_HOUR}(?::{_SIXTY}(?::{_SIXTY}(?:,\d+)?)?|{_SIXTY}(?:{_SIXTY}(?:,\d+)?)?)?"
-)
+_CLOCK = rf"{_HOUR}(?::{_SIXTY}(?::{_SIXTY}(?:,\d+)?)?|{_SIXTY}(?:{_SIXTY}(?:,\d+)?)?)?"
 _OFFSET = rf"(?:Z|[+-]{_HOUR}(?::{_SIXTY}(?::{_SIXTY})?|{_SIXTY}(?:{_SIXTY})?)?)?"
-DATE_SHAPE = rf"\A{_DATE}\z"
-INSTANT_SHAPE = rf"\A{_DATE}T{_CLOCK}{_OFFSET}\z"
+# A bare date; or at least 19 characters with a "T" among them, where the clock time
+# may carry an offset and whatever follows the first dot is ignored.
+DATE_SHAPE = (
+    rf"(?s)\A({_DATE})(?:\z|(?=.{{9}})(?=.*T)(?:T{_CLOCK}{_OFFSET})?(?:\..*)?\z)"
+)
 
 
 def iso_prefix(text: Column) -> Column:
@@ -31,12 +32,8 @@ def parse_date_lenient(text: Column) -> Column:
     A blank between date and time, a shorter clock time, single-digit months and
     impossible dates are rejected.
     """
-    trimmed = strip(text)
-    is_instant = (F.length(trimmed) >= 19) & trimmed.contains("T")
-    well_formed = F.when(
-        is_instant, F.substring_index(trimmed, ".", 1).rlike(INSTANT_SHAPE)
-    ).otherwise(trimmed.rlike(DATE_SHAPE))
-    return F.try_to_date(F.when(well_formed, F.substring(trimmed, 1, 10)), "yyyy-MM-dd")
+    day = F.regexp_extract(strip(text), DATE_SHAPE, 1)
+    return day.try_cast("date")
 
 
 def event_window(
@@ -58,7 +55,7 @@ def event_window(
 
 
 def iso_text(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    return day.cast("date").cast("string")
 
 
 def ymd8_to_iso(text: Column) -> Column:

@@ -69,7 +69,7 @@ def synonym_query(
         bare = F.replace(text, F.lit('"'), F.lit(""))
         return F.when(bare != "", F.concat(F.lit('"'), bare, F.lit('"')))
 
-    places = F.array_join(F.array_compact(F.array(quoted(place), quoted(designated))), " OR ")
+    places = F.concat_ws(" OR ", quoted(place), quoted(designated))
     places = F.when(places == "", '""').otherwise(places)
     kind = F.lower(incident_type)
     known = {name: " OR ".join(f'"{w}"' for w in words) for name, words in synonyms.items()}

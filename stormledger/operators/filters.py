@@ -55,11 +55,11 @@ def has_declaration_date(declared: Column) -> Column:
     return F.coalesce(declared, F.lit("")) != ""
 
 
-def skip_reason(dated: Column, state: Column, county: Column, mapped: Column) -> Column:
+def skip_reason(dated: Column, geoid: Column, mapped: Column) -> Column:
     """Why a declaration is skipped, first reason wins; empty for a kept one."""
     return (
         F.when(~dated, NO_DATES)
-        .when(~valid_code(state, county), BAD_FIPS)
+        .when(~valid_code(geoid), BAD_FIPS)
         .when(~mapped, NOT_MAPPED)
         .otherwise(KEPT)
     )

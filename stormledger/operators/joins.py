@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.operators.ranking import top_n_per_group
@@ -125,26 +126,78 @@ def newest_in_window(
     start: str,
     end: str,
     at: str,
-    event_id: Sequence[str],
     tie_break: Sequence[str],
     n: int,
-    bucket_days: int = 8,
 ) -> DataFrame:
     """The ``n`` newest points of every event's window, ``rank`` 1 first.
 
-    ``start`` and ``end`` are dates, so a window holds a day's points either all or,
-    on its last day, only those at midnight. At most ``n`` points per key and day of
-    each kind can therefore be among anyone's newest ``n``; the others are dropped
-    before the join, which keeps the pairs of a hot key bounded by its events rather
-    than by its points.
+    The rows are those of ``interval_join`` cut to ``n`` per event, but its pairs are
+    never built. ``start`` and ``end`` are dates, so the window's edges fall between
+    slots: a day's midnight is one slot, the rest of the day another.
+
+    - At most ``n`` points per key and slot can be among anyone's newest ``n``.
+    - Numbered per key from oldest to newest, the points of a window are a run of
+      numbers, and the newest ``n`` of them are its end. Counts per slot, summed over
+      the slots of a key, give the number of points before each edge.
+    - Events meet blocks of ``n`` numbers by equality. A run of ``n`` touches two
+      blocks at most, so an event meets no more than ``2 n`` points however many the
+      key has.
+
+    The running sum goes over one row per key and slot, never over points or events.
     """
     day = F.col(at).cast("date")
-    dated = points.withColumn("_day", day).withColumn(
-        "_midnight", F.col(at) == F.col("_day").cast(points.schema[at].dataType)
-    )
+    after_midnight = (F.col(at) != day.cast(points.schema[at].dataType)).cast("int")
+    slotted = points.withColumn("_slot", 2 * F.unix_date(day) + after_midnight)
     newest_first = [F.col(at).desc(), *[F.col(c) for c in tie_break]]
-    daily = top_n_per_group(dated, [*keys, "_day", "_midnight"], newest_first, n).drop(
-        "rank", "_day", "_midnight"
+    kept = top_n_per_group(slotted, [*keys, "_slot"], newest_first, n, "_nth")
+
+    # The first slot of a window, and the first one after it.
+    first, after = 2 * F.unix_date(start), 2 * F.unix_date(end) + 1
+    edged = events.where(F.col(start) <= F.col(end)).withColumns({"_first": first, "_after": after})
+    edges = (
+        edged.select(*keys, F.explode(F.array("_first", "_after")).alias("_slot"))
+        .distinct()
+        .withColumn("_size", F.lit(0).cast("bigint"))
+    )
+    sizes = slotted.groupBy(*keys, "_slot").agg(
+        F.least(F.count("*"), F.lit(n).cast("bigint")).alias("_size")
+    )
+    earlier = (
+        W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    )
+    slots = (
+        sizes.unionByName(edges)
+        .groupBy(*keys, "_slot")
+        .agg(F.sum("_size").alias("_size"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    )
+
+    def before(slot: str, name: str) -> DataFrame:
+        return slots.select(*keys, F.col("_slot").alias(slot), F.col("_before").alias(name))
+
+    numbered = (
+        kept.join(slots, [*keys, "_slot"])
+        .withColumn("_number", F.col("_before") + F.col("_size") - F.col("_nth"))
+        .withColumn("_block", F.floor(F.col("_number") / F.lit(n)))
+        .drop("_slot", "_nth", "_size", "_before")
+    )
+    runs = (
+        edged.join(before("_first", "_low"), [*keys, "_first"])
+        .join(before("_after", "_high"), [*keys, "_after"])
+        .withColumn("_low", F.greatest(F.col("_low"), F.col("_high") - n))
+        .where(F.col("_low") < F.col("_high"))
+        .withColumn(
+            "_block",
+            F.explode(
+                F.sequence(
+                    F.floor(F.col("_low") / F.lit(n)), F.floor((F.col("_high") - 1) / F.lit(n))
+                )
+            ),
+        )
+    )
+    met = runs.join(numbered, [*keys, "_block"]).where(
+        (F.col("_number") >= F.col("_low")) & (F.col("_number") < F.col("_high"))
+    )
+    return met.withColumn("rank", (F.col("_high") - F.col("_number")).cast("int")).drop(
+        "_block", "_number", "_first", "_after", "_low", "_high"
     )
-    pairs = interval_join(events, daily, keys, start, end, at, bucket_days)
-    return top_n_per_group(pairs, event_id, newest_first, n)

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from stormledger.operators.joins import broadcast_if_small
 
-ANCHOR_WORDS = 2
+ANCHOR_WORDS = 4
 
 
-def words(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def normalized(text: Column) -> Column:
+    """Lower-case runs of letters and digits, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
 def find_phrases(
@@ -23,43 +23,54 @@ def find_phrases(
     """Distinct (ids, phrase) where the phrase's words occur in the text, next to each
     other and in order. Case and punctuation do not count; words match whole.
 
-    Each word position of a text gives a row with its next words, as many as the
-    longest phrase has. Rows and phrases meet on their first one or two words, then
-    the whole phrase is compared. The work is linear in the texts; the phrases are
-    broadcast when small and shuffled by anchor otherwise.
+    Every word position of a text gives its next one to four words as anchors, in the
+    lengths the phrases have. Anchors and phrases meet by equality. Shorter phrases are
+    thereby found; for the others, only texts with the right anchor are searched. The
+    phrases are broadcast when small and shuffled by anchor otherwise.
     """
     listed = (
         phrases.select(F.col(phrase).alias("_phrase"))
         .distinct()
-        .withColumn("_list", words(F.col("_phrase")))
-        .where(F.size("_list") > 0)
+        .withColumn("_whole", normalized(F.col("_phrase")))
+        .where("_whole != ''")
         .select(
             "_phrase",
-            F.array_join(F.slice("_list", 1, ANCHOR_WORDS), " ").alias("_anchor"),
-            F.array_join("_list", " ").alias("_whole"),
-            F.size("_list").alias("_n"),
+            "_whole",
+            F.substring_index("_whole", " ", ANCHOR_WORDS).alias("_anchor"),
+            (F.regexp_count("_whole", F.lit(" ")) + 1).alias("_n"),
         )
     )
-    longest = listed.agg(F.max("_n")).first()[0]
-    if longest is None:
-        return texts.select(*ids, F.lit(None).cast("string").alias(phrase)).where(F.lit(False))
-
-    split = texts.select(*ids, words(F.col(text)).alias("_words"))
-    positions = F.sequence(F.lit(1), F.size("_words"))
-    ahead = F.transform(positions, lambda i: F.slice("_words", i, longest))
-    tails = split.where(F.size("_words") > 0).select(*ids, F.explode(ahead).alias("_ahead"))
-    anchors = F.array_distinct(
-        F.array(*[F.array_join(F.slice("_ahead", 1, n + 1), " ") for n in range(ANCHOR_WORDS)])
-    )
-    anchored = tails.select(
-        *ids,
-        F.array_join("_ahead", " ").alias("_tail"),
-        F.explode(anchors).alias("_anchor"),
+    # At most ANCHOR_WORDS + 1 different numbers come back.
+    lengths = sorted(
+        row[0] for row in listed.select(F.least("_n", F.lit(ANCHOR_WORDS + 1))).distinct().collect()
     )
-    whole_words = F.concat("_tail", F.lit(" ")).startswith(F.concat("_whole", F.lit(" ")))
-    return (
+    anchor_lengths = sorted({min(n, ANCHOR_WORDS) for n in lengths})
+    spelled = texts.select(*ids, normalized(F.col(text)).alias("_text"))
+    words = spelled.where("_text != ''").select(*ids, F.split("_text", " ").alias("_words"))
+    following = [
+        F.slice("_words", F.lit(i + 1), F.size("_words")).alias(f"w{i}")
+        for i in range(max(anchor_lengths, default=1))
+    ]
+    positions = words.select(*ids, F.explode(F.arrays_zip(*following)).alias("_at"))
+    anchors = [
+        # Too close to the end of the text the last word is NULL, and nothing is met.
+        F.when(
+            F.col(f"_at.w{n - 1}").isNotNull(),
+            F.concat_ws(" ", *[F.col(f"_at.w{i}") for i in range(n)]),
+        )
+        for n in anchor_lengths
+    ]
+    anchored = positions.select(*ids, F.explode(F.array(*anchors)).alias("_anchor"))
+    met = (
         anchored.join(broadcast_if_small(listed), "_anchor")
-        .where(whole_words)
-        .select(*ids, F.col("_phrase").alias(phrase))
+        .select(*ids, "_phrase", "_whole", "_n")
         .distinct()
     )
+    found = met.where(F.col("_n") <= ANCHOR_WORDS).select(*ids, "_phrase")
+    if lengths and lengths[-1] > ANCHOR_WORDS:
+        whole_words = F.contains(
+            F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_whole", F.lit(" "))
+        )
+        searched = met.where(F.col("_n") > ANCHOR_WORDS).join(spelled, list(ids))
+        found = found.unionByName(searched.where(whole_words).select(*ids, "_phrase"))
+    return found.withColumnRenamed("_phrase", phrase)

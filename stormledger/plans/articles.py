@@ -17,7 +17,7 @@ from stormledger.functions.fixed import (
 from stormledger.functions.search import keyword_set, place_phrase, synonym_query, title_hits
 from stormledger.functions.text import field_fallback, safe_trim
 from stormledger.operators.dedup import keep_first_url
-from stormledger.operators.filters import enough_hits, not_empty, required_fields
+from stormledger.operators.filters import enough_hits, not_empty
 from stormledger.operators.joins import broadcast_if_small, newest_in_window
 from stormledger.operators.phrases import find_phrases
 from stormledger.operators.ranking import top_n_per_group
@@ -34,6 +34,7 @@ EVENT_COLUMNS = (
     "window_end",
     "label",
     "gdelt_query",
+    "keywords",
 )
 
 
@@ -56,21 +57,16 @@ def events_from_spine(spine: DataFrame, *keep: str) -> DataFrame:
         safe_trim(F.col("label")).alias("label"),
         safe_trim(F.col("fema_designated_area")).alias("designated"),
     ).where(
-        required_fields(
-            F.col("window_start"),
-            F.col("window_end"),
-            F.col("county"),
-            F.col("state"),
-            F.col("incidentType"),
+        not_empty(
+            *[F.col(c) for c in ("window_start", "window_end", "county", "state", "incidentType")]
         )
     )
-    return trimmed.withColumns(
+    query = synonym_query(
+        place_phrase(F.col("county"), F.col("state")), F.col("designated"), F.col("incidentType")
+    )
+    return trimmed.withColumn("gdelt_query", query).withColumns(
         {
-            "gdelt_query": synonym_query(
-                place_phrase(F.col("county"), F.col("state")),
-                F.col("designated"),
-                F.col("incidentType"),
-            ),
+            "keywords": keyword_set(F.col("gdelt_query")),
             "startdatetime": compact_ts(F.col("window_start")),
             "enddatetime": compact_ts(F.col("window_end")),
         }
@@ -137,7 +133,7 @@ def match_articles(
     spans = placed.select(*ids, *event_id, "_start", "_end").distinct()
     points = tagged.join(wanted.select(article_id, seen), article_id)
     newest = newest_in_window(
-        spans, points, ids, "_start", "_end", seen, [*event_id, "_place"], [article_id], per_event
+        spans, points, ids, "_start", "_end", seen, [article_id], per_event
     )
     # An article may carry both places of an event: count it once.
     once = newest.select(*event_id, article_id, seen).distinct()
@@ -200,12 +196,12 @@ def select_articles(
     scored = candidates.withColumns(
         {
             "url": field_fallback(F.col("url"), F.col("seendateurl")),
-            "score": title_hits(keyword_set(F.col("gdelt_query")), F.col("title")).cast("bigint"),
+            "score": title_hits(F.col("keywords"), F.col("title")).cast("bigint"),
         }
     ).where(not_empty(F.col("title"), F.col("url")) & enough_hits(F.col("score"), min_title_hits))
     conformed = scored.select(
         *order,
-        *EVENT_COLUMNS,
+        *[c for c in EVENT_COLUMNS if c != "keywords"],
         "title",
         "url",
         field_fallback(F.col("seendate"), F.col("date")).alias("datetime"),

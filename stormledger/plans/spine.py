@@ -100,10 +100,7 @@ def classify(
         event_label(F.col("county_name_clean"), F.col("state_name"), incident_type).alias("label"),
         F.lit("FEMA").alias("source"),
         skip_reason(
-            is_dated,
-            F.col("fipsStateCode"),
-            F.col("fipsCountyCode"),
-            F.col("state_name").isNotNull(),
+            is_dated, F.col("county_fips"), F.col("state_name").isNotNull()
         ).alias("skip_reason"),
     )
 
