@@ -112,3 +112,50 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("unique_entity_identifier"),
         *[c for c in kept.columns if c not in ("state", "county", "sourceCountry", "domain")],
     )
+
+
+EVENT_MATCH_SQL = f"""
+WITH spine AS ({SPINE_SQL}), articles AS (
+  SELECT 'http://h/' || CAST(o_orderkey AS VARCHAR) AS url, o_orderdate AS seen,
+    c_name, c_mktsegment, CASE o_orderstatus WHEN 'F' THEN 'flood' WHEN 'O' THEN 'storm' END AS kind
+  FROM orders JOIN customer ON o_custkey = c_custkey
+), ranked AS (
+  SELECT fema_disaster_number, url, row_number() OVER (
+    PARTITION BY fema_disaster_number ORDER BY seen DESC, url) - 1 AS article_pos
+  FROM spine JOIN articles ON county = c_name AND state = c_mktsegment AND disaster = kind
+   AND seen BETWEEN CAST(window_start AS DATE) AND CAST(window_end AS DATE)
+)
+SELECT fema_disaster_number AS "disasterNumber", url, CAST(article_pos AS INT) AS article_pos
+FROM ranked WHERE article_pos < 30
+"""
+
+
+@query(EVENT_MATCH_SQL)
+def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and their newest articles from a local article table, by place and words.
+
+    Every order is also an article, headed by its customer as the place.
+    """
+    places = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
+    )
+    status = F.col("o_orderstatus")
+    kind = F.when(status == "F", "Flash flood").when(status == "O", "STORM").otherwise("Calm")
+    title = F.concat(
+        kind, F.lit(" in "), F.col("c_name"), F.lit(" county ("), F.col("c_mktsegment"), F.lit(")")
+    )
+    local = (
+        table(spark, sf_dir, "orders")
+        .join(places, "o_custkey")
+        .select(
+            F.concat(F.lit("http://h/"), F.col("o_orderkey").cast("string")).alias("url"),
+            title.alias("title"),
+            F.col("o_orderdate").alias("seen"),
+            F.lit("English").alias("language"),
+        )
+    )
+    path = scratch_path(spark, "spine")
+    append_ndjson(enriched_spine(spark, sf_dir), path)
+    events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
+    matched = article_plan.match_articles(events, local, ["disasterNumber"])
+    return matched.select("disasterNumber", "url", "article_pos")

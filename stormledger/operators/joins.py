@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.operators.ranking import top_n_per_group
+from stormledger.storage import durable
 
 BROADCAST_MAX_ROWS = 300_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -95,7 +96,10 @@ def interval_join(
 def _salt_hot_keys(
     copied: DataFrame, dealt: DataFrame, on: Sequence[str], hot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Deal the rows of over-full keys over salts, and copy the other side to each salt."""
+    """Deal the rows of over-full keys over salts, and copy the other side to each salt.
+
+    The list of over-full keys is short and is kept, so that ``dealt`` is counted once.
+    """
     salts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
     hot = (
         dealt.groupBy(*on)
@@ -103,7 +107,7 @@ def _salt_hot_keys(
         .where(F.col("_rows") > hot_rows)
         .select(*on, salts)
     )
-    hot = broadcast_if_small(hot)
+    hot = broadcast_if_small(durable(hot))
     one = F.coalesce("_salts", F.lit(1))
     row_hash = F.xxhash64(*[F.col(c) for c in dealt.columns])
     dealt = (
@@ -143,7 +147,8 @@ def newest_in_window(
       blocks at most, so an event meets no more than ``2 n`` points however many the
       key has.
 
-    The running sum goes over one row per key and slot, never over points or events.
+    The running sum goes over one row per key and slot, never over points or events. It
+    is needed three times and is checkpointed.
     """
     day = F.col(at).cast("date")
     after_midnight = (F.col(at) != day.cast(points.schema[at].dataType)).cast("int")
@@ -162,10 +167,8 @@ def newest_in_window(
     sizes = slotted.groupBy(*keys, "_slot").agg(
         F.least(F.count("*"), F.lit(n).cast("bigint")).alias("_size")
     )
-    earlier = (
-        W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    )
-    slots = (
+    earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    slots = durable(
         sizes.unionByName(edges)
         .groupBy(*keys, "_slot")
         .agg(F.sum("_size").alias("_size"))

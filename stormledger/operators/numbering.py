@@ -18,17 +18,20 @@ def index_within_blocks(
 ) -> DataFrame:
     """Number the rows of each group from 0, given the blocks that make it up.
 
-    ``seq`` rises inside a block and has no gaps there. Only (block, first, size)
-    triples are sorted; ``rows`` must be durable, since it is read twice.
+    ``seq`` rises inside a block and has no gaps there. Only the blocks' (first, size)
+    pairs are sorted; ``rows`` must be durable, since it is read twice: once to count
+    the blocks and once to number the rows.
     """
     keys = [*group, *block]
     sizes = rows.groupBy(*keys).agg(F.min(seq).alias("_first"), F.count("*").alias("_size"))
     earlier = W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
     if group:
         earlier = W.partitionBy(*group).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    offsets = durable(
+        sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
+    )
     return (
-        rows.join(broadcast_if_small(offsets.drop("_size")), keys)
+        rows.join(broadcast_if_small(offsets), keys)
         .withColumn(index, F.col("_offset") + F.col(seq) - F.col("_first"))
         .drop(*block, seq, "_first", "_offset")
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormledger.functions.dates import compact_ts
 from stormledger.functions.fixed import (
@@ -21,8 +22,12 @@ from stormledger.operators.filters import enough_hits, not_empty
 from stormledger.operators.joins import broadcast_if_small, newest_in_window
 from stormledger.operators.phrases import find_phrases
 from stormledger.operators.ranking import top_n_per_group
-from stormledger.schemas import ARTICLE
+from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
+from stormledger.sinks.writers import write_articles
+from stormledger.sources.lines import number_lines
+from stormledger.sources.ndjson import CORRUPT, parse_lines, read_ndjson
 from stormledger.sources.payloads import explode_articles
+from stormledger.storage import durable
 
 EVENT_COLUMNS = (
     "disasterNumber",
@@ -102,7 +107,8 @@ def match_articles(
 
     Articles are first tagged with the phrases and words they contain, once for all
     events. After that, event and article meet on equal (place, type) and a time
-    interval, and each pair list is cut to the newest before it is joined.
+    interval, and no event meets more than a few times ``per_event`` articles. The tags
+    are checkpointed, so the texts are read once.
 
     ``article_id`` has to be unique. Articles need the payload article columns and
     ``seen``, a timestamp.
@@ -128,12 +134,11 @@ def match_articles(
     wanted = articles
     if language is not None:
         wanted = wanted.where(F.coalesce("language", F.lit(language)) == language)
-    tagged = _tag_places_and_types(wanted, article_id, text, placed)
+    tagged = durable(_tag_places_and_types(wanted, [article_id, seen], text, placed))
     ids = ["_place", "_type"]
     spans = placed.select(*ids, *event_id, "_start", "_end").distinct()
-    points = tagged.join(wanted.select(article_id, seen), article_id)
     newest = newest_in_window(
-        spans, points, ids, "_start", "_end", seen, [article_id], per_event
+        spans, tagged, ids, "_start", "_end", seen, [article_id], per_event
     )
     # An article may carry both places of an event: count it once.
     once = newest.select(*event_id, article_id, seen).distinct()
@@ -143,42 +148,41 @@ def match_articles(
     return (
         ranked.withColumn("article_pos", F.col("rank") - 1)
         .drop("rank", seen)
-        .join(broadcast_if_small(events), list(event_id))
+        .join(events, list(event_id))
         .join(wanted.drop(seen), article_id)
     )
 
 
 def _tag_places_and_types(
-    articles: DataFrame, article_id: str, text: str, placed: DataFrame
+    articles: DataFrame, ids: Sequence[str], text: str, placed: DataFrame
 ) -> DataFrame:
-    """(article_id, _place, _type) for every place and type an article's text holds."""
-    spark = articles.sparkSession
+    """(ids, _place, _type) for every place and type an article's text holds.
+
+    Places and search words are looked for in one pass over the texts. What an article
+    holds is listed per article, so neither list grows with the articles.
+    """
     known = [(kind, word) for kind, words in TYPE_SYNONYMS.items() for word in words]
-    synonyms = spark.createDataFrame(known, "_type string, _word string")
-    other = (
-        placed.select("_type")
-        .distinct()
-        .where(~F.col("_type").isin(list(TYPE_SYNONYMS)))
-        .select("_type", F.col("_type").alias("_word"))
+    synonyms = articles.sparkSession.createDataFrame(known, "_type string, phrase string")
+    types = placed.select("_type").distinct()
+    unlisted = types.where(~F.col("_type").isin(list(TYPE_SYNONYMS)))
+    type_words = types.join(synonyms, "_type").unionByName(
+        unlisted.withColumn("phrase", F.col("_type"))
     )
-    type_words = placed.select("_type").distinct().join(synonyms.unionByName(other), "_type")
-    phrases = (
-        placed.select(F.col("_place").alias("phrase"))
-        .union(type_words.select("_word"))
-        .distinct()
-    )
-    found = find_phrases(articles, [article_id], text, phrases)
-    places = found.join(
-        broadcast_if_small(placed.select(F.col("_place").alias("phrase")).distinct()), "phrase"
-    ).withColumnRenamed("phrase", "_place")
-    types = (
-        found.join(
-            broadcast_if_small(type_words.withColumnRenamed("_word", "phrase")), "phrase"
+    roles = type_words.withColumn("_place", F.lit(None).cast("string")).unionByName(
+        placed.select("_place").distinct().withColumns(
+            {"phrase": F.col("_place"), "_type": F.lit(None).cast("string")}
         )
-        .select(article_id, "_type")
-        .distinct()
     )
-    return places.join(types, article_id)
+    roles = durable(roles)
+    held = (
+        find_phrases(articles, ids, text, roles)
+        .join(broadcast_if_small(roles), "phrase")
+        .groupBy(*ids)
+        .agg(F.collect_set("_place").alias("_places"), F.collect_set("_type").alias("_types"))
+    )
+    return held.select(*ids, F.explode("_places").alias("_place"), "_types").select(
+        *ids, "_place", F.explode("_types").alias("_type")
+    )
 
 
 def select_articles(
@@ -212,3 +216,47 @@ def select_articles(
         F.lit(f"title_hits>={min_title_hits}").alias("kept_reason"),
     )
     return keep_first_url(conformed, "url", *order).select(*ARTICLE.names)
+
+
+EVENT_KEY = ("disasterNumber", "county_fips")
+LANDED_PAYLOAD = T.StructType(
+    [
+        T.StructField("disasterNumber", T.LongType()),
+        T.StructField("county_fips", T.StringType()),
+        *ARTICLE_PAYLOAD.fields,
+    ]
+)
+
+
+def run_articles(
+    spark: SparkSession,
+    spine_path: str,
+    payload_path: str,
+    ndjson_path: str,
+    csv_path: str,
+    per_event: int = MAX_ARTICLES_PER_EVENT,
+    min_title_hits: int = MIN_TITLE_HITS,
+    language: str = DEFAULT_LANGUAGE,
+) -> dict[str, int]:
+    """Article files from spine files and one landed payload per event.
+
+    Events come in the order of their lines, articles in the order of their payload
+    (newest first), of which the first ``per_event`` are used. Malformed spine lines
+    are left out. Returns the number of candidates and of articles kept, both counted
+    while writing.
+    """
+    lines = parse_lines(number_lines(spark, spine_path), SPINE)
+    place = ["file", "line_index"]
+    events = events_from_spine(lines.where(F.col(CORRUPT).isNull()), *place)
+    payloads = read_ndjson(spark, payload_path, LANDED_PAYLOAD)
+    offered, kept = Observation("offered"), Observation("kept")
+    candidates = (
+        attach_payloads(events, payloads, EVENT_KEY, *place)
+        .where(F.col("article_pos") < per_event)
+        .observe(offered, F.count("*").alias("n"))
+    )
+    selected = select_articles(
+        candidates, [*place, "article_pos"], min_title_hits, language
+    ).observe(kept, F.count("*").alias("n"))
+    write_articles(selected, ndjson_path, csv_path)
+    return {"candidates": offered.get["n"], "kept": kept.get["n"]}

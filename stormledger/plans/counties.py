@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.functions.codes import compose_geoid, fips_key, zero_pad
@@ -67,6 +67,23 @@ def write_counties(counties: DataFrame, csv_path: str, json_path: str) -> None:
     )
 
 
+def run_counties(
+    spark: SparkSession, states_path: str, counties_path: str, csv_path: str, json_path: str
+) -> None:
+    """County files from landed payloads.
+
+    ``states_path`` holds the state payload; below ``counties_path`` lies one folder
+    ``state_fips=NN`` per state with its county payload. A payload is one file, a few
+    hundred rows long at most.
+    """
+    landed = spark.read.text(counties_path, wholetext=True).withColumn(
+        "state_fips", zero_pad(F.col("state_fips").cast("string"), 2)
+    )
+    states = read_states(spark.read.text(states_path, wholetext=True))
+    table = county_dimension(states, read_state_counties(landed))
+    write_counties(table, csv_path, json_path)
+
+
 def county_map(counties: DataFrame, position: str = "row_index") -> DataFrame:
     """(county_fips, state_name, county_name_clean), unique; the last row of a key wins.
 

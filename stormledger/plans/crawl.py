@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.functions.dates import ymd8_to_iso
@@ -15,7 +15,10 @@ from stormledger.operators.filters import not_empty
 from stormledger.operators.numbering import assign_chunks
 from stormledger.operators.rollups import articles_by_date, progress_rollup
 from stormledger.schemas import PROGRESS_COLUMNS, WORK_KEY
+from stormledger.sinks.writers import append_ndjson, write_csv, write_ndjson
+from stormledger.sources.ndjson import read_ndjson
 from stormledger.sources.payloads import csv_payload_rows, usable_payload
+from stormledger.sources.tabular import read_counties, read_done_keys
 
 ARTICLE_FIELDS = ("title", "url", "source")
 
@@ -74,7 +77,7 @@ def payload_articles(payloads: DataFrame, text: str = "csv_text") -> DataFrame:
 
 
 def county_articles(articles: DataFrame) -> DataFrame:
-    """Articles per work key and date. ``write_county_articles`` order is newest first."""
+    """Articles per work key and date, in payload order."""
     return articles_by_date(articles, WORK_KEY, "date", "article_pos", ARTICLE_FIELDS)
 
 
@@ -97,3 +100,35 @@ def progress(payloads: DataFrame, articles: DataFrame, status: str | None = None
 def fetched(payloads: DataFrame, text: str = "csv_text", status: str = "status") -> DataFrame:
     """Payloads a fetch would have accepted."""
     return payloads.where(usable_payload(F.col(text), F.col(status), min_length=100))
+
+
+LANDED_PAYLOAD = "state string, county string, disaster string, status int, csv_text string"
+
+
+def run_manifest(
+    spark: SparkSession,
+    counties_path: str,
+    log_path: str,
+    out: str,
+    seed: int,
+    chunk_size: int = CHUNK_SIZE,
+    max_chunks: int | None = None,
+) -> None:
+    """Write the queries that are still to be made."""
+    places = read_counties(spark, counties_path).select(
+        F.col("state_name").alias("state"), F.col("county_name_clean").alias("county")
+    )
+    pending = pending_keys(work_keys(places), read_done_keys(spark, log_path))
+    write_ndjson(manifest(pending, seed, chunk_size, max_chunks), out)
+
+
+def run_ingest(spark: SparkSession, payload_path: str, out: str, log_path: str) -> None:
+    """Append the landed payloads' articles and the progress of their keys.
+
+    Payload lines are (state, county, disaster, status, csv_text). Keys whose fetch
+    failed are not logged and so stay pending.
+    """
+    landed = read_ndjson(spark, payload_path, LANDED_PAYLOAD)
+    found = payload_articles(fetched(landed))
+    append_ndjson(newest_first(county_articles(found)), out)
+    write_csv(progress(landed, found, status="status"), log_path, mode="append")

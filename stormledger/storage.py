@@ -16,14 +16,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without one gets a temporary folder of its own; on a cluster
     a machine-local folder would be lost with its machine, so that is an error.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="stormledger-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="stormledger-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -34,7 +34,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so that every later read sees the same
     rows in the same partitions even after executors are lost."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
