@@ -66,11 +66,13 @@ def clean_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT doc_id, text AS trimmed, '' AS nothing FROM documents WHERE text = trim(text)")
+WHITESPACE_SQL = " || ".join(f"chr({ord(c)})" for c in text.WHITESPACE)
+
+
+@query(f"SELECT doc_id, trim(text, {WHITESPACE_SQL}) AS trimmed, '' AS nothing FROM documents")
 def safe_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(F.col("text") == F.trim("text"))
-    padded = F.concat(F.lit(" \t  "), F.col("text"), F.lit("\r\n　"))
-    return docs.select(
+    padded = F.concat(F.lit(" \t\u2003 "), F.col("text"), F.lit("\r\n\u3000"))
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         text.safe_trim(padded).alias("trimmed"),
         text.safe_trim(F.lit(None).cast("string")).alias("nothing"),

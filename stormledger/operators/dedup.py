@@ -2,11 +2,15 @@
 
 All forms aggregate: each task reduces its rows to one per key before the shuffle, so
 a key that holds a third of the table sends one row per task.
+
+Rows that tie in the given order are told apart by their other columns, so the result
+does not depend on how the table is cut into tasks. Map columns cannot be compared and
+are not supported.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,21 +18,29 @@ from pyspark.sql import functions as F
 from stormledger.functions.urls import url_base
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], pick) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
-        pick(row).alias("_row")
-    ).select("_row.*")
+def _one_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pick: Callable
+) -> DataFrame:
+    named = [o for o in order if isinstance(o, str)]
+    leading = [
+        F.col(o) if isinstance(o, str) else o.alias(f"_order_{i}") for i, o in enumerate(order)
+    ]
+    rest = [c for c in df.columns if c not in named]
+    return (
+        df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
+        .agg(pick(F.struct(*leading, *rest)).alias("_row"))
+        .select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+    )
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """The row of every key that comes first in ascending ``order``."""
-    return _one_per_key(df, keys, lambda row: F.min_by(row, F.struct(*order)))
+    return _one_per_key(df, keys, order, F.min)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """The row of every key that comes last in ascending ``order``."""
-    return _one_per_key(df, keys, lambda row: F.max_by(row, F.struct(*order)))
+    return _one_per_key(df, keys, order, F.max)
 
 
 def dedup_then_filter(

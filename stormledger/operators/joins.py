@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormledger.operators.ranking import top_n_per_group
 from stormledger.storage import durable
@@ -16,16 +17,26 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row when written out as text."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    cells = [
+        F.to_json(F.col(f.name)) if isinstance(f.dataType, nested) else F.col(f.name).cast("string")
+        for f in df.schema
+    ]
+    return F.octet_length(F.concat_ws("", *cells))
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """Measure a frame, reading at most ``max_rows + 1`` of its rows."""
+    """Measure a frame: at most ``max_rows`` rows and ``max_bytes`` bytes of text.
+
+    Every task stops after ``max_rows + 1`` rows.
+    """
     size = (
         df.limit(max_rows + 1)
-        .agg(
-            F.count("*").alias("rows"),
-            F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
-        )
+        .agg(F.count("*").alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
         .first()
     )
     return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
