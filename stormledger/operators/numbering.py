@@ -18,7 +18,8 @@ def index_within_blocks(
 ) -> DataFrame:
     """Number the rows of each group from 0, given the blocks that make it up.
 
-    ``seq`` rises inside a block and has no gaps there. Only the blocks' (first, size)
+    ``seq`` rises inside a block and has no gaps there. Columns named with a leading
+    underscore are taken out again. Only the blocks' (first, size)
     pairs are sorted; ``rows`` must be durable, since it is read twice: once to count
     the blocks and once to number the rows.
     """
@@ -33,7 +34,7 @@ def index_within_blocks(
     return (
         rows.join(broadcast_if_small(offsets), keys)
         .withColumn(index, F.col("_offset") + F.col(seq) - F.col("_first"))
-        .drop(*block, seq, "_first", "_offset")
+        .drop(*[b for b in block if b.startswith("_")], seq, "_first", "_offset")
     )
 
 

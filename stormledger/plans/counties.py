@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +86,7 @@ def run_counties(
     write_counties(table, csv_path, json_path)
 
 
-def county_map(counties: DataFrame, position: str = "row_index") -> DataFrame:
+def county_map(counties: DataFrame, position: Sequence[str] = ("file", "row_index")) -> DataFrame:
     """(county_fips, state_name, county_name_clean), unique; the last row of a key wins.
 
     Takes the frame of ``read_counties``. Rows whose key has no digit are left out;
@@ -93,11 +95,11 @@ def county_map(counties: DataFrame, position: str = "row_index") -> DataFrame:
     keyed = _keyed(counties).where(F.col("_fips").isNotNull())
     return keep_last(
         keyed.select(
-            F.col("_fips").alias("county_fips"), "state_name", "county_name_clean", position
+            F.col("_fips").alias("county_fips"), "state_name", "county_name_clean", *position
         ),
         ["county_fips"],
-        position,
-    ).drop(position)
+        *position,
+    ).drop(*position)
 
 
 def unkeyed_counties(counties: DataFrame) -> DataFrame:

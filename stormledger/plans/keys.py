@@ -31,9 +31,12 @@ def _keyed(rows: DataFrame, file_kind: str, index: str) -> DataFrame:
 
 
 def keyed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV rows with the key column first and ``key_warning`` last."""
-    rows = number_csv_rows(read_csv(spark, path), "_index")
-    columns = [c for c in rows.columns if c not in ("_index", ROW_KEY_COLUMN)]
+    """CSV rows with the key column first and ``key_warning`` last.
+
+    Fallback keys count the rows of all part files, so they are unique in the table.
+    """
+    rows = number_csv_rows(read_csv(spark, path), "_index", "_file", across_files=True)
+    columns = [c for c in rows.columns if c not in ("_index", "_file", ROW_KEY_COLUMN)]
     return _keyed(rows, "csv", "_index").select(
         ROW_KEY_COLUMN, *[F.coalesce(c, F.lit("")).alias(c) for c in columns], WARNING
     )
@@ -45,9 +48,9 @@ def keyed_ndjson(
     """(rows with the key column last but for ``key_warning``, malformed lines).
 
     A fallback key and a malformed line both carry the physical line index, which
-    counts blank and malformed lines.
+    counts blank and malformed lines, through all part files.
     """
-    lines = number_lines(spark, path).drop("file")
+    lines = number_lines(spark, path, across_files=True).drop("file")
     rows = parse_lines(lines, schema)
     good = _keyed(rows.where(F.col(CORRUPT).isNull()), "ndjson", "line_index")
     bad = rows.where(F.col(CORRUPT).isNotNull()).select("line_index", CORRUPT)

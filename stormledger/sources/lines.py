@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.functions.text import strip
+from stormledger.operators.joins import broadcast_if_small
 from stormledger.operators.numbering import index_within_blocks
 from stormledger.storage import durable
 
@@ -21,13 +22,16 @@ def count_csv_rows(lines: DataFrame, text: str = "value") -> DataFrame:
     return count_lines(lines, text).select(F.greatest(F.col("lines") - 1, F.lit(0)).alias("rows"))
 
 
-def number_lines(spark: SparkSession, path: str) -> DataFrame:
+def number_lines(spark: SparkSession, path: str, across_files: bool = False) -> DataFrame:
     """(file, line_index, value): the 0-based physical line, blank lines included.
 
+    Lines count per file, or with ``across_files`` through all files in path order, as
+    if the folder's parts were one file.
+
     A file is read in blocks by many tasks. Each block is counted, and a running sum
-    over the blocks of a file (not over its lines) gives every block its first index.
-    The tagged lines are checkpointed first: counting and numbering must see the
-    same blocks, and a later read may cut files differently on a changed cluster.
+    over the blocks (not over the lines) gives every block its first index. The tagged
+    lines are checkpointed first: counting and numbering must see the same blocks, and
+    a later read may cut files differently on a changed cluster.
     """
     tagged = durable(
         spark.read.text(path).select(
@@ -37,22 +41,37 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
             "value",
         )
     )
-    return index_within_blocks(tagged, ["file"], ["_block"], "_seq", "line_index")
+    group, block = ([], ["file", "_block"]) if across_files else (["file"], ["_block"])
+    return index_within_blocks(tagged, group, block, "_seq", "line_index")
 
 
-def number_csv_rows(rows: DataFrame, index: str = "row_index") -> DataFrame:
-    """Add the 0-based record number of each row of a ``read_csv(multi_line=True)`` frame.
+def number_csv_rows(
+    rows: DataFrame, index: str = "row_index", file: str = "file", across_files: bool = False
+) -> DataFrame:
+    """Add file and 0-based record number to a ``read_csv(multi_line=True)`` frame.
 
+    Records count per file, or with ``across_files`` through all files in path order.
     Such a file is read whole by one task, so its rows carry rising ids however files
     are packed into tasks, and a window per file is no more uneven than the read.
     """
-    in_file = W.partitionBy("_file").orderBy("_seq")
-    return (
-        rows.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.monotonically_increasing_id().alias("_seq"),
-        )
+    path = F.col("_metadata.file_path").alias(file)
+    in_file = W.partitionBy(file).orderBy("_seq")
+    numbered = (
+        rows.select("*", path, F.monotonically_increasing_id().alias("_seq"))
         .withColumn(index, F.row_number().over(in_file).cast("bigint") - 1)
-        .drop("_file", "_seq")
+        .drop("_seq")
+    )
+    if not across_files:
+        return numbered
+    earlier = W.orderBy(file).rowsBetween(W.unboundedPreceding, -1)
+    offsets = durable(
+        rows.select(path)
+        .groupBy(file)
+        .agg(F.count("*").alias("_rows"))
+        .select(file, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    return (
+        numbered.join(broadcast_if_small(offsets), file)
+        .withColumn(index, F.col(index) + F.col("_offset"))
+        .drop("_offset")
     )

@@ -64,8 +64,8 @@ def select_aliased(
 def read_counties(spark: SparkSession, path: str) -> DataFrame:
     """County file as (state_name, county_name_clean) plus the code columns it has.
 
-    Rows without a state or a county name are dropped. ``row_index`` is the record
-    number in the file.
+    Rows without a state or a county name are dropped. ``file`` and ``row_index``
+    say where a row stood.
     """
     raw = number_csv_rows(read_csv(spark, path))
     named = select_aliased(
@@ -79,7 +79,7 @@ def read_counties(spark: SparkSession, path: str) -> DataFrame:
         },
         optional=("county_geoid", "state_fips", "county_fips"),
         trim=True,
-        keep=("row_index",),
+        keep=("file", "row_index"),
     )
     return named.where((F.col("state_name") != "") & (F.col("county_name_clean") != ""))
 

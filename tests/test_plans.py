@@ -202,6 +202,29 @@ def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
     assert made.count() == 4
 
 
+def test_fallback_keys_are_unique_over_part_files(spark, tmp_path):
+    for kind, head in (("csv", "disasterNumber,county_fips,url\n"), ("ndjson", "")):
+        (tmp_path / kind).mkdir()
+        row = "1,2,\n" if kind == "csv" else '{"disasterNumber": 1, "county_fips": "2"}\n'
+        for part, rows in (("part-0", 3), ("part-1", 2), ("part-2", 1)):
+            (tmp_path / kind / f"{part}.{kind}").write_text(head + row * rows)
+    made = {
+        "csv": keys.keyed_csv(spark, str(tmp_path / "csv")),
+        "ndjson": keys.keyed_ndjson(spark, str(tmp_path / "ndjson"))[0],
+    }
+    for kind, rows in made.items():
+        got = sorted(r[0] for r in rows.select("unique_entity_identifier").collect())
+        assert got == [f"missingpk_{kind}_{i}" for i in range(6)]
+
+
+def test_county_map_takes_the_last_file(spark, tmp_path):
+    for name, county, filler in (("a", "Old", 3), ("b", "New", 0)):
+        rows = "".join(f"Ohio,F{i},39{i:03d}\n" for i in range(filler))
+        (tmp_path / f"{name}.csv").write_text(f"state,county,county_geoid\n{rows}Texas,{county},48453\n")
+    known = counties.county_map(tabular.read_counties(spark, str(tmp_path)))
+    assert {r.county_name_clean for r in known.collect()} == {"F0", "F1", "F2", "New"}
+
+
 def match_brute(events, rows, per_event):
     """The matching rule, article by article."""
     def spelled(text):
