@@ -159,7 +159,7 @@ def newest_in_window(
       key has.
 
     The running sum goes over one row per key and slot, never over points or events. It
-    is needed three times and is checkpointed.
+    is needed three times and is written down.
     """
     day = F.col(at).cast("date")
     after_midnight = (F.col(at) != day.cast(points.schema[at].dataType)).cast("int")

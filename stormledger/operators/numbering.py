@@ -42,7 +42,7 @@ def index_rows(df: DataFrame, order: Sequence[Column | str], index: str = "row_i
     """Number all rows from 0 in ``order``, which should have no ties.
 
     A range-partitioned sort leaves every partition a contiguous run. The sorted
-    partitions are checkpointed, counted, and shifted by the rows before them; the
+    partitions are written down, counted, and shifted by the rows before them; the
     window runs over one row per partition.
     """
     ordered = durable(

@@ -108,7 +108,7 @@ def match_articles(
     Articles are first tagged with the phrases and words they contain, once for all
     events. After that, event and article meet on equal (place, type) and a time
     interval, and no event meets more than a few times ``per_event`` articles. The tags
-    are checkpointed, so the texts are read once.
+    are written down, so the texts are read once.
 
     ``article_id`` has to be unique. Articles need the payload article columns and
     ``seen``, a timestamp.

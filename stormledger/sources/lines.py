@@ -30,7 +30,7 @@ def number_lines(spark: SparkSession, path: str, across_files: bool = False) ->
 
     A file is read in blocks by many tasks. Each block is counted, and a running sum
     over the blocks (not over the lines) gives every block its first index. The tagged
-    lines are checkpointed first: counting and numbering must see the same blocks, and
+    lines are written down first: counting and numbering must see the same blocks, and
     a later read may cut files differently on a changed cluster.
     """
     tagged = durable(

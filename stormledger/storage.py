@@ -32,9 +32,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so that every later read sees the same
-    rows in the same partitions even after executors are lost."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write a table to the shared folder and read it back.
+
+    Every later read then sees the same rows, even after executors are lost or the
+    cluster has changed its size. As a Parquet table it is read by column, and its size
+    is known to the optimizer.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,3 +39,16 @@ def test_dedup_orders_differ(spark):
         for n in ("dedup_before_filter", "dedup_after_filter")
     )
     assert before != after and before < after
+
+
+def test_row_keys_are_unique_per_event_and_url(spark):
+    from pyspark.sql import functions as F
+
+    from stormledger.catalog.expressions import event_url
+
+    made = queries()["row_key"](spark, SF_DIR)
+    parts = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select(
+        "l_orderkey", "l_suppkey", event_url().alias("url")
+    )
+    assert made.select("key").distinct().count() == parts.distinct().count()
+    assert made.where(~F.col("key").rlike(r"^\d+_\d{5,}_[0-9a-f]{10}$")).count() == 0
