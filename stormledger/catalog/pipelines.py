@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.catalog.expressions import EVENT_URL_SQL, event_url, keyword_list_sql
+from stormledger.catalog.files import DISASTER_OF_PRIORITY_SQL, disaster_of_priority
 from stormledger.catalog.registry import query, table
 from stormledger.catalog.stand_ins import SPINE_SQL, county_map, declarations
+from stormledger.functions.codes import zero_pad
+from stormledger.functions.dates import compact_ts, iso_text
 from stormledger.functions.fixed import TYPE_SYNONYMS
 from stormledger.functions.keys import row_key
 from stormledger.plans import articles as article_plan
+from stormledger.plans import counties as county_plan
+from stormledger.plans import crawl as crawl_plan
+from stormledger.plans import keys as key_plan
 from stormledger.plans import spine as spine_plan
-from stormledger.schemas import SPINE
-from stormledger.sinks.writers import append_ndjson
+from stormledger.schemas import ARTICLE, ROW_KEY_COLUMN, SPINE
+from stormledger.sinks.writers import append_ndjson, write_articles
 from stormledger.sources.ndjson import read_ndjson
 from stormledger.storage import scratch_path
 
@@ -159,3 +165,132 @@ def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
     matched = article_plan.match_articles(events, local, ["disasterNumber"])
     return matched.select("disasterNumber", "url", "article_pos")
+
+
+@query(
+    """SELECT n_name AS state_name, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_fips,
+         c_name || ' County' AS county_name,
+         CASE WHEN c_custkey < 100 THEN lpad(CAST(c_custkey AS VARCHAR), 3, '0')
+              ELSE CAST(c_custkey AS VARCHAR) END AS county_fips,
+         lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ||
+         CASE WHEN c_custkey < 100 THEN lpad(CAST(c_custkey AS VARCHAR), 3, '0')
+              ELSE CAST(c_custkey AS VARCHAR) END AS county_geoid,
+         c_name AS county_name_clean
+       FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+)
+def county_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """County rows from header-row payloads: nations are states, customers counties.
+
+    Every county comes twice; the second copy has another name and is dropped.
+    """
+
+    def payload(header: tuple[str, ...], *rows: tuple) -> Column:
+        cells = [F.array(*[F.lit(h) for h in header]), *[F.array(*row) for row in rows]]
+        return F.to_json(F.array(*cells))
+
+    code, county = F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string")
+    label = F.concat(F.col("c_name"), F.lit(" County, "), code)
+    states = table(spark, sf_dir, "nation").select(
+        payload(
+            ("NAME", "state"), (F.col("n_name"), F.col("n_nationkey").cast("string"))
+        ).alias("value")
+    )
+    landed = table(spark, sf_dir, "customer").select(
+        zero_pad(code, 2).alias("state_fips"),
+        payload(
+            ("NAME", "state", "county"), (label, code, county), (F.lit("Copy"), code, county)
+        ).alias("value"),
+    )
+    return county_plan.county_dimension(
+        county_plan.read_states(states), county_plan.read_state_counties(landed)
+    )
+
+
+@query(
+    f"""WITH articles AS (
+          SELECT o_orderstatus AS state, CAST(o_custkey AS VARCHAR) AS county,
+            {DISASTER_OF_PRIORITY_SQL} AS disaster, pos,
+            strftime(CAST(o_orderdate AS DATE) + pos, '%Y-%m-%d') AS date,
+            'http://' || o_orderstatus || ':80/' || CAST(o_orderkey AS VARCHAR) || '/' ||
+              CAST(pos AS VARCHAR) AS url
+          FROM orders, (VALUES (2), (3)) v(pos)
+        )
+        SELECT state, county, disaster, date, CAST(0 AS BIGINT) AS part,
+          string_agg('Title, ' || CAST(pos AS VARCHAR) || '|' || url || '|' || state || ':80', ';'
+                     ORDER BY pos, url) AS articles
+        FROM articles GROUP BY ALL"""
+)
+def crawl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed CSV payloads to articles by work key and date; every order is a payload.
+
+    Its first two rows share a URL whose first copy has no date, so neither is kept.
+    """
+    status, day = F.col("o_orderstatus"), F.col("o_orderdate").cast("date")
+    link = F.concat(
+        F.lit("http://"), status, F.lit(":80/"), F.col("o_orderkey").cast("string"), F.lit("/")
+    )
+
+    def row(position: int, page: str, date: Column) -> Column:
+        return F.concat(link, F.lit(f'{page},"Title, {position}",,'), date, F.lit("\r\n"))
+
+    def stamp(days: int) -> Column:
+        return compact_ts(iso_text(F.date_add(day, days)))
+
+    text = F.concat(
+        F.lit("DocumentIdentifier,Title,SourceCommonName,Date\r\n"),
+        row(0, "twice", F.lit("undated")),
+        row(1, "twice", stamp(1)),
+        row(2, "2", stamp(2)),
+        row(3, "3", stamp(3)),
+    )
+    landed = table(spark, sf_dir, "orders").select(
+        status.alias("state"),
+        F.col("o_custkey").cast("string").alias("county"),
+        disaster_of_priority().alias("disaster"),
+        text.alias("csv_text"),
+    )
+    by_date = crawl_plan.county_articles(crawl_plan.payload_articles(landed))
+    shown = F.transform("articles", lambda a: F.concat_ws("|", a["title"], a["url"], a["source"]))
+    return by_date.withColumn("articles", F.array_join(shown, ";"))
+
+
+@query(
+    """SELECT file_kind, o_orderkey AS "disasterNumber",
+         CASE WHEN o_orderstatus = 'P' THEN 'missingpk_' || file_kind
+              ELSE CAST(o_orderkey AS VARCHAR) || '_' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_' ||
+                substr(sha1('http://h/' || CAST(o_orderkey AS VARCHAR) || '?a,"b"'), 1, 10) END AS key,
+         o_orderstatus = 'P' AS warned
+       FROM orders, (VALUES ('csv'), ('ndjson')) v(file_kind)"""
+)
+def keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys for both article files, read from files; the place in the file is cut off."""
+    root = scratch_path(spark, "keyed")
+    number = F.col("o_orderkey")
+    url = F.concat(F.lit("http://h/"), number.cast("string"), F.lit('?a,"b"'))
+    given = {
+        "disasterNumber": number,
+        "county_fips": F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
+        "url": F.when(F.col("o_orderstatus") != "P", url),
+        "title": F.lit("two\nlines"),
+    }
+    write_articles(
+        table(spark, sf_dir, "orders").select(
+            *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ARTICLE]
+        ),
+        f"{root}/ndjson",
+        f"{root}/csv",
+    )
+    keyed = {
+        "csv": key_plan.keyed_csv(spark, f"{root}/csv"),
+        "ndjson": key_plan.keyed_ndjson(spark, f"{root}/ndjson")[0],
+    }
+    csv_rows, ndjson_rows = (
+        rows.select(
+            F.lit(kind).alias("file_kind"),
+            F.col("disasterNumber").cast("bigint").alias("disasterNumber"),
+            F.regexp_replace(ROW_KEY_COLUMN, rf"^(missingpk_{kind})_\d+$", "$1").alias("key"),
+            F.col("key_warning").isNotNull().alias("warned"),
+        )
+        for kind, rows in keyed.items()
+    )
+    return csv_rows.unionByName(ndjson_rows)
