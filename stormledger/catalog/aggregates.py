@@ -18,18 +18,16 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, CAST(ts AS DATE) AS date, event_id // 10000 AS part, count(*) AS n,
+    """SELECT user_id, date, part, count(*) AS n,
               string_agg(CAST(event_id AS VARCHAR) || ':' || event_type, ',' ORDER BY event_id)
               AS articles
-       FROM events GROUP BY ALL"""
+       FROM (SELECT *, CAST(ts AS DATE) AS date, (row_number() OVER (
+               PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) - 1) // 10000 AS part
+             FROM events) GROUP BY ALL"""
 )
 def articles_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = rollups.articles_by_date(
-        _dated(spark, sf_dir).withColumn("position", F.col("event_id")),
-        ["user_id"],
-        "date",
-        "position",
-        ["event_id", "event_type"],
+        _dated(spark, sf_dir), ["user_id"], "date", "event_id", ["event_id", "event_type"]
     )
     shown = F.transform(
         "articles", lambda a: F.concat(a["event_id"].cast("string"), F.lit(":"), a["event_type"])

@@ -38,21 +38,26 @@ def index_within_blocks(
     )
 
 
-def index_rows(df: DataFrame, order: Sequence[Column | str], index: str = "row_index") -> DataFrame:
-    """Number all rows from 0 in ``order``, which should have no ties.
+def index_rows(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    index: str = "row_index",
+    group: Sequence[str] = (),
+) -> DataFrame:
+    """Number all rows, or the rows of each group, from 0 in ``order`` without ties.
 
-    A range-partitioned sort leaves every partition a contiguous run. The sorted
-    partitions are written down, counted, and shifted by the rows before them; the
-    window runs over one row per partition.
+    A range-partitioned sort leaves every partition a contiguous run, and cuts a large
+    group over several. The sorted partitions are written down, counted, and shifted by
+    the rows before them; the window runs over one row per partition and group.
     """
     ordered = durable(
-        df.orderBy(*order).select(
+        df.orderBy(*group, *order).select(
             "*",
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().alias("_seq"),
         )
     )
-    return index_within_blocks(ordered, [], ["_part"], "_seq", index)
+    return index_within_blocks(ordered, group, ["_part"], "_seq", index)
 
 
 def assign_chunks(

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stormledger.operators.joins import broadcast_if_small
+from stormledger.operators.numbering import index_rows
+from stormledger.storage import durable
+
 ARTICLES_PER_PART = 10_000
 
 
@@ -18,22 +22,44 @@ def articles_by_date(
     fields: Sequence[str],
     per_part: int = ARTICLES_PER_PART,
 ) -> DataFrame:
-    """Ordered array of article structs per key and date.
+    """Array of article structs per key and date, ordered by ``position``.
 
-    ``position`` is the article's place in its payload and orders the array. A
-    payload has 250 articles at most, far below ``per_part``, so a group has one
-    ``part``, numbered 0. A larger source continues in further parts: no row and no
-    task holds an unbounded array, and no article is left out.
+    A payload has 250 articles at most, far below ``per_part``, so a group has one
+    ``part``, numbered 0. Only groups that are larger are numbered row by row and
+    continue in further parts: no row and no task holds an unbounded array, and no
+    article is left out.
     """
-    part = F.floor(F.col(position) / F.lit(per_part)).alias("part")
-    entry = F.struct(position, *fields)
-    grouped = articles.groupBy(*keys, date, part).agg(
+    group = [*keys, date]
+    rows = articles.select(*group, position, *[f for f in fields if f != position])
+    large = durable(
+        rows.groupBy(*group)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > per_part)
+        .drop("_n")
+    )
+    first_part = F.lit(0).cast("bigint").alias("part")
+    if large.isEmpty():
+        parted = rows.select("*", first_part)
+    else:
+        large = broadcast_if_small(large)
+        numbered = index_rows(
+            rows.join(large, group, "left_semi"), [position, *fields], "_n", group
+        )
+        parted = (
+            rows.join(large, group, "left_anti")
+            .select("*", first_part)
+            .unionByName(
+                numbered.withColumn("part", F.floor(F.col("_n") / F.lit(per_part))).drop("_n")
+            )
+        )
+    entry = F.struct(F.col(position).alias("_position"), *fields)
+    grouped = parted.groupBy(*group, "part").agg(
         F.array_sort(F.collect_list(entry)).alias("_entries")
     )
     without_position = F.transform(
         "_entries", lambda e: F.struct(*[e[f].alias(f) for f in fields])
     )
-    return grouped.select(*keys, date, "part", without_position.alias("articles"))
+    return grouped.select(*group, "part", without_position.alias("articles"))
 
 
 def progress_rollup(

@@ -202,7 +202,11 @@ def test_articles_by_date_parts_lose_nothing(spark):
     ).repartition(4)
     whole = rollups.articles_by_date(df, ["k"], "date", "pos", ["url"]).collect()
     assert [(r.part, [a.url for a in r.articles]) for r in whole] == [(0, [str(i) for i in range(25)])]
-    parts = rollups.articles_by_date(df, ["k"], "date", "pos", ["url"], per_part=10)
+    other = df.where("pos < 4").withColumn("k", F.lit("small"))
+    parts = rollups.articles_by_date(df.union(other), ["k"], "date", "pos", ["url"], per_part=10)
+    [small] = parts.where("k = 'small'").collect()
+    assert (small.part, len(small.articles)) == (0, 4)
+    parts = parts.where("k = 'k'")
     joined = [a.url for r in parts.orderBy("part").collect() for a in r.articles]
     assert joined == [str(i) for i in range(25)] and parts.count() == 3
 

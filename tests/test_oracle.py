@@ -23,9 +23,8 @@ def test_query_equals_sql(spark, tables, name):
     assert oracle.differences(queries()[name](spark, SF_DIR), tables, oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
-def test_query_without_sql_runs(spark, name):
-    assert queries()[name](spark, SF_DIR).count() > 0
+def test_every_query_has_sql():
+    assert queries().keys() == oracle_sql().keys()
 
 
 def test_entry(spark):
