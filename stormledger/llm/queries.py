@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stormledger.llm import packing, quality_rules
+from stormledger.llm import decontamination, packing, quality_rules
 from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
 
@@ -16,11 +17,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality(table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *base, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op6_decontamination, op9_quality_rules)}
 SQL = {name: ORACLES[name] for name in QUERIES if name in ORACLES}

@@ -2,4 +2,134 @@
 
 from __future__ import annotations
 
+_LETTERS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+_SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op6_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+b AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+lens AS (SELECT DISTINCT m FROM bw),
+dw AS (
+  SELECT doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') AS g
+  FROM (
+    SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM d, lens WHERE len(w) >= m
+  )
+),
+hit AS (SELECT doc_id, i, dw.m, item_id FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, i, m FROM hit))
+  GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+#: Ratio -> least room above the upper quartile, as in quality_rules.RATIOS.
+_ROOM = {
+    "symbol_ratio": 0.05,
+    "capital_ratio": 0.25,
+    "dup_line_ratio": 0.40,
+    "repeat_ratio": 0.35,
+    "word_length": 6.0,
+}
+
+
+def _limit_sql(name: str, keys: str) -> str:
+    by = f"{keys}, ratio" if keys else "ratio"
+    return f"""
+{name}_bins AS (SELECT {by}, bin, sum(n) AS n FROM bins GROUP BY {by}, bin),
+{name}_seen AS (
+  SELECT {by}, bin, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS seen,
+    sum(n) OVER (PARTITION BY {by}) AS total FROM {name}_bins
+),
+{name}_limit AS (
+  SELECT {by}, total, high + greatest(3.0 * (high - low), room) AS cut FROM (
+    SELECT {by}, total,
+      min(edge) FILTER (WHERE seen >= total * 0.25) AS low,
+      min(edge) FILTER (WHERE seen >= total * 0.75) AS high
+    FROM (SELECT *, CASE WHEN bin = 0 THEN 0.0 ELSE 1e-4 * pow(1.05, bin) END AS edge FROM {name}_seen)
+    GROUP BY {by}, total
+  ) JOIN rooms USING (ratio)
+)"""
+
+
+_WIDE = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, '{r}' AS ratio, {r}::DOUBLE AS v FROM q" for r in _ROOM
+)
+_ROOMS = ", ".join(f"('{r}', {v})" for r, v in _ROOM.items())
+
+ORACLES["op9_quality_rules"] = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, {_SPACED} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+),
+twice AS (SELECT doc_id, g FROM win GROUP BY doc_id, g HAVING count(*) > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 3)) AS p FROM win JOIN twice USING (doc_id, g)
+  ) GROUP BY doc_id
+),
+c AS (
+  SELECT d.doc_id, lang, source, len(w) AS n_words,
+    length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_capitals,
+    coalesce(rep.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN rep USING (doc_id)
+),
+q AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS symbol_ratio,
+    CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0 END AS capital_ratio,
+    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio,
+    CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_ratio,
+    CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS word_length
+  FROM c
+),
+wide AS ({_WIDE}),
+rooms(ratio, room) AS (VALUES {_ROOMS}),
+bins AS (
+  SELECT lang, source, ratio,
+    CASE WHEN v <= 1e-4 THEN 0 ELSE ceil(ln(v / 1e-4) / ln(1.05))::INT END AS bin, count(*) AS n
+  FROM wide GROUP BY ALL
+),
+{_limit_sql("own", "lang, source")},
+{_limit_sql("tongue", "lang")},
+{_limit_sql("every", "")},
+beyond AS (
+  SELECT doc_id, bool_or(v > CASE WHEN own_limit.total >= 200 THEN own_limit.cut
+    WHEN tongue_limit.total >= 200 THEN tongue_limit.cut ELSE every_limit.cut END) AS out
+  FROM wide
+  LEFT JOIN own_limit ON own_limit.lang IS NOT DISTINCT FROM wide.lang
+    AND own_limit.source IS NOT DISTINCT FROM wide.source AND own_limit.ratio = wide.ratio
+  LEFT JOIN tongue_limit ON tongue_limit.lang IS NOT DISTINCT FROM wide.lang
+    AND tongue_limit.ratio = wide.ratio
+  LEFT JOIN every_limit ON every_limit.ratio = wide.ratio
+  GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT out AS kept
+FROM q JOIN beyond USING (doc_id)
+"""
