@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import decontamination, packing, quality_rules
+from stormledger.llm import decontamination, packing, quality_rules, substring_dedup
 from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
 
@@ -37,5 +37,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *base, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op6_decontamination, op9_quality_rules)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op6_decontamination, op9_quality_rules, op10_substring_dedup)}
 SQL = {name: ORACLES[name] for name in QUERIES if name in ORACLES}

@@ -133,3 +133,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT out AS kept
 FROM q JOIN beyond USING (doc_id)
 """
+
+ORACLES["op10_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+first AS (SELECT g, min(doc_id) AS doc_id FROM win GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+gone AS (
+  SELECT DISTINCT win.doc_id, unnest(range(i, i + 50)) AS p
+  FROM win JOIN first USING (g) WHERE win.doc_id > first.doc_id
+),
+words AS (SELECT doc_id, w[p] AS x, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
