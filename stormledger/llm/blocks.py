@@ -40,8 +40,10 @@ def _range_of(value: Column, bounds: list) -> Column:
     return rows * step + F.size(F.filter(rest, lambda b: b <= value))
 
 
-def dealt(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, int]:
-    """(doc_id, text, block) with null text as empty; the number of id blocks; of bins."""
+def dealt(
+    docs: DataFrame, block_bytes: int = BLOCK_BYTES, extra: tuple[Column, ...] = ()
+) -> tuple[DataFrame, int, int]:
+    """(doc_id, text, extra, block), null text as empty; the number of id blocks; of bins."""
     total, ids, low = docs.agg(
         F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(16)),
         F.count("doc_id"),
@@ -58,7 +60,7 @@ def dealt(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, i
     block = F.when(F.col("doc_id").isNull(), without).otherwise(known).cast("int")
     text = F.coalesce("text", F.lit("")).alias("text")
     bins = 1 << max(0, (blocks - 1).bit_length())
-    return docs.select("doc_id", text, block.alias("block")), len(bounds) + 1, bins
+    return docs.select("doc_id", text, *extra, block.alias("block")), len(bounds) + 1, bins
 
 
 def bin_edges(hashes: np.ndarray, bins: int) -> np.ndarray:
@@ -70,14 +72,20 @@ def bin_edges(hashes: np.ndarray, bins: int) -> np.ndarray:
     return np.searchsorted(tops, np.arange(bins + 1, dtype=np.uint64))
 
 
-def asked(block: int, hashes: np.ndarray, bins: int, dtype: type) -> pa.Table:
-    """The block's sorted distinct hashes, one cell per bin that has any."""
+def asked(
+    block: int, hashes: np.ndarray, bins: int, dtype: type, counts: np.ndarray | None = None
+) -> pa.Table:
+    """The block's sorted distinct hashes, and a byte each, one cell per bin that has any."""
     edges = bin_edges(hashes, bins)
     held = np.flatnonzero(np.diff(edges))
     bits = bins.bit_length() - 1
     if dtype is np.uint32:  # what follows the bin's bits
         hashes = (hashes << np.uint64(bits)) >> np.uint64(32)
-    cells = [pack_planes(hashes[edges[b] : edges[b + 1]].astype(dtype)) for b in held]
+    cells = []
+    for b in held:
+        part = slice(edges[b], edges[b + 1])
+        tail = b"" if counts is None else counts[part].tobytes()
+        cells.append(pack_planes(hashes[part].astype(dtype)) + tail)
     return pa.table(
         {
             "block": pa.array([block] * len(held), pa.int32()),
@@ -88,20 +96,29 @@ def asked(block: int, hashes: np.ndarray, bins: int, dtype: type) -> pa.Table:
 
 
 def answered(
-    table: pa.Table, dtype: type, judge: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    table: pa.Table,
+    dtype: type,
+    judge: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    counted: bool = False,
 ) -> pa.Table:
     """Answers for one bin. ``judge`` gets equal hashes side by side, smaller blocks first,
-    as (group number of each entry, its block), and returns a byte for each."""
+    as (group number of each entry, its block or its count), and returns a byte for each."""
     table = table.sort_by("block")
-    blocks = table.column("block").to_numpy()
-    parts = [unpack_planes(x.as_py(), dtype) for x in table.column("hashes")]
-    sizes = [len(p) for p in parts]
+    cells = [x.as_py() for x in table.column("hashes")]
+    width = np.dtype(dtype).itemsize + counted
+    sizes = [len(c) // width for c in cells]
+    parts = [unpack_planes(c[: n * (width - counted)], dtype) for c, n in zip(cells, sizes)]
+    if counted:
+        tails = [c[n * (width - 1) :] for c, n in zip(cells, sizes)]
+        beside = np.frombuffer(b"".join(tails), np.uint8)
+    else:
+        beside = np.repeat(table.column("block").to_numpy(), sizes)
     values = np.concatenate(parts)
     order = np.argsort(values, kind="stable")
     ranked = values[order]
     group = np.cumsum(np.concatenate(([0], ranked[1:] != ranked[:-1])))
     answers = np.empty(len(values), np.uint8)
-    answers[order] = judge(group, np.repeat(blocks, sizes)[order])
+    answers[order] = judge(group, beside[order])
     cells = [a.tobytes() for a in np.split(answers, np.cumsum(sizes)[:-1])]
     return pa.table(
         {

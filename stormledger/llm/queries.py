@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import decontamination, packing, quality_rules, substring_dedup
+from stormledger.llm import decontamination, jaccard, packing, quality_rules, substring_dedup
 from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
 
@@ -17,6 +17,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.named(jaccard.classes(docs, words=3, num=90, den=100))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -42,5 +47,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op6_decontamination, op9_quality_rules, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op5_ngram_jaccard, op6_decontamination, op9_quality_rules, op10_substring_dedup)}
 SQL = {name: ORACLES[name] for name in QUERIES if name in ORACLES}

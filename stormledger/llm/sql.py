@@ -154,3 +154,25 @@ SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
   sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op5_ngram_jaccard"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+),
+link AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= 90 * (p.n + q.n - k)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+)
+SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""
