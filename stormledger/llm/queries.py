@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import decontamination, jaccard, packing, quality_rules, substring_dedup
+from stormledger.llm import (
+    chat,
+    decontamination,
+    jaccard,
+    licenses,
+    packing,
+    quality_model,
+    quality_rules,
+    substring_dedup,
+)
 from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
 
@@ -17,6 +26,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        *("doc_id", "n_words", "n_base", "first_word", "last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.named(jaccard.classes(docs, words=3, num=90, den=100))
@@ -36,6 +55,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_sample(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.assemble(rows, TOKENIZER), TOKENIZER)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_model.score(docs, quality_model.train(docs, labels))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality(table(spark, sf_dir, "documents"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -47,5 +77,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_ngram_jaccard, op6_decontamination, op9_quality_rules, op10_substring_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op3_license_scans,
+        op5_ngram_jaccard,
+        op6_decontamination,
+        op7_chat_formatting,
+        op8_quality_classifier,
+        op9_quality_rules,
+        op10_substring_dedup,
+    )
+}
 SQL = {name: ORACLES[name] for name in QUERIES if name in ORACLES}

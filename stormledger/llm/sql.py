@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
+from stormledger.llm.chat import CONTROLS, MARKS
+from stormledger.llm.licenses import _MARK, PHRASES, TEMPLATES
+
 _LETTERS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
     r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -10,6 +15,83 @@ _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {}
 
+
+def _template_sql(template: str) -> str:
+    """The markup as a regular expression over words that each have a space before them."""
+    out = ""
+    for mark in _MARK.findall(template):
+        if mark == "[[":
+            out += "(?:"
+        elif mark == "]]":
+            out += ")?"
+        elif mark[0] == "{":
+            low, high = mark.strip("{}").split("-")
+            out += f"(?: [^ ]+){{{low},{high}}}"
+        else:
+            out += " " + mark
+    return f"{out} "
+
+
+_LABELS = ", ".join(
+    [f"CASE WHEN contains(j, ' {p} ') THEN '{label}' END" for p, label in PHRASES.items()]
+)
+_FOUND = ", ".join(
+    "CASE WHEN "
+    + " OR ".join(f"regexp_matches(j, '{_template_sql(t)}')" for t in texts)
+    + f" THEN '{label}' END"
+    for label, texts in TEMPLATES.items()
+)
+_PHRASE_ROWS = ", ".join(f"('{p}', {len(p.split())})" for p in PHRASES)
+_ALL_LABELS = "list_concat(base, found)"
+
+ORACLES["op3_license_scans"] = f"""
+WITH d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+j AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS j FROM d),
+phrases(p, k) AS (VALUES {_PHRASE_ROWS}),
+places AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, p, array_to_string(w[i + 1 : i + k], ' ') AS g, i
+    FROM (SELECT doc_id, w, p, k, unnest(range(0, len(w) - k + 1)) AS i
+      FROM j, phrases WHERE contains(j, ' ' || p || ' ') AND len(w) >= k)
+  ) WHERE g = p
+),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS low, max(i) AS high FROM places GROUP BY doc_id),
+labelled AS (
+  SELECT doc_id, len(w) AS n_words,
+    list_filter([{_LABELS}], lambda x: x IS NOT NULL) AS base,
+    list_filter([{_FOUND}], lambda x: x IS NOT NULL) AS found
+  FROM j
+)
+SELECT doc_id, n_words, coalesce(n, 0) AS n_base, low AS first_word, high AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct({_ALL_LABELS})), ',') AS labels,
+  CASE WHEN len(found) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END AS score
+FROM labelled LEFT JOIN base USING (doc_id)
+"""
+
+_ESCAPED = "|".join(re.escape(c) for c in ["\\", *CONTROLS])
+_FRAME = sum(len(m) for m in MARKS.values())
+
+
+def _longer(column: str) -> str:
+    """Length of the escaped text: one character more for each backslash or control string."""
+    return f"length(regexp_replace({column}, '({_ESCAPED})', 'x\\1', 'g'))"
+
+
+ORACLES["op7_chat_formatting"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum({_FRAME} + {_longer("role")} + {_longer("text")})::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 ORACLES["op6_decontamination"] = f"""
 WITH d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
 b AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
