@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.llm import (
@@ -12,12 +12,15 @@ from stormledger.llm import (
     jaccard,
     licenses,
     packing,
+    pii,
     quality_model,
     quality_rules,
     substring_dedup,
+    token_counts,
 )
 from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
+from stormledger.storage import durable, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +29,31 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents (twice: the second is no change), take the toxic ones down, and
+    revise those of low quality to their distinct lines."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    version = "byte_bpe_50k"
+    counts = durable(token_counts.counted(docs, TOKENIZER, version))
+    toxic = _of(counts, labels.where("toxic = 1"))
+    low = labels.where("quality = 0 AND coalesce(toxic, 0) <> 1")
+    lines = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    after = token_counts.counted(_of(docs, low).withColumn("text", lines), TOKENIZER, version)
+    store = token_counts.Rollup(spark, scratch_path(spark, "token-counts"))
+    for _ in range(2):
+        store.commit("load", token_counts.signed(counts, 1))
+    store.commit("takedown", token_counts.signed(toxic, -1))
+    store.commit("revision", token_counts.revised(_of(counts, low), after))
+    return store.totals()
+
+
+def _of(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows whose id is chosen; ids are broadcast where they were counted and are few."""
+    ids = chosen.select("doc_id").distinct()
+    few = ids.count() <= 1_000_000
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -36,6 +64,22 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+
+    def number(kind: str) -> Column:
+        of_kind = F.filter("spans", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(pii.spelled(base), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.named(jaccard.classes(docs, words=3, num=90, den=100))
@@ -81,7 +125,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_token_counts,
         op3_license_scans,
+        op4_pii,
         op5_ngram_jaccard,
         op6_decontamination,
         op7_chat_formatting,
