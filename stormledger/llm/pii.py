@@ -257,7 +257,7 @@ def _replacement(span: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """The table with each span replaced by its kind; ``n_chars`` follows where it exists.
+    """The table with each span replaced by its kind; ``n_chars`` of changed texts follows, if any.
 
     Where spans overlap, the first to start names the whole stretch.
     """
@@ -282,7 +282,7 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
         lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1, F.length(text))),
     )
     done = found.select(
-        "row", F.when(F.size("spans") > 0, clean).otherwise(text).alias("text")
+        "row", F.when(F.size("spans") > 0, clean).otherwise(text).alias("text"), "spans"
     )
     kinds = {f.name: f.dataType for f in docs.schema}
     columns = []
@@ -290,7 +290,8 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
         if name == "text":
             columns.append(F.col("text"))
         elif name == "n_chars":
-            columns.append(F.length("text").cast(kinds[name]).alias(name))
+            size = F.when(F.size("spans") > 0, F.length("text").cast(kinds[name]))
+            columns.append(size.otherwise(F.col("row")[name]).alias(name))
         else:
             columns.append(F.col("row")[name].alias(name))
     return done.select(*columns)
