@@ -18,26 +18,39 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, date, part, count(*) AS n,
+    """SELECT user_id, batch, date, count(*) AS n,
               string_agg(CAST(event_id AS VARCHAR) || ':' || event_type, ',' ORDER BY event_id)
-              AS articles
-       FROM (SELECT *, CAST(ts AS DATE) AS date, (row_number() OVER (
-               PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) - 1) // 10000 AS part
-             FROM events) GROUP BY ALL"""
+              AS articles, row_number() OVER (
+                PARTITION BY user_id, batch ORDER BY date DESC) - 1 AS place
+       FROM (SELECT *, CAST(ts AS DATE) AS date, event_id // 1000 AS batch FROM events)
+       GROUP BY user_id, batch, date"""
 )
 def articles_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = rollups.articles_by_date(
-        _dated(spark, sf_dir), ["user_id"], "date", "event_id", ["event_id", "event_type"]
+    """A user's events among a thousand make a payload, grouped inside its row."""
+    batch = F.floor(F.col("event_id") / 1000).alias("batch")
+    entry = F.struct("event_id", "event_type", "date")
+    payloads = (
+        _dated(spark, sf_dir)
+        .groupBy("user_id", batch)
+        .agg(F.collect_list(entry).alias("rows"))
+        .select(
+            "user_id",
+            "batch",
+            rollups.articles_by_date(
+                F.col("rows"), "date", ["event_id", "event_type"], "event_id"
+            ).alias("days"),
+        )
     )
     shown = F.transform(
-        "articles", lambda a: F.concat(a["event_id"].cast("string"), F.lit(":"), a["event_type"])
+        "d.articles", lambda a: F.concat(a["event_id"].cast("string"), F.lit(":"), a["event_type"])
     )
-    return grouped.select(
+    return payloads.select("user_id", "batch", F.posexplode("days").alias("place", "d")).select(
         "user_id",
-        "date",
-        "part",
-        F.size("articles").cast("bigint").alias("n"),
+        "batch",
+        "d.date",
+        F.size("d.articles").cast("bigint").alias("n"),
         F.array_join(shown, ",").alias("articles"),
+        F.col("place").cast("bigint").alias("place"),
     )
 
 

@@ -105,9 +105,9 @@ def header_row_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT p_partkey, pos AS article_pos, 'http://h/' || CAST(p_partkey AS VARCHAR) || '/' ||
               CAST(pos AS VARCHAR) AS url, '20240110' || lpad(CAST(p_size AS VARCHAR), 6, '0') AS seen,
-              CASE WHEN pos = 0 THEN p_name || ', "' || p_type || '"' || chr(10) || 'next line'
-                   ELSE p_name END AS title
-       FROM part, (VALUES (0), (1)) v(pos) WHERE p_type <> 'PROMO'"""
+              CASE pos WHEN 0 THEN p_name || ', "' || p_type || '"' || chr(13) || chr(10) || 'next'
+                   WHEN 1 THEN 'A 5" ' || p_name ELSE 'ab"c' END AS title
+       FROM part, (VALUES (0), (1), (2)) v(pos) WHERE p_type <> 'PROMO'"""
 )
 def csv_payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     marker = F.when(F.col("p_type") == "PROMO", "Link").otherwise("DocumentIdentifier")
@@ -116,10 +116,11 @@ def csv_payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.concat(F.lit("Title,"), marker, F.lit(",Date\r\n")),
         F.concat(
-            F.lit('"'), F.col("p_name"), F.lit(', ""'), F.col("p_type"), F.lit('""\nnext line",')
+            F.lit('"'), F.col("p_name"), F.lit(', ""'), F.col("p_type"), F.lit('""\r\nnext",')
         ),
         F.concat(url, F.lit("/0,"), seen, F.lit("\r\n")),
-        F.concat(F.col("p_name"), F.lit(","), url, F.lit("/1,"), seen, F.lit("\r\n")),
+        F.concat(F.lit('A 5" '), F.col("p_name"), F.lit(","), url, F.lit("/1,"), seen, F.lit("\r\n\r\n")),
+        F.concat(F.lit('"ab""c",'), url, F.lit("/2,"), seen),
     )
     landed = table(spark, sf_dir, "part").select("p_partkey", text.alias("csv_text"))
     fields = ["DocumentIdentifier", "Date", "Title"]

@@ -208,40 +208,47 @@ def county_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH articles AS (
-          SELECT o_orderstatus AS state, CAST(o_custkey AS VARCHAR) AS county,
+          SELECT o_orderkey, o_orderstatus AS state, CAST(o_custkey AS VARCHAR) AS county,
             {DISASTER_OF_PRIORITY_SQL} AS disaster, pos,
             strftime(CAST(o_orderdate AS DATE) + pos, '%Y-%m-%d') AS date,
-            'http://' || o_orderstatus || ':80/' || CAST(o_orderkey AS VARCHAR) || '/' ||
-              CAST(pos AS VARCHAR) AS url
-          FROM orders, (VALUES (2), (3)) v(pos)
+            'http://' || o_orderstatus || ':80/' || page AS url,
+            CASE pos WHEN 2 THEN 'A 5" pipe' WHEN 3 THEN 'Title, "3"' || chr(13) || chr(10) || 'b'
+              ELSE 'x' END AS title
+          FROM orders, (VALUES (2), (3), (4)) v(pos),
+            LATERAL (SELECT CASE pos WHEN 4 THEN 'same' ELSE CAST(o_orderkey AS VARCHAR) || '/' ||
+              CAST(pos AS VARCHAR) END AS page)
         )
-        SELECT state, county, disaster, date, CAST(0 AS BIGINT) AS part,
-          string_agg('Title, ' || CAST(pos AS VARCHAR) || '|' || url || '|' || state || ':80', ';'
-                     ORDER BY pos, url) AS articles
-        FROM articles GROUP BY ALL"""
+        SELECT state, county, disaster, date,
+          string_agg(title || '|' || url || '|' || state || ':80', ';' ORDER BY pos) AS articles
+        FROM articles GROUP BY o_orderkey, state, county, disaster, date"""
 )
 def crawl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed CSV payloads to articles by work key and date; every order is a payload.
+    """Landed CSV payloads to articles by payload and date; every order is a payload.
 
-    Its first two rows share a URL whose first copy has no date, so neither is kept.
+    Its first two rows share a URL whose first copy has no date, so neither is kept. One
+    row has a stray quote sign, one a line break inside quotes, and the last one's URL
+    comes in other payloads of the same key too, where it stays.
     """
     status, day = F.col("o_orderstatus"), F.col("o_orderdate").cast("date")
-    link = F.concat(
-        F.lit("http://"), status, F.lit(":80/"), F.col("o_orderkey").cast("string"), F.lit("/")
-    )
+    host = F.concat(F.lit("http://"), status, F.lit(":80/"))
+    link = F.concat(host, F.col("o_orderkey").cast("string"), F.lit("/"))
+
+    def row(url: Column, title: str, date: Column) -> Column:
+        return F.concat(url, F.lit(f",{title},,"), date, F.lit("\r\n"))
 
-    def row(position: int, page: str, date: Column) -> Column:
-        return F.concat(link, F.lit(f'{page},"Title, {position}",,'), date, F.lit("\r\n"))
+    def page(name: str) -> Column:
+        return F.concat(link, F.lit(name))
 
     def stamp(days: int) -> Column:
         return compact_ts(iso_text(F.date_add(day, days)))
 
     text = F.concat(
         F.lit("DocumentIdentifier,Title,SourceCommonName,Date\r\n"),
-        row(0, "twice", F.lit("undated")),
-        row(1, "twice", stamp(1)),
-        row(2, "2", stamp(2)),
-        row(3, "3", stamp(3)),
+        row(page("twice"), "first", F.lit("undated")),
+        row(page("twice"), "second", stamp(1)),
+        row(page("2"), 'A 5" pipe', stamp(2)),
+        row(page("3"), '"Title, ""3""\r\nb"', stamp(3)),
+        row(F.concat(host, F.lit("same")), "x", stamp(4)),
     )
     landed = table(spark, sf_dir, "orders").select(
         status.alias("state"),
@@ -249,7 +256,7 @@ def crawl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         disaster_of_priority().alias("disaster"),
         text.alias("csv_text"),
     )
-    by_date = crawl_plan.county_articles(crawl_plan.payload_articles(landed))
+    by_date = crawl_plan.county_articles(crawl_plan.payload_days(landed))
     shown = F.transform("articles", lambda a: F.concat_ws("|", a["title"], a["url"], a["source"]))
     return by_date.withColumn("articles", F.array_join(shown, ";"))
 

@@ -7,59 +7,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormledger.operators.joins import broadcast_if_small
-from stormledger.operators.numbering import index_rows
-from stormledger.storage import durable
+from stormledger.functions.arrays import let
 
-ARTICLES_PER_PART = 10_000
+
+def first_by(rows: Column, key: str, position: str = "article_pos") -> Column:
+    """Of an array of structs, the first one of every key, by position."""
+    keyed = F.array_sort(
+        F.transform(
+            rows, lambda r: F.struct(r[key].alias("k"), r[position].alias("p"), r.alias("r"))
+        )
+    )
+    return let(
+        keyed,
+        lambda x: F.transform(
+            F.filter(
+                x, lambda e, i: F.coalesce(F.get(x, i - 1)["k"] != e["k"], F.lit(True))
+            ),
+            lambda e: e["r"],
+        ),
+    )
 
 
 def articles_by_date(
-    articles: DataFrame,
-    keys: Sequence[str],
-    date: str,
-    position: str,
-    fields: Sequence[str],
-    per_part: int = ARTICLES_PER_PART,
-) -> DataFrame:
-    """Array of article structs per key and date, ordered by ``position``.
+    rows: Column, date: str, fields: Sequence[str], position: str = "article_pos"
+) -> Column:
+    """array<struct<date, articles>>, newest date first, articles by position.
 
-    A payload has 250 articles at most, far below ``per_part``, so a group has one
-    ``part``, numbered 0. Only groups that are larger are numbered row by row and
-    continue in further parts: no row and no task holds an unbounded array, and no
-    article is left out.
+    Groups the rows of one payload inside its row: nothing is shuffled, and a group is
+    never larger than the payload that it came in.
     """
-    group = [*keys, date]
-    rows = articles.select(*group, position, *[f for f in fields if f != position])
-    large = durable(
-        rows.groupBy(*group)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > per_part)
-        .drop("_n")
-    )
-    first_part = F.lit(0).cast("bigint").alias("part")
-    if large.isEmpty():
-        parted = rows.select("*", first_part)
-    else:
-        large = broadcast_if_small(large)
-        numbered = index_rows(
-            rows.join(large, group, "left_semi"), [position, *fields], "_n", group
-        )
-        parted = (
-            rows.join(large, group, "left_anti")
-            .select("*", first_part)
-            .unionByName(
-                numbered.withColumn("part", F.floor(F.col("_n") / F.lit(per_part))).drop("_n")
-            )
+
+    def grouped(of: Column) -> Column:
+        dates = F.sort_array(F.array_distinct(F.transform(of, lambda r: r[date])), asc=False)
+        return F.transform(
+            dates,
+            lambda d: F.struct(
+                d.alias("date"),
+                F.transform(
+                    F.array_sort(
+                        F.transform(
+                            F.filter(of, lambda r: r[date] == d),
+                            lambda r: F.struct(r[position].alias("p"), r.alias("r")),
+                        )
+                    ),
+                    lambda e: F.struct(*[e["r"][f].alias(f) for f in fields]),
+                ).alias("articles"),
+            ),
         )
-    entry = F.struct(F.col(position).alias("_position"), *fields)
-    grouped = parted.groupBy(*group, "part").agg(
-        F.array_sort(F.collect_list(entry)).alias("_entries")
-    )
-    without_position = F.transform(
-        "_entries", lambda e: F.struct(*[e[f].alias(f) for f in fields])
-    )
-    return grouped.select(*group, "part", without_position.alias("articles"))
+
+    return let(rows, grouped)
 
 
 def progress_rollup(

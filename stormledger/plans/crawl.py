@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormledger.functions.dates import ymd8_to_iso
 from stormledger.functions.fixed import CHUNK_SIZE, DISASTERS, QUERY_SCOPE
 from stormledger.functions.search import location_clause, theme_clause
 from stormledger.functions.text import safe_trim
 from stormledger.functions.urls import encode_query, source_or_host
-from stormledger.operators.dedup import dedup_then_filter
 from stormledger.operators.filters import not_empty
 from stormledger.operators.numbering import assign_chunks
-from stormledger.operators.rollups import articles_by_date, progress_rollup
+from stormledger.operators.rollups import articles_by_date, first_by
 from stormledger.schemas import PROGRESS_COLUMNS, WORK_KEY
-from stormledger.sinks.writers import append_ndjson, write_csv, write_ndjson
-from stormledger.sources.ndjson import read_ndjson
-from stormledger.sources.payloads import csv_payload_rows, usable_payload
+from stormledger.sinks.writers import append_ndjson, write_audit, write_csv, write_ndjson
+from stormledger.sources.ndjson import read_ndjson_tolerant
+from stormledger.sources.payloads import csv_payload_array, explode_structs, usable_payload
 from stormledger.sources.tabular import read_counties, read_done_keys
+from stormledger.storage import durable
 
 ARTICLE_FIELDS = ("title", "url", "source")
 
@@ -55,54 +58,57 @@ def manifest(
     )
 
 
-def payload_articles(payloads: DataFrame, text: str = "csv_text") -> DataFrame:
-    """Articles of the landed CSV payloads, one per work key and URL.
+def payload_days(payloads: DataFrame, text: str = "csv_text") -> DataFrame:
+    """Each landed CSV payload with its articles by date, in a column ``days``.
 
-    The first copy of a URL stands for it even when its date is unusable; such a URL
-    is then dropped.
+    Within one payload, the first copy of a URL stands for it even when its date is
+    unusable; such a URL is then dropped. Everything happens inside the payload's row.
     """
-    rows = csv_payload_rows(
-        payloads, text, ["DocumentIdentifier", "Date", "Title", "SourceCommonName"], *WORK_KEY
+    source_fields = ["DocumentIdentifier", "Date", "Title", "SourceCommonName"]
+
+    def named(row: Column) -> Column:
+        url = safe_trim(row["DocumentIdentifier"])
+        return F.struct(
+            row["article_pos"].alias("article_pos"),
+            url.alias("url"),
+            F.coalesce(ymd8_to_iso(row["Date"]), F.lit("")).alias("date"),
+            F.coalesce(row["Title"], F.lit("")).alias("title"),
+            source_or_host(row["SourceCommonName"], url).alias("source"),
+        )
+
+    rows = F.filter(
+        F.transform(csv_payload_array(F.col(text), source_fields), named),
+        lambda a: not_empty(a["url"]),
     )
-    url = safe_trim(F.col("DocumentIdentifier"))
-    named = rows.select(
-        *WORK_KEY,
-        "article_pos",
-        url.alias("url"),
-        F.coalesce(ymd8_to_iso(F.col("Date")), F.lit("")).alias("date"),
-        F.coalesce("Title", F.lit("")).alias("title"),
-        source_or_host(F.col("SourceCommonName"), url).alias("source"),
-    ).where(not_empty(F.col("url")))
-    return dedup_then_filter(named, [*WORK_KEY, "url"], ["article_pos"], F.col("date") != "")
-
-
-def county_articles(articles: DataFrame) -> DataFrame:
-    """Articles per work key and date, in payload order."""
-    return articles_by_date(articles, WORK_KEY, "date", "article_pos", ARTICLE_FIELDS)
+    dated = F.filter(first_by(rows, "url"), lambda a: a["date"] != "")
+    return payloads.withColumn("days", articles_by_date(dated, "date", ARTICLE_FIELDS))
 
 
-def newest_first(by_date: DataFrame) -> DataFrame:
-    return by_date.orderBy(*WORK_KEY, F.col("date").desc(), "part")
+def county_articles(days: DataFrame) -> DataFrame:
+    """One row per payload and date, newest date first within a payload."""
+    return explode_structs(days, F.col("days"), *WORK_KEY)
 
 
-def progress(payloads: DataFrame, articles: DataFrame, status: str | None = None) -> DataFrame:
-    """Progress rows of the keys whose payload landed, zeros included.
-
-    With a ``status`` column, only keys that answered 200 count as done; a failed
-    fetch stays pending instead of passing for an empty result.
-    """
-    landed = payloads if status is None else payloads.where(F.col(status) == 200)
-    return progress_rollup(landed.select(*WORK_KEY), articles, WORK_KEY, "date").select(
-        *PROGRESS_COLUMNS
-    )
+def progress(days: DataFrame) -> DataFrame:
+    """Date groups and articles of each payload, zeros included."""
+    n = F.aggregate("days", F.lit(0).cast("bigint"), lambda a, d: a + F.size(d["articles"]))
+    return days.select(
+        *WORK_KEY, F.size("days").cast("bigint").alias("date_groups"), n.alias("articles")
+    ).select(*PROGRESS_COLUMNS)
 
 
-def fetched(payloads: DataFrame, text: str = "csv_text", status: str = "status") -> DataFrame:
-    """Payloads a fetch would have accepted."""
-    return payloads.where(usable_payload(F.col(text), F.col(status), min_length=100))
+def accepted(text: str = "csv_text", status: str = "status") -> Column:
+    """True for a payload that a fetch would have accepted."""
+    return usable_payload(F.col(text), F.col(status), min_length=100)
 
 
-LANDED_PAYLOAD = "state string, county string, disaster string, status int, csv_text string"
+LANDED_PAYLOAD = T.StructType(
+    [
+        *[T.StructField(key, T.StringType()) for key in WORK_KEY],
+        T.StructField("status", T.IntegerType()),
+        T.StructField("csv_text", T.StringType()),
+    ]
+)
 
 
 def run_manifest(
@@ -122,13 +128,37 @@ def run_manifest(
     write_ndjson(manifest(pending, seed, chunk_size, max_chunks), out)
 
 
-def run_ingest(spark: SparkSession, payload_path: str, out: str, log_path: str) -> None:
-    """Append the landed payloads' articles and the progress of their keys.
+def run_ingest(
+    spark: SparkSession,
+    payload_path: str,
+    out: str,
+    log_path: str,
+    bad_path: str | None = None,
+    run_id: str | None = None,
+) -> dict[str, int]:
+    """Write the landed payloads' articles and the progress of their keys.
 
-    Payload lines are (state, county, disaster, status, csv_text). Keys whose fetch
-    failed are not logged and so stay pending.
+    Payload lines are (state, county, disaster, status, csv_text). Only keys that answered
+    200 are logged; others stay pending. Malformed lines go to ``bad_path``, if given.
+
+    With a ``run_id`` both outputs go to a folder of that run, and repeating the run
+    replaces it; without one they are appended. Returns the totals.
     """
-    landed = read_ndjson(spark, payload_path, LANDED_PAYLOAD)
-    found = payload_articles(fetched(landed))
-    append_ndjson(newest_first(county_articles(found)), out)
-    write_csv(progress(landed, found, status="status"), log_path, mode="append")
+    landed, bad = read_ndjson_tolerant(spark, payload_path, LANDED_PAYLOAD)
+    text = F.when(accepted(), F.col("csv_text"))
+    days = durable(
+        payload_days(landed.where("status = 200").withColumn("csv_text", text)).drop("csv_text")
+    )
+    done = progress(days)
+    if run_id is None:
+        append_ndjson(county_articles(days), out)
+        write_csv(done, log_path, mode="append")
+    else:
+        write_ndjson(county_articles(days), f"{out}/run_id={run_id}")
+        write_csv(done, f"{log_path}/run_id={run_id}")
+    malformed = bad.count()
+    if bad_path is not None:
+        write_audit(bad, bad_path, run_id or uuid.uuid4().hex)
+    totals = done.agg(F.count("*"), F.sum("date_groups"), F.sum("articles")).first()
+    names = ("payloads", "date_groups", "articles")
+    return {n: v or 0 for n, v in zip(names, totals)} | {"malformed": malformed}

@@ -8,10 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stormledger.functions.arrays import let
 from stormledger.functions.fixed import PAYLOAD_MARKER
 from stormledger.schemas import DECLARATION_ARRAY, DECLARATION_PAGE
 
-_MARK = "\u0000"
+# A quote sign opens a quoted stretch only where a cell begins; anywhere else it is an
+# ordinary character. All repetitions are possessive: linear time, no recursion.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+(?:"|\z)'
+_RECORD = rf'(?:(?<![^,\n]){_QUOTED}|[^"\n]++|")++'
+_CELL = rf",({_QUOTED}[^,]*+|[^,]*+)"
+_CELL_PARTS = r'^"([^"]*+(?:""[^"]*+)*+)(?:"|\z)'
 
 
 def explode_structs(df: DataFrame, array: Column, *keep: str) -> DataFrame:
@@ -58,28 +64,59 @@ def explode_articles(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _split_unquoted(text: Column, separator: str) -> Column:
-    """Split at separators outside double quotes.
+def _unquote(cell: Column) -> Column:
+    """The quoted stretch without its quotes, and what follows it up to the comma."""
+    inner = F.replace(F.regexp_extract(cell, _CELL_PARTS, 1), F.lit('""'), F.lit('"'))
+    after = F.regexp_replace(cell, _CELL_PARTS, "")
+    return F.when(cell.startswith('"'), F.concat(inner, after)).otherwise(cell)
+
 
-    Between quotes are the odd pieces of a split at the quote sign, so separators are
-    marked in the even pieces only. Linear in the text and without backtracking.
+def csv_cells(text: Column) -> Column:
+    """array<array<string>>: the records of a CSV text and their cells, header first.
+
+    Reads what Python's csv module reads: quoted cells may hold commas, doubled quotes
+    and line breaks as they are; lines end in LF or CRLF; empty lines are no records.
     """
-    pieces = F.split(text, '"')
-    marked = F.transform(
-        pieces,
-        lambda piece, i: F.when(
-            i % 2 == 0, F.replace(piece, F.lit(separator), F.lit(_MARK))
-        ).otherwise(piece),
+    records = F.filter(
+        F.transform(
+            F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0)),
+            lambda r: F.regexp_replace(r, r"\r\z", ""),
+        ),
+        lambda r: r != "",
+    )
+    return F.transform(
+        records,
+        lambda r: F.transform(
+            F.regexp_extract_all(F.concat(F.lit(","), r), F.lit(_CELL), F.lit(1)), _unquote
+        ),
     )
-    return F.split(F.array_join(marked, '"'), _MARK)
 
 
-def _unquote(cell: Column) -> Column:
-    inner = F.substring(cell, F.lit(2), F.length(cell) - 2)
-    return F.when(
-        cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1),
-        F.replace(inner, F.lit('""'), F.lit('"')),
-    ).otherwise(cell)
+def csv_payload_array(text: Column, fields: Sequence[str]) -> Column:
+    """array<struct<article_pos, fields>> of a CSV text, cells found by its own header.
+
+    Texts without the marker give an empty array; cells that a row or the header lacks
+    are NULL.
+    """
+
+    def rows(cells: Column) -> Column:
+        header = F.get(cells, F.lit(0))
+        # array_position is 0 for an absent name; get() then reads index -1, NULL.
+        places = F.struct(*[F.array_position(header, f).cast("int").alias(f) for f in fields])
+        return let(
+            places,
+            lambda at: F.transform(
+                F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))),
+                lambda row, i: F.struct(
+                    i.alias("article_pos"), *[F.get(row, at[f] - 1).alias(f) for f in fields]
+                ),
+            ),
+        )
+
+    kind = "array<struct<article_pos:int," + ",".join(f"`{f}`:string" for f in fields) + ">>"
+    return F.when(usable_payload(text), let(csv_cells(text), rows)).otherwise(
+        F.array().cast(kind)
+    )
 
 
 def usable_payload(text: Column, status: Column | None = None, min_length: int = 0) -> Column:
@@ -99,28 +136,9 @@ def usable_payload(text: Column, status: Column | None = None, min_length: int =
 def csv_payload_rows(
     df: DataFrame, text: str, fields: Sequence[str], *keep: str
 ) -> DataFrame:
-    """Rows of CSV texts held in a column, cells looked up by each text's own header.
-
-    Texts without the marker give no rows. Quoted cells may hold commas, doubled
-    quotes and line breaks. ``article_pos`` counts a text's rows from 0; cells a row
-    or header lacks are NULL.
-    """
-    lines = _split_unquoted(F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")), "\n")
-    lines = F.filter(lines, lambda line: line != "")
-    records = (
-        df.where(usable_payload(F.col(text)))
-        .select(*keep, lines.alias("_lines"))
-        .select(
-            *keep,
-            F.transform(_split_unquoted(F.get("_lines", F.lit(0)), ","), _unquote).alias("_header"),
-            F.posexplode(F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0))))
-            .alias("article_pos", "_line"),
-        )
-        .withColumn("_cells", F.transform(_split_unquoted(F.col("_line"), ","), _unquote))
+    """Rows of CSV texts held in a column; ``article_pos`` counts a text's rows from 0."""
+    return explode_structs(
+        df.select(*keep, csv_payload_array(F.col(text), fields).alias("_rows")),
+        F.col("_rows"),
+        *keep,
     )
-
-    def cell(field: str) -> Column:
-        # array_position is 0 for an absent header; get() then reads index -1, NULL.
-        return F.get("_cells", (F.array_position("_header", field) - 1).cast("int"))
-
-    return records.select(*keep, "article_pos", *[cell(f).alias(f) for f in fields])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +129,31 @@ def test_csv_payload(spark):
     assert [r.Title for r in rows] == [w["Title"] for w in want]
 
 
+def test_csv_payload_equals_python(spark):
+    rng = random.Random(1)
+    parts = ['"', '""', ",", "\n", "\r\n", "a", "b 5", " ", '"x,y"', '"p\r\nq"', '"t""u"', "é"]
+    texts = []
+    for _ in range(300):
+        body = "".join(rng.choice(parts) for _ in range(rng.randint(0, 30)))
+        texts.append("DocumentIdentifier,Title,Date\r\n" + body)
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    fields = ["DocumentIdentifier", "Title", "Date"]
+    got = {k: [] for k in range(len(texts))}
+    for r in payloads.csv_payload_rows(df, "t", fields, "k").orderBy("k", "article_pos").collect():
+        got[r.k].append(tuple(r)[2:])
+    for k, text in enumerate(texts):
+        rows = csv.DictReader(io.StringIO(text, newline=""))
+        assert got[k] == [tuple(r[f] for f in fields) for r in rows], repr(text)
+
+
+def test_long_csv_payload(spark):
+    cell = '"' + 'x""y,\n' * 20_000 + '"'
+    text = "DocumentIdentifier,Title\n" + f"http://a,{cell}\n" + "b,c\n" * 20_000
+    df = spark.createDataFrame([(text,)], "t string")
+    rows = payloads.csv_payload_rows(df, "t", ["DocumentIdentifier", "Title"])
+    assert rows.count() == 20_001 and len(rows.where("article_pos = 0").first().Title) == 100_000
+
+
 def test_payload_acceptance(spark):
     long = "DocumentIdentifier" + "x" * 100
     df = spark.createDataFrame([(long, 200), (long, 429), ("DocumentIdentifier", 200), (None, 200)], "t string, s int")

@@ -195,20 +195,24 @@ def test_hot_group_is_cut_before_the_shuffle(spark):
     assert "partial_min(struct" in plan
 
 
-def test_articles_by_date_parts_lose_nothing(spark):
-    df = spark.range(25).select(
-        F.lit("k").alias("k"), F.lit("2024-01-10").alias("date"), F.col("id").alias("pos"),
-        F.col("id").cast("string").alias("url"),
-    ).repartition(4)
-    whole = rollups.articles_by_date(df, ["k"], "date", "pos", ["url"]).collect()
-    assert [(r.part, [a.url for a in r.articles]) for r in whole] == [(0, [str(i) for i in range(25)])]
-    other = df.where("pos < 4").withColumn("k", F.lit("small"))
-    parts = rollups.articles_by_date(df.union(other), ["k"], "date", "pos", ["url"], per_part=10)
-    [small] = parts.where("k = 'small'").collect()
-    assert (small.part, len(small.articles)) == (0, 4)
-    parts = parts.where("k = 'k'")
-    joined = [a.url for r in parts.orderBy("part").collect() for a in r.articles]
-    assert joined == [str(i) for i in range(25)] and parts.count() == 3
+@pytest.mark.parametrize("seed", range(3))
+def test_payload_rows_by_date(spark, seed):
+    rng = random.Random(seed)
+    size = rng.choice([0, 1, 40, 12_000])
+    rows = [(i, f"u{rng.randrange(1 + size // 2)}", f"2024-01-{rng.randint(1, 28):02}") for i in range(size)]
+    shuffled = rng.sample(rows, len(rows))
+    df = spark.createDataFrame(
+        [(shuffled,)], "rows array<struct<article_pos: int, url: string, date: string>>"
+    )
+    first = rollups.first_by(F.col("rows"), "url")
+    [made] = df.select(rollups.articles_by_date(first, "date", ["url"]).alias("days")).collect()
+    seen, want = set(), {}
+    for _, url, date in rows:
+        if url not in seen:
+            seen.add(url)
+            want.setdefault(date, []).append(url)
+    got = [(d.date, [a.url for a in d.articles]) for d in made.days]
+    assert got == sorted(want.items(), reverse=True)
 
 
 def test_progress_keeps_zero_rows(spark):

@@ -295,14 +295,14 @@ def test_crawl_manifest_and_ingest(spark, tmp_path):
         [(*fine, text, 200), ("Utah", "Kane", "storm", "", 200), (*failed, "", 500)],
         "state string, county string, disaster string, csv_text string, status int",
     )
-    assert crawl.fetched(landed).count() == 1
-    found = crawl.payload_articles(landed)
-    by_date = crawl.newest_first(crawl.county_articles(found)).collect()
+    assert landed.where(crawl.accepted()).count() == 1
+    days = crawl.payload_days(landed)
+    by_date = crawl.county_articles(days).collect()
     assert [(r.date, [tuple(a) for a in r.articles]) for r in by_date] == [
         ("2024-01-11", [("Second", "http://d/1", "Src")]),
         ("2024-01-10", [("First", "https://a.b:80/c", "a.b:80"), ("Third", "https://a.b:80/z", "a.b:80")]),
     ]
-    log = crawl.progress(landed, found, status="status")
+    log = crawl.progress(days.where("status = 200"))
     assert tuple(log.columns) == PROGRESS_COLUMNS
     assert {tuple(r) for r in log.collect()} == {(*fine, 2, 3), ("Utah", "Kane", "storm", 0, 0)}
     writers.write_csv(log, str(tmp_path / "done"))
@@ -313,6 +313,19 @@ def test_crawl_manifest_and_ingest(spark, tmp_path):
     assert [tuple(r) for r in left.collect()] == [failed]
 
 
+def test_urls_are_deduped_within_a_payload_only(spark):
+    head = "DocumentIdentifier,Date,Title,SourceCommonName\n"
+    texts = [head + "http://u,undated,A,s\n", head + "http://u,20240110,B,s\nhttp://u,20240111,C,s\n"]
+    landed = spark.createDataFrame(
+        [("Texas", "Travis", "flood", t) for t in texts],
+        "state string, county string, disaster string, csv_text string",
+    )
+    days = crawl.payload_days(landed)
+    assert "Exchange" not in days._jdf.queryExecution().executedPlan().toString()
+    [found] = crawl.county_articles(days).collect()
+    assert (found.date, [a.title for a in found.articles]) == ("2024-01-10", ["B"])
+
+
 def test_index_is_usable_as_event_position(spark):
     df = index_rows(spark.createDataFrame([("b",), ("a",)], "k string"), ["k"])
     assert {tuple(r) for r in df.collect()} == {("a", 0), ("b", 1)}
