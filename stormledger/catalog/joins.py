@@ -147,12 +147,29 @@ PAIRS_SQL = """
 """
 
 
-@query(f"SELECT o_orderkey, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({PAIRS_SQL})")
+@query(
+    """SELECT e.o_orderkey, l_orderkey, l_linenumber, l_partkey, l_suppkey
+       FROM orders e JOIN orders p ON e.o_custkey = p.o_custkey
+       JOIN lineitem ON l_orderkey = p.o_orderkey
+        AND l_shipdate BETWEEN CAST(e.o_orderdate AS DATE) - INTERVAL 7 DAY
+                           AND CAST(e.o_orderdate AS DATE) + INTERVAL 14 DAY"""
+)
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as events and line items as articles, both at the place of their customer."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    start, end = event_window(day, day, day)
+    events = orders.select(
+        "o_orderkey", "o_custkey", start.alias("window_start"), end.alias("window_end")
+    )
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
+    )
+    places = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     pairs = joins.interval_join(
-        dated_events(spark, sf_dir),
-        dated_articles(spark, sf_dir),
-        ["nation"],
+        events,
+        joins.lookup(items, places, ["l_orderkey"]),
+        ["o_custkey"],
         "window_start",
         "window_end",
         "l_shipdate",

@@ -10,21 +10,25 @@ from stormledger.catalog.registry import query, table
 from stormledger.operators import dedup, numbering, ranking
 
 
-@query("SELECT c_nationkey, c_custkey, c_name FROM customer ORDER BY c_nationkey, c_custkey")
+@query(
+    """SELECT c_nationkey, c_custkey, c_name,
+              row_number() OVER (ORDER BY c_nationkey, c_custkey) - 1 AS place FROM customer"""
+)
 def sort_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name")
-    return rows.orderBy("c_nationkey", "c_custkey")
+    return ranking.ordered(rows, ["c_nationkey", "c_custkey"])
 
 
 @query(
-    """SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS n FROM events
-       GROUP BY ALL ORDER BY user_id, date DESC"""
+    """SELECT *, row_number() OVER (ORDER BY user_id, date DESC) - 1 AS place
+       FROM (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY ALL)"""
 )
 def sort_date_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_date = table(spark, sf_dir, "events").groupBy(
         "user_id", F.col("ts").cast("date").alias("date")
     )
-    return by_date.agg(F.count("*").alias("n")).orderBy("user_id", F.col("date").desc())
+    counted = by_date.agg(F.count("*").alias("n"))
+    return ranking.ordered(counted, ["user_id", F.col("date").desc()])
 
 
 @query(
@@ -52,9 +56,12 @@ def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.page_slice(orders, newest, skip=1000, pages=2).drop("o_orderdate")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders")
+@query(
+    """SELECT o_orderkey, o_custkey, row_number() OVER (
+              ORDER BY sha1('7:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS place
+       FROM orders"""
+)
 def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The SQL has the same rows; their order is a matter of the seed."""
     return ranking.seeded_order(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], seed=7
     )

@@ -1,4 +1,4 @@
-"""Joins: size-checked broadcast, lookups, and the interval join."""
+"""Joins: lookups, the interval join, and the newest points of a window."""
 
 from __future__ import annotations
 
@@ -7,59 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stormledger.operators.ranking import top_n_per_group
 from stormledger.storage import durable
 
-BROADCAST_MAX_ROWS = 300_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 1_000_000
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Size of a row when written out as text."""
-    nested = (T.ArrayType, T.MapType, T.StructType)
-    cells = [
-        F.to_json(F.col(f.name)) if isinstance(f.dataType, nested) else F.col(f.name).cast("string")
-        for f in df.schema
-    ]
-    return F.octet_length(F.concat_ws("", *cells))
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> bool:
-    """Measure a frame: at most ``max_rows`` rows and ``max_bytes`` bytes of text.
-
-    Every task stops after ``max_rows + 1`` rows.
-    """
-    size = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.sum(_row_bytes(df)).alias("bytes"))
-        .first()
-    )
-    return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, **limits) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows, else without one.
-
-    Without the hint Spark shuffles, and adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if fits_broadcast(df, **limits) else df
-
-
 def lookup(
     facts: DataFrame, dimension: DataFrame, keys: Sequence[str], keep_unmatched: bool = False
 ) -> DataFrame:
     """Attach dimension columns by equal keys; unmatched rows go or stay as NULL.
 
-    The dimension has to be unique on ``keys``. Broadcast when small, so that facts
-    with a hot key are not shuffled.
+    The dimension has to be unique on ``keys``. No hint: Spark broadcasts it where its
+    size is known to be below ``spark.sql.autoBroadcastJoinThreshold``, when planning
+    from the size of its files or at run time, and else shuffles and splits hot keys.
     """
     how = "left" if keep_unmatched else "inner"
-    return facts.join(broadcast_if_small(dimension), list(keys), how)
+    return facts.join(dimension, list(keys), how)
 
 
 def _bucket(instant: Column, days: int) -> Column:
@@ -74,18 +36,13 @@ def interval_join(
     end: str,
     at: str,
     bucket_days: int = 8,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Pairs with equal ``keys`` and ``start <= at <= end``, both ends included.
 
     Events are copied into every time bucket their window touches, points fall into
     exactly one, so buckets join by equality and no pair comes up twice. Inverted
-    windows match nothing.
-
-    Small events are broadcast and points never move. Otherwise both sides shuffle
-    on (keys, bucket); where more than ``hot_rows`` points share one, they are dealt
-    over several salts and that bucket's events are copied to each. Every pair is
-    still found once.
+    windows match nothing. Where both sides are too large to broadcast they shuffle on
+    (keys, bucket), and adaptive execution splits the partitions of a hot key.
     """
     spread = events.where(F.col(start) <= F.col(end)).withColumn(
         "_bucket",
@@ -94,44 +51,8 @@ def interval_join(
         ),
     )
     placed = points.withColumn("_bucket", _bucket(F.col(at), bucket_days))
-    on = [*keys, "_bucket"]
-    if fits_broadcast(spread):
-        spread = F.broadcast(spread)
-    else:
-        spread, placed = _salt_hot_keys(spread, placed, on, hot_rows)
-        on = [*on, "_salt"]
-    pairs = spread.join(placed, on)
-    return pairs.where(F.col(at).between(F.col(start), F.col(end))).drop("_bucket", "_salt")
-
-
-def _salt_hot_keys(
-    copied: DataFrame, dealt: DataFrame, on: Sequence[str], hot_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Deal the rows of over-full keys over salts, and copy the other side to each salt.
-
-    The list of over-full keys is short and is kept, so that ``dealt`` is counted once.
-    """
-    salts = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
-    hot = (
-        dealt.groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*on, salts)
-    )
-    hot = broadcast_if_small(durable(hot))
-    one = F.coalesce("_salts", F.lit(1))
-    row_hash = F.xxhash64(*[F.col(c) for c in dealt.columns])
-    dealt = (
-        dealt.join(hot, list(on), "left")
-        .withColumn("_salt", F.pmod(row_hash, one).cast("int"))
-        .drop("_salts")
-    )
-    copied = (
-        copied.join(hot, list(on), "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
-        .drop("_salts")
-    )
-    return copied, dealt
+    pairs = spread.join(placed, [*keys, "_bucket"])
+    return pairs.where(F.col(at).between(F.col(start), F.col(end))).drop("_bucket")
 
 
 def newest_in_window(

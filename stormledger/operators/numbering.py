@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.functions.fixed import CHUNK_SIZE
-from stormledger.operators.joins import broadcast_if_small
 from stormledger.storage import durable
 
 
@@ -20,19 +19,21 @@ def index_within_blocks(
 
     ``seq`` rises inside a block and has no gaps there. Columns named with a leading
     underscore are taken out again. Only the blocks' (first, size)
-    pairs are sorted; ``rows`` must be durable, since it is read twice: once to count
+    pairs are sorted, one small row for each file block or task; where there is no group
+    one task sorts them all. ``rows`` must be durable, since it is read twice: once to count
     the blocks and once to number the rows.
     """
     keys = [*group, *block]
     sizes = rows.groupBy(*keys).agg(F.min(seq).alias("_first"), F.count("*").alias("_size"))
-    earlier = W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy(*(block or group)).rowsBetween(W.unboundedPreceding, -1)
     if group:
-        earlier = W.partitionBy(*group).orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
+        inside = W.partitionBy(*group).orderBy(*(block or group))
+        earlier = inside.rowsBetween(W.unboundedPreceding, -1)
     offsets = durable(
         sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
     )
     return (
-        rows.join(broadcast_if_small(offsets), keys)
+        rows.join(offsets, keys)
         .withColumn(index, F.col("_offset") + F.col(seq) - F.col("_first"))
         .drop(*[b for b in block if b.startswith("_")], seq, "_first", "_offset")
     )

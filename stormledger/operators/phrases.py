@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormledger.operators.joins import broadcast_if_small
 
 ANCHOR_WORDS = 4
 
@@ -62,7 +61,7 @@ def find_phrases(
     ]
     anchored = positions.select(*ids, F.explode(F.array(*anchors)).alias("_anchor"))
     met = (
-        anchored.join(broadcast_if_small(listed), "_anchor")
+        anchored.join(listed, "_anchor")
         .select(*ids, "_phrase", "_whole", "_n")
         .distinct()
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.functions.fixed import PAGE_SIZE
+from stormledger.operators.numbering import index_rows
 
 
 def top_n_per_group(
@@ -28,11 +29,27 @@ def page_slice(
 ) -> DataFrame:
     """``pages`` pages of ``size`` rows after the first ``skip`` rows of ``order``.
 
-    ``order`` needs a tie-break to be repeatable. Sort and limit become one top-k step.
+    ``order`` needs a tie-break to be repeatable. Rows are numbered by a distributed sort,
+    and the slice is a range of numbers, however deep the page lies.
     """
-    return df.orderBy(*order).offset(skip).limit(pages * size)
+    numbered = index_rows(df, order, "_index")
+    wanted = (F.col("_index") >= skip) & (F.col("_index") < skip + pages * size)
+    return numbered.where(wanted).drop("_index")
 
 
-def seeded_order(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
-    """A shuffled order that is the same in every run with the same seed."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), *keys)
+def ordered(
+    df: DataFrame, order: Sequence[Column | str], place: str = "place"
+) -> DataFrame:
+    """The rows in ``order`` over the whole table, with their 0-based place in it."""
+    return index_rows(df, order, place)
+
+
+def seeded_order(
+    df: DataFrame, keys: Sequence[str], seed: int, place: str = "place"
+) -> DataFrame:
+    """A shuffled order, the same in every run with the same seed, as 0-based places.
+
+    Rows are ordered by the SHA-1 of seed and keys, which any other engine has too.
+    """
+    spelled = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return index_rows(df, [F.sha1(spelled), *keys], place)

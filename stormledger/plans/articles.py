@@ -19,7 +19,7 @@ from stormledger.functions.search import keyword_set, place_phrase, synonym_quer
 from stormledger.functions.text import field_fallback, safe_trim
 from stormledger.operators.dedup import keep_first_url
 from stormledger.operators.filters import enough_hits, not_empty
-from stormledger.operators.joins import broadcast_if_small, newest_in_window
+from stormledger.operators.joins import newest_in_window
 from stormledger.operators.phrases import find_phrases
 from stormledger.operators.ranking import top_n_per_group
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
@@ -176,7 +176,7 @@ def _tag_places_and_types(
     roles = durable(roles)
     held = (
         find_phrases(articles, ids, text, roles)
-        .join(broadcast_if_small(roles), "phrase")
+        .join(roles, "phrase")
         .groupBy(*ids)
         .agg(F.collect_set("_place").alias("_places"), F.collect_set("_type").alias("_types"))
     )

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stormledger.functions.text import strip
-from stormledger.operators.joins import broadcast_if_small
 from stormledger.operators.numbering import index_within_blocks
 from stormledger.storage import durable
 
@@ -51,27 +49,13 @@ def number_csv_rows(
     """Add file and 0-based record number to a ``read_csv(multi_line=True)`` frame.
 
     Records count per file, or with ``across_files`` through all files in path order.
-    Such a file is read whole by one task, so its rows carry rising ids however files
-    are packed into tasks, and a window per file is no more uneven than the read.
+    Such a file is read whole by one task, so its rows carry ids without gaps: a row's
+    number is its id less the smallest of its file. Only these, one row per file, are
+    aggregated, and added up over the files; rows are not shuffled by file. The tagged
+    rows are written down, so that both reads see the same ids.
     """
     path = F.col("_metadata.file_path").alias(file)
-    in_file = W.partitionBy(file).orderBy("_seq")
-    numbered = (
-        rows.select("*", path, F.monotonically_increasing_id().alias("_seq"))
-        .withColumn(index, F.row_number().over(in_file).cast("bigint") - 1)
-        .drop("_seq")
-    )
+    tagged = durable(rows.select("*", path, F.monotonically_increasing_id().alias("_seq")))
     if not across_files:
-        return numbered
-    earlier = W.orderBy(file).rowsBetween(W.unboundedPreceding, -1)
-    offsets = durable(
-        rows.select(path)
-        .groupBy(file)
-        .agg(F.count("*").alias("_rows"))
-        .select(file, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return (
-        numbered.join(broadcast_if_small(offsets), file)
-        .withColumn(index, F.col(index) + F.col("_offset"))
-        .drop("_offset")
-    )
+        return index_within_blocks(tagged, [file], [], "_seq", index)
+    return index_within_blocks(tagged, [], [file], "_seq", index)
