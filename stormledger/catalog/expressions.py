@@ -427,9 +427,7 @@ def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT page_id, CASE WHEN contains(url, '#') THEN 'missingpk_csv_' ||
            CAST(row_number() OVER (ORDER BY page_id) - 1 AS VARCHAR)
          ELSE CAST(page_id AS VARCHAR) || '_01001_' || substr(sha1(url), 1, 10) END AS key,
-         CASE WHEN contains(url, '#') THEN 'Missing key fields for row csv_' ||
-           CAST(row_number() OVER (ORDER BY page_id) - 1 AS VARCHAR) || ': disasterNumber=' ||
-           CAST(page_id AS VARCHAR) || ', county_fips=01001, url=''''' END AS warning
+         CASE WHEN contains(url, '#') THEN 'url' END AS missing
        FROM pages"""
 )
 def row_key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,14 +441,7 @@ def row_key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         "page_id",
         keys.row_key_or_fallback(*parts).alias("key"),
-        keys.key_warning(*parts).alias("warning"),
-    )
-
-
-@query(SPINE_SQL)
-def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spine_plan.spine(
-        spine_plan.classify(declarations(spark, sf_dir), county_map(spark, sf_dir))
+        keys.missing_parts(*parts[:3]).alias("missing"),
     )
 
 

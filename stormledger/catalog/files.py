@@ -50,17 +50,25 @@ def scan_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'good' END AS status,
-              count(*) AS n, CAST(sum(CASE WHEN event_type <> 'error' THEN event_id END) AS BIGINT)
-              AS event_ids
+    """SELECT CASE WHEN event_type IN ('error', 'view') THEN 'malformed' ELSE 'good' END AS status,
+              count(*) AS n, CAST(sum(CASE WHEN event_type NOT IN ('error', 'view') THEN event_id END)
+              AS BIGINT) AS event_ids
        FROM events GROUP BY 1"""
 )
 def scan_ndjson_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events-ndjson")
     record = F.to_json(F.struct("event_id", "user_id", "event_type"))
-    # A line cut short, as an interrupted writer leaves it.
+    # A line cut short, as an interrupted writer leaves it; one with trailing text; and
+    # numbers written as strings, which are fine.
     cut = F.substring(record, F.lit(1), F.length(record) - 9)
-    line = F.when(F.col("event_type") == "error", cut).otherwise(record)
+    kind = F.col("event_type")
+    quoted = F.regexp_replace(record, r'"event_id":(\d+)', '"event_id":"$1"')
+    line = (
+        F.when(kind == "error", cut)
+        .when(kind == "view", F.concat(record, F.lit(" trailing")))
+        .when(kind == "click", quoted)
+        .otherwise(record)
+    )
     table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
     schema = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string")
     good, bad = ndjson.read_ndjson_tolerant(spark, path, schema)
@@ -209,18 +217,24 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, c_name,
-              CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segment FROM customer"""
+    """SELECT c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS segment,
+              CASE WHEN c_custkey = (SELECT min(c_custkey) FROM customer) THEN '[' ELSE ',' END AS mark,
+              c_custkey = (SELECT max(c_custkey) FROM customer) AS closes FROM customer"""
 )
 def sink_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "customers-json")
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("segment")
     )
-    writers.write_json_arrays(index_rows(rows, ["c_custkey"]), path, "row_index")
-    record = "array<struct<c_custkey: bigint, c_name: string, segment: string>>"
-    arrays = spark.read.text(path).select(F.from_json("value", record).alias("records"))
-    return payloads.explode_structs(arrays, F.col("records"))
+    writers.write_json_array(index_rows(rows, ["c_custkey"]), path, "row_index")
+    record = "c_custkey bigint, c_name string, segment string"
+    lines = spark.read.text(path).select(F.substring("value", 1, 1).alias("mark"), "value")
+    entry = F.regexp_replace(F.substr("value", F.lit(2)), r"\]$", "")
+    return lines.select(
+        "mark",
+        F.col("value").endswith("]").alias("closes"),
+        F.from_json(entry, record).alias("r"),
+    ).select("mark", "closes", "r.*")
 
 
 @query(

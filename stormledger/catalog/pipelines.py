@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stormledger.catalog.expressions import EVENT_URL_SQL, event_url, keyword_list_sql
 from stormledger.catalog.files import DISASTER_OF_PRIORITY_SQL, disaster_of_priority
 from stormledger.catalog.registry import query, table
-from stormledger.catalog.stand_ins import SPINE_SQL, county_map, declarations
+from stormledger.catalog.stand_ins import CLASSIFIED_SQL, SPINE_SQL, county_map, declarations
 from stormledger.functions.codes import zero_pad
 from stormledger.functions.dates import compact_ts, iso_text
 from stormledger.functions.fixed import TYPE_SYNONYMS
@@ -18,9 +18,10 @@ from stormledger.plans import counties as county_plan
 from stormledger.plans import crawl as crawl_plan
 from stormledger.plans import keys as key_plan
 from stormledger.plans import spine as spine_plan
-from stormledger.schemas import ARTICLE, ROW_KEY_COLUMN, SPINE
-from stormledger.sinks.writers import append_ndjson, write_articles
+from stormledger.schemas import ARTICLE, ARTICLE_CSV_COLUMNS, ROW_KEY_COLUMN, SPINE
+from stormledger.sinks.writers import append_ndjson, write_articles, write_csv
 from stormledger.sources.ndjson import read_ndjson
+from stormledger.sources.tabular import read_csv
 from stormledger.storage import scratch_path
 
 
@@ -163,7 +164,7 @@ def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "spine")
     append_ndjson(enriched_spine(spark, sf_dir), path)
     events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
-    matched = article_plan.match_articles(events, local, ["disasterNumber"])
+    matched = article_plan.match_articles(events, local)
     return matched.select("disasterNumber", "url", "article_pos")
 
 
@@ -261,17 +262,8 @@ def crawl_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_date.withColumn("articles", F.array_join(shown, ";"))
 
 
-@query(
-    """SELECT file_kind, o_orderkey AS "disasterNumber",
-         CASE WHEN o_orderstatus = 'P' THEN 'missingpk_' || file_kind
-              ELSE CAST(o_orderkey AS VARCHAR) || '_' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_' ||
-                substr(sha1('http://h/' || CAST(o_orderkey AS VARCHAR) || '?a,"b"'), 1, 10) END AS key,
-         o_orderstatus = 'P' AS warned
-       FROM orders, (VALUES ('csv'), ('ndjson')) v(file_kind)"""
-)
-def keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys for both article files, read from files; the place in the file is cut off."""
-    root = scratch_path(spark, "keyed")
+def _article_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as article records; those of status P lack their URL."""
     number = F.col("o_orderkey")
     url = F.concat(F.lit("http://h/"), number.cast("string"), F.lit('?a,"b"'))
     given = {
@@ -279,14 +271,29 @@ def keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "county_fips": F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
         "url": F.when(F.col("o_orderstatus") != "P", url),
         "title": F.lit("two\nlines"),
+        "label": F.col("o_orderpriority"),
     }
-    write_articles(
-        table(spark, sf_dir, "orders").select(
-            *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ARTICLE]
-        ),
-        f"{root}/ndjson",
-        f"{root}/csv",
+    return table(spark, sf_dir, "orders").select(
+        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ARTICLE]
     )
+
+
+@query(
+    """SELECT file_kind, o_orderkey AS "disasterNumber",
+         CASE WHEN o_orderstatus = 'P' THEN 'missingpk_' || file_kind || '_' ||
+                CAST(row_number() OVER (PARTITION BY file_kind ORDER BY o_orderkey) - 1 AS VARCHAR)
+              ELSE CAST(o_orderkey AS VARCHAR) || '_' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_' ||
+                substr(sha1('http://h/' || CAST(o_orderkey AS VARCHAR) || '?a,"b"'), 1, 10) END AS key,
+         CASE WHEN o_orderstatus = 'P' THEN 'url' END AS missing
+       FROM orders, (VALUES ('csv'), ('ndjson')) v(file_kind)"""
+)
+def keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys for both article files, read from files whose rows lie in a known order."""
+    root = scratch_path(spark, "keyed")
+    rows = _article_rows(spark, sf_dir)
+    parts = rows.repartitionByRange("disasterNumber").sortWithinPartitions("disasterNumber")
+    write_articles(parts, f"{root}/ndjson", f"{root}/unordered")
+    write_csv(parts.select(*ARTICLE_CSV_COLUMNS), f"{root}/csv")
     keyed = {
         "csv": key_plan.keyed_csv(spark, f"{root}/csv"),
         "ndjson": key_plan.keyed_ndjson(spark, f"{root}/ndjson")[0],
@@ -295,9 +302,61 @@ def keyed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.select(
             F.lit(kind).alias("file_kind"),
             F.col("disasterNumber").cast("bigint").alias("disasterNumber"),
-            F.regexp_replace(ROW_KEY_COLUMN, rf"^(missingpk_{kind})_\d+$", "$1").alias("key"),
-            F.col("key_warning").isNotNull().alias("warned"),
+            F.col(ROW_KEY_COLUMN).alias("key"),
+            F.col(key_plan.MISSING).alias("missing"),
         )
         for kind, rows in keyed.items()
     )
     return csv_rows.unionByName(ndjson_rows)
+
+
+@query(
+    f"""SELECT form, columns, o_orderkey AS "disasterNumber",
+          CASE WHEN form = 'ndjson' THEN o_orderpriority END AS label
+        FROM orders, (VALUES
+          ('csv', '{",".join((ROW_KEY_COLUMN, *ARTICLE_CSV_COLUMNS))}'),
+          ('ndjson', '{",".join((*ARTICLE.names, ROW_KEY_COLUMN))}')) v(form, columns)"""
+)
+def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed article files: 15 fields after the key in CSV, 17 before it in NDJSON."""
+    root = scratch_path(spark, "conformed")
+    write_articles(_article_rows(spark, sf_dir), f"{root}/ndjson", f"{root}/csv")
+    key_plan.add_keys(
+        spark, f"{root}/csv", f"{root}/ndjson", f"{root}/csv_keyed", f"{root}/ndjson_keyed"
+    )
+    from_csv = read_csv(spark, f"{root}/csv_keyed")
+    csv_rows = from_csv.select(
+        F.lit("csv").alias("form"),
+        F.lit(",".join(from_csv.columns)).alias("columns"),
+        F.col("disasterNumber").cast("bigint").alias("disasterNumber"),
+        F.lit(None).cast("string").alias("label"),
+    )
+    record = F.col("value")
+    ndjson_rows = spark.read.text(f"{root}/ndjson_keyed").select(
+        F.lit("ndjson").alias("form"),
+        F.array_join(F.json_object_keys(record), ",").alias("columns"),
+        F.get_json_object(record, "$.disasterNumber").cast("bigint").alias("disasterNumber"),
+        F.get_json_object(record, "$.label").alias("label"),
+    )
+    return csv_rows.unionByName(ndjson_rows)
+
+
+SPINE_BASIC_SQL = (
+    CLASSIFIED_SQL
+    + """
+SELECT m.c_mktsegment AS state, m.c_name AS county, fips AS county_fips,
+  strftime(declared, '%Y-%m-%d') AS date, disaster, kind AS fema_incident_type,
+  num AS fema_disaster_number, 'FEMA' AS source
+FROM mapped m WHERE declared IS NOT NULL AND NOT bad_code AND c_name IS NOT NULL
+"""
+)
+
+
+@query(SPINE_BASIC_SQL)
+def spine_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 8-column spine, which goes by the declaration date alone."""
+    return spine_plan.spine_basic(
+        spine_plan.classify(
+            declarations(spark, sf_dir), county_map(spark, sf_dir), dated_by=spine_plan.DECLARED
+        )
+    )

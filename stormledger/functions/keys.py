@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from stormledger.functions.text import safe_trim
 
+# The fields that make the key, and the mark of a fallback key.
+KEY_PARTS = ("disasterNumber", "county_fips", "url")
+FALLBACK_MARK = "missingpk"
 HASH_DIGITS = 10
 
 
@@ -28,7 +31,7 @@ def row_key(number: Column, fips: Column, url: Column) -> Column:
 
 def fallback_key(file_kind: str, index: Column) -> Column:
     """``missingpk_csv_3``: marks a row by its place in its file."""
-    return F.concat_ws("_", F.lit("missingpk"), F.lit(file_kind), index.cast("string"))
+    return F.concat_ws("_", F.lit(FALLBACK_MARK), F.lit(file_kind), index.cast("string"))
 
 
 def row_key_or_fallback(
@@ -39,21 +42,10 @@ def row_key_or_fallback(
     )
 
 
-def key_warning(number: Column, fips: Column, url: Column, file_kind: str, index: Column) -> Column:
-    """Audit text for a row that got a fallback key, else NULL."""
-    missing = key_is_missing(number, fips, url)
-    number, fips, url = _parts(number, fips, url)
-    return F.when(
-        missing,
-        F.concat(
-            F.lit(f"Missing key fields for row {file_kind}_"),
-            index.cast("string"),
-            F.lit(": disasterNumber="),
-            number,
-            F.lit(", county_fips="),
-            fips,
-            F.lit(", url='"),
-            url,
-            F.lit("'"),
-        ),
-    )
+def missing_parts(number: Column, fips: Column, url: Column) -> Column:
+    """Names of the key parts that a row lacks, joined by commas; NULL if none."""
+    parts = _parts(number, fips, url)
+    lacking = [
+        F.when(part == "", F.lit(name)) for name, part in zip(KEY_PARTS, parts)
+    ]
+    return F.when(key_is_missing(number, fips, url), F.concat_ws(",", *lacking))

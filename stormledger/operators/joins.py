@@ -64,12 +64,14 @@ def newest_in_window(
     at: str,
     tie_break: Sequence[str],
     n: int,
+    end_of_day: bool = False,
 ) -> DataFrame:
     """The ``n`` newest points of every event's window, ``rank`` 1 first.
 
     The rows are those of ``interval_join`` cut to ``n`` per event, but its pairs are
     never built. ``start`` and ``end`` are dates, so the window's edges fall between
-    slots: a day's midnight is one slot, the rest of the day another.
+    slots: a day's midnight is one slot, the rest of the day another. A window ends with
+    the midnight that begins ``end``, or with that whole day (``end_of_day``).
 
     - At most ``n`` points per key and slot can be among anyone's newest ``n``.
     - Numbered per key from oldest to newest, the points of a window are a run of
@@ -89,7 +91,7 @@ def newest_in_window(
     kept = top_n_per_group(slotted, [*keys, "_slot"], newest_first, n, "_nth")
 
     # The first slot of a window, and the first one after it.
-    first, after = 2 * F.unix_date(start), 2 * F.unix_date(end) + 1
+    first, after = 2 * F.unix_date(start), 2 * F.unix_date(end) + 1 + int(end_of_day)
     edged = events.where(F.col(start) <= F.col(end)).withColumns({"_first": first, "_after": after})
     edges = (
         edged.select(*keys, F.explode(F.array("_first", "_after")).alias("_slot"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +21,12 @@ from stormledger.functions.text import field_fallback, safe_trim
 from stormledger.operators.dedup import keep_first_url
 from stormledger.operators.filters import enough_hits, not_empty
 from stormledger.operators.joins import newest_in_window
+from stormledger.operators.numbering import index_rows
 from stormledger.operators.phrases import find_phrases
 from stormledger.operators.ranking import top_n_per_group
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
-from stormledger.sinks.writers import write_articles
-from stormledger.sources.lines import number_lines
-from stormledger.sources.ndjson import CORRUPT, parse_lines, read_ndjson
+from stormledger.sinks.writers import write_articles, write_audit
+from stormledger.sources.ndjson import read_ndjson_tolerant
 from stormledger.sources.payloads import explode_articles
 from stormledger.storage import durable
 
@@ -43,7 +44,7 @@ EVENT_COLUMNS = (
 )
 
 
-def events_from_spine(spine: DataFrame, *keep: str) -> DataFrame:
+def events_from_spine(spine: DataFrame, *keep: str | Column) -> DataFrame:
     """Trimmed events with their search text; events lacking a required field go.
 
     ``keep`` names further columns to carry, such as a position that orders events.
@@ -92,17 +93,21 @@ def attach_payloads(
 def match_articles(
     events: DataFrame,
     articles: DataFrame,
-    event_id: Sequence[str],
     article_id: str = "url",
     seen: str = "seen",
     text: str = "title",
     per_event: int = MAX_ARTICLES_PER_EVENT,
     language: str | None = DEFAULT_LANGUAGE,
+    end_of_day: bool = False,
 ) -> DataFrame:
     """The newest articles of each event, from a local article table.
 
+    Each spine line is an event of its own: lines that share ``event_id`` but not their
+    window, place or type are matched apart, and a line that comes twice gives its
+    articles twice.
+
     An article belongs to an event when it was seen from midnight of ``window_start``
-    to midnight of ``window_end`` (the start of that day), and its text has the
+    to midnight of ``window_end`` (the start of that day, or with ``end_of_day`` its end), and its text has the
     county's or the designated area's phrase, and one of the type's search words.
 
     Articles are first tagged with the phrases and words they contain, once for all
@@ -113,6 +118,8 @@ def match_articles(
     ``article_id`` has to be unique. Articles need the payload article columns and
     ``seen``, a timestamp.
     """
+    own = [F.col(c) for c in events.columns if c not in ("keywords", "gdelt_query")]
+    events = durable(events.withColumn("_event", F.sha1(F.to_json(F.struct(*own)))))
     windows = events.withColumns(
         {
             "_start": F.try_to_date("window_start", "yyyy-MM-dd"),
@@ -136,20 +143,23 @@ def match_articles(
         wanted = wanted.where(F.coalesce("language", F.lit(language)) == language)
     tagged = durable(_tag_places_and_types(wanted, [article_id, seen], text, placed))
     ids = ["_place", "_type"]
-    spans = placed.select(*ids, *event_id, "_start", "_end").distinct()
+    spans = placed.select(*ids, "_event", "_start", "_end").distinct()
     newest = newest_in_window(
-        spans, tagged, ids, "_start", "_end", seen, [article_id], per_event
+        spans, tagged, ids, "_start", "_end", seen, [article_id], per_event, end_of_day
     )
     # An article may carry both places of an event: count it once.
-    once = newest.select(*event_id, article_id, seen).distinct()
+    once = newest.select("_event", article_id, seen).distinct()
     ranked = top_n_per_group(
-        once, event_id, [F.col(seen).desc(), F.col(article_id)], per_event
+        once, ["_event"], [F.col(seen).desc(), F.col(article_id)], per_event
     )
+    # Written down, its size is known: where it is small it is broadcast, and the
+    # articles are filtered where they lie instead of being shuffled.
+    matched = durable(ranked.withColumn("article_pos", F.col("rank") - 1).drop("rank", seen))
     return (
-        ranked.withColumn("article_pos", F.col("rank") - 1)
-        .drop("rank", seen)
-        .join(events, list(event_id))
-        .join(wanted.drop(seen), article_id)
+        wanted.drop(seen)
+        .join(matched, article_id)
+        .join(events, "_event")
+        .drop("_event")
     )
 
 
@@ -237,26 +247,44 @@ def run_articles(
     per_event: int = MAX_ARTICLES_PER_EVENT,
     min_title_hits: int = MIN_TITLE_HITS,
     language: str = DEFAULT_LANGUAGE,
+    bad_root: str | None = None,
+    run_id: str | None = None,
 ) -> dict[str, int]:
     """Article files from spine files and one landed payload per event.
 
-    Events come in the order of their lines, articles in the order of their payload
-    (newest first), of which the first ``per_event`` are used. Malformed spine lines
-    are left out. Returns the number of candidates and of articles kept, both counted
-    while writing.
+    Events come in one fixed order: latest ``date`` first, then by number, county and
+    their other fields, whatever files and appends the spine lies in; articles in the
+    order of their payload (newest first), of which the first ``per_event`` are used.
+    Malformed lines are left out on both sides and, with a ``bad_root``, written there.
+    Returns the number of candidates and of articles kept, both counted while writing,
+    and of malformed lines.
     """
-    lines = parse_lines(number_lines(spark, spine_path), SPINE)
-    place = ["file", "line_index"]
-    events = events_from_spine(lines.where(F.col(CORRUPT).isNull()), *place)
-    payloads = read_ndjson(spark, payload_path, LANDED_PAYLOAD)
+    spine, bad_events = read_ndjson_tolerant(spark, spine_path, SPINE)
+    payloads, bad_payloads = read_ndjson_tolerant(spark, payload_path, LANDED_PAYLOAD)
+    events = events_from_spine(spine, F.col("date").alias("_date"))
+    rest = [c for c in EVENT_COLUMNS if c not in ("keywords", *EVENT_KEY)]
+    place = F.struct("_date", "disasterNumber", "county_fips", *rest)
+    order = [
+        F.col("_place._date").desc_nulls_last(),
+        *[F.col(f"_place.{c}") for c in (*EVENT_KEY, *rest)],
+    ]
+    events = index_rows(events.withColumn("_place", place), order, "_order").drop("_place", "_date")
     offered, kept = Observation("offered"), Observation("kept")
     candidates = (
-        attach_payloads(events, payloads, EVENT_KEY, *place)
+        attach_payloads(events, payloads, EVENT_KEY, "_order")
         .where(F.col("article_pos") < per_event)
         .observe(offered, F.count("*").alias("n"))
     )
     selected = select_articles(
-        candidates, [*place, "article_pos"], min_title_hits, language
+        candidates, ["_order", "article_pos"], min_title_hits, language
     ).observe(kept, F.count("*").alias("n"))
     write_articles(selected, ndjson_path, csv_path)
-    return {"candidates": offered.get["n"], "kept": kept.get["n"]}
+    if bad_root is not None:
+        write_audit(bad_events, f"{bad_root}/events", run_id or uuid.uuid4().hex)
+        write_audit(bad_payloads, f"{bad_root}/payloads", run_id or uuid.uuid4().hex)
+    return {
+        "candidates": offered.get["n"],
+        "kept": kept.get["n"],
+        "malformed_events": bad_events.count(),
+        "malformed_payloads": bad_payloads.count(),
+    }

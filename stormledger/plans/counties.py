@@ -13,7 +13,7 @@ from stormledger.operators.dedup import keep_first, keep_last
 from stormledger.operators.joins import lookup
 from stormledger.operators.numbering import index_rows
 from stormledger.schemas import COUNTY
-from stormledger.sinks.writers import write_csv, write_json_arrays
+from stormledger.sinks.writers import write_csv, write_json_array
 from stormledger.sources.payloads import header_row_json
 
 
@@ -64,7 +64,7 @@ def write_counties(counties: DataFrame, csv_path: str, json_path: str) -> None:
     """CSV and JSON array, sorted by state and county code."""
     indexed = index_rows(counties, ["state_fips", "county_fips", "county_geoid"], "_index")
     write_csv(counties.orderBy("state_fips", "county_fips"), csv_path)
-    write_json_arrays(
+    write_json_array(
         indexed.select("_index", *COUNTY.names), json_path, "_index"
     )
 

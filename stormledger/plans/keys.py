@@ -2,65 +2,104 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormledger.functions.keys import key_warning, row_key_or_fallback
-from stormledger.schemas import ARTICLE, ROW_KEY_COLUMN
-from stormledger.sinks.writers import write_csv, write_ndjson
+from stormledger.functions.keys import KEY_PARTS, missing_parts, row_key_or_fallback
+from stormledger.schemas import ROW_KEY_COLUMN
+from stormledger.sinks.writers import write_audit, write_csv
 from stormledger.sources.lines import number_csv_rows, number_lines
 from stormledger.sources.ndjson import CORRUPT, parse_lines
 from stormledger.sources.tabular import read_csv
 
-KEY_PARTS = ("disasterNumber", "county_fips", "url")
-WARNING = "key_warning"
+MISSING = "missing_parts"
+_KEY_FIELDS = T.StructType([T.StructField(name, T.StringType()) for name in KEY_PARTS])
+_KEY_IN_RECORD = rf'"{ROW_KEY_COLUMN}"\s*+:\s*+(?:"(?:[^"\\]|\\.)*+"|[^,}}\s]++)'
 
 
 def _keyed(rows: DataFrame, file_kind: str, index: str) -> DataFrame:
-    number, fips, url = (
-        F.col(c) if c in rows.columns else F.lit("") for c in KEY_PARTS
-    )
-    position = F.col(index)
+    number, fips, url = (F.col(c) if c in rows.columns else F.lit("") for c in KEY_PARTS)
     return rows.withColumns(
         {
-            ROW_KEY_COLUMN: row_key_or_fallback(number, fips, url, file_kind, position),
-            WARNING: key_warning(number, fips, url, file_kind, position),
+            ROW_KEY_COLUMN: row_key_or_fallback(number, fips, url, file_kind, F.col(index)),
+            MISSING: missing_parts(number, fips, url),
         }
     )
 
 
 def keyed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV rows with the key column first and ``key_warning`` last.
+    """CSV rows with the key column first, and ``MISSING`` and the row's place last.
 
     Fallback keys count the rows of all part files, so they are unique in the table.
     """
     rows = number_csv_rows(read_csv(spark, path), "_index", "_file", across_files=True)
     columns = [c for c in rows.columns if c not in ("_index", "_file", ROW_KEY_COLUMN)]
+    filled = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
     return _keyed(rows, "csv", "_index").select(
-        ROW_KEY_COLUMN, *[F.coalesce(c, F.lit("")).alias(c) for c in columns], WARNING
+        ROW_KEY_COLUMN, *filled, MISSING, F.col("_index").alias("_row_index")
     )
 
 
-def keyed_ndjson(
-    spark: SparkSession, path: str, schema: T.StructType = ARTICLE
-) -> tuple[DataFrame, DataFrame]:
-    """(rows with the key column last but for ``key_warning``, malformed lines).
+def _with_key(record: Column, key: Column) -> Column:
+    """The JSON object with the key as its last field, or in the place of an old key."""
+    field = F.concat(F.lit(f'"{ROW_KEY_COLUMN}": '), F.to_json(F.struct(key.alias("k"))))
+    field = F.regexp_replace(field, r'\{"k":(.*)\}$', "$1")
+    opened = F.regexp_replace(record, r"\s*+\}\s*+$", "")
+    comma = F.when(F.rlike(opened, F.lit(r"^\s*\{\s*$")), "").otherwise(", ")
+    quoted = F.replace(F.replace(field, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    return F.when(
+        F.rlike(record, F.lit(_KEY_IN_RECORD)),
+        F.regexp_replace(record, F.lit(_KEY_IN_RECORD), quoted),
+    ).otherwise(F.concat(opened, comma, field, F.lit("}")))
+
 
-    A fallback key and a malformed line both carry the physical line index, which
-    counts blank and malformed lines, through all part files.
+def keyed_ndjson(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with their record as text, key last; malformed lines).
+
+    A record keeps all fields it came with, known or not, as they were written. A fallback
+    key and a malformed line both carry the physical line index, which counts blank and
+    malformed lines, through all part files.
     """
     lines = number_lines(spark, path, across_files=True).drop("file")
-    rows = parse_lines(lines, schema)
+    rows = parse_lines(lines.withColumn("record", F.col("value")), _KEY_FIELDS)
     good = _keyed(rows.where(F.col(CORRUPT).isNull()), "ndjson", "line_index")
     bad = rows.where(F.col(CORRUPT).isNotNull()).select("line_index", CORRUPT)
-    return good.select(*schema.names, ROW_KEY_COLUMN, WARNING), bad
+    record = _with_key(F.col("record"), F.col(ROW_KEY_COLUMN)).alias("record")
+    return good.select("line_index", *KEY_PARTS, record, ROW_KEY_COLUMN, MISSING), bad
 
 
 def add_keys(
-    spark: SparkSession, csv_path: str, ndjson_path: str, csv_out: str, ndjson_out: str
-) -> None:
-    """Key both article files; the two passes are independent."""
-    write_csv(keyed_csv(spark, csv_path).drop(WARNING), csv_out)
-    rows, _ = keyed_ndjson(spark, ndjson_path)
-    write_ndjson(rows.drop(WARNING), ndjson_out)
+    spark: SparkSession,
+    csv_path: str,
+    ndjson_path: str,
+    csv_out: str,
+    ndjson_out: str,
+    audit_root: str | None = None,
+    run_id: str | None = None,
+) -> dict[str, int]:
+    """Key both article files; the two passes are independent.
+
+    Rows that got a fallback key, and malformed lines, are written below ``audit_root``,
+    if given. Returns the totals, counted while writing.
+    """
+    seen = {n: Observation(n) for n in ("csv", "ndjson")}
+    counts = (F.count("*").alias("rows"), F.count(MISSING).alias("fallback"))
+    csv_rows = keyed_csv(spark, csv_path)
+    write_csv(csv_rows.observe(seen["csv"], *counts).drop(MISSING, "_row_index"), csv_out)
+    rows, bad = keyed_ndjson(spark, ndjson_path)
+    rows.observe(seen["ndjson"], *counts).select("record").write.mode("overwrite").text(ndjson_out)
+    totals = {f"{n}_{k}": seen[n].get[k] for n in seen for k in ("rows", "fallback")}
+    if audit_root is not None:
+        run = run_id or uuid.uuid4().hex
+        warned = csv_rows.where(F.col(MISSING).isNotNull()).select(
+            F.lit("csv").alias("file_kind"), F.col("_row_index").alias("place"), MISSING
+        )
+        more = rows.where(F.col(MISSING).isNotNull()).select(
+            F.lit("ndjson").alias("file_kind"), F.col("line_index").alias("place"), MISSING
+        )
+        write_audit(warned.unionByName(more), f"{audit_root}/fallback_keys", run)
+        write_audit(bad, f"{audit_root}/malformed", run)
+    return totals | {"malformed": bad.count()}

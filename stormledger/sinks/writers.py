@@ -32,25 +32,29 @@ def append_ndjson(df: DataFrame, path: str) -> None:
     write_ndjson(df, path, mode="append")
 
 
-def write_json_arrays(
-    df: DataFrame, path: str, position: str, rows_per_array: int = 10_000
-) -> None:
-    """JSON arrays of records in ``position`` order, one array per line.
-
-    ``position`` names a 0-based row number, which is not written. A table below
-    ``rows_per_array`` rows, such as the county dimension, becomes a single array; a
-    larger one becomes several, so no task ever holds more than one array's rows.
+def write_json_array(df: DataFrame, path: str, position: str) -> None:
+    """One JSON array over all part files, in ``position`` order, one record per line.
+
+    ``position`` names a 0-based row number without gaps, which is not written. The first
+    line opens the array, the others begin with a comma, and the last one closes it, so
+    the parts one after the other are the array, at any size, and no task holds it. An
+    empty table is the line ``[]``.
     """
-    record = F.struct(*[c for c in df.columns if c != position]).alias("_record")
-    entries = df.select(
-        F.floor(F.col(position) / F.lit(rows_per_array)).alias("_array"),
-        F.struct(F.col(position).alias("_at"), record).alias("_entry"),
-    )
-    arrays = entries.groupBy("_array").agg(
-        F.array_sort(F.collect_list("_entry")).alias("_entries")
-    )
-    text = F.to_json(F.col("_entries._record"), {"ignoreNullFields": "false"})
-    arrays.select(text.alias("value")).write.mode("overwrite").text(path)
+    last = df.agg(F.max(position)).first()[0]
+    if last is None:
+        lines = df.sparkSession.range(1).select(F.lit("[]").alias("value"))
+    else:
+        record = F.to_json(
+            F.struct(*[c for c in df.columns if c != position]), {"ignoreNullFields": "false"}
+        )
+        opening = F.when(F.col(position) == 0, "[").otherwise(",")
+        closing = F.when(F.col(position) == last, "]").otherwise("")
+        lines = (
+            df.repartitionByRange(position)
+            .sortWithinPartitions(position)
+            .select(F.concat(opening, record, closing).alias("value"))
+        )
+    lines.write.mode("overwrite").text(path)
 
 
 def write_audit(df: DataFrame, root: str, run_id: str) -> None:

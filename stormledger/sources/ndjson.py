@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,23 +17,48 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str) -> D
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def is_json_object(text: Column) -> Column:
+    """True for exactly one JSON object, with nothing but blanks around it.
+
+    Spark's parser stops at the end of a value. Inside an array with a known last entry,
+    trailing text shows: it breaks the array, or changes its entries.
+    """
+    entries = F.from_json(
+        F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", {"allowSingleQuotes": "false"}
+    )
+    whole = (F.size(entries) == 2) & (F.get(entries, F.lit(1)) == "0")
+    return F.coalesce(whole & strip(text).startswith("{"), F.lit(False))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
     """Parse a column of JSON lines; a malformed line keeps its text in ``CORRUPT``.
 
+    Fields are read as text first and cast to their type then, so a number written as a
+    string is read too; a value that does not fit its type is NULL and the row stays.
     Other columns, such as the line index, stay next to the fields. Blank lines are
     dropped.
     """
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    others = [c for c in lines.columns if c != text]
-    parsed = F.from_json(
-        F.col(text),
-        with_corrupt,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    as_text = T.StructType(
+        [
+            f if isinstance(f.dataType, nested) else T.StructField(f.name, T.StringType())
+            for f in schema
+        ]
     )
+    others = [c for c in lines.columns if c != text]
+    good = is_json_object(F.col(text))
+    row = F.when(F.col("_good"), F.from_json(F.col(text), as_text))
+    fields = [
+        F.col(f"_row.`{f.name}`").alias(f.name)
+        if isinstance(f.dataType, (*nested, T.StringType))
+        else F.col(f"_row.`{f.name}`").try_cast(f.dataType).alias(f.name)
+        for f in schema
+    ]
     return (
         lines.where(strip(F.col(text)) != "")
-        .withColumn("_row", parsed)
-        .select(*others, "_row.*")
+        .withColumn("_good", good)
+        .withColumn("_row", row)
+        .select(*others, *fields, F.when(~F.col("_good"), F.col(text)).alias(CORRUPT))
     )
 
 

@@ -66,6 +66,29 @@ def test_ndjson(spark, tmp_path):
         ndjson.read_ndjson(spark, str(tmp_path / "x.ndjson"), schema).collect()
 
 
+LINES = [
+    '{"a": 1}', '{"a": 1} trailing', '{"a": 1}]', '{"a": 1},{"b": 2}', '{"a": 1},0', "[1]", "1", '"{x"',
+    ' {"a": "4332", "b": "x]}", "c": {"d": [1, 2]}} ', '{"a": null}', "{}", '{"a": 1}}', '{"a": 1,}',
+    "null", '{"a": "open', "{'a': 1}", '{"a": 01}', '{"a": 1}#c', '{"a": 1.5}', '{"a": true}',
+]
+
+
+def test_one_object_per_line(spark):
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string")
+    schema = T.StructType.fromDDL("a bigint, b string")
+    rows = ndjson.parse_lines(lines.withColumn("line", F.col("value")), schema).collect()
+
+    def is_object(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    got = {r.line: (r._corrupt_record is None, r.a) for r in rows}
+    assert {x: ok for x, (ok, _) in got.items()} == {x: is_object(x) for x in LINES}
+    assert got[LINES[8]][1] == 4332 and got['{"a": 1.5}'] == (True, None)
+
+
 def test_number_lines_over_many_blocks(spark, tmp_path):
     texts = {"a": [f"line {i}" if i % 3 else "" for i in range(500)], "b": ["x"] * 37}
     for name, content in texts.items():
@@ -185,14 +208,13 @@ def test_ndjson_sink_keeps_nulls_and_letters(spark, tmp_path):
     assert any("é — ü" in line for line in written_lines(tmp_path / "out"))
 
 
-def test_json_arrays(spark, tmp_path):
-    df = spark.range(25).select(F.col("id").alias("pos"), (F.col("id") * 2).alias("v"))
-    writers.write_json_arrays(df, str(tmp_path / "one"), "pos")
-    [line] = written_lines(tmp_path / "one")
-    assert json.loads(line) == [{"v": 2 * i} for i in range(25)]
-    writers.write_json_arrays(df, str(tmp_path / "more"), "pos", rows_per_array=10)
-    arrays = [json.loads(line) for line in written_lines(tmp_path / "more")]
-    assert sorted(len(a) for a in arrays) == [5, 10, 10]
+@pytest.mark.parametrize("rows", [0, 1, 25, 12_000])
+def test_json_array(spark, tmp_path, rows):
+    df = spark.range(rows).select(F.col("id").alias("pos"), (F.col("id") * 2).alias("v"))
+    writers.write_json_array(df.repartition(5), str(tmp_path / "out"), "pos")
+    lines = written_lines(tmp_path / "out")
+    assert json.loads("\n".join(lines)) == [{"v": 2 * i} for i in range(rows)]
+    assert len(lines) == max(1, rows)
 
 
 def test_audit_run_is_replaced_not_doubled(spark, tmp_path):

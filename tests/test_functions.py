@@ -277,12 +277,8 @@ def test_row_keys(evaluate):
         ("1", "2", ""), ("1", None, "u"), (" ", "2", "u"), ("1", "2", "http://a/b"),
     )
     assert with_fallback == ["missingpk_csv_3"] * 3 + [f"1_2_{digest}"]
-    warnings = evaluate(
-        lambda n, f, u: keys.key_warning(n, f, u, "ndjson", F.lit(5)), ("1", "", "u"), ("1", "2", "u")
-    )
-    assert warnings == [
-        "Missing key fields for row ndjson_5: disasterNumber=1, county_fips=, url='u'", None,
-    ]
+    missing = evaluate(keys.missing_parts, ("1", "", "u"), ("1", None, " "), ("1", "2", "u"))
+    assert missing == ["county_fips", "county_fips,url", None]
 
 
 def test_field_fallback(evaluate):

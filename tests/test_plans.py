@@ -186,10 +186,9 @@ def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
     good = '{"disasterNumber": 4332, "county_fips": "48453", "url": " http://a/b "}'
     lacking = '{"disasterNumber": 4332, "county_fips": "48453", "url": ""}'
     (tmp_path / "a.ndjson").write_text("\n".join([good, "", "{bad", good, "  ", lacking]) + "\n")
-    rows, bad = keys.keyed_ndjson(spark, str(tmp_path / "a.ndjson"), ARTICLE)
-    got = sorted(tuple(r) for r in rows.select("unique_entity_identifier", "key_warning").collect())
-    assert [g[0] for g in got] == ["4332_48453_d213c5ed66"] * 2 + ["missingpk_ndjson_5"]
-    assert "ndjson_5: disasterNumber=4332" in got[2][1]
+    rows, bad = keys.keyed_ndjson(spark, str(tmp_path / "a.ndjson"))
+    got = sorted(tuple(r) for r in rows.select("unique_entity_identifier", "missing_parts").collect())
+    assert got == [("4332_48453_d213c5ed66", None)] * 2 + [("missingpk_ndjson_5", "url")]
     assert [tuple(r) for r in bad.collect()] == [(2, "{bad")]
 
     with (tmp_path / "a.csv").open("w", newline="") as handle:
@@ -197,11 +196,43 @@ def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
         out.writerow(["disasterNumber", "county_fips", "url", "title"])
         out.writerows([[1, "2", "u", "two\nlines"], [1, "2", "u", ""], [1, "2", "u", "x"], [1, "2", "", "last"]])
     made = keys.keyed_csv(spark, str(tmp_path / "a.csv"))
-    assert made.columns == ["unique_entity_identifier", "disasterNumber", "county_fips", "url", "title", "key_warning"]
+    assert made.columns == ["unique_entity_identifier", "disasterNumber", "county_fips", "url", "title", "missing_parts", "_row_index"]
     assert {(r.unique_entity_identifier, r.title) for r in made.collect() if r.title == "last"} == {("missingpk_csv_3", "last")}
     assert made.count() == 4
 
 
+def test_keys_keep_every_field_and_write_what_went_wrong(spark, tmp_path):
+    records = [
+        {"disasterNumber": "4332", "county_fips": "48453", "url": "http://a/b", "extra": {"x": [1, 2.50]}},
+        {"score": 1.5, "disasterNumber": 4332, "county_fips": 48453, "url": "http://a/b"},
+        {"unique_entity_identifier": "old $1 \\ x", "disasterNumber": 1, "county_fips": "2", "url": "u"},
+        {"disasterNumber": 1, "url": "u"},
+        {},
+    ]
+    lines = [json.dumps(r) for r in records] + ['{"disasterNumber": 1} trailing']
+    (tmp_path / "in.ndjson").write_text("\n".join(lines) + "\n")
+    with (tmp_path / "in.csv").open("w", newline="") as handle:
+        out = csv.writer(handle)
+        out.writerows([["disasterNumber", "county_fips", "url", "a.b"], [1, "2", "u", "d"], [1, "2", "", "e"]])
+    names = ("in.csv", "in.ndjson", "csv", "ndjson", "audit")
+    totals = keys.add_keys(spark, *(str(tmp_path / n) for n in names), run_id="r")
+    assert totals == {
+        "csv_rows": 2, "csv_fallback": 1, "ndjson_rows": 5, "ndjson_fallback": 2, "malformed": 1,
+    }
+    key = f"4332_48453_{hashlib.sha1(b'http://a/b').hexdigest()[:10]}"
+    other = f"1_2_{hashlib.sha1(b'u').hexdigest()[:10]}"
+    found = [key, key, other, "missingpk_ndjson_3", "missingpk_ndjson_4"]
+    written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "ndjson")).collect()]
+    want = [r | {"unique_entity_identifier": k} for r, k in zip(records, found)]
+    assert sorted(map(str, written)) == sorted(map(str, want))
+    assert tabular.read_csv(spark, str(tmp_path / "csv")).columns[-1] == "a.b"
+    audit = spark.read.parquet(str(tmp_path / "audit" / "fallback_keys")).collect()
+    assert {(r.file_kind, r.place, r.missing_parts) for r in audit} == {
+        ("csv", 1, "url"), ("ndjson", 3, "county_fips"), ("ndjson", 4, "disasterNumber,county_fips,url"),
+    }
+    assert spark.read.parquet(str(tmp_path / "audit" / "malformed")).count() == 1
+
+
 def test_fallback_keys_are_unique_over_part_files(spark, tmp_path):
     for kind, head in (("csv", "disasterNumber,county_fips,url\n"), ("ndjson", "")):
         (tmp_path / kind).mkdir()
@@ -263,12 +294,40 @@ def test_local_match_equals_brute_force(spark, per_event):
         spark.createDataFrame([event(n, c, k, s, e, a) for n, c, k, s, e, a in events], SPINE)
     )
     table = spark.createDataFrame(rows, "url string, title string, seen timestamp_ntz, language string")
-    found = articles.match_articles(made, table, ["disasterNumber"], per_event=per_event)
+    found = articles.match_articles(made, table, per_event=per_event)
     got = [tuple(r) for r in found.select("disasterNumber", "url", "article_pos").collect()]
     assert len(got) == len(set(got)) and set(got) == match_brute(events, rows, per_event)
     assert got
 
 
+def test_repeated_event_numbers_keep_their_own_windows(spark):
+    """Two lines of one number and county with different windows, one of them twice."""
+    title = "Flash flood in Travis County, Texas"
+    rows = [(f"u{d}", title, dt.datetime(2024, m, d), "English") for m in (1, 3) for d in range(m * 4, m * 4 + 4)]
+    early, late = (event(1, "Travis", "flood", f"2024-{m}-01", f"2024-{m}-28", "") for m in ("01", "03"))
+    made = articles.events_from_spine(spark.createDataFrame([early, late, late], SPINE))
+    table = spark.createDataFrame(rows, "url string, title string, seen timestamp_ntz, language string")
+    found = articles.match_articles(made, table, per_event=3).collect()
+    got = sorted((r.window_start, r.article_pos, r.url) for r in found)
+    january, march = ["u7", "u6", "u5"], ["u15", "u14", "u13"]
+    assert got == sorted(
+        [("2024-01-01", i, u) for i, u in enumerate(january)] + [("2024-03-01", i, u) for i, u in enumerate(march)] * 2
+    )
+
+
+@pytest.mark.parametrize("end_of_day", [False, True])
+def test_window_ends_at_midnight_or_with_the_day(spark, end_of_day):
+    title = "Flash flood in Travis County, Texas"
+    hours = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 9), dt.datetime(2024, 1, 11)]
+    rows = [(f"u{i}", title, at, "English") for i, at in enumerate(hours)]
+    made = articles.events_from_spine(
+        spark.createDataFrame([event(1, "Travis", "flood", "2024-01-01", "2024-01-10", "")], SPINE)
+    )
+    table = spark.createDataFrame(rows, "url string, title string, seen timestamp_ntz, language string")
+    found = articles.match_articles(made, table, end_of_day=end_of_day)
+    assert {r.url for r in found.collect()} == ({"u0", "u1"} if end_of_day else {"u0"})
+
+
 def test_crawl_manifest_and_ingest(spark, tmp_path):
     places = spark.createDataFrame([("Texas", "Travis"), ("Ohio", "Allen"), ("Utah", "Kane")], "state string, county string")
     work = crawl.work_keys(places)

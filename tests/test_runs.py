@@ -27,33 +27,43 @@ def test_run_counties(spark, tmp_path):
     assert {(r.state_name, r.county_name_clean, r.county_geoid) for r in rows} == {
         ("Texas", "Travis", "48453"), ("California", "Kern", "06029"),
     }
-    [array] = records(tmp_path / "json")
+    parts = sorted((tmp_path / "json").glob("part-*"))
+    array = json.loads("".join(p.read_text() for p in parts))
     assert [r["county_geoid"] for r in array] == ["06029", "48453"]
 
 
-def test_run_articles_follows_line_order(spark, tmp_path):
-    def event(number):
+def test_run_articles_has_one_order(spark, tmp_path):
+    """Later declarations first, then the number: not the order of files or appends."""
+
+    def event(number, date, kind="flood"):
         row = dict.fromkeys(SPINE.names, "x") | {
-            "state": "Texas", "county": "Travis", "county_fips": "48453", "disaster": "flood",
+            "state": "Texas", "county": "Travis", "county_fips": "48453", "disaster": kind, "date": date,
             "fema_disaster_number": number, "window_start": "2024-01-03", "window_end": "2024-01-26",
         }
         return json.dumps(row)
 
-    (tmp_path / "spine.ndjson").write_text("\n".join([event(2), "", "{cut", event(1)]) + "\n")
+    lines = [event(2, "2024-01-01"), "", "{cut", event(1, "2024-01-01"), event(3, "2024-01-02")]
+    lines.append(event("4", "2023-01-01"))
     story = {"title": "Flood", "url": "http://h/shared?a", "language": "English"}
     payload = [
         {"disasterNumber": n, "county_fips": "48453",
          "articles": [story | {"url": f"http://h/shared?{n}"}, story | {"url": f"http://h/{n}"}, story]}
-        for n in (1, 2)
+        for n in (1, 2, 3, "4")
     ]
-    (tmp_path / "payload.ndjson").write_text("\n".join(map(json.dumps, payload)))
-    totals = articles.run_articles(
-        spark, *(str(tmp_path / n) for n in ("spine.ndjson", "payload.ndjson", "nd", "csv")), per_event=2
-    )
-    assert totals == {"candidates": 4, "kept": 3}
-    kept = {r["url"]: r["disasterNumber"] for r in records(tmp_path / "nd")}
-    assert kept == {"http://h/shared?2": 2, "http://h/2": 2, "http://h/1": 1}
-    assert tabular.read_csv(spark, str(tmp_path / "csv")).count() == 3
+    (tmp_path / "payload.ndjson").write_text("\n".join([*map(json.dumps, payload), "{broken"]))
+    for run, order in enumerate((lines, lines[::-1])):
+        folder = tmp_path / f"run{run}"
+        folder.mkdir()
+        for i, line in enumerate(order):  # as several appends leave it
+            (folder / f"part-{i}.ndjson").write_text(line + "\n")
+        totals = articles.run_articles(
+            spark, str(folder), str(tmp_path / "payload.ndjson"), str(tmp_path / f"nd{run}"),
+            str(tmp_path / f"csv{run}"), per_event=2,
+        )
+        assert totals == {"candidates": 8, "kept": 5, "malformed_events": 1, "malformed_payloads": 1}
+        kept = {r["url"]: r["disasterNumber"] for r in records(tmp_path / f"nd{run}")}
+        assert kept == {"http://h/shared?3": 3, "http://h/3": 3, "http://h/2": 2, "http://h/1": 1, "http://h/4": 4}
+        assert tabular.read_csv(spark, str(tmp_path / f"csv{run}")).count() == 5
 
 
 def test_crawl_goes_on_where_it_stopped(spark, tmp_path):
