@@ -43,7 +43,7 @@ def stream_url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(url.alias("url"), F.col("ts").cast("timestamp").alias("seen"))
     )
     (
-        first_urls(events, "url", "seen", "400 days")
+        first_urls(events, "url", "seen")
         .select("url_base")
         .writeStream.format("parquet")
         .option("path", f"{root}/out")

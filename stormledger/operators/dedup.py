@@ -25,11 +25,17 @@ def _one_per_key(
     leading = [
         F.col(o) if isinstance(o, str) else o.alias(f"_order_{i}") for i, o in enumerate(order)
     ]
-    rest = [c for c in df.columns if c not in named]
+    # A key is carried once, by the grouping, and not again inside the compared struct.
+    rest = [c for c in df.columns if c not in named and c not in keys]
     return (
         df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
-        .agg(pick(F.struct(*leading, *rest)).alias("_row"))
-        .select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+        .agg(pick(F.struct(*leading, *rest) if leading or rest else F.lit(0)).alias("_row"))
+        .select(
+            *[
+                F.col(f"`_key_{c}`").alias(c) if c in keys else F.col(f"_row.`{c}`").alias(c)
+                for c in df.columns
+            ]
+        )
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+from stormledger.functions.arrays import let
+from stormledger.storage import durable
+
 ANCHOR_WORDS = 4
 
 
@@ -16,6 +19,10 @@ def normalized(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
+def _hashed(anchor: Column) -> Column:
+    return F.struct(F.xxhash64(anchor).alias("a"), F.hash(anchor).alias("b"))
+
+
 def find_phrases(
     texts: DataFrame, ids: Sequence[str], text: str, phrases: DataFrame, phrase: str = "phrase"
 ) -> DataFrame:
@@ -23,9 +30,11 @@ def find_phrases(
     other and in order. Case and punctuation do not count; words match whole.
 
     Every word position of a text gives its next one to four words as anchors, in the
-    lengths the phrases have. Anchors and phrases meet by equality. Shorter phrases are
-    thereby found; for the others, only texts with the right anchor are searched. The
-    phrases are broadcast when small and shuffled by anchor otherwise.
+    lengths the phrases have. Of each text, the different anchors are taken once, as
+    hashes of 96 bits, and meet those of the phrases by equality. Shorter phrases are
+    thereby found; for the others, only the texts with the right anchor are read again.
+    What was met is written down, so that its size is known when those texts are fetched:
+    where it is small they are filtered where they lie.
     """
     listed = (
         phrases.select(F.col(phrase).alias("_phrase"))
@@ -35,7 +44,7 @@ def find_phrases(
         .select(
             "_phrase",
             "_whole",
-            F.substring_index("_whole", " ", ANCHOR_WORDS).alias("_anchor"),
+            _hashed(F.substring_index("_whole", " ", ANCHOR_WORDS)).alias("_anchor"),
             (F.regexp_count("_whole", F.lit(" ")) + 1).alias("_n"),
         )
     )
@@ -43,33 +52,37 @@ def find_phrases(
     lengths = sorted(
         row[0] for row in listed.select(F.least("_n", F.lit(ANCHOR_WORDS + 1))).distinct().collect()
     )
-    anchor_lengths = sorted({min(n, ANCHOR_WORDS) for n in lengths})
-    spelled = texts.select(*ids, normalized(F.col(text)).alias("_text"))
-    words = spelled.where("_text != ''").select(*ids, F.split("_text", " ").alias("_words"))
-    following = [
-        F.slice("_words", F.lit(i + 1), F.size("_words")).alias(f"w{i}")
-        for i in range(max(anchor_lengths, default=1))
-    ]
-    positions = words.select(*ids, F.explode(F.arrays_zip(*following)).alias("_at"))
-    anchors = [
-        # Too close to the end of the text the last word is NULL, and nothing is met.
-        F.when(
-            F.col(f"_at.w{n - 1}").isNotNull(),
-            F.concat_ws(" ", *[F.col(f"_at.w{i}") for i in range(n)]),
+    anchor_lengths = sorted({min(n, ANCHOR_WORDS) for n in lengths}) or [1]
+
+    def anchors(words: Column, n: int) -> Column:
+        return F.when(
+            F.size(words) >= n,
+            F.transform(
+                F.sequence(F.lit(1), F.size(words) - (n - 1)),
+                lambda i: F.array_join(F.slice(words, i, n), " "),
+            ),
         )
-        for n in anchor_lengths
-    ]
-    anchored = positions.select(*ids, F.explode(F.array(*anchors)).alias("_anchor"))
-    met = (
-        anchored.join(listed, "_anchor")
-        .select(*ids, "_phrase", "_whole", "_n")
-        .distinct()
+
+    spelled = texts.select(*ids, normalized(F.col(text)).alias("_text")).where("_text != ''")
+    every = let(
+        F.split("_text", " "),
+        lambda words: F.concat(
+            *[
+                F.coalesce(anchors(words, n), F.array().cast("array<string>"))
+                for n in anchor_lengths
+            ]
+        ),
+    )
+    different = spelled.select(*ids, F.explode(F.array_distinct(every)).alias("_anchor"))
+    anchored = different.withColumn("_anchor", _hashed(F.col("_anchor")))
+    met = durable(
+        anchored.join(listed, "_anchor").select(*ids, "_phrase", "_whole", "_n").distinct()
     )
     found = met.where(F.col("_n") <= ANCHOR_WORDS).select(*ids, "_phrase")
     if lengths and lengths[-1] > ANCHOR_WORDS:
         whole_words = F.contains(
             F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_whole", F.lit(" "))
         )
-        searched = met.where(F.col("_n") > ANCHOR_WORDS).join(spelled, list(ids))
+        searched = spelled.join(met.where(F.col("_n") > ANCHOR_WORDS), list(ids))
         found = found.unionByName(searched.where(whole_words).select(*ids, "_phrase"))
     return found.withColumnRenamed("_phrase", phrase)

@@ -11,12 +11,19 @@ SALTS = 16
 
 
 def first_urls(
-    stream: DataFrame, url: str, event_time: str, watermark: str, salts: int = SALTS
+    stream: DataFrame,
+    url: str,
+    event_time: str,
+    watermark: str | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The first arriving row of each URL without its query part.
 
-    ``event_time`` has to be a TIMESTAMP; the watermark bounds how long a URL is
-    remembered and has to cover how far apart copies may arrive.
+    ``event_time`` has to be a TIMESTAMP. Without a watermark a URL is remembered for
+    good, so no row is late and none is lost; state then grows with the number of
+    different URLs, for which the RocksDB state store is made. A watermark bounds how
+    long a URL is remembered, and Spark drops rows that arrive later than it allows, also
+    those of new URLs.
 
     Copies of a widely shared URL are first thinned under (URL, salt), which spreads
     them over tasks; at most one row per salt then meets in the second step.
@@ -26,6 +33,10 @@ def first_urls(
             "url_base": url_base(F.col(url)),
             "_salt": F.pmod(F.xxhash64(url, event_time), F.lit(salts)),
         }
-    ).withWatermark(event_time, watermark)
-    thinned = based.dropDuplicatesWithinWatermark(["url_base", "_salt"])
+    )
+    if watermark is None:
+        thinned = based.dropDuplicates(["url_base", "_salt"])
+        return thinned.dropDuplicates(["url_base"]).drop("_salt")
+    bounded = based.withWatermark(event_time, watermark)
+    thinned = bounded.dropDuplicatesWithinWatermark(["url_base", "_salt"])
     return thinned.dropDuplicatesWithinWatermark(["url_base"]).drop("_salt")

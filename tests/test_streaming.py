@@ -40,6 +40,28 @@ def test_spine_stream_restarts_where_it_stopped(spark, tmp_path):
         assert sorted(map(str, part(landed).collect())) == sorted(map(str, part(batch).collect()))
 
 
+def test_late_rows_of_new_urls_are_kept(spark, tmp_path):
+    """Each run a year earlier than the last: without a watermark no row is too late."""
+    for run in range(3):
+        rows = spark.createDataFrame(
+            [(f"http://h/{run}?a", f"{2024 - run}-01-01 00:00:00"), ("http://h/0?b", f"{2024 - run}-06-01 00:00:00")],
+            "url string, seen string",
+        )
+        rows.write.mode("append").json(str(tmp_path / "in"))
+        stream = spark.readStream.schema("url string, seen timestamp").json(str(tmp_path / "in"))
+        (
+            first_urls(stream, "url", "seen")
+            .writeStream.format("json")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    kept = [r.url_base for r in spark.read.json(str(tmp_path / "out")).collect()]
+    assert sorted(kept) == ["http://h/0", "http://h/1", "http://h/2"]
+
+
 def test_url_stream_keeps_one_row_per_url_across_runs(spark, tmp_path):
     schema = "url string, seen timestamp, n int"
     for run in range(3):
