@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.catalog.expressions import EVENT_URL_SQL, event_url, keyword_list_sql
+from stormledger.catalog.expressions import keyword_list_sql
 from stormledger.catalog.files import DISASTER_OF_PRIORITY_SQL, disaster_of_priority
 from stormledger.catalog.registry import query, table
 from stormledger.catalog.stand_ins import CLASSIFIED_SQL, SPINE_SQL, county_map, declarations
@@ -33,7 +33,8 @@ def enriched_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TITLES = {"R": "Storm and flooding near the COUNTY, again", "A": "flood", "N": "Weather report"}
+TITLES = ("Storm and flooding near the COUNTY, again", "flood", "Weather report")
+PER_PAYLOAD = 40
 
 _SYNONYM_CASES = " ".join(
     f"""WHEN '{kind}' THEN '{" OR ".join(f'"{w}"' for w in words)}'"""
@@ -49,71 +50,74 @@ EVENT_ARTICLES_SQL = f"""
 WITH spine AS ({SPINE_SQL}),
 events AS (
   SELECT *, {_QUERY_SQL} AS query FROM spine WHERE disaster <> ''
-), items AS (
-  SELECT *, {EVENT_URL_SQL} AS url,
-    CASE l_returnflag WHEN 'R' THEN '{TITLES["R"]}' WHEN 'A' THEN '{TITLES["A"]}'
-                      ELSE '{TITLES["N"]}' END AS title,
-    strftime(l_shipdate, '%Y%m%dT000000Z') AS seen
-  FROM lineitem
 ), scored AS (
-  SELECT fema_disaster_number, county_fips, disaster, window_start, window_end, trim(label) AS label, query,
-    url, title, seen,
-    len(list_filter({keyword_list_sql("query")}, lambda k: contains(lower(title), k))) AS score
-  FROM events JOIN items ON l_orderkey = fema_disaster_number
+  SELECT *, len(list_filter({keyword_list_sql("query")}, lambda k: contains(lower(title), k))) AS score
+  FROM (
+    SELECT events.*, pos, CASE pos % 3 WHEN 0 THEN '{TITLES[0]}' WHEN 1 THEN '{TITLES[1]}'
+        ELSE '{TITLES[2]}' END AS title,
+      'http://h/' || CAST((fema_disaster_number * 7 + pos * 13) % 4001 AS VARCHAR) || '?' ||
+        CAST(pos AS VARCHAR) AS url
+    FROM events, range({PER_PAYLOAD}) r(pos) WHERE pos < 30
+  )
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY split_part(url, '?', 1)
-    ORDER BY fema_disaster_number, seen, url, title) AS copy
+    ORDER BY date DESC NULLS LAST, fema_disaster_number, county_fips, pos) AS copy
   FROM scored WHERE score >= 1
 )
 SELECT CAST(fema_disaster_number AS VARCHAR) || '_' || county_fips || '_' ||
          substr(sha1(url), 1, 10) AS unique_entity_identifier,
   fema_disaster_number AS "disasterNumber", county_fips, disaster AS "incidentType",
-  window_start, window_end, title, url, seen AS datetime, 'English' AS lang, score,
-  'title_hits>=1' AS kept_reason, label, query AS gdelt_query
+  window_start, window_end, title, url, 'day ' || CAST(pos AS VARCHAR) AS datetime,
+  'English' AS lang, score, 'title_hits>=1' AS kept_reason, trim(label) AS label, query AS gdelt_query
 FROM ranked WHERE copy = 1
 """
 
 
 @query(EVENT_ARTICLES_SQL)
 def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spine -> payload articles -> title score -> one row per URL -> row key.
+    """Spine -> landed payloads -> title score -> one row per URL -> row key.
 
-    Line items are the landed articles of their order. The spine is written and read
-    again, as between the two jobs.
+    Every event has a payload of 40 articles, of which the job takes 30; many have a URL in
+    common with other events. Events with odd numbers have theirs in ``timeline``,
+    beside an empty ``articles``. All goes through files and ``run_articles``.
     """
-    path = scratch_path(spark, "spine")
-    append_ndjson(enriched_spine(spark, sf_dir), path)
-    events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
-    flag = F.col("l_returnflag")
-    article = F.struct(
-        F.when(flag == "R", TITLES["R"]).when(flag == "A", TITLES["A"]).otherwise(TITLES["N"])
-        .alias("title"),
-        event_url().alias("url"),
-        F.lit("").alias("seendateurl"),
-        F.date_format("l_shipdate", "yyyyMMdd'T000000Z'").alias("seendate"),
-        F.lit(None).cast("string").alias("date"),
-        F.lit(None).cast("string").alias("sourcecountry"),
-        F.lit("").alias("domain"),
-        F.lit("").alias("language"),
-    )
-    payloads = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("disasterNumber"),
-        F.array(article).alias("articles"),
-        F.array(article).alias("timeline"),
+    root = scratch_path(spark, "event-articles")
+    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
+    number, empty = F.col("disasterNumber"), F.lit("")
+
+    def article(i: Column) -> Column:
+        kind = i % 3
+        page = ((number * 7 + i * 13) % 4001).cast("string")
+        place = i.cast("string")
+        return F.struct(
+            F.when(kind == 0, TITLES[0]).when(kind == 1, TITLES[1]).otherwise(TITLES[2])
+            .alias("title"),
+            F.concat(F.lit("http://h/"), page, F.lit("?"), place).alias("url"),
+            empty.alias("seendateurl"),
+            F.concat(F.lit("day "), place).alias("seendate"),
+            F.lit(None).cast("string").alias("date"),
+            F.lit(None).cast("string").alias("sourcecountry"),
+            empty.alias("domain"),
+            empty.alias("language"),
+        )
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(PER_PAYLOAD - 1)), article)
+    none = F.filter(every, lambda a: F.lit(False))
+    landed = (
+        read_ndjson(spark, f"{root}/spine", SPINE)
+        .select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips")
+        .select(
+            "disasterNumber",
+            "county_fips",
+            F.when(number % 2 == 0, every).otherwise(none).alias("articles"),
+            every.alias("timeline"),
+        )
     )
-    candidates = article_plan.attach_payloads(events, payloads, ["disasterNumber"])
-    order = ["_event", "_seen", "_url", "_title"]
-    kept = article_plan.select_articles(
-        candidates.withColumns(
-            {
-                "_event": F.col("disasterNumber"),
-                "_seen": F.col("seendate"),
-                "_url": F.col("url"),
-                "_title": F.col("title"),
-            }
-        ),
-        order,
+    append_ndjson(landed, f"{root}/payloads")
+    article_plan.run_articles(
+        spark, f"{root}/spine", f"{root}/payloads", f"{root}/ndjson", f"{root}/csv"
     )
+    kept = read_ndjson(spark, f"{root}/ndjson", ARTICLE)
     key = row_key(F.col("disasterNumber"), F.col("county_fips"), F.col("url"))
     return kept.select(
         key.alias("unique_entity_identifier"),

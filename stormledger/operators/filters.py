@@ -12,6 +12,7 @@ from stormledger.functions.codes import valid_code
 from stormledger.functions.fixed import MIN_TITLE_HITS, START_DATE
 from stormledger.functions.text import safe_trim
 
+# The skip reasons as logged.
 NO_DATES = "no_dates"
 BAD_FIPS = "bad_fips"
 NOT_MAPPED = "fips_not_in_county_map"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.functions.categories import category_or_label, event_label
@@ -21,8 +21,10 @@ from stormledger.operators.filters import (
 from stormledger.operators.joins import lookup
 from stormledger.operators.ranking import page_slice
 from stormledger.operators.rollups import counts_by
+from stormledger.plans.counties import county_map
 from stormledger.schemas import SPINE, SPINE_BASIC_COLUMNS, SPINE_LOG_COLUMNS
 from stormledger.sinks.writers import append_ndjson, write_audit
+from stormledger.sources.tabular import read_counties
 
 DECLARED, WINDOWED = "declared", "windowed"
 
@@ -147,6 +149,15 @@ def skip_counts(classified: DataFrame) -> DataFrame:
     return counts_by(classified, "skip_reason")
 
 
+def load_county_map(spark: SparkSession, counties_path: str) -> DataFrame:
+    """The county map of county files; an empty one is an error, as every declaration
+    would be skipped for want of its county."""
+    known = county_map(read_counties(spark, counties_path))
+    if known.isEmpty():
+        raise ValueError(f"no county with a usable code in {counties_path}")
+    return known
+
+
 def run_spine(classified: DataFrame, spine_path: str, log_root: str, run_id: str) -> DataFrame:
     """Write spine and log, and return the counts by skip reason.
 

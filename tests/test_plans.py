@@ -248,6 +248,12 @@ def test_fallback_keys_are_unique_over_part_files(spark, tmp_path):
         assert got == [f"missingpk_{kind}_{i}" for i in range(6)]
 
 
+def test_empty_county_map_is_an_error(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("state_name,county_name_clean,county_geoid\nOhio,Allen,none\n")
+    with pytest.raises(ValueError, match="no county"):
+        spine.load_county_map(spark, str(tmp_path / "c.csv"))
+
+
 def test_county_map_takes_the_last_file(spark, tmp_path):
     for name, county, filler in (("a", "Old", 3), ("b", "New", 0)):
         rows = "".join(f"Ohio,F{i},39{i:03d}\n" for i in range(filler))
