@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormledger.llm.common import grams, let, letter_words, text_or_empty, word_hashes
+from stormledger.functions.arrays import let
+from stormledger.llm.common import grams, letter_words, text_or_empty, word_hashes
 from stormledger.storage import durable
 
 WINDOW = 10

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormledger.llm.common import SPACES, grams, let, space_words, text_or_empty, word_hashes
+from stormledger.functions.arrays import let
+from stormledger.llm.common import SPACES, grams, space_words, text_or_empty, word_hashes
 from stormledger.storage import durable
 
 SYMBOLS = "#*$%&|<>"

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,7 @@ from stormledger.llm.common import table
 from stormledger.llm.sql import ORACLES
 from stormledger.storage import durable, scratch_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -121,8 +126,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _runnable(query: Callable[[SparkSession, str], DataFrame]):
+    """The query, with Python workers told where this package lies, whatever their folder."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _runnable(f)
     for f in (
         op1_packing,
         op2_token_counts,
