@@ -269,9 +269,14 @@ def test_sanitise_keeps_columns_and_odd_rows(documents, odd_rows):
 # --- Jaccard ------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("seed", "k", "num", "den"), [(7, 3, 90, 100), (8, 5, 4, 5), (9, 2, 1, 2)])
-def test_jaccard_classes(documents, monkeypatch, seed, k, num, den):
-    monkeypatch.setattr(jaccard, "MEET", 4)  # long lists are dealt over cells
+@pytest.mark.parametrize(
+    ("seed", "k", "num", "den", "more"), [(7, 3, 90, 100, 4), (8, 5, 4, 5, 0), (9, 2, 1, 2, 0)]
+)
+def test_jaccard_classes(documents, monkeypatch, seed, k, num, den, more):
+    """With small homes and clusters, so that cells and single pairs take part."""
+    monkeypatch.setattr(jaccard, "MEET", 4)
+    monkeypatch.setattr(jaccard, "HOME_BYTES", 3000)
+    monkeypatch.setattr(jaccard, "MORE_HOMES", more)
     docs = brute.corpus(seed)
     found = jaccard.named(jaccard.classes(documents(docs), k, num, den, block_bytes=4000))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
@@ -302,6 +307,17 @@ def test_linked_finds_every_link():
     assert len(set(map(find, range(len(rows))))) == len(set(group.tolist()))
 
 
+def test_jaccard_odd_rows(documents, odd_rows):
+    found = jaccard.named(jaccard.classes(documents(odd_rows), 3, 90, 100, block_bytes=2000))
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
+    sizes = {t: len(brute.shingles(t, 3)) for _, t in odd_rows}
+    want = Counter()
+    for d, t in odd_rows:  # all that have the text of 4 are in its class, with or without id
+        want[(d, sizes[t], 4 if t == odd_rows[3][1] else d)] += 1
+    assert got == want
+    assert jaccard.named(jaccard.classes(documents([]))).count() == 0
+
+
 def test_keep_one_of_each_class(documents, odd_rows):
     docs = documents(odd_rows)
     kept = jaccard.keep_one(docs)
@@ -463,6 +479,17 @@ def test_quality_base_counts(documents, odd_rows):
     assert quality_rules.quality(documents([])).count() == 0
 
 
+def test_null_language_and_source(documents):
+    rows = [(i, f"{i} " + " ".join(f"w{i}x{j}" for j in range(60))) for i in range(6)]
+    docs = documents(rows[:3], None, None).unionByName(documents(rows[3:], "en", None))
+    found = quality_rules.quality(docs).collect()
+    assert {r.doc_id: r.kept for r in found} == {i: True for i in range(6)}
+    assert quality_rules.keep_good(docs).count() == 6
+    counts = token_counts.counted(docs, TOKENIZER, "v")
+    sums = token_counts.signed(counts, 1).groupBy("lang").sum("docs").collect()
+    assert {r[0]: r[1] for r in sums} == {None: 3, "en": 3}
+
+
 def test_sketches_merge_and_limits_adapt(documents):
     rng = random.Random(18)
 
