@@ -98,7 +98,7 @@ WORDS = ["storm", "flash", "flood", "travis", "county", "texas", "é", "a", "1"]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_find_phrases_equals_search(spark, seed):
+def test_find_phrases_equals_search(spark, broadcast_below, seed):
     rng = random.Random(seed)
     join = lambda n: "".join(rng.choice(WORDS) + rng.choice([" ", ", ", "-", "\n"]) for _ in range(n))
     texts = [(i, join(rng.randrange(0, 60))) for i in range(40)] + [(99, None), (98, "")]
