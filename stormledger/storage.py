@@ -26,9 +26,20 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where everything lies that this application writes for itself."""
+    return f"{shared_dir(spark)}/stormledger/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/stormledger/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the run's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_run_folder(spark: SparkSession) -> None:
+    """Delete the run's intermediate tables, once no frame that reads them is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stormledger import storage
 from stormledger.schemas import ARTICLE, ARTICLE_CSV_COLUMNS
 from stormledger.sinks import writers
 from stormledger.sources import lines, ndjson, payloads, tabular
@@ -233,3 +234,11 @@ def test_dual_sink(spark, tmp_path):
     assert list(record) == ARTICLE.names and record["gdelt_query"] == "query"
     [only] = tabular.read_csv(spark, str(tmp_path / "c")).collect()
     assert only.asDict().keys() == set(ARTICLE_CSV_COLUMNS) and only.title == "a,b"
+
+
+def test_run_folder_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_dir", lambda _: tmp_path.as_uri())
+    assert storage.durable(spark.range(3)).count() == 3
+    [kept] = (tmp_path / "stormledger").iterdir()
+    storage.drop_run_folder(spark)
+    assert not kept.exists()
