@@ -200,15 +200,15 @@ def limits(counts: DataFrame) -> DataFrame:
     """
     own = _limits(counts, ["lang", "source"], "own")
     lang = _limits(counts, ["lang"], "lang").withColumnRenamed("lang", "l")
-    everything = _limits(counts.withColumn("all", F.lit(1)), ["all"], "all")
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l"))).join(
-        F.broadcast(everything), F.col("own_docs") >= 0  # one row
-    )
+    everything = _limits(counts.withColumn("all", F.lit(1)), ["all"], "all").first()
+    of_all = everything["all_limits"] if everything else {}  # one number per ratio
+    all_limits = F.create_map(*[F.lit(x) for pair in sorted(of_all.items()) for x in pair])
     chosen = (
         F.when(F.col("own_docs") >= LEAST_GROUP, F.col("own_limits"))
         .when(F.col("lang_docs") >= LEAST_GROUP, F.col("lang_limits"))
-        .otherwise(F.col("all_limits"))
+        .otherwise(all_limits.cast("map<string,double>"))
     )
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l")))
     return joined.select("lang", "source", chosen.alias("limits"))
 
 
