@@ -19,8 +19,25 @@ def normalized(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def _hashed(anchor: Column) -> Column:
-    return F.struct(F.xxhash64(anchor).alias("a"), F.hash(anchor).alias("b"))
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _anchors(hashes: Column, n: int) -> Column:
+    """One hash for every n consecutive words, from the words' hashes."""
+    made = F.transform(
+        F.sequence(F.lit(0), F.size(hashes) - n),
+        lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(n)]),
+    )
+    return F.when(F.size(hashes) >= n, made).otherwise(F.array().cast("array<bigint>"))
+
+
+def _first_anchor(hashes: Column) -> Column:
+    """The anchor that a phrase begins with: of its first four words, or of all."""
+    chain = F.when(F.size(hashes) >= ANCHOR_WORDS, F.get(_anchors(hashes, ANCHOR_WORDS), F.lit(0)))
+    for n in range(1, ANCHOR_WORDS):
+        chain = chain.when(F.size(hashes) == n, F.get(_anchors(hashes, n), F.lit(0)))
+    return chain
 
 
 def find_phrases(
@@ -44,7 +61,7 @@ def find_phrases(
         .select(
             "_phrase",
             "_whole",
-            _hashed(F.substring_index("_whole", " ", ANCHOR_WORDS)).alias("_anchor"),
+            let(_word_hashes(F.split("_whole", " ")), _first_anchor).alias("_anchor"),
             (F.regexp_count("_whole", F.lit(" ")) + 1).alias("_n"),
         )
     )
@@ -54,27 +71,12 @@ def find_phrases(
     )
     anchor_lengths = sorted({min(n, ANCHOR_WORDS) for n in lengths}) or [1]
 
-    def anchors(words: Column, n: int) -> Column:
-        return F.when(
-            F.size(words) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size(words) - (n - 1)),
-                lambda i: F.array_join(F.slice(words, i, n), " "),
-            ),
-        )
-
     spelled = texts.select(*ids, normalized(F.col(text)).alias("_text")).where("_text != ''")
     every = let(
-        F.split("_text", " "),
-        lambda words: F.concat(
-            *[
-                F.coalesce(anchors(words, n), F.array().cast("array<string>"))
-                for n in anchor_lengths
-            ]
-        ),
+        _word_hashes(F.split("_text", " ")),
+        lambda hashes: F.array_distinct(F.concat(*[_anchors(hashes, n) for n in anchor_lengths])),
     )
-    different = spelled.select(*ids, F.explode(F.array_distinct(every)).alias("_anchor"))
-    anchored = different.withColumn("_anchor", _hashed(F.col("_anchor")))
+    anchored = spelled.select(*ids, F.explode(every).alias("_anchor"))
     met = durable(
         anchored.join(listed, "_anchor").select(*ids, "_phrase", "_whole", "_n").distinct()
     )
