@@ -283,6 +283,19 @@ def test_jaccard_classes(documents, monkeypatch, seed, k, num, den, more):
     assert got == brute.jaccard_classes(docs, k, num, den)
 
 
+def test_jaccard_ignores_the_case_of_a_to_z(documents):
+    """Copies in capitals link, and a shingle in two casings is one; É and é stay two letters."""
+    docs = brute.corpus(11, 30)
+    docs += [(1000 + d, t.translate({v: k for k, v in brute.FOLD.items()})) for d, t in docs[:15]]
+    docs += [(2000 + d, f"{t.title()} {t}") for d, t in docs[:15]]
+    docs += [(3000, "É b c d"), (3001, "é b c d"), (3002, "é B C d")]
+    found = jaccard.named(jaccard.classes(documents(docs), 3, 90, 100))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()}
+    folded = [(d, t.translate(brute.FOLD)) for d, t in docs]
+    assert got == brute.jaccard_classes(folded, 3, 90, 100)
+    assert got != brute.jaccard_classes(docs, 3, 90, 100)
+
+
 def test_linked_finds_every_link():
     rng = random.Random(10)
     base = rng.sample(range(10**6), 60)
