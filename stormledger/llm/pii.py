@@ -1,16 +1,17 @@
 """Information-theoretic sanitisation of personal data. Native expressions only.
 
 Protected entities are the e-mail addresses, IP addresses, card numbers and phone numbers that
-fixed patterns find, each a span of code points. What is written around them may give
-them away too. For every entity that stands in several different texts, the terms near it
-are judged by the corpus: a term's pointwise mutual information with the entity, against
+fixed patterns find, each a span of code points. What else these texts say may give them
+away too. For every entity in at least ``LEAST_TEXTS`` different texts, all terms of its
+texts are judged by the corpus, however far from the entity; rarer entities are not judged: a term's pointwise mutual information with the entity, against
 the entity's own information -log2 p(entity), says which share of it the term discloses.
 Terms at or above ``DISCLOSURE`` are sanitised as well, wherever they stand in the texts
 that hold the entity: numbers are generalised to [NUMBER], others replaced by [TERM].
 
-All counts are over all documents. Only the terms near entities are counted: the corpus's
-words meet the candidate terms by a join (broadcast only where they were counted and are
-few) and are summed in each task before the shuffle. Entities are hashes there, not texts.
+All counts are over all documents. Pairs of entity and term are summed in each task before
+the shuffle, for entities in enough texts alone. The corpus's words are summed in each task
+too, after meeting the candidate terms where these were counted and are few enough to be
+broadcast, before it where not. Entities are hashes there, not texts.
 
 Patterns are written with possessive quantifiers and start only where a run starts, so that
 matching takes linear time and no deep recursion on long runs.
@@ -36,7 +37,6 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-NEAR = 8  # words on either side of an entity that are judged
 DISCLOSURE = 0.85  # share of an entity's information that a term may not reach
 LEAST_TEXTS = 3  # different texts that must hold entity and term together
 BROADCAST_TERMS = 500_000
@@ -147,65 +147,77 @@ def _all(base: Column) -> Column:
     return F.concat(*[_tagged(base[k], k) for k in KINDS])
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """(text_key, entity, term): distinct terms near each entity of a text.
-
-    ``found`` has text_key, text and spans (from base_spans, as one array).
-    """
-    entity = F.xxhash64("s.kind", F.lower("s.value"))
-    before = letter_words(F.substr("text", F.lit(1), F.col("s.start")))
-    after = letter_words(F.substr("text", F.col("s.end") + 1, F.length("text")))
-    near = F.array_distinct(
-        F.concat(
-            let(before, lambda w: F.slice(w, F.greatest(F.size(w) - NEAR + 1, F.lit(1)), NEAR)),
-            F.slice(after, 1, NEAR),
-        )
-    )
+def holders(docs: DataFrame) -> DataFrame:
+    """(text_key, text, entities, docs): each different text with an entity, and its documents."""
+    rows = docs.select(F.xxhash64("text").alias("text_key"), text_or_empty("text").alias("text"))
+    held = rows.withColumn("spans", _all(base_spans(F.col("text")))).where(F.size("spans") > 0)
+    entity = F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))
     return (
-        found.select("text_key", "text", F.explode("spans").alias("s"))
-        .select("text_key", entity.alias("entity"), F.explode(near).alias("term"))
-        .distinct()
+        held.withColumn("entities", F.array_distinct(entity))
+        .groupBy("text_key")
+        .agg(
+            F.first("text").alias("text"),
+            F.first("entities").alias("entities"),
+            F.count("*").alias("docs"),
+        )
     )
 
 
+def _if_few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_TERMS else rows
+
+
 def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """(text_key, terms): the terms that give an entity of this text away.
 
     The counts of entities and of terms with them are over texts with multiplicity: every
     document counts. Support is over different texts.
     """
-    rows = docs.select(F.xxhash64("text").alias("text_key"), text_or_empty("text").alias("text"))
-    held = rows.withColumn("spans", _all(base_spans(F.col("text")))).where(F.size("spans") > 0)
-    pairs = durable(contexts(held))
-    copies = held.groupBy("text_key").agg(F.count("*").alias("docs"))
-    weighted = pairs.join(copies, "text_key")
+    held = durable(holders(docs))
+    keys = held.select("text_key", "docs", F.explode("entities").alias("entity"))
+    entities = durable(
+        keys.groupBy("entity")
+        .agg(F.sum("docs").alias("n_entity"), F.count("*").alias("texts"))
+        .where(F.col("texts") >= LEAST_TEXTS)
+        .drop("texts")
+    )
+    judgeable = (
+        keys.join(_if_few(entities.select("entity")), "entity")
+        .groupBy("text_key")
+        .agg(F.collect_set("entity").alias("judged"))
+    )
+    terms_of = F.array_distinct(letter_words(F.col("text")))
+    pairs = (
+        held.join(judgeable, "text_key")
+        .select("text_key", "docs", "judged", terms_of.alias("terms"))
+        .select("text_key", "docs", "terms", F.explode("judged").alias("entity"))
+        .select("text_key", "docs", "entity", F.explode("terms").alias("term"))
+    )
     together = (
-        weighted.groupBy("entity", "term")
+        pairs.groupBy("entity", "term")
         .agg(F.sum("docs").alias("n_both"), F.count("*").alias("texts"))
         .where(F.col("texts") >= LEAST_TEXTS)
     )
-    entities = (
-        weighted.select("entity", "text_key", "docs")
-        .distinct()
-        .groupBy("entity")
-        .agg(F.sum("docs").alias("n_entity"))
-    )
     candidates = durable(together.join(entities, "entity"))
     terms = candidates.select("term").distinct()
     few = terms.count() <= BROADCAST_TERMS
-    words = rows.select(F.explode(F.array_distinct(letter_words(F.col("text")))).alias("term"))
-    counted = (
-        words.join(F.broadcast(terms) if few else terms, "term")
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+    words = docs.select(
+        F.explode(F.array_distinct(letter_words(text_or_empty("text")))).alias("term")
     )
-    total = F.lit(float(max(1, rows.count())))
+    met = words.join(F.broadcast(terms), "term") if few else words
+    counted = met.groupBy("term").agg(F.count("*").alias("n_term"))
+    total = F.lit(float(max(1, docs.count())))
     shared = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    judged = candidates.join(counted, "term").where(
-        (F.col("n_entity") < total) & (shared >= F.lit(disclosure) * F.log2(total / F.col("n_entity")))
+    judged = durable(
+        candidates.join(counted, "term")
+        .where(
+            (F.col("n_entity") < total)
+            & (shared >= F.lit(disclosure) * F.log2(total / F.col("n_entity")))
+        )
+        .select("entity", "term")
     )
     return (
-        pairs.join(judged.select("entity", "term"), ["entity", "term"])
+        pairs.join(_if_few(judged), ["entity", "term"])
         .groupBy("text_key")
         .agg(F.sort_array(F.collect_set("term")).alias("terms"))
     )

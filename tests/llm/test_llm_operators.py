@@ -258,6 +258,21 @@ def test_terms_that_disclose(documents):
             assert "Zanthor" not in text and "secret" not in text
 
 
+def test_terms_far_from_the_entity_disclose(documents, monkeypatch):
+    """A name always forty words from the address; candidates both broadcast and not."""
+    rng = random.Random(12)
+    common = [f"w{i}" for i in range(30)]
+    fill = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [(i, fill(120)) for i in range(200)]
+    rows += [(1000 + i, f"Quillon {fill(40)} me@far.example {fill(40)} 90210") for i in range(5)]
+    texts = dict(rows)
+    for few in (pii.BROADCAST_TERMS, 0):
+        monkeypatch.setattr(pii, "BROADCAST_TERMS", few)
+        for r in pii.find(documents(rows)).collect():
+            terms = {texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"}
+            assert terms == ({"Quillon", "90210"} if r.doc_id >= 1000 else set())
+
+
 def test_sanitise_keeps_columns_and_odd_rows(documents, odd_rows):
     docs = documents(odd_rows)
     done = pii.sanitise(docs)
