@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stormledger.llm import (
     chat,
     decontamination,
+    importance,
     jaccard,
     licenses,
     packing,
@@ -126,6 +127,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return importance.resample(docs, target)
+
+
 def _runnable(query: Callable[[SparkSession, str], DataFrame]):
     """The query, with Python workers told where this package lies, whatever their folder."""
 
@@ -150,6 +156,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_quality_rules,
         op10_substring_dedup,
+        op13_importance_resampling,
     )
 }
 SQL = {name: ORACLES[name] for name in QUERIES if name in ORACLES}

@@ -258,3 +258,46 @@ reach(doc_id, other) AS (
 SELECT d.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
 """
+
+#: The checksum of a feature, a byte at a time over the table of the polynomial.
+_BYTES = "list_transform(range(0, octet_length(encode(g))), lambda i: ('0x' || substr(hex(encode(g)), 2 * i::INT + 1, 2))::BIGINT)"
+
+ORACLES["op13_importance_resampling"] = f"""
+WITH RECURSIVE crc(i, k, c) AS (
+  SELECT i, 0, i FROM range(0, 256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+),
+lookup AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8),
+d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+b AS (SELECT {_LETTERS} AS w FROM benchmark),
+runs AS (
+  SELECT doc_id, true AS raw, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM d
+  UNION ALL
+  SELECT NULL, false, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) FROM b
+),
+hashed AS (
+  SELECT g, xor(list_reduce({_BYTES}, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM runs), lookup
+),
+f AS (SELECT doc_id, raw, bucket FROM runs JOIN hashed USING (g)),
+n AS (SELECT bucket, (count(*) FILTER (WHERE raw))::DOUBLE AS s, (count(*) FILTER (WHERE NOT raw))::DOUBLE AS t FROM f GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (big_s + 10000)) / ((s + 1) * (big_t + 10000))))::BIGINT AS gain
+  FROM n, (SELECT sum(s) AS big_s, sum(t) AS big_t FROM n)
+),
+mean AS (SELECT doc_id, sum(gain)::BIGINT AS total, count(*) AS k FROM f JOIN gain USING (bucket) WHERE raw GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(w) AS n_words, coalesce(k, 0) AS n_features,
+    CASE WHEN k IS NULL THEN 0 ELSE (total - ((total % k) + k) % k) // k END AS weight,
+    floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS gumbel
+  FROM d LEFT JOIN mean USING (doc_id)
+),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY weight + gumbel DESC, doc_id) AS r, count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight::BIGINT AS weight, (weight + gumbel)::BIGINT AS score,
+  CASE WHEN r <= 25 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
