@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stormledger.llm import (
     chat,
+    collocations,
     decontamination,
     importance,
     jaccard,
@@ -127,6 +128,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return importance.resample(docs, target)
@@ -156,6 +161,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_quality_rules,
         op10_substring_dedup,
+        op12_phrase_collocations,
         op13_importance_resampling,
     )
 }

@@ -301,3 +301,46 @@ SELECT doc_id, n_features, weight::BIGINT AS weight, (weight + gumbel)::BIGINT A
   CASE WHEN r <= 25 * n // 100 THEN r END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+ORACLES["op12_phrase_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_extract_all(unnest(string_split_regex({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+  FROM documents
+),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM pieces, range(1, 5) t(m) WHERE len(w) >= m
+  ) GROUP BY ALL HAVING count(*) >= 30
+),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+cuts AS (
+  SELECT lang, phrase, m, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : m], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c)
+),
+best AS (
+  SELECT cuts.lang, cuts.phrase, cuts.m, a, x.f AS l, y.f AS r, (2000000 * a::HUGEINT // (x.f + y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1
+),
+held AS (
+  SELECT DISTINCT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c))
+),
+kept AS (
+  SELECT * FROM best WHERE NOT EXISTS (
+    SELECT 1 FROM held WHERE held.lang = best.lang AND held.phrase = best.phrase AND 100 * longer >= 80 * a
+  )
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
