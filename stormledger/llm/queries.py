@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stormledger.llm import (
     chat,
     collocations,
+    context_tree,
     decontamination,
     importance,
     jaccard,
@@ -128,6 +129,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = context_tree.in_fold(F.col("doc_id"), 7, 2)
+    return context_tree.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -161,6 +167,7 @@ QUERIES = {
         op8_quality_classifier,
         op9_quality_rules,
         op10_substring_dedup,
+        op11_lm_scoring,
         op12_phrase_collocations,
         op13_importance_resampling,
     )
