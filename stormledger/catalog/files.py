@@ -8,12 +8,13 @@ from pyspark.sql import types as T
 
 from stormledger.catalog.registry import query, table
 from stormledger.catalog.stand_ins import CLASSIFIED_SQL, county_map, declarations
+from stormledger.functions import records
 from stormledger.operators.numbering import index_rows
 from stormledger.operators.rollups import counts_by
 from stormledger.plans import spine as spine_plan
 from stormledger.schemas import ARTICLE, DECLARATION_ARRAY
 from stormledger.sinks import writers
-from stormledger.sources import lines, ndjson, payloads, tabular
+from stormledger.sources import csv_blocks, lines, ndjson, payloads, tabular
 from stormledger.storage import scratch_path
 
 
@@ -37,6 +38,50 @@ def scan_csv_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source,
+              row_number() OVER (ORDER BY doc_id) - 1 AS row_index
+       FROM documents"""
+)
+def scan_csv_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted line breaks in files that are read chunk by chunk, records numbered."""
+    path = scratch_path(spark, "documents-csv")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    writers.write_csv(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), path)
+    rows = csv_blocks.read_numbered_csv(spark, path, across_files=True, chunk_bytes=1 << 16)
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "source", "row_index")
+
+
+@query(
+    """SELECT event_id, 'new ' || CAST(event_id AS VARCHAR) AS key,
+              CASE event_type WHEN 'error' THEN 'old' END AS inner_key,
+              CASE event_type WHEN 'error' THEN 3 ELSE 2 END AS fields
+       FROM events"""
+)
+def record_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-level field set in records that have it nowhere, further inside, as a list, an
+    object, or twice."""
+    kind, event_id = F.col("event_type"), F.col("event_id").cast("string")
+    old = (
+        F.when(kind == "error", ', "meta": {"key": "old"}')
+        .when(kind == "view", ', "key": ["x", {"key": "}"}]')
+        .when(kind == "click", ', "key": {"key": 1}, "k\\u0065y": "again"')
+        .otherwise("")
+    )
+    record = F.concat(F.lit('{"id": '), event_id, old, F.lit("}"))
+    edited = records.with_field(record, "key", F.concat(F.lit("new "), event_id))
+    return (
+        table(spark, sf_dir, "events")
+        .select("event_id", edited.alias("record"))
+        .select(
+            "event_id",
+            F.get_json_object("record", "$.key").alias("key"),
+            F.get_json_object("record", "$.meta.key").alias("inner_key"),
+            F.size(F.json_object_keys("record")).alias("fields"),
+        )
+    )
+
+
 ORDER_LINE = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"
 
 

@@ -26,7 +26,7 @@ from stormledger.operators.phrases import find_phrases
 from stormledger.operators.ranking import top_n_per_group
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
 from stormledger.sinks.writers import write_articles, write_audit
-from stormledger.sources.ndjson import read_ndjson_tolerant
+from stormledger.sources.ndjson import land_ndjson
 from stormledger.sources.payloads import explode_articles
 from stormledger.storage import durable
 
@@ -259,8 +259,8 @@ def run_articles(
     Returns the number of candidates and of articles kept, both counted while writing,
     and of malformed lines.
     """
-    spine, bad_events = read_ndjson_tolerant(spark, spine_path, SPINE)
-    payloads, bad_payloads = read_ndjson_tolerant(spark, payload_path, LANDED_PAYLOAD)
+    spine, bad_events = land_ndjson(spark, spine_path, SPINE)
+    payloads, bad_payloads = land_ndjson(spark, payload_path, LANDED_PAYLOAD)
     events = events_from_spine(spine, F.col("date").alias("_date"))
     rest = [c for c in EVENT_COLUMNS if c not in ("keywords", *EVENT_KEY)]
     place = F.struct("_date", "disasterNumber", "county_fips", *rest)

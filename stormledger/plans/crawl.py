@@ -18,7 +18,7 @@ from stormledger.operators.numbering import assign_chunks
 from stormledger.operators.rollups import articles_by_date, first_by
 from stormledger.schemas import PROGRESS_COLUMNS, WORK_KEY
 from stormledger.sinks.writers import append_ndjson, write_audit, write_csv, write_ndjson
-from stormledger.sources.ndjson import read_ndjson_tolerant
+from stormledger.sources.ndjson import land_ndjson
 from stormledger.sources.payloads import csv_payload_array, explode_structs, usable_payload
 from stormledger.sources.tabular import read_counties, read_done_keys
 from stormledger.storage import durable
@@ -144,7 +144,7 @@ def run_ingest(
     With a ``run_id`` both outputs go to a folder of that run, and repeating the run
     replaces it; without one they are appended. Returns the totals.
     """
-    landed, bad = read_ndjson_tolerant(spark, payload_path, LANDED_PAYLOAD)
+    landed, bad = land_ndjson(spark, payload_path, LANDED_PAYLOAD)
     text = F.when(accepted(), F.col("csv_text"))
     days = durable(
         payload_days(landed.where("status = 200").withColumn("csv_text", text)).drop("csv_text")

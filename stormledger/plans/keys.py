@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormledger.functions.keys import KEY_PARTS, missing_parts, row_key_or_fallback
+from stormledger.functions.records import with_field
+from stormledger.functions.text import strip
 from stormledger.schemas import ROW_KEY_COLUMN
 from stormledger.sinks.writers import write_audit, write_csv
-from stormledger.sources.lines import number_csv_rows, number_lines
-from stormledger.sources.ndjson import CORRUPT, parse_lines
-from stormledger.sources.tabular import read_csv
+from stormledger.sources.csv_blocks import read_numbered_csv
+from stormledger.sources.lines import number_lines
+from stormledger.sources.ndjson import CORRUPT, parsed_line
 
 MISSING = "missing_parts"
 _KEY_FIELDS = T.StructType([T.StructField(name, T.StringType()) for name in KEY_PARTS])
-_KEY_IN_RECORD = rf'"{ROW_KEY_COLUMN}"\s*+:\s*+(?:"(?:[^"\\]|\\.)*+"|[^,}}\s]++)'
 
 
 def _keyed(rows: DataFrame, file_kind: str, index: str) -> DataFrame:
@@ -35,7 +36,7 @@ def keyed_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Fallback keys count the rows of all part files, so they are unique in the table.
     """
-    rows = number_csv_rows(read_csv(spark, path), "_index", "_file", across_files=True)
+    rows = read_numbered_csv(spark, path, "_index", "_file", across_files=True)
     columns = [c for c in rows.columns if c not in ("_index", "_file", ROW_KEY_COLUMN)]
     filled = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
     return _keyed(rows, "csv", "_index").select(
@@ -43,31 +44,21 @@ def keyed_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _with_key(record: Column, key: Column) -> Column:
-    """The JSON object with the key as its last field, or in the place of an old key."""
-    field = F.concat(F.lit(f'"{ROW_KEY_COLUMN}": '), F.to_json(F.struct(key.alias("k"))))
-    field = F.regexp_replace(field, r'\{"k":(.*)\}$', "$1")
-    opened = F.regexp_replace(record, r"\s*+\}\s*+$", "")
-    comma = F.when(F.rlike(opened, F.lit(r"^\s*\{\s*$")), "").otherwise(", ")
-    quoted = F.replace(F.replace(field, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
-    return F.when(
-        F.rlike(record, F.lit(_KEY_IN_RECORD)),
-        F.regexp_replace(record, F.lit(_KEY_IN_RECORD), quoted),
-    ).otherwise(F.concat(opened, comma, field, F.lit("}")))
-
-
 def keyed_ndjson(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows with their record as text, key last; malformed lines).
 
     A record keeps all fields it came with, known or not, as they were written. A fallback
     key and a malformed line both carry the physical line index, which counts blank and
-    malformed lines, through all part files.
+    malformed lines, through all part files. Lines are parsed once, as they are numbered.
     """
-    lines = number_lines(spark, path, across_files=True).drop("file")
-    rows = parse_lines(lines.withColumn("record", F.col("value")), _KEY_FIELDS)
-    good = _keyed(rows.where(F.col(CORRUPT).isNull()), "ndjson", "line_index")
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select("line_index", CORRUPT)
-    record = _with_key(F.col("record"), F.col(ROW_KEY_COLUMN)).alias("record")
+    line = {"_line": parsed_line(F.col("value"), _KEY_FIELDS)}
+    rows = number_lines(spark, path, across_files=True, more=line).where(
+        strip(F.col("value")) != ""
+    )
+    parsed = rows.where("_line.good").select("line_index", "value", "_line.row.*")
+    good = _keyed(parsed, "ndjson", "line_index")
+    bad = rows.where("NOT _line.good").select("line_index", F.col("value").alias(CORRUPT))
+    record = with_field(F.col("value"), ROW_KEY_COLUMN, F.col(ROW_KEY_COLUMN)).alias("record")
     return good.select("line_index", *KEY_PARTS, record, ROW_KEY_COLUMN, MISSING), bad
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger.functions.text import strip
@@ -20,9 +22,17 @@ def count_csv_rows(lines: DataFrame, text: str = "value") -> DataFrame:
     return count_lines(lines, text).select(F.greatest(F.col("lines") - 1, F.lit(0)).alias("rows"))
 
 
-def number_lines(spark: SparkSession, path: str, across_files: bool = False) -> DataFrame:
+def number_lines(
+    spark: SparkSession,
+    path: str,
+    across_files: bool = False,
+    more: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """(file, line_index, value): the 0-based physical line, blank lines included.
 
+    ``more`` names further columns made of ``value``, written down with the lines, so that
+    they are computed once.
+
     Lines count per file, or with ``across_files`` through all files in path order, as
     if the folder's parts were one file.
 
@@ -37,6 +47,7 @@ def number_lines(spark: SparkSession, path: str, across_files: bool = False) ->
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_seq"),
             "value",
+            *[column.alias(name) for name, column in (more or {}).items()],
         )
     )
     group, block = ([], ["file", "_block"]) if across_files else (["file"], ["_block"])

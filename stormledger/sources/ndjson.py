@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stormledger.functions.arrays import let
 from stormledger.functions.text import strip
+from stormledger.storage import durable
 
 CORRUPT = "_corrupt_record"
 
@@ -30,43 +32,85 @@ def is_json_object(text: Column) -> Column:
     return F.coalesce(whole & strip(text).startswith("{"), F.lit(False))
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
-    """Parse a column of JSON lines; a malformed line keeps its text in ``CORRUPT``.
+#: A field that no record has, of the object that has to follow a record in an array.
+_LAST = "\\u0001last"
+
+
+def parsed_line(text: Column, schema: T.StructType) -> Column:
+    """struct<good, row> of a line that should be one JSON object; ``row`` is NULL if it is not.
 
-    Fields are read as text first and cast to their type then, so a number written as a
-    string is read too; a value that does not fit its type is NULL and the row stays.
-    Other columns, such as the line index, stay next to the fields. Blank lines are
-    dropped.
+    One parse says both: the line is read as the first of two entries of an array, the second
+    of which is known. What is no object, or more than one, breaks the array or shifts that
+    entry. Fields are read as text first and cast to their type then, so a number written as
+    a string is read too; a value that does not fit its type is NULL and the row stays.
     """
     nested = (T.ArrayType, T.MapType, T.StructType)
-    as_text = T.StructType(
-        [
-            f if isinstance(f.dataType, nested) else T.StructField(f.name, T.StringType())
+    as_text = [
+        f if isinstance(f.dataType, nested) else T.StructField(f.name, T.StringType())
+        for f in schema
+    ]
+    last = _LAST.encode().decode("unicode_escape")
+    entry = T.ArrayType(T.StructType([*as_text, T.StructField(last, T.StringType())]))
+    entries = F.from_json(
+        F.concat(F.lit("["), text, F.lit(f',{{"{_LAST}":"0"}}]')),
+        entry,
+        {"allowSingleQuotes": "false"},
+    )
+
+    def checked(found: Column) -> Column:
+        record = F.get(found, F.lit(0))
+        whole = (F.size(found) == 2) & (F.get(found, F.lit(1))[last] == "0") & record.isNotNull()
+        good = F.coalesce(whole & ~F.contains(text, F.lit(_LAST)), F.lit(False))
+        fields = [
+            record[f.name].alias(f.name)
+            if isinstance(f.dataType, (*nested, T.StringType))
+            else record[f.name].try_cast(f.dataType).alias(f.name)
             for f in schema
         ]
-    )
+        return F.struct(good.alias("good"), F.when(good, F.struct(*fields)).alias("row"))
+
+    return let(entries, checked)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
+    """Parse a column of JSON lines; a malformed line keeps its text in ``CORRUPT``.
+
+    Other columns, such as the line index, stay next to the fields. Blank lines are dropped.
+    A line is parsed once, also where the result is filtered: the parsed line is exploded, as
+    a list of one, and filters do not move below that.
+    """
     others = [c for c in lines.columns if c != text]
-    good = is_json_object(F.col(text))
-    row = F.when(F.col("_good"), F.from_json(F.col(text), as_text))
-    fields = [
-        F.col(f"_row.`{f.name}`").alias(f.name)
-        if isinstance(f.dataType, (*nested, T.StringType))
-        else F.col(f"_row.`{f.name}`").try_cast(f.dataType).alias(f.name)
-        for f in schema
-    ]
+    once = F.explode(F.array(parsed_line(F.col(text), schema))).alias("_line")
     return (
         lines.where(strip(F.col(text)) != "")
-        .withColumn("_good", good)
-        .withColumn("_row", row)
-        .select(*others, *fields, F.when(~F.col("_good"), F.col(text)).alias(CORRUPT))
+        .select(*others, F.col(text).alias("_text"), once)
+        .select(
+            *others,
+            *[F.col(f"_line.row.`{f.name}`").alias(f.name) for f in schema],
+            F.when(~F.col("_line.good"), F.col("_text")).alias(CORRUPT),
+        )
     )
 
 
 def read_ndjson_tolerant(
     spark: SparkSession, path: str, schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed lines). Neither frame needs a cache."""
-    rows = parse_lines(spark.read.text(path), schema)
+    """(good rows, malformed lines), each from a parse of its own."""
+    return _parted(parse_lines(spark.read.text(path), schema))
+
+
+def land_ndjson(
+    spark: SparkSession, path: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, malformed lines) of one parse, whose rows are kept in the shared folder.
+
+    For jobs that use the rows and also count or keep the malformed lines: these are read
+    back by their column alone.
+    """
+    return _parted(durable(parse_lines(spark.read.text(path), schema)))
+
+
+def _parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return good, bad

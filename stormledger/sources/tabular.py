@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stormledger.functions.text import strip
 from stormledger.schemas import COUNTY_ALIASES, STATE_ALIASES, WORK_KEY
-from stormledger.sources.lines import number_csv_rows
+from stormledger.sources.csv_blocks import read_numbered_csv
 
 
 def resolve_column(columns: Sequence[str], aliases: Sequence[str]) -> str | None:
@@ -67,7 +67,7 @@ def read_counties(spark: SparkSession, path: str) -> DataFrame:
     Rows without a state or a county name are dropped. ``file`` and ``row_index``
     say where a row stood.
     """
-    raw = number_csv_rows(read_csv(spark, path))
+    raw = read_numbered_csv(spark, path)
     named = select_aliased(
         raw,
         {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -52,3 +53,9 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Tell Python workers where this package lies, whatever their folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
