@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from stormledger.operators.numbering import index_rows
 from stormledger.operators.rollups import counts_by
 from stormledger.plans import spine as spine_plan
 from stormledger.schemas import ARTICLE, DECLARATION_ARRAY
-from stormledger.sinks import writers
+from stormledger.sinks import commits, writers
 from stormledger.sources import csv_blocks, lines, ndjson, payloads, tabular
 from stormledger.storage import scratch_path
 
@@ -405,3 +407,49 @@ def union_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ndjson.read_ndjson(spark, path, rows.schema)
 
 
+@query(
+    """SELECT run_id, o_orderkey, o_totalprice, count(*) OVER (PARTITION BY run_id) AS counted
+       FROM orders JOIN (VALUES ('a', 'F'), ('a', 'P'), ('b', 'P'), ('b', 'O')) v(run_id, status)
+         ON status = o_orderstatus"""
+)
+def run_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pulls of two outputs each. Each is cut off once between its outputs, and run twice
+    after that: rows and totals count once."""
+    root = scratch_path(spark, "committed-runs")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    log = commits.RunLog(spark, f"{root}/runs")
+    outputs = {
+        "rows": commits.Output(f"{root}/rows"),
+        "log": commits.Output(f"{root}/log", by_run=True),
+    }
+
+    def pull(run_id: str, statuses: list[str], cut: bool):
+        def write(folder: dict[str, str]) -> dict:
+            pulled = rows.where(F.col("o_orderstatus").isin(statuses))
+            writers.write_ndjson(pulled.withColumn("run", F.lit(run_id)), folder["rows"])
+            if cut:
+                raise InterruptedError
+            landed = ndjson.read_ndjson(spark, folder["rows"], "o_orderkey bigint, run string")
+            landed.write.parquet(folder["log"])
+            return {"rows": landed.count()}
+
+        return write
+
+    for run_id, statuses in (("a", ["F", "P"]), ("b", ["P", "O"])):
+        with contextlib.suppress(InterruptedError):
+            log.run(run_id, outputs, pull(run_id, statuses, cut=True))
+        for _ in range(2):
+            log.run(run_id, outputs, pull(run_id, statuses, cut=False))
+    counted = spark.createDataFrame(
+        [(r["run_id"], r["totals"]["rows"]) for r in log.records()], "run_id string, counted bigint"
+    )
+    shown = ndjson.read_ndjson(
+        spark, f"{root}/rows", "o_orderkey bigint, o_totalprice double, run string"
+    )
+    logged = spark.read.parquet(f"{root}/log").select("run_id", "o_orderkey")
+    return (
+        shown.withColumnRenamed("run", "run_id")
+        .join(logged, ["run_id", "o_orderkey"])
+        .join(counted, "run_id")
+        .select("run_id", "o_orderkey", "o_totalprice", "counted")
+    )

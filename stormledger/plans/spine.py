@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.functions.categories import category_or_label, event_label
+from stormledger.functions.categories import category_or_label, event_label, is_default_category
 from stormledger.functions.codes import compose_geoid
 from stormledger.functions.dates import event_window, iso_prefix, iso_text, parse_date_lenient
 from stormledger.functions.fixed import PAGE_SIZE, POST_DAYS, PRE_DAYS
@@ -23,7 +25,8 @@ from stormledger.operators.ranking import page_slice
 from stormledger.operators.rollups import counts_by
 from stormledger.plans.counties import county_map
 from stormledger.schemas import SPINE, SPINE_BASIC_COLUMNS, SPINE_LOG_COLUMNS
-from stormledger.sinks.writers import append_ndjson, write_audit
+from stormledger.sinks.commits import Output, RunLog
+from stormledger.sinks.writers import write_ndjson
 from stormledger.sources.tabular import read_counties
 
 DECLARED, WINDOWED = "declared", "windowed"
@@ -161,12 +164,31 @@ def load_county_map(spark: SparkSession, counties_path: str) -> DataFrame:
 def run_spine(classified: DataFrame, spine_path: str, log_root: str, run_id: str) -> DataFrame:
     """Write spine and log, and return the counts by skip reason.
 
-    The classified rows are written once, as the log run's full record; spine and
-    counts are read back from it. Appending the same pull twice adds its rows twice.
+    The classified rows are written once, as the log run's full record; spine and counts are
+    read back from it. All three outputs and the totals count together: a run that failed
+    leaves no rows that readers see, and repeating a run adds nothing. Pulls with different
+    ids are added to each other, also where they overlap.
     """
     spark = classified.sparkSession
-    write_audit(classified, f"{log_root}/classified", run_id)
-    landed = spark.read.parquet(f"{log_root}/classified/run_id={run_id}")
-    append_ndjson(spine(landed), spine_path)
-    write_audit(spine_log(landed), f"{log_root}/log", run_id)
-    return skip_counts(landed)
+    outputs = {
+        "classified": Output(f"{log_root}/classified", by_run=True),
+        "spine": Output(spine_path),
+        "log": Output(f"{log_root}/log", by_run=True),
+    }
+
+    def write(folder: dict[str, str]) -> dict:
+        classified.write.parquet(folder["classified"])
+        landed = spark.read.parquet(folder["classified"])
+        write_ndjson(spine(landed), folder["spine"])
+        spine_log(landed).write.parquet(folder["log"])
+        reasons = {r.skip_reason: r.n for r in skip_counts(landed).collect()}
+        kept = F.col("skip_reason") == KEPT
+        unlisted = is_default_category(F.col("fema_incident_type"))
+        return {
+            "declarations": sum(reasons.values()),
+            "by_reason": reasons,
+            "default_category": landed.where(kept & unlisted).count(),
+        }
+
+    RunLog(spark, f"{log_root}/runs").run(run_id, outputs, write)
+    return skip_counts(spark.read.parquet(f"{log_root}/classified/run_id={quote(run_id, safe='')}"))
