@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stormledger.catalog.expressions import EVENT_URL_SQL, event_url
 from stormledger.catalog.registry import query, table
 from stormledger.operators import dedup, numbering, ranking
+from stormledger.operators.selection import Key, rows_between
 
 
 @query(
@@ -52,10 +53,26 @@ def topn_per_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    newest = [F.col("o_orderdate").desc(), F.col("o_orderkey")]
+    newest = [Key("o_orderdate", descending=True), Key("o_orderkey")]
     return ranking.page_slice(orders, newest, skip=1000, pages=2).drop("o_orderdate")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, rank FROM (
+         SELECT *, row_number() OVER (ORDER BY l_extendedprice, l_shipdate DESC, l_orderkey, l_linenumber,
+                                      l_partkey, l_suppkey) - 1 AS rank, count(*) OVER () AS n FROM lineitem)
+       WHERE rank >= n // 2 AND rank < n // 2 + 500"""
+)
+def rows_at_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows from the middle of an order: pivots close in on both sides of them."""
+    keys = [Key("l_extendedprice"), Key("l_shipdate", descending=True)]
+    keys += [Key(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    items = table(spark, sf_dir, "lineitem").select(*[k.name for k in keys])
+    middle = items.count() // 2
+    found = rows_between(items, keys, middle, middle + 500, few=2000)
+    return found.select("l_orderkey", "l_linenumber", "l_extendedprice", "rank")
+
+
 @query(
     """SELECT o_orderkey, o_custkey, row_number() OVER (
               ORDER BY sha1('7:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1 AS place

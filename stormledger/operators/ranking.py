@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stormledger.functions.fixed import PAGE_SIZE
 from stormledger.operators.numbering import index_rows
+from stormledger.operators.selection import Key, rows_between
 
 
 def top_n_per_group(
@@ -25,16 +26,24 @@ def top_n_per_group(
 
 
 def page_slice(
-    df: DataFrame, order: Sequence[Column], skip: int = 0, pages: int = 1, size: int = PAGE_SIZE
+    df: DataFrame,
+    order: Sequence[Key | str | Column],
+    skip: int = 0,
+    pages: int = 1,
+    size: int = PAGE_SIZE,
 ) -> DataFrame:
     """``pages`` pages of ``size`` rows after the first ``skip`` rows of ``order``.
 
-    ``order`` needs a tie-break to be repeatable. Rows are numbered by a distributed sort,
-    and the slice is a range of numbers, however deep the page lies.
+    ``order`` needs a tie-break to be repeatable. Ordered by keys or names, the table is neither
+    sorted nor written: pivots are found on both sides of the slice, however deep it lies, and
+    only the rows between them are. An order of other expressions is sorted as a whole.
     """
+    end = skip + pages * size
+    if all(isinstance(o, (Key, str)) for o in order):
+        keys = [Key(o) if isinstance(o, str) else o for o in order]
+        return rows_between(df, keys, skip, end, "_rank").drop("_rank")
     numbered = index_rows(df, order, "_index")
-    wanted = (F.col("_index") >= skip) & (F.col("_index") < skip + pages * size)
-    return numbered.where(wanted).drop("_index")
+    return numbered.where((F.col("_index") >= skip) & (F.col("_index") < end)).drop("_index")
 
 
 def ordered(

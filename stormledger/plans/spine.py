@@ -22,6 +22,7 @@ from stormledger.operators.filters import (
 )
 from stormledger.operators.joins import lookup
 from stormledger.operators.ranking import page_slice
+from stormledger.operators.selection import Key
 from stormledger.operators.rollups import counts_by
 from stormledger.plans.counties import county_map
 from stormledger.schemas import SPINE, SPINE_BASIC_COLUMNS, SPINE_LOG_COLUMNS
@@ -43,10 +44,8 @@ def select_declarations(
     )
     if max_pages is None:
         return wanted
-    newest = [
-        F.col("declarationDate").desc(),
-        *[F.col(c) for c in wanted.columns if c != "declarationDate"],
-    ]
+    rest = [c for c in wanted.columns if c != "declarationDate"]
+    newest = [Key("declarationDate", descending=True), *[Key(c) for c in rest]]
     return page_slice(wanted, newest, pages=max_pages, size=page_size)
 
 
