@@ -27,9 +27,11 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,9 +46,9 @@ TOP = 2000
 SCALE = 2_000_000
 CONTAINED_PERCENT = 80
 ROOM = 8
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 STRETCH_BYTES = 1 << 20
-HELD = 1 << 22  # counters that a task holds before it sends them
+HELD = 1 << 21  # counters that a task holds before it sends them
 FLUSHED = 400_000  # phrases that a task counts before it sends them
 KEY_BITS = 48  # of a hash, in pass one
 BITMAP_BITS = 27
@@ -211,8 +213,11 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def exact_counts(docs: DataFrame, known: np.ndarray, threshold: int) -> DataFrame:
-    """(lang, words, phrase, n): the frequent n-grams, and per language, with no words, all words."""
+def exact_counts(docs: DataFrame, known: np.ndarray, threshold: int, parts: int) -> DataFrame:
+    """(lang, words, phrase, n): the frequent n-grams, and per language, with no words, all words.
+
+    A task sends its counts as lists, one for each hash partition, language and number of words.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,16 +226,19 @@ def exact_counts(docs: DataFrame, known: np.ndarray, threshold: int) -> DataFram
 
         def sent() -> Iterator[pa.RecordBatch]:
             for (lang, n), counts in found.items():
-                phrases = pa.array([p.decode() for p in counts], pa.string())
-                rows = len(phrases)
+                dealt: dict[int, list[bytes]] = {}
+                for phrase in counts:
+                    dealt.setdefault(crc32(phrase) % parts, []).append(phrase)
+                rows = len(dealt)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(dealt, pa.int32()),
                         pa.array([lang] * rows, pa.string()),
                         pa.array([n] * rows, pa.int32()),
-                        phrases,
-                        pa.array(list(counts.values()), pa.int64()),
+                        pa.array(list(dealt.values()), pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+                        pa.array([[counts[p] for p in x] for x in dealt.values()], pa.list_(pa.int64())),
                     ],
-                    ["lang", "words", "phrase", "n"],
+                    ["part", "lang", "words", "phrases", "counts"],
                 )
             found.clear()
 
@@ -252,20 +260,36 @@ def exact_counts(docs: DataFrame, known: np.ndarray, threshold: int) -> DataFram
                         yield from sent()
         yield from sent()
 
-    parts = docs.mapInArrow(counted, "lang string, words int, phrase string, n bigint")
-    return (
-        parts.groupBy("lang", "words", "phrase")
-        .agg(F.sum("n").alias("n"))
-        .where((F.col("words") == 0) | (F.col("n") >= threshold))
+    def summed(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lists = table.column("phrases").combine_chunks()
+        row = pc.list_parent_indices(lists)
+        one = pa.table(
+            {
+                "lang": table.column("lang").take(row),
+                "words": table.column("words").take(row),
+                "phrase": lists.flatten(),
+                "n": table.column("counts").combine_chunks().flatten(),
+            }
+        )
+        all_of = one.group_by(["lang", "words", "phrase"]).aggregate([("n", "sum")])
+        all_of = all_of.select(["lang", "words", "phrase", "n_sum"]).rename_columns(one.column_names)
+        often = pc.or_(pc.equal(all_of["words"], 0), pc.greater_equal(all_of["n"], threshold))
+        return all_of.filter(often)
+
+    cells = docs.mapInArrow(
+        counted, "part int, lang string, words int, phrases array<string>, counts array<bigint>"
     )
+    return cells.groupBy("part").applyInArrow(summed, "lang string, words int, phrase string, n bigint")
 
 
 def frequent(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(lang, words, phrase, n) of all n-grams that occur so often, written to the shared folder."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = partial_counts(rows, 1 + size // PART_BYTES)
-    return durable(exact_counts(rows, bitmap(may_be_frequent(cells, threshold)), threshold))
+    parts = 1 + size // PART_BYTES
+    known = bitmap(may_be_frequent(partial_counts(rows, parts), threshold))
+    return durable(exact_counts(rows, known, threshold, parts))
 
 
 def _run_of(words: Column, first: Column | int, number: Column) -> Column:
