@@ -39,6 +39,15 @@ def _exact(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def _plain(path: str):
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = True
+    return made
+
+
 class Encoder:
     """Encodes with the tokenizer file at ``path``, special strings as their ids."""
 
@@ -61,7 +70,13 @@ class Encoder:
         """Special strings are ordinary text here."""
         if self.fast is None:
             raise ValueError(f"no ranks beside {self.path}")
-        return self.fast.encode_ordinary(text)
+        if len(text) < 1_000_000:
+            try:
+                return self.fast.encode_ordinary(text)
+            except BaseException as error:  # a panic in native code is no Exception
+                if isinstance(error, (KeyboardInterrupt, SystemExit)):
+                    raise
+        return _plain(self.path).encode(text, add_special_tokens=False).ids
 
     def decode(self, ids: list[int]) -> str:
         return self.fast.decode(ids)
