@@ -153,9 +153,11 @@ def scan_text(text: bytes, phrases: dict[bytes, str], automata: list[Automaton])
         at = joined.find(phrase)
         if at >= 0:
             labels.add(label)
-        while at >= 0:
-            places.append(joined.count(b" ", 0, at))
-            at = joined.find(phrase, at + 1)
+        place, done = 0, 0
+        while at >= 0:  # words between neighbouring hits are counted once
+            place += joined.count(b" ", done, at)
+            places.append(place)
+            done, at = at, joined.find(phrase, at + 1)
     matches = []
     for automaton in automata:
         if automaton.anchor not in joined:
