@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormledger.functions.arrays import let
-from stormledger.llm.common import grams, letter_words, text_or_empty, word_hashes
+from stormledger.llm.common import grams, letter_words, text_or_empty, whole_row, word_hashes
 from stormledger.storage import durable
 
 WINDOW = 10
@@ -243,7 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, with all their columns."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(whole_row(docs).alias("row"))
     found = _renamed(hits(docs, benchmark).select("doc_id", "text_key"))
     same = F.col("row.doc_id").eqNullSafe(F.col("k1")) & (F.xxhash64("row.text") == F.col("k2"))
     return rows.join(found, same, "left_anti").select("row.*")

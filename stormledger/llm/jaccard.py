@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormledger.llm import blocks
+from stormledger.llm.common import whole_row
 from stormledger.llm.components import roots
 from stormledger.llm.fingerprints import mix, windows, word_hashes
 from stormledger.storage import durable
@@ -396,7 +397,7 @@ def keep_one(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> Dat
     )
     empty = found.where("n = 0").select("doc_id", "text_key").distinct()
     kept = kept.union(empty.select("doc_id", "text_key", F.lit(True)))
-    rows = docs.select(F.struct(*docs.columns).alias("row")).select(
+    rows = docs.select(whole_row(docs).alias("row")).select(
         "row", F.col("row.doc_id").alias("k1"), F.xxhash64("row.text").alias("k2")
     )
     same = rows["k1"].eqNullSafe(kept["k1"]) & (rows["k2"] == kept["k2"])

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormledger.functions.arrays import let
-from stormledger.llm.common import letter_words, text_or_empty
+from stormledger.llm.common import letter_words, running, text_or_empty, whole_row
 from stormledger.storage import durable
 
 #: Java forms of the base patterns: same matches, leftmost and not overlapping.
@@ -40,6 +40,7 @@ KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.85  # share of an entity's information that a term may not reach
 LEAST_TEXTS = 3  # different texts that must hold entity and term together
 BROADCAST_TERMS = 500_000
+BLOCK = 4096  # code points
 
 
 def _spans(text: Column, pattern: Column) -> Column:
@@ -48,31 +49,17 @@ def _spans(text: Column, pattern: Column) -> Column:
     pieces = F.split(text, pattern, -1)
 
     def placed(m: Column) -> Column:
-        sizes = F.zip_with(
-            F.slice(pieces, 1, F.size(m)),
+        lengths = F.zip_with(
+            F.slice(pieces, 1, F.size(m)), m, lambda gap, value: F.length(gap) + F.length(value)
+        )
+        ends = running(lengths, lambda total, x: total + x)
+        return F.zip_with(
+            ends,
             m,
-            lambda before, value: F.struct(
-                F.length(before).alias("gap"), F.length(value).alias("size"), value.alias("value")
+            lambda end, value: F.struct(
+                (end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")
             ),
         )
-        kind = "array<struct<start:int,end:int,value:string>>"
-        return F.aggregate(
-            sizes,
-            F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
-            lambda s, x: F.struct(
-                (s["at"] + x["gap"] + x["size"]).alias("at"),
-                F.concat(
-                    s["out"],
-                    F.array(
-                        F.struct(
-                            (s["at"] + x["gap"]).alias("start"),
-                            (s["at"] + x["gap"] + x["size"]).alias("end"),
-                            x["value"].alias("value"),
-                        )
-                    ),
-                ).alias("out"),
-            ),
-        )["out"]
 
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return let(found, lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(none))
@@ -238,7 +225,7 @@ def term_spans(text: Column, terms: Column, base: Column) -> Column:
 def _with_terms(docs: DataFrame, disclosure: float) -> DataFrame:
     """(row, spans): every row with all its spans, by kind as listed and then by start."""
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("text_key")
+        whole_row(docs).alias("row"), F.xxhash64("text").alias("text_key")
     )
     terms = durable(disclosing(docs, disclosure))
     terms = terms.withColumnRenamed("text_key", "k")
@@ -269,6 +256,34 @@ def _replacement(span: Column) -> Column:
     )
 
 
+def _cleaned(text: Column, spans: Column) -> Column:
+    """The text with its spans, in order of their starts, replaced. It is cut into blocks first,
+    as finding a place in a string takes longer the further back it lies."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(BLOCK))
+    blocks = F.transform(starts, lambda at: F.substr(text, at, F.lit(BLOCK)))
+    reach = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+    def joined(x: Column) -> Column:
+        def piece(start: Column, end: Column) -> Column:
+            first = F.floor(start / BLOCK).cast("int")
+            number = F.floor(end / BLOCK).cast("int") - first + 1
+            near = F.array_join(F.slice(x["blocks"], first + 1, number), "")
+            return F.substr(near, start - first * BLOCK + 1, end - start)
+
+        def replaced(span: Column, i: Column) -> Column:
+            done = F.coalesce(F.get(x["reach"], i - 1), F.lit(0))
+            return F.when(
+                span["start"] >= done, F.concat(piece(done, span["start"]), _replacement(span))
+            ).otherwise("")
+
+        last = F.get(x["reach"], F.size(x["reach"]) - 1)
+        return F.concat(
+            F.array_join(F.transform(spans, replaced), ""), piece(last, F.length(text))
+        )
+
+    return let(F.struct(blocks.alias("blocks"), reach.alias("reach")), joined)
+
+
 def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """The table with each span replaced by its kind; ``n_chars`` of changed texts follows, if any.
 
@@ -276,24 +291,7 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """
     found = _with_terms(docs, disclosure)
     text = F.col("row.text")
-    clean = F.aggregate(
-        F.array_sort("spans"),
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda s, x: F.struct(
-            F.when(
-                x["start"] >= s["at"],
-                F.concat(
-                    s["out"],
-                    F.substr(text, s["at"] + 1, x["start"] - s["at"]),
-                    _replacement(x),
-                ),
-            )
-            .otherwise(s["out"])
-            .alias("out"),
-            F.greatest(s["at"], x["end"]).alias("at"),
-        ),
-        lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1, F.length(text))),
-    )
+    clean = let(F.array_sort("spans"), lambda spans: _cleaned(text, spans))
     done = found.select(
         "row", F.when(F.size("spans") > 0, clean).otherwise(text).alias("text"), "spans"
     )

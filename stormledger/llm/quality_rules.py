@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormledger.functions.arrays import let
-from stormledger.llm.common import SPACES, grams, space_words, text_or_empty, word_hashes
+from stormledger.llm.common import (
+    SPACES,
+    grams,
+    space_words,
+    text_or_empty,
+    whole_row,
+    word_hashes,
+)
 from stormledger.storage import durable
 
 SYMBOLS = "#*$%&|<>"
@@ -240,7 +247,7 @@ def quality(docs: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> Data
 def keep_good(docs: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """The documents that pass, with all their columns. Texts are read twice, not shuffled
     unless the limits are too many to broadcast."""
-    plain = docs.select(F.struct(*docs.columns).alias("row"))
+    plain = docs.select(whole_row(docs).alias("row"))
     narrow = plain.select(
         F.col("row.text").alias("text"),
         F.col(f"row.{keys[0]}").alias("lang"),
