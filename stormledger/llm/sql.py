@@ -13,6 +13,10 @@ _LETTERS = (
 )
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
 ORACLES: dict[str, str] = {}
 
 
@@ -238,7 +242,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 ORACLES["op5_ngram_jaccard"] = f"""
-WITH RECURSIVE d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACED.replace("coalesce(text, '')", _LOWERED)} AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
@@ -302,10 +306,6 @@ SELECT doc_id, n_features, weight::BIGINT AS weight, (weight + gumbel)::BIGINT A
 FROM scored LEFT JOIN ranked USING (doc_id)
 """
 
-_LOWERED = (
-    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-)
-
 ORACLES["op12_phrase_collocations"] = f"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,

@@ -32,7 +32,7 @@ def corpus(seed: int, n: int = 60, longest: int = 160) -> list[tuple[int, str]]:
     for _ in range(n):
         kind = rng.random()
         if texts and kind < 0.15:
-            texts.append(rng.choice(texts))
+            texts.append(rng.choice([str, str.upper, str.title])(rng.choice(texts)))
         elif texts and kind < 0.45:
             parts = rng.choice(texts).split(" ")
             for _ in range(rng.randint(1, 3)):
@@ -48,7 +48,7 @@ def corpus(seed: int, n: int = 60, longest: int = 160) -> list[tuple[int, str]]:
 
 
 def shingles(text: str | None, k: int) -> frozenset:
-    words = spaced(text)
+    words = spaced((text or "").translate(FOLD))
     if not words:
         return frozenset()
     if len(words) < k:
