@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 #: Names that the operators use inside, as further columns of the input.
-CLASHES = "block bin q row start words sig spans k1 k2 text_key n hashes token kept".split()
+CLASHES = "block bin q row start words sig spans k1 k2 text_key n hashes token kept meta.x".split()
 
 
 @pytest.fixture

@@ -1,0 +1,368 @@
+"""Language-model scores, collocations and resampling against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import brute
+import numpy as np
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stormledger.llm import collocations, context_tree, counters, importance, radix
+
+@pytest.fixture
+def with_values(monkeypatch):
+    """Set a module's constants, in Python workers too."""
+    sent = []
+
+    def put(module, **values):
+        for name, value in values.items():
+            monkeypatch.setattr(module, name, value)
+        cloudpickle.register_pickle_by_value(module)
+        sent.append(module)
+
+    yield put
+    for module in sent:
+        cloudpickle.unregister_pickle_by_value(module)
+
+
+# --- radix sort ---------------------------------------------------------------------------
+
+
+@pytest.fixture
+def small_chunks(monkeypatch):
+    monkeypatch.setattr(radix, "CHUNK_BITS", 3)
+    monkeypatch.setattr(radix, "DIGIT_BITS", 3)
+
+
+@pytest.mark.parametrize("spread", [0, 5, 10**6, 2**62])
+def test_radix_positions(spark, small_chunks, spread):
+    rng = random.Random(spread)
+    rows = [(rng.randint(-spread, spread), rng.choice([0, 0, 0, 1, -9])) for _ in range(200)]
+    if spread == 2**62:
+        rows += [(2**63 - 1, 0), (-(2**63), 0)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint").repartition(4)
+    got = radix.positions(df, ["a", "b"]).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert [(r.a, r.b) for r in got] == sorted(rows)
+
+
+def test_radix_of_nothing_and_of_one(spark, small_chunks):
+    df = spark.createDataFrame([], "a bigint, b bigint")
+    assert radix.positions(df, ["a"]).count() == 0
+    df = spark.createDataFrame([(4, 4)] * 30, "a bigint, b bigint").repartition(4)
+    assert sorted(r.position for r in radix.positions(df, ["a", "b"]).collect()) == list(range(30))
+
+
+def test_radix_pass_is_stable(spark, small_chunks):
+    rows = [(i, (i * 7) % 3) for i in range(100)]
+    df = spark.createDataFrame(rows, "position bigint, k bigint").repartition(4)
+    got = radix.counting_pass(df, F.col("k")).orderBy("position").collect()
+    assert [r.k for r in got] == sorted(k for _, k in rows)
+    plain = radix.counting_pass(df.withColumn("was", F.col("position")), F.col("k"))
+    by_key = defaultdict(list)
+    for r in plain.orderBy("position").collect():
+        by_key[r.k].append(r.was)
+    assert all(v == sorted(v) for v in by_key.values())
+
+
+# --- importance resampling ----------------------------------------------------------------
+
+
+def resampled(docs, target, percent=25, least=20):
+    buckets = 10_000
+
+    def features(text):
+        words = brute.letters(text)
+        return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+    def bucket(feature):
+        return zlib.crc32(feature.encode()) % buckets
+
+    s = Counter(bucket(f) for _, t in docs for f in features(t))
+    t = Counter(bucket(f) for _, x in target for f in features(x))
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (big_s + buckets) / ((s[b] + 1) * (big_t + buckets))))
+        for b in range(buckets)
+    ]
+    rows = []
+    for d, text in docs:
+        found = features(text)
+        weight = sum(gain[bucket(f)] for f in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"7:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((d, len(found), weight, score, len(brute.letters(text)) >= least))
+    fit = sorted((r for r in rows if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    drawn = percent * len(fit) // 100
+    out = [(*r[:4], i + 1 if i < drawn else None) for i, r in enumerate(fit)]
+    return sorted(out + [(*r[:4], None) for r in rows if not r[4]], key=str)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_resampling(spark, documents, seed, small_chunks):
+    docs = brute.corpus(seed, 80)
+    target = brute.corpus(seed + 50, 6)
+    bench = spark.createDataFrame(target, "item_id bigint, text string")
+    rows = importance.resample(documents(docs), bench).collect()
+    assert sorted(map(tuple, rows), key=str) == resampled(docs, target)
+
+
+def test_resampling_odd_rows(spark, documents, odd_rows):
+    bench = spark.createDataFrame([(1, None), (None, "ab cd one two")], "item_id bigint, text string")
+    rows = importance.resample(documents(odd_rows), bench, percent=80).collect()
+    assert sorted(map(tuple, rows), key=str) == resampled(odd_rows, [(1, None), (0, "ab cd one two")], 80)
+    assert importance.resample(documents([]), bench).count() == 0
+    alone = importance.resample(documents(odd_rows), bench.limit(0)).collect()
+    assert sorted(map(tuple, alone), key=str) == resampled(odd_rows, [])
+    with pytest.raises(TypeError):
+        named = documents(odd_rows).withColumn("doc_id", F.lit("x"))
+        importance.resample(named, bench)
+
+
+def test_features_are_cut_between_pieces(monkeypatch):
+    text = "word " * 50 + "x" * 300 + " end é1 " * 20
+    whole = [b for _, found in importance.features(text.encode(), 10_000) for b in found]
+    monkeypatch.setattr(importance, "PIECE_BYTES", 7)
+    parts = list(importance.features(text.encode(), 10_000))
+    assert len(parts) > 20 and Counter(b for _, f in parts for b in f) == Counter(whole)
+
+
+def test_draw_follows_the_target(spark, documents):
+    """Texts in the target's words are drawn far more often than others."""
+    rng = random.Random(1)
+    near = [(i, " ".join(rng.choices(["proof", "lemma", "field", "ring"], k=40))) for i in range(40)]
+    far = [(i + 100, " ".join(rng.choices(["cat", "dog", "tea", "sun"], k=40))) for i in range(120)]
+    bench = spark.createDataFrame([(1, "proof lemma field ring " * 50)], "item_id bigint, text string")
+    rows = importance.resample(documents(near + far), bench).collect()
+    drawn = [r.doc_id for r in rows if r.rank]
+    assert len(drawn) == 40 and sum(d < 100 for d in drawn) > 25  # 10 by chance
+
+
+# --- collocations -------------------------------------------------------------------------
+
+
+def pieces(text):
+    lowered = (text or "").translate(brute.FOLD)
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def best_phrases(docs, threshold, top=2000):
+    """{lang: rows}; docs are (lang, text)."""
+    out = {}
+    for lang in {x or "und" if x is None else x for x, _ in docs}:
+        f, n = Counter(), 0
+        for own, text in docs:
+            if (own if own is not None else "und") == lang:
+                for words in pieces(text):
+                    n += len(words)
+                    for size in range(1, 5):
+                        f.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= threshold}
+        rows = []
+        for p, a in often.items():
+            inside = (
+                100 * b >= 80 * a
+                for q, b in often.items()
+                if len(q) > len(p)
+                and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+            )
+            if any(inside):
+                continue
+            score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        rows.sort()
+        out[lang] = [
+            (lang, i + 1, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(rows[:top])
+        ]
+    return sorted(x for rows in out.values() for x in rows)
+
+
+@pytest.fixture
+def small_summaries(with_values):
+    small = {"HELD": 200, "FLUSHED": 20, "PART_BYTES": 2000, "STRETCH_BYTES": 64, "ROOM": 1}
+    with_values(collocations, **small)
+
+
+def phrase_rows(seed, n=60):
+    rng = random.Random(seed)
+    words = ["a", "B", "new", "york", "city", "é", "ou", "x\x00y"]
+    texts = []
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 60)):
+            parts.append(rng.choice(["new york city", "b b b", rng.choice(words), rng.choice(words)]))
+        texts.append("".join(p + rng.choice([" ", " ", "  ", "\t", ". ", ",", "\r\n"]) for p in parts))
+    return [(rng.choice(["en", "en", "fr", None, "und"]), t) for t in texts] + [("en", None), ("", "")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_collocations(spark, small_summaries, seed):
+    rows = phrase_rows(seed)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    for threshold, top in ((12, 2000), (5, 7)):
+        got = collocations.collocations(df, threshold, top).collect()
+        assert sorted(map(tuple, got)) == best_phrases(rows, threshold, top)
+
+
+def test_collocations_of_odd_rows(spark, documents, odd_rows):
+    assert collocations.collocations(documents([])).count() == 0
+    got = collocations.collocations(documents(odd_rows, lang=None)).collect()
+    assert sorted(map(tuple, got)) == best_phrases([(None, t) for _, t in odd_rows], 30)
+
+
+def test_exact_scores_beyond_64_bits(spark):
+    big = 9 * 10**17
+    grams = spark.createDataFrame(
+        [("en", 1, "a", big + 3), ("en", 1, "b", big + 1), ("en", 2, "a b", big)],
+        "lang string, words int, phrase string, n bigint",
+    )
+    [row] = collocations.scored(grams).collect()
+    assert row.score == 2_000_000 * big // (2 * big + 4)
+    assert collocations.contained(grams).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_summaries_keep_what_is_frequent(seed):
+    """Whatever is merged in whatever order, no count loses more than mass over capacity."""
+    rng = np.random.default_rng(seed)
+    values = np.concatenate([rng.zipf(1.3, 4000) % 3000, np.repeat(np.arange(5000, 5040), 30)])
+    rng.shuffle(values)
+    capacity = len(values) // 30 + 1
+    summary = collocations.Summary(capacity)
+    for part in np.array_split(values.astype(np.uint64), 17):
+        summary.merge([counters.tallied(part)])
+        assert len(summary.keys) <= capacity
+    assert summary.lost <= len(values) / (capacity + 1)
+    true = Counter(values.tolist())
+    survivors = set(summary.survivors(30).tolist())
+    assert {v for v, n in true.items() if n >= 30} <= survivors
+
+
+# --- context trees ------------------------------------------------------------------------
+
+
+def kt(a, b):
+    return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+
+
+class Tree:
+    """One context tree per partial byte, by the textbook's recursion."""
+
+    def __init__(self, depth):
+        self.depth, self.counts = depth, defaultdict(lambda: [0, 0])
+
+    def decisions(self, text):
+        data = b"\xff" * self.depth + text + b"\xff"
+        for i in range(self.depth, len(data)):
+            for k in range(8):
+                bits = (1 << k) | data[i] >> (8 - k)
+                yield data[i - self.depth : i], bits, data[i] >> (7 - k) & 1
+
+    def learn(self, text):
+        for context, bits, bit in self.decisions(text):
+            for d in range(self.depth + 1):
+                self.counts[context[self.depth - d :], bits][bit] += 1
+
+    def ln_mixed(self, context, bits):
+        a, b = self.counts.get((context, bits), (0, 0))
+        if len(context) == self.depth or a + b == 0:
+            return kt(a, b)
+        below = sum(
+            self.ln_mixed(bytes([c]) + context, bits)
+            for c in range(256)
+            if (bytes([c]) + context, bits) in self.counts
+        )
+        high, low = max(kt(a, b), below), min(kt(a, b), below)
+        return high + math.log1p(math.exp(low - high)) - math.log(2)
+
+    def ln_chance(self, context, bits, bit):
+        """How the root's probability changes when the bit is seen in this context."""
+        before = self.ln_mixed(b"", bits)
+        nodes = [(context[self.depth - d :], bits) for d in range(self.depth + 1)]
+        fresh = [n for n in nodes if n not in self.counts]
+        for n in nodes:
+            self.counts[n][bit] += 1
+        after = self.ln_mixed(b"", bits)
+        for n in nodes:
+            self.counts[n][bit] -= 1
+        for n in fresh:
+            del self.counts[n]
+        return after - before
+
+
+def test_scores_equal_the_textbook(documents, with_values):
+    with_values(context_tree, DEPTH=2, BLOCK_BYTES=60, PIECE_BYTES=32, HELD=50)
+    docs = [(1, "abab abba"), (2, "Abc abc é"), (3, None), (4, "new text ab"), (5, "ab" * 30), (None, "ab")]
+    rows = context_tree.score(documents(docs), F.coalesce(F.col("doc_id") == 4, F.lit(False))).collect()
+    tree = Tree(2)
+    for d, t in docs:
+        if d != 4:
+            tree.learn((t or "").translate(brute.FOLD).encode())
+    for r in rows:
+        text = (dict(docs)[r.doc_id] or "").translate(brute.FOLD).encode()
+        want = sum(tree.ln_chance(*x) for x in tree.decisions(text))
+        assert r.score == pytest.approx(want / math.log(10), rel=1e-9)
+        assert r.bits_per_byte == pytest.approx(-want / math.log(2) / (len(text) + 1))
+
+
+def unigram(docs, held):
+    words = {i: brute.spaced((t or "").translate(brute.FOLD)) + [None] for i, (_, t) in enumerate(docs)}
+    seen = Counter(w for i, (d, _) in enumerate(docs) if not held(d) for w in words[i])
+    total, distinct = sum(seen.values()), len(seen)
+    return sorted(
+        (
+            str(d),
+            held(d),
+            len(words[i]),
+            sum(seen[w] > 0 for w in words[i]),
+            total,
+            round(sum(math.log10((seen[w] + 1) / (total + distinct + 1)) for w in words[i]), 6),
+        )
+        for i, (d, _) in enumerate(docs)
+    )
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_unigram_base(documents, odd_rows, seed):
+    docs = brute.corpus(seed, 40) if seed else odd_rows
+
+    def held(d):
+        return zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+
+    rows = context_tree.score(documents(docs), context_tree.in_fold(F.col("doc_id"), 7, 2)).collect()
+    got = sorted((str(r.doc_id), *tuple(r)[1:5], round(r.base_score, 6)) for r in rows)
+    assert got == unigram(docs, held)
+    assert all(r.score < 0 for r in rows)
+
+
+def test_scores_without_training_or_rows(documents):
+    assert context_tree.score(documents([]), F.lit(False)).count() == 0
+    [row] = context_tree.score(documents([(1, "ab")]), F.lit(True)).collect()
+    assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0)
+    assert row.score == pytest.approx(3 * 8 * math.log10(0.5))
+
+
+def test_familiar_text_costs_less(documents):
+    docs = brute.corpus(4, 60, 200)
+    rng = random.Random(0)
+    strange = [(2000 + i, "".join(rng.choices("qzjxkvw", k=300))) for i in range(5)]
+    held = F.col("doc_id") % 3 == 0
+    rows = context_tree.score(documents(docs + strange), held | (F.col("doc_id") >= 2000)).collect()
+    long = [r for r in rows if r.n_tokens > 40 or r.doc_id >= 2000]
+    known = [r.bits_per_byte for r in long if r.held_out and r.doc_id < 2000]
+    assert max(known) < min(r.bits_per_byte for r in long if r.doc_id >= 2000)
+
+
+def test_gamma(evaluate):
+    xs = [0.5, 1.0, 3.25, 1e3, 1e9]
+    got = evaluate(context_tree.ln_gamma, *xs, types=[T.DoubleType()])
+    assert got == pytest.approx([math.lgamma(x) for x in xs], rel=1e-11, abs=1e-10)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -24,6 +25,7 @@ from stormledger.llm import (
     substring_dedup,
     token_counts,
 )
+from stormledger.llm.common import running
 from stormledger.llm.components import roots
 from stormledger.llm.tokens import Encoder
 from stormledger.storage import scratch_path
@@ -567,3 +569,60 @@ def test_substring_dedup_odd_rows(documents, odd_rows):
             want[(d, 72, 72)] += 1
         assert got == +want
     assert substring_dedup.remove_repeats(documents([])).count() == 0
+
+
+# --- texts with very much of one thing ------------------------------------------------------
+
+
+def within(seconds, run):
+    started = time.perf_counter()
+    made = run()
+    assert time.perf_counter() - started < seconds
+    return made
+
+
+def test_a_turn_of_blanks(spark):
+    texts = [" " * 2_000_000, "a" * 1_100_000, "<|endoftext|></s>" * 70_000]
+    rows = [(1, i, "assistant", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    [r] = chat.read_back(chat.assemble(df, TOKENIZER), TOKENIZER).collect()
+    assert r.loss_chars == sum(map(len, texts)) and r.loss_sha256 == brute.sha("".join(texts))
+
+
+def test_plain_ids_are_those_of_the_json_file():
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(TOKENIZER)
+    exact.encode_special_tokens = True
+    for text in ("x <|endoftext|> y", "é \U0001f600", " " * 300):
+        ids = exact.encode(text, add_special_tokens=False).ids
+        assert Encoder(TOKENIZER).encode_plain(text) == ids
+
+
+def test_many_phrases_in_one_text():
+    text = b"all rights reserved cc by " * 200_000
+    phrases = {b" all rights reserved ": "reserved", b" cc by ": "cc-by"}
+    n, places, _, _ = within(10, lambda: licenses.scan_text(text, phrases, []))
+    assert n == 1_000_000 and sorted(places[:2] + places[-2:]) == [0, 5, 999_993, 999_998]
+
+
+def test_many_addresses_in_one_text(documents):
+    text = "é " + "mail a.b@c.de or " * 100_000
+    docs = documents([(1, text)])
+    [r] = pii.find(docs).collect()
+    assert len(r.spans) == 100_000
+    assert [(s.start, s.end) for s in (r.spans[0], r.spans[-1])] == [(7, 15), (1_699_990, 1_699_998)]
+    [clean] = within(30, lambda: pii.sanitise(docs).collect())
+    assert clean.text == "é " + "mail [EMAIL] or " * 100_000
+
+
+@pytest.mark.parametrize("size", [0, 1, 255, 256, 257, 1000])
+def test_running(spark, size):
+    values = [random.Random(size + i).randint(0, 99) for i in range(size)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    [r] = df.select(
+        running(F.col("v"), lambda a, b: a + b).alias("sums"),
+        running(F.col("v"), F.greatest).alias("most"),
+    ).collect()
+    assert r.sums == np.cumsum(values).tolist()
+    assert r.most == (np.maximum.accumulate(values).tolist() if values else [])
