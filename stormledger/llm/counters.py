@@ -17,10 +17,7 @@ def added(runs: list[Run]) -> Run:
     return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
 
 
-def tallied(keys: np.ndarray, weights: np.ndarray | None = None) -> Run:
-    """Counters of keys in any order; a weight per key where not every one counts as one."""
-    if weights is None:
-        found, counts = np.unique(keys, return_counts=True)
-        return found, counts.astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    return added([(keys[order], weights[order])])
+def tallied(keys: np.ndarray) -> Run:
+    """Counters of keys in any order."""
+    found, counts = np.unique(keys, return_counts=True)
+    return found, counts.astype(np.int64)
