@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from stormledger.catalog.expressions import EVENT_URL_SQL, event_url
 from stormledger.catalog.registry import query, table
 from stormledger.operators import dedup, numbering, ranking
+from stormledger.operators.seen import SeenUrls
 from stormledger.operators.selection import Key, rows_between
+from stormledger.storage import scratch_path
 
 
 @query(
@@ -155,12 +157,30 @@ def dedup_after_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("l_partkey", "l_orderkey", "l_suppkey")
 
 
-@query(
-    f"""SELECT url, l_orderkey FROM (SELECT *, row_number() OVER (
-          PARTITION BY split_part(url, '?', 1) ORDER BY {ITEM_ORDER_SQL}) AS r
-          FROM (SELECT *, {EVENT_URL_SQL} AS url FROM lineitem)) WHERE r = 1"""
-)
+FIRST_URL_SQL = f"""
+SELECT url, l_orderkey FROM (SELECT *, row_number() OVER (
+  PARTITION BY split_part(url, '?', 1) ORDER BY {ITEM_ORDER_SQL}) AS r
+  FROM (SELECT *, {EVENT_URL_SQL} AS url FROM lineitem)) WHERE r = 1
+"""
+
+
+@query(FIRST_URL_SQL)
 def first_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One article per URL without its query part, over all events."""
     linked = _items(spark, sf_dir).withColumn("url", event_url())
     return dedup.keep_first_url(linked, "url", *ITEM_ORDER).select("url", "l_orderkey")
+
+
+@query(FIRST_URL_SQL)
+def seen_url_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, found run by run: each run is asked of an index of all earlier ones."""
+    linked = _items(spark, sf_dir).withColumn("url", event_url())
+    known = SeenUrls(spark, scratch_path(spark, "seen-urls"), slots=4, fanout=2)
+    years = F.year("l_shipdate")
+    runs = [years < 1996, years.isin(1996, 1997), years.isin(1998, 1999), years >= 2000]
+    for i, of_run in enumerate(runs):
+        known.add(f"run{i}", linked.where(of_run), "url", *ITEM_ORDER)
+    known.add("run1", linked.limit(0), "url")  # repeated: nothing is added or lost
+    found = [known.rows(f"run{i}") for i in range(len(runs))]
+    rows = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    return rows.select("url", "l_orderkey")

@@ -55,7 +55,7 @@ class RunLog:
         """All committed runs, in order of their ids."""
         folder = f"{self.root}/commits"
         found = [n for n in files.names_in(self.spark, folder) if n.endswith(".json")]
-        made = [json.loads(files.read_text(self.spark, f"{folder}/{n}")) for n in found if n[0] != "_"]
+        made = [json.loads(files.read_text(self.spark, f"{folder}/{n}")) for n in found]
         return sorted(made, key=lambda r: r["run_id"])
 
     def run(
@@ -100,7 +100,7 @@ class RunLog:
         """Remove what attempts without a record have written."""
         done = self.record(run_id)
         for name in files.names_in(self.spark, self._intents(run_id)):
-            if name.startswith("_"):
+            if not name.endswith(".json"):  # one that was never finished
                 continue
             intent = json.loads(files.read_text(self.spark, f"{self._intents(run_id)}/{name}"))
             if done is None or intent["attempt"] != done["attempt"]:
