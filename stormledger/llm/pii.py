@@ -25,8 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormledger.functions.arrays import let
-from stormledger.llm.common import letter_words, running, text_or_empty, whole_row
+from stormledger.functions.arrays import let, running
+from stormledger.llm.common import letter_words, text_or_empty, whole_row
 from stormledger.storage import durable
 
 #: Java forms of the base patterns: same matches, leftmost and not overlapping.

@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from stormledger.functions.arrays import running
 from stormledger.llm import (
     chat,
     decontamination,
@@ -25,7 +26,6 @@ from stormledger.llm import (
     substring_dedup,
     token_counts,
 )
-from stormledger.llm.common import running
 from stormledger.llm.components import roots
 from stormledger.llm.tokens import Encoder
 from stormledger.storage import scratch_path
