@@ -11,9 +11,11 @@ from stormledger.catalog.stand_ins import CLASSIFIED_SQL, county_map, declaratio
 from stormledger.functions.dates import event_window
 from stormledger.functions.fixed import DISASTERS, MAX_ARTICLES_PER_EVENT
 from stormledger.operators import joins, phrases
+from stormledger.operators.positions import PositionalIndex
 from stormledger.plans import crawl
 from stormledger.plans import spine as spine_plan
 from stormledger.sources.payloads import explode_articles
+from stormledger.storage import scratch_path
 
 
 def _orders_with_code(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,8 +221,7 @@ def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("article_pos")
 
 
-@query(
-    r"""WITH phrases AS (
+PHRASE_SQL = r"""WITH phrases AS (
           SELECT DISTINCT unnest(string_split(text, '.')) AS phrase FROM benchmark
         ), spelled AS (
           SELECT phrase, trim(regexp_replace(lower(phrase), '[^\p{L}\p{N}]+', ' ', 'g')) AS words
@@ -231,10 +232,27 @@ def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         SELECT doc_id, phrase FROM docs JOIN spelled
           ON contains(docs.words, ' ' || spelled.words || ' ') WHERE spelled.words <> ''"""
-)
-def phrase_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that contain a sentence of the benchmark texts."""
-    sentences = table(spark, sf_dir, "benchmark").select(
+
+
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(
         F.explode(F.split("text", r"\.")).alias("phrase")
     )
-    return phrases.find_phrases(table(spark, sf_dir, "documents"), ["doc_id"], "text", sentences)
+
+
+@query(PHRASE_SQL)
+def phrase_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a sentence of the benchmark texts."""
+    docs = table(spark, sf_dir, "documents")
+    return phrases.find_phrases(docs, ["doc_id"], "text", _sentences(spark, sf_dir))
+
+
+@query(PHRASE_SQL)
+def indexed_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stored index of the documents, written in two runs and merged."""
+    docs = table(spark, sf_dir, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    index = PositionalIndex(spark, scratch_path(spark, "positions"), "doc_id bigint", 8, fanout=2)
+    for run, of_run in (("english", english), ("other", ~english)):
+        index.add(run, docs.where(of_run), "text")
+    return index.find(_sentences(spark, sf_dir)).drop("places")

@@ -7,37 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-from stormledger.functions.arrays import let
 from stormledger.storage import durable
 
-ANCHOR_WORDS = 4
-
 
 def normalized(text: Column) -> Column:
     """Lower-case runs of letters and digits, one blank between them."""
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def _word_hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def _anchors(hashes: Column, n: int) -> Column:
-    """One hash for every n consecutive words, from the words' hashes."""
-    made = F.transform(
-        F.sequence(F.lit(0), F.size(hashes) - n),
-        lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(n)]),
+def _anchored(phrases: DataFrame, phrase: str) -> DataFrame:
+    """(_phrase, _whole, _word): each phrase and that of its words that the fewest phrases have,
+    the longest of such."""
+    listed = (
+        phrases.select(F.col(phrase).alias("_phrase"))
+        .distinct()
+        .withColumn("_whole", normalized(F.col("_phrase")))
+        .where("_whole != ''")
+    )
+    words = listed.select("*", F.explode(F.array_distinct(F.split("_whole", " "))).alias("_word"))
+    shared = words.groupBy("_word").agg(F.count("*").alias("_shared"))
+    rank = F.struct("_shared", (-F.length("_word")).alias("_length"), "_word")
+    return (
+        words.join(shared, "_word")
+        .groupBy("_phrase", "_whole")
+        .agg(F.min(rank).alias("_rank"))
+        .select("_phrase", "_whole", "_rank._word")
     )
-    return F.when(F.size(hashes) >= n, made).otherwise(F.array().cast("array<bigint>"))
-
-
-def _first_anchor(hashes: Column) -> Column:
-    """The anchor that a phrase begins with: of its first four words, or of all."""
-    chain = F.when(F.size(hashes) >= ANCHOR_WORDS, F.get(_anchors(hashes, ANCHOR_WORDS), F.lit(0)))
-    for n in range(1, ANCHOR_WORDS):
-        chain = chain.when(F.size(hashes) == n, F.get(_anchors(hashes, n), F.lit(0)))
-    return chain
 
 
 def find_phrases(
@@ -46,45 +41,24 @@ def find_phrases(
     """Distinct (ids, phrase) where the phrase's words occur in the text, next to each
     other and in order. Case and punctuation do not count; words match whole.
 
-    Every word position of a text gives its next one to four words as anchors, in the
-    lengths the phrases have. Of each text, the different anchors are taken once, as
-    hashes of 96 bits, and meet those of the phrases by equality. Shorter phrases are
-    thereby found; for the others, only the texts with the right anchor are read again.
-    What was met is written down, so that its size is known when those texts are fetched:
-    where it is small they are filtered where they lie.
+    Text and phrase meet by one word of the phrase, that which the fewest phrases share; a
+    text gives each of its different words once. Phrases of one word are found by that. For
+    the others, the texts that hold the word are read again and searched. What was met is
+    written down, so that its size is known when they are fetched: where it is small they
+    are filtered where they lie.
     """
-    listed = (
-        phrases.select(F.col(phrase).alias("_phrase"))
-        .distinct()
-        .withColumn("_whole", normalized(F.col("_phrase")))
-        .where("_whole != ''")
-        .select(
-            "_phrase",
-            "_whole",
-            let(_word_hashes(F.split("_whole", " ")), _first_anchor).alias("_anchor"),
-            (F.regexp_count("_whole", F.lit(" ")) + 1).alias("_n"),
-        )
-    )
-    # At most ANCHOR_WORDS + 1 different numbers come back.
-    lengths = sorted(
-        row[0] for row in listed.select(F.least("_n", F.lit(ANCHOR_WORDS + 1))).distinct().collect()
-    )
-    anchor_lengths = sorted({min(n, ANCHOR_WORDS) for n in lengths}) or [1]
-
+    listed = durable(_anchored(phrases, phrase))
     spelled = texts.select(*ids, normalized(F.col(text)).alias("_text")).where("_text != ''")
-    every = let(
-        _word_hashes(F.split("_text", " ")),
-        lambda hashes: F.array_distinct(F.concat(*[_anchors(hashes, n) for n in anchor_lengths])),
-    )
-    anchored = spelled.select(*ids, F.explode(every).alias("_anchor"))
+    words = F.explode(F.array_distinct(F.split("_text", " "))).alias("_word")
     met = durable(
-        anchored.join(listed, "_anchor").select(*ids, "_phrase", "_whole", "_n").distinct()
+        spelled.select(*ids, words)
+        .join(listed, "_word")
+        .select(*ids, "_phrase", "_whole", (F.col("_whole") == F.col("_word")).alias("_single"))
+        .distinct()
+    )
+    whole_words = F.contains(
+        F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_whole", F.lit(" "))
     )
-    found = met.where(F.col("_n") <= ANCHOR_WORDS).select(*ids, "_phrase")
-    if lengths and lengths[-1] > ANCHOR_WORDS:
-        whole_words = F.contains(
-            F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_whole", F.lit(" "))
-        )
-        searched = spelled.join(met.where(F.col("_n") > ANCHOR_WORDS), list(ids))
-        found = found.unionByName(searched.where(whole_words).select(*ids, "_phrase"))
-    return found.withColumnRenamed("_phrase", phrase)
+    searched = spelled.join(met.where("NOT _single"), list(ids)).where(whole_words)
+    found = met.where("_single").select(*ids, "_phrase").unionByName(searched.select(*ids, "_phrase"))
+    return found.distinct().withColumnRenamed("_phrase", phrase)

@@ -3,53 +3,36 @@
 A run adds one segment: its new URLs, dealt into slots by hash. Beside each segment lies a filter
 of sixteen bits a URL. A batch asks the filters first, and opens only the slots of segments whose
 filter says that they may hold one of its URLs; so a run does not read what earlier runs wrote,
-beyond the filters and what it has in common with them. When a level has ``fanout`` segments they
-are merged into one of the next level, so that a URL is rewritten a few times at most, and the
-number of segments grows with the logarithm of the number of runs.
+beyond the filters and what it has in common with them. Segments are merged by levels (see
+``operators.segments``).
 
-Segments, filters and the run's rows count together, by one commit record; a run that is repeated
-gives the rows it gave before. URLs are compared as they are; hashes only lead to them. One driver
-at a time may add to an index.
+A run's segment, filter and rows count together; a run that is repeated gives the rows it gave
+before. URLs are compared as they are; hashes only lead to them.
 """
 
 from __future__ import annotations
 
-import hashlib
-from dataclasses import dataclass
-from urllib.parse import quote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger import files
 from stormledger.functions.urls import url_base
 from stormledger.operators.dedup import keep_first
-from stormledger.sinks.commits import Output, RunLog
+from stormledger.operators.segments import FANOUT, Segment, Segments
 from stormledger.storage import durable
 
 SLOTS = 64
-FANOUT = 4
 BITS_PER_URL = 16
 BUCKET_BITS = 15  # a row of a filter has so many bits, as Spark's bitmaps have
 _KEYS = ("_base", "_hash", "slot_")  # a folder named _slot=… would be hidden
 _KEY_DDL = "_base string, _hash bigint, slot_ int"
-_FILTER_DDL = "bucket bigint, bits binary"
-
-
-@dataclass(frozen=True)
-class Segment:
-    run_id: str
-    level: int
-    bits: int  # of its filter, a power of two
 
 
 class SeenUrls:
     """The index below one folder."""
 
     def __init__(self, spark: SparkSession, root: str, slots: int = SLOTS, fanout: int = FANOUT):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.slots, self.fanout = slots, fanout
-        self.log = RunLog(spark, f"{self.root}/log")
+        self.spark, self.slots = spark, slots
+        self.table = Segments(spark, root, ("segments", "filters"), ("rows",), fanout)
         self.opened: list[tuple[str, int]] = []  # (segment, slot) that the last batch looked into
 
     def add(self, run_id: str, batch: DataFrame, url: str, *order: Column | str) -> DataFrame:
@@ -58,45 +41,31 @@ class SeenUrls:
         ``order`` says which row of a batch is the first. Rows with a NULL URL count as one URL.
         The names ``_base``, ``_hash`` and ``slot_`` must be free.
         """
-        outputs = {n: Output(f"{self.root}/{n}", by_run=True) for n in ("rows", "segments", "filters")}
 
         def write(folder: dict[str, str]) -> dict:
             based = batch.withColumn("_base", url_base(F.col(url)))
             placed = keep_first(based, ["_base"], *order).withColumn("_hash", F.xxhash64("_base"))
-            first = durable(
-                placed.withColumn("slot_", F.pmod("_hash", F.lit(self.slots)).cast("int"))
-            )
-            fresh = first.alias("f").join(
-                self._known(first.select(*_KEYS)).alias("k"), _same_url("f", "k"), "left_anti"
-            )
+            slot = F.pmod("_hash", F.lit(self.slots)).cast("int")
+            first = durable(placed.withColumn("slot_", slot))
+            known = self._known(first.select(*_KEYS))
+            fresh = first.alias("f").join(known.alias("k"), _same_url("f", "k"), "left_anti")
             fresh.write.parquet(folder["rows"])
             return self._write_segment(
-                self.spark.read.parquet(folder["rows"]).select(*_KEYS), folder, 0, []
+                self.spark.read.parquet(folder["rows"]).select(*_KEYS), folder
             )
 
-        self.log.run(run_id, outputs, write)
-        self._merge_levels()
+        self.table.add(run_id, write)
+        self.table.merge_levels(self._merge)
         return self.rows(run_id)
 
     def rows(self, run_id: str) -> DataFrame:
         """What a run added."""
-        return self.spark.read.parquet(self._part("rows", run_id)).drop(*_KEYS)
+        return self.spark.read.parquet(self.table.path("rows", run_id)).drop(*_KEYS)
 
     def segments(self) -> list[Segment]:
-        """The segments that hold the index now."""
-        made, gone = [], set()
-        for record in self.log.records():
-            totals = record["totals"]
-            made.append(Segment(record["run_id"], totals["level"], totals["bits"]))
-            gone.update(totals["replaces"])
-        return [s for s in made if s.run_id not in gone]
-
-    def _part(self, name: str, run_id: str) -> str:
-        return f"{self.root}/{name}/run_id={quote(run_id, safe='')}"
-
-    def _write_segment(
-        self, keys: DataFrame, folder: dict[str, str], level: int, replaces: list[str]
-    ) -> dict:
+        return self.table.live()
+
+    def _write_segment(self, keys: DataFrame, folder: dict[str, str]) -> dict:
         size = keys.count()
         bits = 1 << max(BUCKET_BITS, (BITS_PER_URL * size - 1).bit_length())
         dealt = keys.repartition("slot_").sortWithinPartitions("slot_", "_hash")
@@ -107,28 +76,19 @@ class SeenUrls:
             .agg(F.bitmap_construct_agg(_bit(place)).alias("bits"))
             .write.parquet(folder["filters"])
         )
-        return {"rows": size, "bits": bits, "level": level, "replaces": replaces}
+        return {"rows": size, "bits": bits}
+
+    def _merge(self, run_ids: list[str], folder: dict[str, str]) -> dict:
+        return self._write_segment(self.table.read("segments", run_ids, _KEY_DDL), folder)
 
     def _filters(self, live: list[Segment]) -> DataFrame:
-        parts = [
-            self._read("filters", s.run_id, _FILTER_DDL).withColumn("segment", F.lit(s.run_id))
-            for s in live
-        ]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
+        out = None
+        for s in live:
+            part = self.table.read("filters", [s.run_id], "bucket bigint, bits binary")
+            part = part.withColumn("segment", F.lit(s.run_id))
+            out = part if out is None else out.unionByName(part)
         return out
 
-    def _read(self, name: str, run_id: str, ddl: str) -> DataFrame:
-        """A part of the index; a run without new URLs leaves no files."""
-        path = self._part(name, run_id)
-        if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(path)
-
-    def _keys_of(self, run_id: str) -> DataFrame:
-        return self._read("segments", run_id, _KEY_DDL)
-
     def _known(self, keys: DataFrame) -> DataFrame:
         """The keys that the live segments hold."""
         live = self.segments()
@@ -136,11 +96,13 @@ class SeenUrls:
         if not live:
             return keys.limit(0)
         named = [
-            F.struct(F.lit(s.run_id).alias("segment"), F.lit(s.bits).cast("bigint").alias("size"))
+            F.struct(
+                F.lit(s.run_id).alias("segment"),
+                F.lit(s.totals["bits"]).cast("bigint").alias("size"),
+            )
             for s in live
         ]
-        each = F.explode(F.array(*named))
-        asked = keys.select(*_KEYS, each.alias("s")).select(
+        asked = keys.select(*_KEYS, F.explode(F.array(*named)).alias("s")).select(
             *_KEYS, "s.segment", F.expr("_hash & (s.size - 1)").alias("place")
         )
         byte = F.hex(F.expr("substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)"))
@@ -161,41 +123,13 @@ class SeenUrls:
         found = keys.limit(0)
         for name in sorted({segment for segment, _ in self.opened}):
             slots = [slot for segment, slot in self.opened if segment == name]
-            held = self._keys_of(name).where(F.col("slot_").isin(slots))
+            held = self.table.read("segments", [name], _KEY_DDL).where(F.col("slot_").isin(slots))
             asked_of = maybe.where(F.col("segment") == name).select(*_KEYS)
             found = found.unionByName(
                 asked_of.alias("f").join(held.alias("k"), _same_url("f", "k"), "left_semi")
             )
         return found
 
-    def _merge_levels(self) -> None:
-        """Merge full levels, lowest first, and drop what committed merges have replaced."""
-        level = 0
-        while True:
-            live = self.segments()
-            if not any(s.level >= level for s in live):
-                break
-            full = sorted(s.run_id for s in live if s.level == level)
-            if len(full) >= self.fanout:
-                self._merge(full, level)
-            level += 1
-        for record in self.log.records():
-            for run_id in record["totals"]["replaces"]:
-                for name in ("segments", "filters"):
-                    files.remove(self.spark, self._part(name, run_id))
-
-    def _merge(self, run_ids: list[str], level: int) -> None:
-        name = hashlib.sha256("\n".join(run_ids).encode()).hexdigest()[:16]
-        outputs = {n: Output(f"{self.root}/{n}", by_run=True) for n in ("segments", "filters")}
-
-        def write(folder: dict[str, str]) -> dict:
-            keys = self._keys_of(run_ids[0])
-            for run_id in run_ids[1:]:
-                keys = keys.unionByName(self._keys_of(run_id))
-            return self._write_segment(keys, folder, level + 1, run_ids)
-
-        self.log.run(f"_merged-{name}", outputs, write)
-
 
 def _bit(place: Column) -> Column:
     return place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))

@@ -8,6 +8,7 @@ import pytest
 
 from stormledger.operators import seen
 from stormledger.operators.seen import SeenUrls
+from stormledger.operators.segments import Segments
 
 
 def batches(seed, runs, rows, urls):
@@ -68,8 +69,12 @@ def test_a_run_cut_short_is_not_seen(spark, tmp_path, monkeypatch, step):
 
     index, calls = SeenUrls(spark, str(tmp_path), slots=2), []
     index.add("a", frame(spark, [("x", 0, 0)]), "url", "i")
-    name = {1: "_known", 2: "_write_segment", 3: "_merge_levels"}[step]
-    whole = getattr(SeenUrls, name)
+    owner, name = {
+        1: (SeenUrls, "_known"),
+        2: (SeenUrls, "_write_segment"),
+        3: (Segments, "merge_levels"),
+    }[step]
+    whole = getattr(owner, name)
 
     def cut(self, *args):
         if not calls:
@@ -77,7 +82,7 @@ def test_a_run_cut_short_is_not_seen(spark, tmp_path, monkeypatch, step):
             raise Cut
         return whole(self, *args)
 
-    monkeypatch.setattr(SeenUrls, name, cut)
+    monkeypatch.setattr(owner, name, cut)
     batch = frame(spark, [("x", 1, 0), ("y", 1, 1)])
     with pytest.raises(Cut):
         index.add("b", batch, "url", "i")
