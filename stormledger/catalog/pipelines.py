@@ -13,6 +13,7 @@ from stormledger.functions.codes import zero_pad
 from stormledger.functions.dates import compact_ts, iso_text
 from stormledger.functions.fixed import TYPE_SYNONYMS
 from stormledger.functions.keys import row_key
+from stormledger.operators.unique import told_apart
 from stormledger.plans import articles as article_plan
 from stormledger.plans import counties as county_plan
 from stormledger.plans import crawl as crawl_plan
@@ -364,3 +365,22 @@ def spine_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
             declarations(spark, sf_dir), county_map(spark, sf_dir), dated_by=spine_plan.DECLARED
         )
     )
+
+
+@query(
+    """WITH k AS (
+         SELECT l_orderkey, l_linenumber, l_partkey, substr(sha1(CAST(l_partkey AS VARCHAR)), 1, 2) AS short,
+                sha1(CAST(l_partkey AS VARCHAR)) AS whole FROM lineitem
+       ), g AS (
+         SELECT short, min(whole) AS owner FROM k GROUP BY short HAVING count(DISTINCT whole) > 1
+       )
+       SELECT DISTINCT l_partkey, CASE WHEN owner <> whole THEN whole ELSE k.short END AS key
+       FROM k LEFT JOIN g USING (short)"""
+)
+def keys_told_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes cut so short that many parts share one: all but its owner get the whole hash."""
+    whole = F.sha1(F.col("l_partkey").cast("string"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", F.substring(whole, 1, 2).alias("key")
+    )
+    return told_apart(rows, "key", whole, whole)[0].distinct()

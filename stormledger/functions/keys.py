@@ -29,6 +29,17 @@ def row_key(number: Column, fips: Column, url: Column) -> Column:
     return F.concat_ws("_", number, fips, F.substring(F.sha1(url), 1, HASH_DIGITS))
 
 
+def full_hash(url: Column) -> Column:
+    """All digits of the hash that a key shows the first of."""
+    return F.sha1(safe_trim(url))
+
+
+def wide_key(number: Column, fips: Column, url: Column) -> Column:
+    """A key with the whole hash, for a row whose short key another URL has."""
+    number, fips, url = _parts(number, fips, url)
+    return F.concat_ws("_", number, fips, F.sha1(url))
+
+
 def fallback_key(file_kind: str, index: Column) -> Column:
     """``missingpk_csv_3``: marks a row by its place in its file."""
     return F.concat_ws("_", F.lit(FALLBACK_MARK), F.lit(file_kind), index.cast("string"))
