@@ -24,6 +24,7 @@ from stormledger.sinks.writers import append_ndjson, write_articles, write_csv
 from stormledger.sources.ndjson import read_ndjson
 from stormledger.sources.tabular import read_csv
 from stormledger.storage import scratch_path
+from stormledger.streaming.articles import articles_so_far, fix_events, start_article_stream
 
 
 @query(SPINE_SQL)
@@ -74,16 +75,7 @@ FROM ranked WHERE copy = 1
 """
 
 
-@query(EVENT_ARTICLES_SQL)
-def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spine -> landed payloads -> title score -> one row per URL -> row key.
-
-    Every event has a payload of 40 articles, of which the job takes 30; many have a URL in
-    common with other events. Events with odd numbers have theirs in ``timeline``,
-    beside an empty ``articles``. All goes through files and ``run_articles``.
-    """
-    root = scratch_path(spark, "event-articles")
-    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
+def _landed_payloads(spark: SparkSession, spine_path: str) -> DataFrame:
     number, empty = F.col("disasterNumber"), F.lit("")
 
     def article(i: Column) -> Column:
@@ -104,8 +96,8 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     every = F.transform(F.sequence(F.lit(0), F.lit(PER_PAYLOAD - 1)), article)
     none = F.filter(every, lambda a: F.lit(False))
-    landed = (
-        read_ndjson(spark, f"{root}/spine", SPINE)
+    return (
+        read_ndjson(spark, spine_path, SPINE)
         .select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips")
         .select(
             "disasterNumber",
@@ -114,11 +106,26 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             every.alias("timeline"),
         )
     )
-    append_ndjson(landed, f"{root}/payloads")
+
+
+@query(EVENT_ARTICLES_SQL)
+def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spine -> landed payloads -> title score -> one row per URL -> row key.
+
+    Every event has a payload of 40 articles, of which the job takes 30; many have a URL in
+    common with other events. Events with odd numbers have theirs in ``timeline``,
+    beside an empty ``articles``. All goes through files and ``run_articles``.
+    """
+    root = scratch_path(spark, "event-articles")
+    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
+    append_ndjson(_landed_payloads(spark, f"{root}/spine"), f"{root}/payloads")
     article_plan.run_articles(
         spark, f"{root}/spine", f"{root}/payloads", f"{root}/ndjson", f"{root}/csv"
     )
-    kept = read_ndjson(spark, f"{root}/ndjson", ARTICLE)
+    return _with_row_key(read_ndjson(spark, f"{root}/ndjson", ARTICLE))
+
+
+def _with_row_key(kept: DataFrame) -> DataFrame:
     key = row_key(F.col("disasterNumber"), F.col("county_fips"), F.col("url"))
     return kept.select(
         key.alias("unique_entity_identifier"),
@@ -126,6 +133,26 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(EVENT_ARTICLES_SQL)
+def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same articles from a stream that is started twice: first the payloads of the later
+    events are there, then also those of the earlier ones."""
+    root = scratch_path(spark, "article-stream")
+    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
+    spine = read_ndjson(spark, f"{root}/spine", SPINE)
+    events = fix_events(spark, spine, f"{root}/store", "v1")
+    landed = _landed_payloads(spark, f"{root}/spine")
+    late = F.coalesce(F.col("date") >= "1998-01-01", F.lit(False))
+    dates = spine.select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips", "date")
+    for part in (late, ~late):
+        of_part = dates.where(part).drop("date")
+        append_ndjson(landed.join(of_part, ["disasterNumber", "county_fips"]), f"{root}/payloads")
+        start_article_stream(
+            spark, events, f"{root}/payloads", f"{root}/store", f"{root}/checkpoint", slots=4
+        ).awaitTermination()
+    return _with_row_key(articles_so_far(spark, f"{root}/store"))
+
+
 EVENT_MATCH_SQL = f"""
 WITH spine AS ({SPINE_SQL}), articles AS (
   SELECT 'http://h/' || CAST(o_orderkey AS VARCHAR) AS url, o_orderdate AS seen,

@@ -195,25 +195,20 @@ def _tag_places_and_types(
     )
 
 
-def select_articles(
+def score_articles(
     candidates: DataFrame,
     order: Sequence[str],
     min_title_hits: int = MIN_TITLE_HITS,
     language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
-    """Score titles, keep those with enough hits, then one row per URL over all events.
-
-    ``order`` says which copy of a URL is the first: event position, then article
-    position. The hit filter comes before the dedup, so a copy that scores too low
-    does not shadow a later one.
-    """
+    """The candidates with enough title hits as article rows, ``order`` before their columns."""
     scored = candidates.withColumns(
         {
             "url": field_fallback(F.col("url"), F.col("seendateurl")),
             "score": title_hits(F.col("keywords"), F.col("title")).cast("bigint"),
         }
     ).where(not_empty(F.col("title"), F.col("url")) & enough_hits(F.col("score"), min_title_hits))
-    conformed = scored.select(
+    return scored.select(
         *order,
         *[c for c in EVENT_COLUMNS if c != "keywords"],
         "title",
@@ -225,7 +220,35 @@ def select_articles(
         "score",
         F.lit(f"title_hits>={min_title_hits}").alias("kept_reason"),
     )
-    return keep_first_url(conformed, "url", *order).select(*ARTICLE.names)
+
+
+def select_articles(
+    candidates: DataFrame,
+    order: Sequence[str],
+    min_title_hits: int = MIN_TITLE_HITS,
+    language: str = DEFAULT_LANGUAGE,
+) -> DataFrame:
+    """Score titles, keep those with enough hits, then one row per URL over all events.
+
+    ``order`` says which copy of a URL is the first: event position, then article
+    position. The hit filter comes before the dedup, so a copy that scores too low
+    does not shadow a later one.
+    """
+    scored = score_articles(candidates, order, min_title_hits, language)
+    return keep_first_url(scored, "url", *order).select(*ARTICLE.names)
+
+
+def ordered_events(spine: DataFrame) -> DataFrame:
+    """The spine's events with their place in ``_order``: latest date first, then by number,
+    county and their other fields, whatever files and appends the spine lies in."""
+    events = events_from_spine(spine, F.col("date").alias("_date"))
+    rest = [c for c in EVENT_COLUMNS if c not in ("keywords", *EVENT_KEY)]
+    place = F.struct("_date", "disasterNumber", "county_fips", *rest)
+    order = [
+        F.col("_place._date").desc_nulls_last(),
+        *[F.col(f"_place.{c}") for c in (*EVENT_KEY, *rest)],
+    ]
+    return index_rows(events.withColumn("_place", place), order, "_order").drop("_place", "_date")
 
 
 EVENT_KEY = ("disasterNumber", "county_fips")
@@ -252,23 +275,14 @@ def run_articles(
 ) -> dict[str, int]:
     """Article files from spine files and one landed payload per event.
 
-    Events come in one fixed order: latest ``date`` first, then by number, county and
-    their other fields, whatever files and appends the spine lies in; articles in the
-    order of their payload (newest first), of which the first ``per_event`` are used.
+    Events come in one fixed order (see ``ordered_events``); articles in the order of their payload (newest first), of which the first ``per_event`` are used.
     Malformed lines are left out on both sides and, with a ``bad_root``, written there.
     Returns the number of candidates and of articles kept, both counted while writing,
     and of malformed lines.
     """
     spine, bad_events = land_ndjson(spark, spine_path, SPINE)
     payloads, bad_payloads = land_ndjson(spark, payload_path, LANDED_PAYLOAD)
-    events = events_from_spine(spine, F.col("date").alias("_date"))
-    rest = [c for c in EVENT_COLUMNS if c not in ("keywords", *EVENT_KEY)]
-    place = F.struct("_date", "disasterNumber", "county_fips", *rest)
-    order = [
-        F.col("_place._date").desc_nulls_last(),
-        *[F.col(f"_place.{c}") for c in (*EVENT_KEY, *rest)],
-    ]
-    events = index_rows(events.withColumn("_place", place), order, "_order").drop("_place", "_date")
+    events = ordered_events(spine)
     offered, kept = Observation("offered"), Observation("kept")
     candidates = (
         attach_payloads(events, payloads, EVENT_KEY, "_order")

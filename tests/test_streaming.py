@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from stormledger.operators.seen import SeenUrls
 from stormledger.plans import spine
+from stormledger.schemas import SPINE
 from stormledger.sources.payloads import read_declaration_pages
+from stormledger.streaming import articles as stream_articles
 from stormledger.streaming.spine import start_classified_stream, stream_declaration_pages
 from stormledger.streaming.urls import first_urls
 
@@ -86,3 +90,66 @@ def test_url_stream_keeps_one_row_per_url_across_runs(spark, tmp_path):
     assert {r.url_base: r.n for r in kept.collect()} == {
         **{f"http://h/{i}": 0 for i in range(5)}, "http://h/5": 1, "http://h/6": 2,
     }
+
+
+def _payload(number, *urls):
+    story = {"title": "Flood in Travis", "seendate": "x", "language": "English"}
+    return json.dumps(
+        {"disasterNumber": number, "county_fips": "48453", "articles": [story | {"url": u} for u in urls]}
+    )
+
+
+def _event(number, date):
+    return dict.fromkeys(SPINE.names, "x") | {
+        "state": "Texas", "county": "Travis", "county_fips": "48453", "disaster": "flood",
+        "fema_disaster_number": number, "date": date,
+        "window_start": "2024-01-03", "window_end": "2024-01-26",
+    }
+
+
+def _article_stream(spark, tmp_path):
+    spine = spark.createDataFrame([tuple(_event(n, f"2024-01-0{n}").values()) for n in (1, 2, 3)], SPINE)
+    events = stream_articles.fix_events(spark, spine, str(tmp_path / "store"), "v1")
+    paths = [str(tmp_path / n) for n in ("payloads", "store", "checkpoint")]
+    query = stream_articles.start_article_stream(spark, events, *paths, slots=2)
+    query.awaitTermination()
+
+
+def test_two_triggers_equal_one_batch(spark, tmp_path):
+    (tmp_path / "payloads").mkdir()
+    first = [_payload(3, "http://h/a?1", "http://h/b"), "{broken", _payload(3, "http://h/c")]
+    second = [_payload(2, "http://h/a?2", "http://h/d"), _payload(1, "http://h/d?x", "http://h/e")]
+    for name, lines in (("1", first), ("2", second), ("3", None)):
+        if lines:
+            (tmp_path / "payloads" / name).write_text("\n".join(lines))
+        _article_stream(spark, tmp_path)
+    got = {(r.disasterNumber, r.url) for r in stream_articles.articles_so_far(spark, str(tmp_path / "store")).collect()}
+    assert got == {(3, "http://h/a?1"), (3, "http://h/b"), (3, "http://h/c"), (2, "http://h/d"), (1, "http://h/e")}
+
+
+@pytest.mark.parametrize("cut_in", ["before", "after"])
+def test_a_trigger_cut_short_is_repeated_once(spark, tmp_path, monkeypatch, cut_in):
+    (tmp_path / "payloads").mkdir()
+    (tmp_path / "payloads" / "1").write_text(_payload(3, "http://h/a", "http://h/b"))
+    add, calls = SeenUrls.add, []
+
+    def cut(self, *args):
+        calls.append(cut_in)
+        if len(calls) == 1 and cut_in == "before":
+            raise RuntimeError("cut")
+        made = add(self, *args)
+        if len(calls) == 1:
+            raise RuntimeError("cut")
+        return made
+
+    monkeypatch.setattr(SeenUrls, "add", cut)
+    with pytest.raises(Exception, match="cut"):
+        _article_stream(spark, tmp_path)
+    _article_stream(spark, tmp_path)
+    found = stream_articles.articles_so_far(spark, str(tmp_path / "store"))
+    assert sorted(r.url for r in found.collect()) == ["http://h/a", "http://h/b"]
+    assert len(calls) == 2
+
+
+def test_no_articles_yet(spark, tmp_path):
+    assert stream_articles.articles_so_far(spark, str(tmp_path)).count() == 0
