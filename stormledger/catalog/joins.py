@@ -14,6 +14,7 @@ from stormledger.operators import joins, phrases
 from stormledger.operators.positions import PositionalIndex
 from stormledger.plans import crawl
 from stormledger.plans import spine as spine_plan
+from stormledger.plans.colocated import save_bucketed
 from stormledger.sources.payloads import explode_articles
 from stormledger.storage import scratch_path
 
@@ -203,11 +204,11 @@ def newest_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("o_orderkey", *TIE_BREAK, "rank")
 
 
-@query(
-    """SELECT o_orderkey, o_orderpriority, l_partkey, l_linenumber
+PAYLOAD_SQL = """SELECT o_orderkey, o_orderpriority, l_partkey, l_linenumber
        FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
-)
-def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _events_and_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     item = F.struct("l_partkey", "l_linenumber")
     none = F.lit(None).cast("array<struct<l_partkey: bigint, l_linenumber: int>>")
     payloads = table(spark, sf_dir, "lineitem").select(
@@ -215,12 +216,32 @@ def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(item).alias("articles"),
         none.alias("timeline"),
     )
-    events = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), payloads
+
+
+def _attached(events: DataFrame, payloads: DataFrame) -> DataFrame:
     return explode_articles(
         events.join(payloads, "o_orderkey"), "o_orderkey", "o_orderpriority"
     ).drop("article_pos")
 
 
+@query(PAYLOAD_SQL)
+def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attached(*_events_and_payloads(spark, sf_dir))
+
+
+@query(PAYLOAD_SQL)
+def colocated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables saved in buckets, which meet without a shuffle."""
+    saved = []
+    for rows in _events_and_payloads(spark, sf_dir):
+        path = scratch_path(spark, "bucketed")
+        name = path.rpartition("/")[2].replace("-", "_")
+        save_bucketed(rows, name, path, ["o_orderkey"], 8)
+        saved.append(spark.table(name))
+    return _attached(*saved)
+
+
 PHRASE_SQL = r"""WITH phrases AS (
           SELECT DISTINCT unnest(string_split(text, '.')) AS phrase FROM benchmark
         ), spelled AS (
