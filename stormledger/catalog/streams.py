@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from stormledger.catalog.files import page_lines
 from stormledger.catalog.registry import query, table
 from stormledger.catalog.stand_ins import SPINE_SQL, county_map, declarations
+from stormledger.functions.urls import url_base
+from stormledger.operators.seen import SeenUrls
 from stormledger.plans import spine as spine_plan
 from stormledger.storage import scratch_path
 from stormledger.streaming.spine import start_classified_stream, stream_declaration_pages
-from stormledger.streaming.urls import first_urls
+from stormledger.streaming.urls import first_urls, kept_urls, start_first_urls
 
 
 @query(SPINE_SQL)
@@ -27,23 +29,29 @@ def stream_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spine_plan.spine(spark.read.parquet(f"{root}/out"))
 
 
-@query("SELECT DISTINCT 'http://h/' || CAST(user_id AS VARCHAR) AS url_base FROM events")
-def stream_url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "stream-urls")
+def _linked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(
         F.lit("http://h/"),
         F.col("user_id").cast("string"),
         F.lit("?e="),
         F.col("event_id").cast("string"),
     )
-    events = (
+    return (
         spark.readStream.schema(table(spark, sf_dir, "events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
         .select(url.alias("url"), F.col("ts").cast("timestamp").alias("seen"))
     )
+
+
+DISTINCT_URLS_SQL = "SELECT DISTINCT 'http://h/' || CAST(user_id AS VARCHAR) AS url_base FROM events"
+
+
+@query(DISTINCT_URLS_SQL)
+def stream_url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "stream-urls")
     (
-        first_urls(events, "url", "seen")
+        first_urls(_linked_events(spark, sf_dir), "url", "seen")
         .select("url_base")
         .writeStream.format("parquet")
         .option("path", f"{root}/out")
@@ -53,3 +61,15 @@ def stream_url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .awaitTermination()
     )
     return spark.read.parquet(f"{root}/out")
+
+
+@query(DISTINCT_URLS_SQL)
+def stream_url_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the seen URLs in an index on disk instead of stream state."""
+    root = scratch_path(spark, "stream-url-index")
+    for _ in range(2):  # the second start finds nothing new
+        start_first_urls(
+            _linked_events(spark, sf_dir), "url", f"{root}/seen", f"{root}/checkpoint", "seen", slots=4
+        ).awaitTermination()
+    kept = kept_urls(SeenUrls(spark, f"{root}/seen"))
+    return kept.select(url_base(F.col("url")).alias("url_base"))

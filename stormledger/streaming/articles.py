@@ -29,6 +29,7 @@ from stormledger.plans.articles import (
 from stormledger.schemas import ARTICLE
 from stormledger.sinks.commits import Output, RunLog
 from stormledger.sources.ndjson import CORRUPT, parse_lines
+from stormledger.streaming.urls import kept_urls
 
 ORDER = ("_order", "article_pos")
 
@@ -87,8 +88,6 @@ def articles_so_far(spark: SparkSession, root: str) -> DataFrame:
     """The articles of all committed triggers."""
     index = SeenUrls(spark, root)
     index.table.log.finish()
-    made = [r["run_id"] for r in index.table.log.records() if "rows" in r["outputs"]]
-    if not made:
+    if not index.table.log.records():
         return spark.createDataFrame([], ARTICLE)
-    paths = [index.table.path("rows", run_id) for run_id in made]
-    return spark.read.parquet(*paths).select(*ARTICLE.names)
+    return kept_urls(index).select(*ARTICLE.names)

@@ -1,11 +1,14 @@
-"""URL dedup across runs, with the seen URLs as stream state."""
+"""URL dedup across runs, with the seen URLs as stream state or as a stored index."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stormledger.functions.urls import url_base
+from stormledger.operators.seen import SLOTS as INDEX_SLOTS
+from stormledger.operators.seen import SeenUrls
 
 SALTS = 16
 
@@ -40,3 +43,33 @@ def first_urls(
     bounded = based.withWatermark(event_time, watermark)
     thinned = bounded.dropDuplicatesWithinWatermark(["url_base", "_salt"])
     return thinned.dropDuplicatesWithinWatermark(["url_base"]).drop("_salt")
+
+
+def start_first_urls(
+    stream: DataFrame, url: str, root: str, checkpoint: str, *order: str, slots: int = INDEX_SLOTS
+) -> StreamingQuery:
+    """The first row of each URL, with the seen URLs in an index on disk below ``root``.
+
+    Nothing is held as stream state, so memory stays bounded without a watermark: no row is
+    late, and a new URL is kept however old its event time. A batch opens only what its URLs
+    may be in. ``order`` says which row of a batch is the first. ``kept_urls`` has the rows.
+    """
+
+    def take(rows: DataFrame, batch: int) -> None:
+        SeenUrls(rows.sparkSession, root, slots).add(f"batch-{batch:012d}", rows, url, *order)
+
+    return (
+        stream.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def kept_urls(index: SeenUrls) -> DataFrame:
+    """The rows of all committed batches of an index; there has to be one."""
+    made = [r["run_id"] for r in index.table.log.records() if "rows" in r["outputs"]]
+    rows = index.rows(made[0])
+    for run_id in made[1:]:
+        rows = rows.unionByName(index.rows(run_id))
+    return rows

@@ -13,7 +13,7 @@ from stormledger.schemas import SPINE
 from stormledger.sources.payloads import read_declaration_pages
 from stormledger.streaming import articles as stream_articles
 from stormledger.streaming.spine import start_classified_stream, stream_declaration_pages
-from stormledger.streaming.urls import first_urls
+from stormledger.streaming.urls import first_urls, kept_urls, start_first_urls
 
 
 def page(numbers):
@@ -153,3 +153,20 @@ def test_a_trigger_cut_short_is_repeated_once(spark, tmp_path, monkeypatch, cut_
 
 def test_no_articles_yet(spark, tmp_path):
     assert stream_articles.articles_so_far(spark, str(tmp_path)).count() == 0
+
+
+def test_late_new_urls_are_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    batches = (
+        [("http://h/a?1", "2024-01-10"), ("http://h/a?2", "2024-01-09"), ("http://h/b", "2024-01-10")],
+        [("http://h/old", "1999-01-01"), ("http://h/b?x", "1999-01-01"), ("http://h/c", "2024-02-01")],
+    )
+    for n, rows in enumerate(batches):
+        lines = [json.dumps({"url": u, "seen": s}) for u, s in rows]
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join(lines))
+        stream = spark.readStream.schema("url string, seen date").json(str(tmp_path / "in"))
+        start_first_urls(
+            stream, "url", str(tmp_path / "seen"), str(tmp_path / "checkpoint"), "seen", slots=2
+        ).awaitTermination()
+    kept = kept_urls(SeenUrls(spark, str(tmp_path / "seen"))).collect()
+    assert sorted(r.url for r in kept) == ["http://h/a?2", "http://h/b", "http://h/c", "http://h/old"]
