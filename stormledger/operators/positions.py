@@ -13,8 +13,6 @@ may occur in one run only. NULL texts have no words.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -275,8 +275,9 @@ def run_articles(
 ) -> dict[str, int]:
     """Article files from spine files and one landed payload per event.
 
-    Events come in one fixed order (see ``ordered_events``); articles in the order of their payload (newest first), of which the first ``per_event`` are used.
-    Malformed lines are left out on both sides and, with a ``bad_root``, written there.
+    Events come in one fixed order (see ``ordered_events``); articles in the order of their
+    payload (newest first), of which the first ``per_event`` are used. Malformed lines are left
+    out on both sides and, with a ``bad_root``, written there.
     Returns the number of candidates and of articles kept, both counted while writing,
     and of malformed lines.
     """

@@ -52,21 +52,3 @@ def number_lines(
     )
     group, block = ([], ["file", "_block"]) if across_files else (["file"], ["_block"])
     return index_within_blocks(tagged, group, block, "_seq", "line_index")
-
-
-def number_csv_rows(
-    rows: DataFrame, index: str = "row_index", file: str = "file", across_files: bool = False
-) -> DataFrame:
-    """Add file and 0-based record number to a ``read_csv(multi_line=True)`` frame.
-
-    Records count per file, or with ``across_files`` through all files in path order.
-    Such a file is read whole by one task, so its rows carry ids without gaps: a row's
-    number is its id less the smallest of its file. Only these, one row per file, are
-    aggregated, and added up over the files; rows are not shuffled by file. The tagged
-    rows are written down, so that both reads see the same ids.
-    """
-    path = F.col("_metadata.file_path").alias(file)
-    tagged = durable(rows.select("*", path, F.monotonically_increasing_id().alias("_seq")))
-    if not across_files:
-        return index_within_blocks(tagged, [file], [], "_seq", index)
-    return index_within_blocks(tagged, [], [file], "_seq", index)
