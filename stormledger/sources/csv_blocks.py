@@ -43,11 +43,12 @@ _CHUNK = pa.schema(
         ("starts1", pa.int64()),
         ("tail1", pa.string()),
         ("head", pa.string()),
+        ("names", pa.list_(pa.string())),
     ]
 )
 _CHUNK_DDL = (
     "file string, block bigint, chunk bigint, text string, out0 boolean, starts0 bigint, "
-    "tail0 string, out1 boolean, starts1 bigint, tail1 string, head string"
+    "tail0 string, out1 boolean, starts1 bigint, tail1 string, head string, names array<string>"
 )
 
 
@@ -99,6 +100,7 @@ def _chunk_row(file: str, block: int, chunk: int, lines: list[bytes]) -> dict:
         "starts1": len(records1) + bool(tail1),
         "tail1": tail1,
         "head": head,
+        "names": records0[0] if records0 and (block, chunk) == (0, 0) else None,
     }
 
 
@@ -235,7 +237,21 @@ def _records(placed: DataFrame) -> DataFrame:
 def records(spark: SparkSession, path: str | list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(file, record, cells): every record of every file, numbered from 0, headers included."""
     made = chunks(spark, path, chunk_bytes)
-    return _records(made.join(durable(entries(made)), ["file", "block", "chunk"]))
+    return _records(made.join(entries(made), ["file", "block", "chunk"]))
+
+
+def _header(made: DataFrame, path: str | list[str]) -> list[str]:
+    """The first record of every file, which has to be the same in all."""
+    begins = made.where("block = 0 AND chunk = 0").select("names").distinct().limit(3).collect()
+    found = {tuple(r.names) for r in begins if r.names}
+    if len(found) != 1 or len(begins) > 1:  # else it may lie further on, or in fragments
+        placed = made.join(entries(made), ["file", "block", "chunk"])
+        # a chunk from which the first record starts has no earlier one
+        starting = _records(placed.where("first = 0 OR (opened AND first = 1)")).where("record = 0")
+        found = {tuple(r.cells) for r in starting.select("cells").distinct().limit(2).collect()}
+    if len(found) != 1:
+        raise ValueError(f"{'no' if not found else 'more than one'} header in {path}")
+    return list(found.pop())
 
 
 def column_names(header: list[str]) -> list[str]:
@@ -262,14 +278,9 @@ def read_numbered_csv(
     are an error; a file without any record has no header and no rows.
     """
     made = chunks(spark, path, chunk_bytes)
-    known = durable(entries(made))
+    known = entries(made)
     placed = made.join(known, ["file", "block", "chunk"])
-    # a chunk from which the first record starts has no earlier one
-    starting = _records(placed.where("first = 0 OR (opened AND first = 1)")).where("record = 0")
-    headers = starting.select("cells").distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError(f"{'no' if not headers else 'more than one'} header in {path}")
-    names = column_names(headers[0].cells)
+    names = column_names(_header(made, path))
     rows = _records(placed).where("record > 0")
     number: Column = F.col("record") - 1
     if across_files:
@@ -278,7 +289,7 @@ def read_numbered_csv(
         )
         earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
         offset = F.coalesce(F.sum("size").over(earlier), F.lit(0))
-        rows = rows.join(durable(sizes.select("file", offset.alias("offset"))), "file")
+        rows = rows.join(sizes.select("file", offset.alias("offset")), "file")
         number = number + F.col("offset")
     cells = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
     return rows.select(*cells, F.col("file").alias(file), number.alias(index))
