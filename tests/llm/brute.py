@@ -47,8 +47,8 @@ def corpus(seed: int, n: int = 60, longest: int = 160) -> list[tuple[int, str]]:
     return list(zip(ids, texts))
 
 
-def shingles(text: str | None, k: int) -> frozenset:
-    words = spaced((text or "").translate(FOLD))
+def shingles(text: str | None, k: int, fold: bool = True) -> frozenset:
+    words = spaced((text or "").translate(FOLD) if fold else text)
     if not words:
         return frozenset()
     if len(words) < k:
@@ -56,9 +56,9 @@ def shingles(text: str | None, k: int) -> frozenset:
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
-def jaccard_classes(docs, k: int, num: int, den: int) -> dict:
+def jaccard_classes(docs, k: int, num: int, den: int, fold: bool = True) -> dict:
     """id -> (set size, smallest id of the class); ids are distinct here."""
-    sets = [(d, shingles(t, k)) for d, t in docs]
+    sets = [(d, shingles(t, k, fold)) for d, t in docs]
     parent = {d: d for d, _ in sets}
 
     def find(x):
