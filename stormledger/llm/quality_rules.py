@@ -4,8 +4,15 @@ Each document gets four base counts and a few ratios. The ratios' distribution p
 (language, source) is kept as a sketch: counts over geometric bins, so that any two
 sketches merge by adding, in any order, to the same result, and a quantile is right within
 the bins' relative width. From the merged sketch come the quartiles, and from these each
-group's own upper limit. Groups with few documents take the sketch of their language, and
-small languages that of the whole corpus. Documents then join the limits of their group.
+group's own upper limit: the upper quartile plus ``SPREADS`` times the quartiles' distance.
+
+A group's sketch is merged with that of its language, scaled to ``PRIOR_DOCS`` documents, and a
+language's with that of the corpus likewise. So few documents lean on their language, and
+this fades as a group grows, without a size at which its limits switch.
+
+Documents then join the limits of their group. A ratio is a count of events over a number of
+units, and what a document shows by chance varies with the root of its count. It is beyond the
+limit if its count less ``SURE`` roots still is. No cutoff is fixed for any ratio.
 
 Null text is empty and fails (no words); null language and source are groups like others;
 equal rows are judged alike; an empty table gives no rows; other columns are not read.
@@ -33,15 +40,10 @@ WHITE = " \t\n\x0b\x0c\r"
 BIN_GROWTH = 1.05  # quantiles are right within 5 %
 SMALLEST = 1e-4  # ratios below count as zero
 SPREADS = 3.0  # a limit lies this many interquartile ranges above the upper quartile
-LEAST_GROUP = 200  # smaller groups borrow the sketch of their language, or of all
-#: Ratio -> the least room above the upper quartile: limits of even groups stay usable.
-RATIOS = {
-    "symbol_ratio": 0.05,
-    "capital_ratio": 0.25,
-    "dup_line_ratio": 0.40,
-    "repeat_ratio": 0.35,
-    "word_length": 6.0,
-}
+SURE = 3.0  # roots of its count that a document's count is lowered by before it is judged
+PRIOR_DOCS = 100  # documents that the sketch of the language, or of the corpus, counts as
+_WEIGHT = 1 << 20  # one document in merged sketches; whole numbers add alike in any order
+RATIOS = ("symbol_ratio", "capital_ratio", "dup_line_ratio", "repeat_ratio", "word_length")
 _POSITION = (1 << 21) - 1
 
 
@@ -55,13 +57,16 @@ def _repeated(windows: Column) -> Column:
     hash_and_place = F.transform(
         windows, lambda h, i: h.bitwiseAND(F.lit(~_POSITION)).bitwiseOR(i.cast("bigint"))
     )
-    short = F.transform(
-        F.sort_array(hash_and_place), lambda x: x.bitwiseAND(F.lit(_POSITION)).cast("int")
-    )
     long = F.transform(
         F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         lambda x: x["i"],
     )
+    short = let(
+        F.sort_array(hash_and_place),
+        lambda ranked: F.when(F.size(_mixed(ranked, windows)) > 0, long).otherwise(
+            F.transform(ranked, _place)
+        ),
+    )
     order = F.when(n <= _POSITION, short).otherwise(long)
     found = let(order, lambda o: _equal_neighbours(o, windows))
     return F.when(F.size(F.array_distinct(windows)) == n, F.lit(0)).otherwise(
@@ -69,6 +74,20 @@ def _repeated(windows: Column) -> Column:
     )
 
 
+def _place(ranked: Column) -> Column:
+    return ranked.bitwiseAND(F.lit(_POSITION)).cast("int")
+
+
+def _mixed(ranked: Column, windows: Column) -> Column:
+    """Neighbours that agree in the bits beside the place but not in the whole hash: there,
+    equal windows may lie apart."""
+    return F.filter(
+        ranked,
+        lambda x, k: (F.shiftright(x, 21) == F.shiftright(F.get(ranked, k + 1), 21))
+        & (F.get(windows, _place(x)) != F.get(windows, _place(F.get(ranked, k + 1)))),
+    )
+
+
 def _equal_neighbours(order: Column, windows: Column) -> Column:
     """Places, in order of their windows' hashes, whose window occurs at a neighbour too."""
     return let(
@@ -93,6 +112,23 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def _events(c: Column) -> dict[str, tuple[Column, Column]]:
+    """Ratio -> its events and its units. Words are repeated by lines, so all words of two
+    equal lines are one event."""
+    return {
+        "symbol_ratio": (c["n_symbols"], c["word_chars"]),
+        "capital_ratio": (c["n_capitals"], c["word_chars"]),
+        "dup_line_ratio": (c["n_dup_lines"], c["n_lines"]),
+        "repeat_ratio": (_share(c["n_repeat_words"] * c["n_lines"], 2 * c["n_words"]), c["n_lines"] / 2),
+        "word_length": (c["word_chars"], c["n_words"]),
+    }
+
+
+def _sure(events: Column, units: Column) -> Column:
+    """The ratio that the document surely has, whatever chance added."""
+    return _share(events - F.lit(SURE) * F.sqrt(events), units)
+
+
 def measure(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The table with its base counts and ratios in one column ``q``."""
     text = text_or_empty(text_column)
@@ -119,11 +155,8 @@ def measure(docs: DataFrame, text_column: str = "text") -> DataFrame:
         lambda c: F.struct(
             *[c[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines")],
             c["n_repeat_words"].alias("n_repeat_words"),
-            _share(c["n_symbols"], c["word_chars"]).alias("symbol_ratio"),
-            _share(c["n_capitals"], c["word_chars"]).alias("capital_ratio"),
-            _share(c["n_dup_lines"], c["n_lines"]).alias("dup_line_ratio"),
-            _share(c["n_repeat_words"], c["n_words"]).alias("repeat_ratio"),
-            _share(c["word_chars"], c["n_words"]).alias("word_length"),
+            *[_share(*of).alias(name) for name, of in _events(c).items()],
+            F.struct(*[_sure(*of).alias(name) for name, of in _events(c).items()]).alias("sure"),
             (
                 (c["n_words"] < 50) | (c["n_repeat_words"] * 100 > c["n_words"] * 50)
             ).alias("base_failed"),
@@ -175,48 +208,55 @@ def _quantile(bins: Column, q: float) -> Column:
     )
 
 
-def _limits(counts: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """One row per key: the limit of every ratio, and the number of documents."""
-    bins = counts.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
-    per_ratio = bins.groupBy(*keys, "ratio").agg(
-        F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"),
-        F.sum("n").alias("docs"),
-    )
-    room = F.create_map(*[F.lit(x) for pair in RATIOS.items() for x in pair])
-    quartiles = per_ratio.select(
-        *keys,
-        "ratio",
-        "docs",
-        _quantile(F.col("bins"), 0.25).alias("low"),
-        _quantile(F.col("bins"), 0.75).alias("high"),
-    )
-    limit = F.col("high") + F.greatest(
-        F.lit(SPREADS) * (F.col("high") - F.col("low")), F.element_at(room, F.col("ratio"))
-    )
-    return quartiles.groupBy(*keys).agg(
-        F.max("docs").alias(f"{prefix}_docs"),
-        F.map_from_entries(F.collect_list(F.struct("ratio", limit))).alias(f"{prefix}_limits"),
+def _merged(counts: DataFrame, keys: list[str], prior: DataFrame, of: list[str]) -> DataFrame:
+    """(keys, ratio, bin, n) in parts of a document: each key's own sketch and that of its
+    ``prior``, which has columns ``of``, scaled to ``PRIOR_DOCS`` documents."""
+    total = prior.groupBy(*of, "ratio").agg(F.sum("n").alias("_all"))
+    scaled = prior.join(total, [*of, "ratio"]).select(
+        *of, "ratio", "bin", F.expr(f"CAST({PRIOR_DOCS * _WEIGHT} * (n / _all) AS bigint)").alias("n")
     )
+    own = counts.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
+    lent = own.select(*keys, "ratio").distinct().join(scaled, [*of, "ratio"])
+    both = own.withColumn("n", F.col("n") * _WEIGHT).unionByName(lent.select(own.columns))
+    return both.groupBy(*keys, "ratio", "bin").agg(F.sum("n").alias("n"))
 
 
 def limits(counts: DataFrame) -> DataFrame:
-    """Limits per (lang, source), borrowed from the language or all where few documents are.
+    """(lang, source, limits): each group's limit of every ratio.
 
     A group has at most as many bins as ratios times a few hundred, so its arrays are small
     at any number of documents.
     """
-    own = _limits(counts, ["lang", "source"], "own")
-    lang = _limits(counts, ["lang"], "lang").withColumnRenamed("lang", "l")
-    everything = _limits(counts.withColumn("all", F.lit(1)), ["all"], "all").first()
-    of_all = everything["all_limits"] if everything else {}  # one number per ratio
-    all_limits = F.create_map(*[F.lit(x) for pair in sorted(of_all.items()) for x in pair])
-    chosen = (
-        F.when(F.col("own_docs") >= LEAST_GROUP, F.col("own_limits"))
-        .when(F.col("lang_docs") >= LEAST_GROUP, F.col("lang_limits"))
-        .otherwise(all_limits.cast("map<string,double>"))
+    known = counts.select(
+        F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("l"),  # a null is a key too
+        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("s"),
+        "ratio",
+        "bin",
+        "n",
+    )
+    everything = known.groupBy("ratio", "bin").agg(F.sum("n").alias("n"))
+    langs = _merged(known, ["l"], everything, [])
+    bins = _merged(known, ["l", "s"], langs, ["l"])
+    quartiles = (
+        bins.groupBy("l", "s", "ratio")
+        .agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
+        .select(
+            "l",
+            "s",
+            "ratio",
+            _quantile(F.col("bins"), 0.25).alias("low"),
+            _quantile(F.col("bins"), 0.75).alias("high"),
+        )
+    )
+    limit = F.col("high") + F.lit(SPREADS) * (F.col("high") - F.col("low"))
+    made = quartiles.groupBy("l", "s").agg(
+        F.map_from_entries(F.collect_list(F.struct("ratio", limit))).alias("limits")
     )
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l")))
-    return joined.select("lang", "source", chosen.alias("limits"))
+
+    def back(key: str) -> Column:
+        return F.when(F.col(key) != "", F.substr(F.col(key), F.lit(2)))
+
+    return made.select(back("l").alias("lang"), back("s").alias("source"), "limits")
 
 
 def judge(measured: DataFrame, limits: DataFrame, keys: tuple[str, str]) -> DataFrame:
@@ -226,7 +266,7 @@ def judge(measured: DataFrame, limits: DataFrame, keys: tuple[str, str]) -> Data
     )
     beyond = F.lit(False)
     for name in RATIOS:
-        beyond = beyond | (F.col(f"q.{name}") > F.element_at("_l", F.lit(name)))
+        beyond = beyond | (F.col(f"q.sure.{name}") > F.element_at("_l", F.lit(name)))
     met = measured.join(
         named,
         measured[keys[0]].eqNullSafe(F.col("_lang"))
@@ -245,8 +285,9 @@ def quality(docs: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> Data
 
 
 def keep_good(docs: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """The documents that pass, with all their columns. Texts are read twice, not shuffled
-    unless the limits are too many to broadcast."""
+    """The documents that pass, with all their columns. Texts are measured once; the rows are
+    kept with their numbers in the shared folder, and not shuffled unless the limits are too
+    many to broadcast."""
     plain = docs.select(whole_row(docs).alias("row"))
     narrow = plain.select(
         F.col("row.text").alias("text"),
@@ -255,6 +296,6 @@ def keep_good(docs: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> Da
         "row",
     )
     of = ("lang", "source")
-    counts = sketch(measure(narrow.drop("row")), of)
-    judged = judge(measure(narrow), durable(limits(counts)), of)
+    counted = durable(measure(narrow).drop("text"))
+    judged = judge(counted, durable(limits(sketch(counted, of))), of)
     return judged.where(F.col("q.kept")).select("row.*")

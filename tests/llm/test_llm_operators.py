@@ -627,3 +627,44 @@ def test_running(spark, size):
     ).collect()
     assert r.sums == np.cumsum(values).tolist()
     assert r.most == (np.maximum.accumulate(values).tolist() if values else [])
+
+
+def test_limits_lean_on_the_language_and_this_fades(spark):
+    """A group's limit, as its documents grow from few to many, goes from its language's to its own."""
+    ratio = "word_length"
+
+    def limit(size):
+        rows = [("en", "big", ratio, 10, 10_000), ("en", "own", ratio, 40, size)]
+        counts = spark.createDataFrame(rows, "lang string, source string, ratio string, bin int, n bigint")
+        [r] = quality_rules.limits(counts).where("source = 'own'").collect()
+        return r.limits[ratio]
+
+    own = quality_rules.SMALLEST * quality_rules.BIN_GROWTH**40
+    lent = quality_rules.SMALLEST * quality_rules.BIN_GROWTH**10
+    found = [limit(size) for size in (1, 30, 60, 100, 200, 100_000)]
+    assert found[0] == pytest.approx(lent, rel=0.01) and found[-1] == pytest.approx(own, rel=0.01)
+    assert max(found) > own  # in between both are in the quartiles
+
+
+def test_a_few_events_in_a_short_text_are_no_evidence(documents):
+    """Groups without any symbol, or any equal lines, let a few of them pass and many not."""
+    rng = random.Random(23)
+
+    def text(*more):
+        words = [f"{rng.randrange(10**9):x}" for _ in range(300)]
+        return "\n".join(" ".join(words[i : i + 10]) for i in range(0, 300, 10)) + "\n" + "\n".join(more)
+
+    rows = [(i, text()) for i in range(120)]
+    rows += [(200, text("a # b # c")), (201, text("twice so", "twice so", "twice so"))]
+    rows += [(300, text("# " * 40)), (301, text(*["said it again"] * 60))]
+    kept = {r.doc_id for r in quality_rules.quality(documents(rows)).where("kept").collect()}
+    assert kept == set(range(120)) | {200, 201}
+
+
+def test_windows_that_share_their_upper_bits(spark):
+    """Equal windows are found where others with the same upper bits lie between them."""
+    a, b = (77 << 21) | 5, (77 << 21) | 9
+    windows = [a, b, 1 << 40, a, b, 3 << 40]
+    df = spark.createDataFrame([(windows,)], "w array<bigint>")
+    [r] = df.select(quality_rules._repeated(F.col("w")).alias("n")).collect()
+    assert r.n == 7  # the windows at 0, 1, 3 and 4 cover the words 0 to 6
