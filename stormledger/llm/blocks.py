@@ -7,9 +7,14 @@ once. A bin sees a hash from all blocks and answers each block with one small ce
 order it was asked. Blocks then meet their answers in a second grouping by block, for which
 Spark reuses the first shuffle of the texts.
 
-Blocks are ranges of the id, so that of two blocks the smaller has the smaller ids. Their
-number, which is also that of the bins, follows from the bytes of all texts, so neither a
-block nor a bin grows with the corpus. Rows without id lie in further blocks by their text.
+Blocks are ranges of the id, so that of two blocks the smaller has the smaller ids. Rows
+without id lie in further blocks by their text. Ids may be of any type that has an order; of
+texts the first seven bytes decide on the block.
+
+The number of blocks, which is also that of the bins, follows from the bytes of all texts.
+Beyond ``EVEN_BYTES`` a block grows with the root of the corpus, up to ``GROWTH`` times, so
+that cells keep several hashes. What the plan holds does not grow: it has at most ``KNOTS``
+ids, found as quantiles, and blocks between two of them are even steps.
 """
 
 from __future__ import annotations
@@ -20,10 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stormledger.functions.arrays import let
 from stormledger.llm.fingerprints import pack_planes, unpack_planes
 
 BLOCK_BYTES = 6_000_000
+EVEN_BYTES = 100_000_000_000  # of all texts, up to which a block has these bytes
+GROWTH = 8
+KNOTS = 1024
+_LEAD = 7  # bytes of a text id that make its number
 ASK = "block int, bin int, hashes binary"
 ANSWER = "block int, bin int, answer binary"
 
@@ -40,27 +51,62 @@ def _range_of(value: Column, bounds: list) -> Column:
     return rows * step + F.size(F.filter(rest, lambda b: b <= value))
 
 
+def _number(docs: DataFrame) -> Column:
+    """A number for the id that never falls as the id grows."""
+    kind = docs.schema["doc_id"].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col("doc_id")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        lead = F.substring(F.col("doc_id").cast("binary"), 1, _LEAD)
+        return F.conv(F.rpad(F.hex(lead), 2 * _LEAD, "0"), 16, 10).cast("bigint")
+    return F.col("doc_id").cast("timestamp").cast("bigint")  # a date or a time
+
+
+def _block_of(number: Column, knots: list, low, high, steps: int) -> Column:
+    """Which of ``steps`` even steps between which two knots the number lies in."""
+    at = _range_of(number, knots)
+    if steps == 1:
+        return at
+    edges = F.lit([float(x) for x in (low, *knots, high)])
+
+    def step(k: Column) -> Column:
+        begin, end = F.get(edges, k), F.get(edges, k + 1)
+        share = F.when(end > begin, (number.cast("double") - begin) / (end - begin)).otherwise(0.0)
+        inside = F.floor(share * steps).cast("int")
+        return k * steps + F.greatest(F.lit(0), F.least(F.lit(steps - 1), inside))
+
+    return let(at, step)
+
+
 def dealt(
     docs: DataFrame, block_bytes: int = BLOCK_BYTES, extra: tuple[Column, ...] = ()
 ) -> tuple[DataFrame, int, int]:
     """(doc_id, text, extra, block), null text as empty; the number of id blocks; of bins."""
-    total, ids, low = docs.agg(
+    number = _number(docs)
+    total, ids, low, high = docs.agg(
         F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(16)),
         F.count("doc_id"),
-        F.min("doc_id"),
+        F.min(number),
+        F.max(number),
     ).first()
-    blocks = max(1, round((total or 0) / block_bytes))
-    bounds = []
+    total = total or 0
+    grown = block_bytes * min(GROWTH, max(1.0, (total / EVEN_BYTES) ** 0.5))
+    blocks = max(1, round(total / grown))
+    ranges = min(blocks, KNOTS)
+    steps = -(-blocks // ranges)
+    knots = []
     if ids and blocks > 1:
-        shares = [k / blocks for k in range(1, blocks)]
-        found = docs.agg(F.percentile_approx("doc_id", shares, 20 * blocks)).first()[0]
-        bounds = [b for b in sorted(set(found)) if b > low]
-    known = _range_of(F.col("doc_id"), bounds)
-    without = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
+        shares = [k / ranges for k in range(1, ranges)]
+        if shares:
+            found = docs.agg(F.percentile_approx(number, shares, 20 * ranges)).first()[0]
+            knots = [b for b in sorted(set(found)) if b > low]
+    known = _block_of(number, knots, low, high, steps) if ids else F.lit(0)
+    id_blocks = (len(knots) + 1) * steps
+    without = F.lit(id_blocks) + F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int")
     block = F.when(F.col("doc_id").isNull(), without).otherwise(known).cast("int")
     text = F.coalesce("text", F.lit("")).alias("text")
     bins = 1 << max(0, (blocks - 1).bit_length())
-    return docs.select("doc_id", text, *extra, block.alias("block")), len(bounds) + 1, bins
+    return docs.select("doc_id", text, *extra, block.alias("block")), id_blocks, bins
 
 
 def bin_edges(hashes: np.ndarray, bins: int) -> np.ndarray:

@@ -10,7 +10,8 @@ The hashes have 64 bits; in ten billion windows a few may meet by chance.
 
 Null text is empty. Documents with equal ids do not remove from each other. A null id counts
 as larger than any and smaller than none: such a document loses what others have, and
-others lose nothing to it. An empty table gives no rows; other columns are not read.
+others lose nothing to it. Ids may be numbers, texts (in the order of their bytes), dates or
+times. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,10 +27,21 @@ WINDOW = 50
 _NO_ID = np.iinfo(np.int64).max
 
 
+def _ordered(ids: pa.ChunkedArray) -> np.ndarray:
+    """A number for each id of a block, in the order of the ids; null is the largest."""
+    if pa.types.is_integer(ids.type):
+        return ids.cast(pa.int64()).fill_null(_NO_ID).to_numpy()
+    if pa.types.is_string(ids.type):
+        ids = ids.cast(pa.binary())  # Spark orders texts by their bytes
+    values = ids.to_pylist()
+    place = {x: k for k, x in enumerate(sorted({x for x in values if x is not None}))}
+    return np.array([_NO_ID if x is None else place[x] for x in values], np.int64)
+
+
 def _block_windows(table: pa.Table, window: int):
     """Everything about a block's windows, in an order that both groupings share."""
     texts = blocks.encoded(table.column("text"))
-    ids = table.column("doc_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy()
+    ids = _ordered(table.column("doc_id"))
     hashes, offsets = word_hashes(texts)
     places, values = windows(hashes, offsets, window)
     doc = ids[np.searchsorted(offsets, places, side="right") - 1]

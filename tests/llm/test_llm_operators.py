@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stormledger.functions.arrays import running
 from stormledger.llm import (
+    blocks,
     chat,
     decontamination,
     jaccard,
@@ -572,6 +573,36 @@ def test_substring_dedup_odd_rows(documents, odd_rows):
     assert substring_dedup.remove_repeats(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("spell", [int, "doc {:06d}".format, "{:x}".format])
+@pytest.mark.parametrize("knots", [1024, 3])
+def test_substring_dedup_with_any_ids_and_few_knots(spark, monkeypatch, spell, knots):
+    """Blocks between knots are even steps of the id; ids of texts go by their bytes."""
+    monkeypatch.setattr(blocks, "KNOTS", knots)
+    docs = [(spell(d * d), t) for d, t in brute.corpus(24)]
+    df = spark.createDataFrame(docs, ["doc_id", "text"]).repartition(3)
+    spread, id_blocks, _ = blocks.dealt(df, 2000)
+    if knots == 3:
+        assert id_blocks > 6 and len({r.block for r in spread.collect()}) > 3
+    found = substring_dedup.remove_repeats(df, 20, 2000).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == (
+        brute.substring_dedup(docs, 20)
+    )
+
+
+def test_the_plan_holds_few_ids(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "KNOTS", 16)
+    rows = [(i, f"some words {i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sizes = []
+    for block_bytes in (4000, 40):
+        spread, id_blocks, _ = blocks.dealt(df, block_bytes)
+        blocks_of = spread.groupBy("block").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        found = blocks_of.orderBy("block").collect()
+        assert all(x.b < y.a for x, y in zip(found, found[1:])) and found[-1].block < id_blocks
+        sizes.append(len(spread._jdf.queryExecution().optimizedPlan().toString()))
+    assert len(found) > 2000 and abs(sizes[1] - sizes[0]) < 2000
+
+
 # --- texts with very much of one thing ------------------------------------------------------
 
 
