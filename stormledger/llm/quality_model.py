@@ -3,15 +3,21 @@
 The model sees trusted positives and unlabelled web text, no negatives. It minimises the
 non-negative unbiased risk: with class prior p, the loss of positives as positive times p,
 plus the loss of unlabelled text as negative less that of positives as negative times p, the
-latter difference never below zero. The prior is estimated as the share of positives among
-the labelled rows of the training part.
+latter difference never below zero.
+
+The prior too comes from positives and unlabelled text alone. If a share p of the unlabelled
+documents is positive, then any set of documents holds at least p times as large a share of
+the unlabelled as of the positives, and exactly that where it holds no negative. A first model, fit on
+half of the sample, ranks the other half; of the sets of its top documents, the one with the
+least ratio, sampling error included, gives the prior (best-bin estimation).
 
 A document is described by shares of its characters, words and lines. Each is cut into bins
 at quantiles of the sample, and the score is a logistic sum of one weight per bin.
 
 Training takes at most ``SAMPLE`` positives and as many unlabelled documents, chosen by a hash
 of the id; scoring runs over all documents, in the tasks that read them. The rows with
-crc32(id) mod 3 = 1 give neither labels nor text to training.
+crc32(id) mod 3 = 1 give neither labels nor text to training. Of rows that share an id,
+training reads one, by a hash of the text.
 
 Null text is empty and is scored like other texts. Null ids count as an empty string for the
 split. Equal texts get equal scores. Without any positive in the training part all
@@ -31,6 +37,8 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000  # labelled positives, and unlabelled documents, that training reads at most
 BINS = 12
 ROUNDS = 400
+DOUBT = 0.1  # chance that the sampling error allowed for the prior is exceeded
+LEAST_PRIOR, MOST_PRIOR = 0.02, 0.98
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>{}[]\\^~_=+@/")] = True
 _UPPER = np.zeros(256, bool)
@@ -147,23 +155,47 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
     return model
 
 
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The least ratio of the shares of unlabelled and of positive scores above a threshold.
+
+    Each threshold's ratio is judged with its sampling error, as small sets have small ratios
+    by chance, and returned without.
+    """
+    p, u = np.sort(positive), np.sort(unlabelled)
+    cuts = np.unique(p)
+    of_p = 1 - np.searchsorted(p, cuts) / len(p)
+    of_u = 1 - np.searchsorted(u, cuts) / len(u)
+    error = np.sqrt(np.log(4 / DOUBT) / 2) * (len(u) ** -0.5 + len(p) ** -0.5)
+    ratio = of_u / of_p
+    return float(ratio[np.argmin(ratio + error / of_p)])
+
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives in the unlabelled rows, from one half's ranking by the other's model."""
+    if min(len(positive), len(unlabelled)) < 2:
+        return MOST_PRIOR
+    ranking = fit(positive[::2], unlabelled[::2], 0.5)
+    found = best_bin(ranking.score(positive[1::2]), ranking.score(unlabelled[1::2]))
+    return min(MOST_PRIOR, max(LEAST_PRIOR, found))
+
+
 def held_out(id_column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))), F.lit(3)) == 1
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Fit on bounded samples of the training part; None without positives or text."""
-    training = labels.where(~held_out()).where("quality IS NOT NULL")
-    n, positives = training.agg(F.count("*"), F.sum((F.col("quality") == 1).cast("int"))).first()
-    if not positives:
-        return None
+    training = labels.where(~held_out()).where("quality = 1")
     rank = F.xxhash64("doc_id", F.lit("sample"))
-    chosen = (
-        training.where("quality = 1").select("doc_id").distinct().orderBy(rank).limit(sample)
-    )
+    chosen = training.select("doc_id").distinct().orderBy(rank).limit(sample)
     others = docs.where(~held_out()).select("doc_id").distinct().orderBy(rank).limit(sample)
     named = chosen.withColumn("trusted", F.lit(True)).union(others.withColumn("trusted", F.lit(False)))
-    texts = docs.select("doc_id", "text").join(F.broadcast(named), "doc_id")  # 2 * sample ids
+    texts = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(named), "doc_id")  # 2 * sample ids
+        .groupBy("doc_id", "trusted")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
     rows = sorted(
         (r.trusted, r.doc_id, r.features)
         for r in described(texts, ["doc_id", "trusted"]).collect()
@@ -171,8 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     x = {t: np.array([r[2] for r in rows if r[0] == t]) for t in (True, False)}
     if not len(x[True]) or not len(x[False]):
         return None
-    prior = min(0.98, max(0.02, positives / n))
-    return fit(x[True], x[False], prior)
+    return fit(x[True], x[False], estimated_prior(x[True], x[False]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

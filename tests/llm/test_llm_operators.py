@@ -478,6 +478,51 @@ def test_model_learns_from_positives_and_unlabelled():
     assert (high >= 0.5).mean() > 0.9 and (low < 0.5).mean() > 0.8
 
 
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.85])
+def test_prior_without_any_negative(prior):
+    rng = np.random.default_rng(25)
+    n = 4000
+    good = rng.normal(0, 1, (n, 2))
+    mixed = np.where(rng.random((n, 1)) < prior, rng.normal(0, 1, (n, 2)), rng.normal(4, 1, (n, 2)))
+    assert quality_model.estimated_prior(good, mixed) == pytest.approx(prior, abs=0.06)
+    assert quality_model.estimated_prior(good, rng.normal(0, 1, (n, 2))) > 0.9
+    assert quality_model.estimated_prior(good[:1], mixed) == quality_model.MOST_PRIOR
+
+
+def test_gradient_of_the_risk():
+    """The fit ends near the least non-negative risk, as found by trying weights one by one."""
+    rng = np.random.default_rng(26)
+    positive, unlabelled = rng.integers(0, 2, (400, 1)) * 1.0, rng.random((400, 1)).round()
+    positive[:300] = 1.0
+
+    def risk(model, prior=0.6):
+        p, u = model.score(positive), model.score(unlabelled)
+        return prior * (1 - p).mean() + max(0.0, u.mean() - prior * p.mean())
+
+    model = quality_model.fit(positive, unlabelled, 0.6)
+    tried = []
+    for low in range(-6, 7):
+        for high in range(-6, 7):
+            other = quality_model.Model(model.edges, [np.zeros(len(model.weights[0]))], 0.0)
+            other.weights[0][other.bins(np.array([[0.0]]))[0][0]] = low
+            other.weights[0][other.bins(np.array([[1.0]]))[0][0]] = high
+            tried.append(risk(other))
+    assert risk(model) < min(tried) + 0.02
+
+
+def test_training_reads_one_row_of_an_id(spark, documents, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(
+        quality_model, "fit", lambda p, u, prior: seen.setdefault("rows", (len(p), len(u)))
+    )
+    monkeypatch.setattr(quality_model, "estimated_prior", lambda p, u: 0.5)
+    rows = [(i % 20, f"text {i} of {i % 7} words") for i in range(400)]
+    labels = spark.createDataFrame([(d, 1) for d in range(20)], "doc_id bigint, quality int")
+    quality_model.train(documents(rows), labels)
+    inside = sum(zlib.crc32(str(d).encode()) % 3 != 1 for d in range(20))
+    assert seen["rows"] == (inside, inside)
+
+
 def test_scores_of_odd_rows(spark, documents, odd_rows):
     labels = spark.createDataFrame(
         [(d, 1, 0) for d in range(1, 8)] + [(None, 1, None)], "doc_id bigint, quality int, toxic int"
