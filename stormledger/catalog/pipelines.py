@@ -75,7 +75,12 @@ FROM ranked WHERE copy = 1
 """
 
 
-def _landed_payloads(spark: SparkSession, spine_path: str) -> DataFrame:
+#: Lines of a gzipped file: of the spine, and of payloads.
+SPINE_LINES, PAYLOAD_LINES = 25_000, 50_000
+
+
+def _landed_payloads(events: DataFrame) -> DataFrame:
+    """A payload for each row of (disasterNumber, county_fips)."""
     number, empty = F.col("disasterNumber"), F.lit("")
 
     def article(i: Column) -> Column:
@@ -96,15 +101,11 @@ def _landed_payloads(spark: SparkSession, spine_path: str) -> DataFrame:
 
     every = F.transform(F.sequence(F.lit(0), F.lit(PER_PAYLOAD - 1)), article)
     none = F.filter(every, lambda a: F.lit(False))
-    return (
-        read_ndjson(spark, spine_path, SPINE)
-        .select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips")
-        .select(
-            "disasterNumber",
-            "county_fips",
-            F.when(number % 2 == 0, every).otherwise(none).alias("articles"),
-            every.alias("timeline"),
-        )
+    return events.select(
+        "disasterNumber",
+        "county_fips",
+        F.when(number % 2 == 0, every).otherwise(none).alias("articles"),
+        every.alias("timeline"),
     )
 
 
@@ -117,8 +118,11 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     beside an empty ``articles``. All goes through files and ``run_articles``.
     """
     root = scratch_path(spark, "event-articles")
-    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
-    append_ndjson(_landed_payloads(spark, f"{root}/spine"), f"{root}/payloads")
+    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine", SPINE_LINES)
+    keys = read_ndjson(spark, f"{root}/spine", SPINE).select(
+        F.col("fema_disaster_number").alias("disasterNumber"), "county_fips"
+    )
+    append_ndjson(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
     article_plan.run_articles(
         spark, f"{root}/spine", f"{root}/payloads", f"{root}/ndjson", f"{root}/csv"
     )
@@ -138,15 +142,15 @@ def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same articles from a stream that is started twice: first the payloads of the later
     events are there, then also those of the earlier ones."""
     root = scratch_path(spark, "article-stream")
-    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine")
+    append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine", SPINE_LINES)
     spine = read_ndjson(spark, f"{root}/spine", SPINE)
     events = fix_events(spark, spine, f"{root}/store", "v1")
-    landed = _landed_payloads(spark, f"{root}/spine")
     late = F.coalesce(F.col("date") >= "1998-01-01", F.lit(False))
     dates = spine.select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips", "date")
     for part in (late, ~late):
         of_part = dates.where(part).drop("date")
-        append_ndjson(landed.join(of_part, ["disasterNumber", "county_fips"]), f"{root}/payloads")
+        keys = dates.drop("date").join(of_part, ["disasterNumber", "county_fips"])
+        append_ndjson(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
         start_article_stream(
             spark, events, f"{root}/payloads", f"{root}/store", f"{root}/checkpoint", slots=4
         ).awaitTermination()

@@ -27,7 +27,7 @@ from stormledger.operators.ranking import top_n_per_group
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
 from stormledger.sinks.writers import write_articles, write_audit
 from stormledger.sources.ndjson import land_ndjson
-from stormledger.sources.payloads import explode_articles
+from stormledger.sources.payloads import explode_articles, offered_articles
 from stormledger.storage import durable
 
 EVENT_COLUMNS = (
@@ -80,14 +80,23 @@ def events_from_spine(spine: DataFrame, *keep: str | Column) -> DataFrame:
 
 
 def attach_payloads(
-    events: DataFrame, payloads: DataFrame, keys: Sequence[str], *keep: str
+    events: DataFrame,
+    payloads: DataFrame,
+    keys: Sequence[str],
+    *keep: str,
+    columns: Sequence[str] = EVENT_COLUMNS,
+    first: int | None = None,
 ) -> DataFrame:
-    """One row per article of an event's landed payload, event columns on each.
+    """One row per article of an event's landed payload, event ``columns`` on each.
 
-    Events without a payload, or with an empty one, give no rows.
+    Events without a payload, or with an empty one, give no rows. With ``first`` only so many
+    articles of each payload are taken; the others, and the list that is not used, stay where
+    they are.
     """
-    joined = events.join(payloads.select(*keys, "articles", "timeline"), list(keys))
-    return explode_articles(joined, *keep, *EVENT_COLUMNS)
+    offered = payloads.select(*keys, offered_articles(first).alias("_offered"))
+    needed = events.select(*dict.fromkeys([*keys, *keep, *columns]))
+    joined = needed.join(offered, list(keys))
+    return explode_articles(joined, *keep, *columns, items=F.col("_offered"))
 
 
 def match_articles(
@@ -200,8 +209,12 @@ def score_articles(
     order: Sequence[str],
     min_title_hits: int = MIN_TITLE_HITS,
     language: str = DEFAULT_LANGUAGE,
+    columns: Sequence[str] = EVENT_COLUMNS,
 ) -> DataFrame:
-    """The candidates with enough title hits as article rows, ``order`` before their columns."""
+    """The candidates with enough title hits as article rows, ``order`` before their columns.
+
+    ``columns`` are those of the event that the candidates carry.
+    """
     scored = candidates.withColumns(
         {
             "url": field_fallback(F.col("url"), F.col("seendateurl")),
@@ -210,7 +223,7 @@ def score_articles(
     ).where(not_empty(F.col("title"), F.col("url")) & enough_hits(F.col("score"), min_title_hits))
     return scored.select(
         *order,
-        *[c for c in EVENT_COLUMNS if c != "keywords"],
+        *[c for c in columns if c != "keywords"],
         "title",
         "url",
         field_fallback(F.col("seendate"), F.col("date")).alias("datetime"),
@@ -238,6 +251,26 @@ def select_articles(
     return keep_first_url(scored, "url", *order).select(*ARTICLE.names)
 
 
+def first_articles(
+    events: DataFrame,
+    candidates: DataFrame,
+    min_title_hits: int = MIN_TITLE_HITS,
+    language: str = DEFAULT_LANGUAGE,
+) -> DataFrame:
+    """``select_articles`` for candidates that carry ``_order`` and ``keywords`` of their event,
+    in the order of ``_order`` and ``article_pos``, which are kept.
+
+    ``_order`` is unique in ``events``, so the event's other columns are looked up for the rows
+    that stay, instead of being sorted and sent with every candidate.
+    """
+    scored = score_articles(
+        candidates, ("_order", "article_pos"), min_title_hits, language, ("keywords",)
+    )
+    first = keep_first_url(scored, "url", "_order", "article_pos")
+    described = events.select("_order", *[c for c in EVENT_COLUMNS if c != "keywords"])
+    return first.join(described, "_order").select("_order", "article_pos", *ARTICLE.names)
+
+
 def ordered_events(spine: DataFrame) -> DataFrame:
     """The spine's events with their place in ``_order``: latest date first, then by number,
     county and their other fields, whatever files and appends the spine lies in."""
@@ -286,13 +319,14 @@ def run_articles(
     events = ordered_events(spine)
     offered, kept = Observation("offered"), Observation("kept")
     candidates = (
-        attach_payloads(events, payloads, EVENT_KEY, "_order")
-        .where(F.col("article_pos") < per_event)
+        attach_payloads(events, payloads, EVENT_KEY, "_order", columns=["keywords"], first=per_event)
         .observe(offered, F.count("*").alias("n"))
     )
-    selected = select_articles(
-        candidates, ["_order", "article_pos"], min_title_hits, language
-    ).observe(kept, F.count("*").alias("n"))
+    selected = (
+        first_articles(events, candidates, min_title_hits, language)
+        .select(*ARTICLE.names)
+        .observe(kept, F.count("*").alias("n"))
+    )
     write_articles(selected, ndjson_path, csv_path)
     if bad_root is not None:
         write_audit(bad_events, f"{bad_root}/events", run_id or uuid.uuid4().hex)

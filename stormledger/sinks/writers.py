@@ -23,13 +23,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON object per line; NULL fields are written as ``null``."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_ndjson(
+    df: DataFrame, path: str, mode: str = "overwrite", packed: int | None = None
+) -> None:
+    """One JSON object per line; NULL fields are written as ``null``.
+
+    With ``packed`` the files are gzipped and have at most so many lines each: such a file is
+    read by one task, so it must not grow with the table.
+    """
+    writer = df.write.mode(mode).option("ignoreNullFields", False)
+    if packed is not None:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", packed)
+    writer.json(path)
 
 
-def append_ndjson(df: DataFrame, path: str) -> None:
-    write_ndjson(df, path, mode="append")
+def append_ndjson(df: DataFrame, path: str, packed: int | None = None) -> None:
+    write_ndjson(df, path, mode="append", packed=packed)
 
 
 def write_json_array(df: DataFrame, path: str, position: str) -> None:

@@ -52,13 +52,19 @@ def header_row_json(
     )
 
 
-def explode_articles(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per article: ``articles``, or ``timeline`` where that is missing or empty.
+def offered_articles(first: int | None = None) -> Column:
+    """``articles``, or ``timeline`` where that is missing or empty; the ``first`` ones of it."""
+    filled = F.coalesce(F.size("articles"), F.lit(0)) > 0
+    items = F.when(filled, F.col("articles")).otherwise(F.col("timeline"))
+    return items if first is None else F.slice(items, 1, first)
+
+
+def explode_articles(df: DataFrame, *keep: str, items: Column | None = None) -> DataFrame:
+    """One row per article of ``items``, by default all that a payload offers.
 
     ``article_pos`` is the place of the article in its payload.
     """
-    filled = F.coalesce(F.size("articles"), F.lit(0)) > 0
-    items = F.when(filled, F.col("articles")).otherwise(F.col("timeline"))
+    items = offered_articles() if items is None else items
     return df.select(*keep, F.posexplode(items).alias("article_pos", "_item")).select(
         *keep, "article_pos", "_item.*"
     )

@@ -182,6 +182,25 @@ def test_payload_articles_to_keyed_files(spark, tmp_path):
     assert f"2_48453_{hashlib.sha1(b'http://h/a?2').hexdigest()[:10]}" in ids
 
 
+def test_candidates_carry_what_is_needed_and_give_the_same_articles(spark, tmp_path):
+    """Payloads are cut before they meet events, and events described after the dedup."""
+    lines = [event(n, "Travis", "flood") for n in (1, 2, 3)] + [event(2, "Travis", "fire")]
+    events = articles.ordered_events(spark.createDataFrame(lines, SPINE))
+    rng = random.Random(5)
+    story = lambda n: [article(rng.choice(["Flood", "Texas fire", "x", None]), f"http://h/{rng.randint(0, 9)}?{n}-{i}") for i in range(9)]
+    landed = [(n, "48453", story(n), [] if n == 1 else story(-n)) for n in (1, 2, 2, 3)] + [(3, "48453", None, story(7))]
+    payloads = spark.createDataFrame(landed, articles.LANDED_PAYLOAD)
+    key = list(articles.EVENT_KEY)
+    candidates = articles.attach_payloads(events, payloads, key, "_order", columns=["keywords"], first=6)
+    every = articles.attach_payloads(events, payloads, key, "_order").where("article_pos < 6")
+    item = [f.name for f in ARTICLE_PAYLOAD["articles"].dataType.elementType]
+    assert candidates.columns == ["_order", "keywords", "article_pos", *item]
+    assert candidates.count() == every.count() == 6 * 7
+    want = articles.select_articles(every, ["_order", "article_pos"]).collect()
+    got = articles.first_articles(events, candidates).select(*ARTICLE.names).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
+
+
 def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
     good = '{"disasterNumber": 4332, "county_fips": "48453", "url": " http://a/b "}'
     lacking = '{"disasterNumber": 4332, "county_fips": "48453", "url": ""}'
