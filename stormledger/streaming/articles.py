@@ -23,8 +23,8 @@ from stormledger.plans.articles import (
     EVENT_KEY,
     LANDED_PAYLOAD,
     attach_payloads,
+    first_articles,
     ordered_events,
-    score_articles,
 )
 from stormledger.schemas import ARTICLE
 from stormledger.sinks.commits import Output, RunLog
@@ -67,11 +67,11 @@ def start_article_stream(
     def take(lines: DataFrame, batch: int) -> None:
         rows = parse_lines(lines, LANDED_PAYLOAD)
         payloads = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        offered = attach_payloads(events, payloads, EVENT_KEY, "_order").where(
-            F.col("article_pos") < per_event
+        offered = attach_payloads(
+            events, payloads, EVENT_KEY, "_order", columns=["keywords"], first=per_event
         )
-        scored = score_articles(offered, ORDER, min_title_hits, language)
-        SeenUrls(spark, root, slots).add(_run_id(batch), scored, "url", *ORDER)
+        first = first_articles(events, offered, min_title_hits, language)
+        SeenUrls(spark, root, slots).add(_run_id(batch), first, "url", *ORDER)
 
     return (
         spark.readStream.schema(T.StructType([T.StructField("value", T.StringType())]))

@@ -170,3 +170,21 @@ def test_late_new_urls_are_kept(spark, tmp_path):
         ).awaitTermination()
     kept = kept_urls(SeenUrls(spark, str(tmp_path / "seen"))).collect()
     assert sorted(r.url for r in kept) == ["http://h/a?2", "http://h/b", "http://h/c", "http://h/old"]
+
+
+def test_the_index_is_asked_for_one_row_per_url(spark, tmp_path, monkeypatch):
+    (tmp_path / "payloads").mkdir()
+    urls = [[f"http://h/{i % 4}?{n}-{i}" for i in range(40)] for n in (1, 2, 3)]
+    lines = [_payload(n, *of) for n, of in zip((1, 2, 3), urls)]
+    (tmp_path / "payloads" / "1").write_text("\n".join(lines))
+    add, asked = SeenUrls.add, []
+
+    def counted(self, run_id, batch, *args):
+        asked.append(batch.count())
+        return add(self, run_id, batch, *args)
+
+    monkeypatch.setattr(SeenUrls, "add", counted)
+    _article_stream(spark, tmp_path)
+    found = stream_articles.articles_so_far(spark, str(tmp_path / "store")).collect()
+    assert sorted(r.url for r in found) == sorted(urls[2][:4]) and {r.county for r in found} == {"Travis"}
+    assert asked == [4]
