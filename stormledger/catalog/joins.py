@@ -14,7 +14,7 @@ from stormledger.operators import joins, phrases
 from stormledger.operators.positions import PositionalIndex
 from stormledger.plans import crawl
 from stormledger.plans import spine as spine_plan
-from stormledger.plans.colocated import save_bucketed
+from stormledger.plans.colocated import buckets_for, save_bucketed
 from stormledger.sources.payloads import explode_articles
 from stormledger.storage import scratch_path
 
@@ -234,10 +234,12 @@ def payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def colocated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from tables saved in buckets, which meet without a shuffle."""
     saved = []
-    for rows in _events_and_payloads(spark, sf_dir):
+    sides = _events_and_payloads(spark, sf_dir)
+    buckets = buckets_for(*sides)
+    for rows in sides:
         path = scratch_path(spark, "bucketed")
         name = path.rpartition("/")[2].replace("-", "_")
-        save_bucketed(rows, name, path, ["o_orderkey"], 8)
+        save_bucketed(rows, name, path, ["o_orderkey"], buckets)
         saved.append(spark.table(name))
     return _attached(*saved)
 

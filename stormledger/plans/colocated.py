@@ -15,6 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from stormledger.plans.articles import EVENT_KEY, attach_payloads
 
 BUCKETS = 256  # one task reads a bucket: choose about the table's size by 128 MB
+BUCKET_ROWS = 500_000  # where rows are narrow and their number decides, see buckets_for
+
+
+def buckets_for(*tables: DataFrame, rows: int = BUCKET_ROWS, least: int = 8) -> int:
+    """How many buckets keep those of the longest table at about ``rows`` rows, as a power of two.
+
+    A task sorts a bucket when it is written and again when it meets the other table's, so
+    buckets must become more, not longer, as tables grow.
+    """
+    longest = max(t.count() for t in tables)
+    return max(least, 1 << max(0, -(-longest // rows) - 1).bit_length())
 
 
 def save_bucketed(

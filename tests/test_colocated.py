@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from stormledger.plans.articles import attach_payloads, events_from_spine
-from stormledger.plans.colocated import attach_saved, register, save_bucketed
+from stormledger.plans.colocated import attach_saved, buckets_for, register, save_bucketed
 from stormledger.schemas import ARTICLE_PAYLOAD, SPINE
 
 _FIELDS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARTICLE_PAYLOAD)
@@ -54,3 +54,16 @@ def test_saved_tables_meet_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_buckets_become_more_not_longer(spark, tmp_path):
+    small, large = spark.range(50).toDF("k"), spark.range(4000).toDF("k")
+    assert [buckets_for(small, large, rows=n) for n in (10_000, 500, 400, 100)] == [8, 8, 16, 64]
+    assert buckets_for(small.where("k < 0"), least=1) == 1
+    name = f"t{uuid.uuid4().hex}"
+    try:
+        save_bucketed(large, name, str(tmp_path / name), ["k"], buckets_for(large, rows=100))
+        read = spark.table(name).groupBy(F.input_file_name()).count().collect()
+        assert len(read) == 64 and max(r["count"] for r in read) < 200
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
