@@ -28,6 +28,17 @@ def _bucket(instant: Column, days: int) -> Column:
     return F.floor(F.unix_date(instant.cast("date")) / F.lit(days)).cast("int")
 
 
+def _mean_days(events: DataFrame, start: str, end: str) -> int:
+    days = F.datediff(F.col(end).cast("date"), F.col(start).cast("date")) + 1
+    return max(1, round(events.agg(F.avg(days)).first()[0] or 1))
+
+
+def _spread(events: DataFrame, start: str, end: str, bucket_days: int) -> DataFrame:
+    """An event for every bucket that its window touches."""
+    first, last = _bucket(F.col(start), bucket_days), _bucket(F.col(end), bucket_days)
+    return events.withColumn("_bucket", F.explode(F.sequence(first, last)))
+
+
 def interval_join(
     events: DataFrame,
     points: DataFrame,
@@ -35,21 +46,21 @@ def interval_join(
     start: str,
     end: str,
     at: str,
-    bucket_days: int = 8,
+    bucket_days: int | None = None,
 ) -> DataFrame:
     """Pairs with equal ``keys`` and ``start <= at <= end``, both ends included.
 
     Events are copied into every time bucket their window touches, points fall into
     exactly one, so buckets join by equality and no pair comes up twice. Inverted
-    windows match nothing. Where both sides are too large to broadcast they shuffle on
+    windows match nothing. Without ``bucket_days`` a bucket is as long as the mean window,
+    which is read from the events: then there are about two copies per event, however long
+    the windows are. Where both sides are too large to broadcast they shuffle on
     (keys, bucket), and adaptive execution splits the partitions of a hot key.
     """
-    spread = events.where(F.col(start) <= F.col(end)).withColumn(
-        "_bucket",
-        F.explode(
-            F.sequence(_bucket(F.col(start), bucket_days), _bucket(F.col(end), bucket_days))
-        ),
-    )
+    upright = events.where(F.col(start) <= F.col(end))
+    if bucket_days is None:
+        bucket_days = _mean_days(upright, start, end)
+    spread = _spread(upright, start, end, bucket_days)
     placed = points.withColumn("_bucket", _bucket(F.col(at), bucket_days))
     pairs = spread.join(placed, [*keys, "_bucket"])
     return pairs.where(F.col(at).between(F.col(start), F.col(end))).drop("_bucket")

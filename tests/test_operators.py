@@ -65,6 +65,24 @@ def test_interval_join_equals_all_pairs(spark, broadcast_below, bucket_days):
     assert set(got) == set(brute_pairs(events, points))
 
 
+@pytest.mark.parametrize("days", [0, 21, 365])
+def test_interval_join_copies_an_event_twice_or_so(spark, broadcast_below, days):
+    first = dt.date(2024, 1, 1)
+    events = [(e, e % 5, first + dt.timedelta(e), first + dt.timedelta(e + days)) for e in range(100)]
+    points = [(p, p % 5, dt.datetime(2024, 1, 1) + dt.timedelta(p * 3)) for p in range(200)]
+    frame = spark.createDataFrame(events, "e int, place int, w0 date, w1 date")
+    width = joins._mean_days(frame, "w0", "w1")
+    assert width == days + 1 and joins._spread(frame, "w0", "w1", width).count() <= 2 * len(events)
+    assert joins._mean_days(frame.where("e < 0"), "w0", "w1") == 1
+    joined = joins.interval_join(
+        frame,
+        spark.createDataFrame(points, "p int, place int, at timestamp"),
+        ["place"], "w0", "w1", "at",
+    )
+    want = {(e, p) for e, k, w0, w1 in events for p, of, at in points if k == of and w0 <= at.date() <= w1}
+    assert {(r.e, r.p) for r in joined.collect()} == want and want
+
+
 @pytest.mark.parametrize(("seed", "n"), [(1, 1), (2, 3), (3, 30), (4, 1000)])
 def test_newest_in_window_equals_ranked_pairs(spark, seed, n):
     events, points = random_case(seed)
