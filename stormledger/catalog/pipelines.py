@@ -198,7 +198,7 @@ def event_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     path = scratch_path(spark, "spine")
-    append_ndjson(enriched_spine(spark, sf_dir), path)
+    append_ndjson(enriched_spine(spark, sf_dir), path, SPINE_LINES)
     events = article_plan.events_from_spine(read_ndjson(spark, path, SPINE))
     matched = article_plan.match_articles(events, local)
     return matched.select("disasterNumber", "url", "article_pos")

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +24,6 @@ from stormledger.operators.filters import enough_hits, not_empty
 from stormledger.operators.joins import newest_in_window
 from stormledger.operators.numbering import index_rows
 from stormledger.operators.phrases import find_phrases
-from stormledger.operators.ranking import top_n_per_group
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, SPINE
 from stormledger.sinks.writers import write_articles, write_audit
 from stormledger.sources.ndjson import land_ndjson
@@ -128,7 +128,7 @@ def match_articles(
     ``seen``, a timestamp.
     """
     own = [F.col(c) for c in events.columns if c not in ("keywords", "gdelt_query")]
-    events = durable(events.withColumn("_event", F.sha1(F.to_json(F.struct(*own)))))
+    events = durable(events.withColumn("_event", F.unhex(F.sha1(F.to_json(F.struct(*own))))))
     windows = events.withColumns(
         {
             "_start": F.try_to_date("window_start", "yyyy-MM-dd"),
@@ -156,10 +156,14 @@ def match_articles(
     newest = newest_in_window(
         spans, tagged, ids, "_start", "_end", seen, [article_id], per_event, end_of_day
     )
-    # An article may carry both places of an event: count it once.
-    once = newest.select("_event", article_id, seen).distinct()
-    ranked = top_n_per_group(
-        once, ["_event"], [F.col(seen).desc(), F.col(article_id)], per_event
+    # An article may carry both places of an event: it ranks once, and is kept once where the
+    # event's rows already lie together.
+    newest_first = W.partitionBy("_event").orderBy(F.col(seen).desc(), F.col(article_id))
+    ranked = (
+        newest.select("_event", article_id, seen)
+        .withColumn("rank", F.dense_rank().over(newest_first))
+        .where(F.col("rank") <= per_event)
+        .distinct()
     )
     # Written down, its size is known: where it is small it is broadcast, and the
     # articles are filtered where they lie instead of being shuffled.

@@ -18,6 +18,7 @@ from stormledger.plans import articles, counties, crawl, keys, spine
 from stormledger.schemas import ARTICLE, ARTICLE_PAYLOAD, DECLARATION, PROGRESS_COLUMNS, SPINE
 from stormledger.sinks import writers
 from stormledger.sources import ndjson, payloads, tabular
+from stormledger.storage import durable
 
 STATES = [["NAME", "state"], ["Texas", "48"], ["California", "6"], ["Alaska", "02"]]
 COUNTIES = {
@@ -201,6 +202,27 @@ def test_candidates_carry_what_is_needed_and_give_the_same_articles(spark, tmp_p
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
 
 
+def test_an_article_with_both_places_of_an_event_takes_one_rank(spark, monkeypatch):
+    """It is ranked and kept once, after one shuffle by event."""
+    events = articles.events_from_spine(
+        spark.createDataFrame([event(1, "Travis", "flood", designated="Austin")], SPINE)
+    )
+    titles = ("Flood in Austin", "Flood in Travis County, Texas: Austin")
+    seen = [(f"u{i}", titles[i % 2], dt.datetime(2024, 1, 5 + i), "English") for i in range(8)]
+    local = spark.createDataFrame(seen, "url string, title string, seen timestamp, language string")
+    plans = []
+
+    def watched(df):
+        if "article_pos" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df)
+
+    monkeypatch.setattr(articles, "durable", watched)
+    found = articles.match_articles(events, local, per_event=4)
+    assert sorted((r.article_pos, r.url) for r in found.collect()) == [(0, "u7"), (1, "u6"), (2, "u5"), (3, "u4")]
+    assert [p.count("Exchange hashpartitioning(_event") for p in plans] == [1]
+
+
 def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
     good = '{"disasterNumber": 4332, "county_fips": "48453", "url": " http://a/b "}'
     lacking = '{"disasterNumber": 4332, "county_fips": "48453", "url": ""}'
