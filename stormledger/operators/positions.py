@@ -41,9 +41,10 @@ def _postings(words: Column) -> Column:
         )
 
         def one(start: Column, next_start: Column) -> Column:
-            own = F.slice(placed, start + 1, next_start - start)
-            steps = F.transform(
-                own, lambda p, i: p["at"] - F.coalesce(F.get(own, i - 1)["at"], F.lit(-1))
+            at = lambda i: F.get(placed, i)["at"]
+            steps = F.transform(  # over places of the one sorted list: no part of it is copied
+                F.sequence(start, next_start - 1),
+                lambda i: at(i) - F.when(i == start, F.lit(-1)).otherwise(at(i - 1)),
             )
             return F.struct(F.get(placed, start)["word"].alias("word"), steps.alias("steps"))
 
@@ -62,8 +63,12 @@ def _postings(words: Column) -> Column:
 
 
 def _places(steps: Column, back: Column | int) -> Column:
-    """Positions from their steps, moved back by so many words."""
-    return F.transform(running(steps, lambda a, b: a + b), lambda p: p - 1 - back)
+    """Positions from their steps, moved back by so many words.
+
+    Most words occur once in a text, and their one step is the position.
+    """
+    several = F.transform(running(steps, lambda a, b: a + b), lambda p: p - 1 - back)
+    return F.when(F.size(steps) == 1, F.array(F.get(steps, F.lit(0)) - 1 - back)).otherwise(several)
 
 
 class PositionalIndex:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from stormledger.operators.phrases import find_phrases
-from stormledger.operators.positions import PositionalIndex
+from stormledger.functions.arrays import RUN
+from stormledger.operators.positions import PositionalIndex, _places, _postings, _words
 
 WORDS = ["new", "york", "city", "New", "county", "é", "a1"]
 
@@ -74,3 +76,22 @@ def test_an_empty_index(spark, tmp_path):
     index.add("none", spark.createDataFrame([], "i int, text string"), "text")
     index.add("null", spark.createDataFrame([(1, None), (2, " .")], "i int, text string"), "text")
     assert index.find(asked).count() == 0
+
+
+def test_postings_of_a_frequent_word_take_linear_time(spark):
+    n = 150_000
+    text = F.concat(F.lit("the "), F.repeat(F.lit("york "), n - 2), F.lit("the"))
+    began = time.monotonic()
+    posting = spark.range(1).select(F.explode(_postings(_words(text))).alias("p")).select("p.*")
+    got = {r.word: (r.first, r.n, r.sum) for r in posting.selectExpr(
+        "word", "steps[0] AS first", "size(steps) AS n", "aggregate(steps, 0, (a, b) -> a + b) AS sum").collect()}
+    assert got == {"the": (1, 2, n), "york": (2, n - 2, n - 1)}
+    assert time.monotonic() - began < 30
+
+
+@pytest.mark.parametrize("n", [1, 2, RUN, RUN + 1, 3 * RUN + 5])
+def test_places_of_any_number_of_steps(spark, n):
+    steps = [random.Random(n).randint(1, 9) for _ in range(n)]
+    made = spark.createDataFrame([(steps, 2)], "steps array<int>, back int")
+    got = made.select(_places(F.col("steps"), F.col("back"))).first()[0]
+    assert got == [sum(steps[: i + 1]) - 3 for i in range(n)]
