@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,10 @@ from stormledger.plans import crawl as crawl_plan
 from stormledger.plans import keys as key_plan
 from stormledger.plans import spine as spine_plan
 from stormledger.schemas import ARTICLE, ARTICLE_CSV_COLUMNS, ROW_KEY_COLUMN, SPINE
-from stormledger.sinks.writers import append_ndjson, write_articles, write_csv
+from stormledger.sinks.writers import append_lines, append_ndjson, write_articles, write_csv
 from stormledger.sources.ndjson import read_ndjson
 from stormledger.sources.tabular import read_csv
-from stormledger.storage import scratch_path
+from stormledger.storage import durable, scratch_path
 from stormledger.streaming.articles import articles_so_far, fix_events, start_article_stream
 
 
@@ -80,32 +82,46 @@ SPINE_LINES, PAYLOAD_LINES = 25_000, 50_000
 
 
 def _landed_payloads(events: DataFrame) -> DataFrame:
-    """A payload for each row of (disasterNumber, county_fips)."""
-    number, empty = F.col("disasterNumber"), F.lit("")
-
-    def article(i: Column) -> Column:
-        kind = i % 3
-        page = ((number * 7 + i * 13) % 4001).cast("string")
-        place = i.cast("string")
-        return F.struct(
-            F.when(kind == 0, TITLES[0]).when(kind == 1, TITLES[1]).otherwise(TITLES[2])
-            .alias("title"),
-            F.concat(F.lit("http://h/"), page, F.lit("?"), place).alias("url"),
-            empty.alias("seendateurl"),
-            F.concat(F.lit("day "), place).alias("seendate"),
-            F.lit(None).cast("string").alias("date"),
-            F.lit(None).cast("string").alias("sourcecountry"),
-            empty.alias("domain"),
-            empty.alias("language"),
-        )
+    """A payload, as a line of JSON, for each row of (disasterNumber, county_fips).
 
-    every = F.transform(F.sequence(F.lit(0), F.lit(PER_PAYLOAD - 1)), article)
-    none = F.filter(every, lambda a: F.lit(False))
+    Lines are put together from texts: what differs between articles is a number.
+    """
+    number = F.col("disasterNumber")
+    cut = "\0"  # where the page of a URL goes
+
+    def article(i: int) -> str:
+        record = {
+            "title": TITLES[i % 3],
+            "url": f"http://h/{cut}?{i}",
+            "seendateurl": "",
+            "seendate": f"day {i}",
+            "date": None,
+            "sourcecountry": None,
+            "domain": "",
+            "language": "",
+        }
+        return json.dumps(record, separators=(",", ":"))
+
+    texts = ",".join(map(article, range(PER_PAYLOAD))).split(json.dumps(cut)[1:-1])
+    pages = [((number * 7 + i * 13) % 4001).cast("string") for i in range(PER_PAYLOAD)]
+    between = [part for page, text in zip(pages, texts[1:], strict=True) for part in (page, F.lit(text))]
+    unnumbered = ",".join(
+        json.dumps(json.loads(article(i)) | {"url": None}, separators=(",", ":"))
+        for i in range(PER_PAYLOAD)
+    )
+    every = F.coalesce(F.concat(F.lit(texts[0]), *between), F.lit(unnumbered))
+    key = F.to_json(F.struct("disasterNumber", "county_fips"), {"ignoreNullFields": "false"})
     return events.select(
-        "disasterNumber",
-        "county_fips",
-        F.when(number % 2 == 0, every).otherwise(none).alias("articles"),
-        every.alias("timeline"),
+        F.substr(key, F.lit(1), F.length(key) - 1).alias("_key"), number, every.alias("_every")
+    ).select(
+        F.concat(
+            "_key",
+            F.lit(',"articles":['),
+            F.when(number % 2 == 0, F.col("_every")).otherwise(""),
+            F.lit('],"timeline":['),
+            "_every",
+            F.lit("]}"),
+        ).alias("value")
     )
 
 
@@ -122,7 +138,7 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = read_ndjson(spark, f"{root}/spine", SPINE).select(
         F.col("fema_disaster_number").alias("disasterNumber"), "county_fips"
     )
-    append_ndjson(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
+    append_lines(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
     article_plan.run_articles(
         spark, f"{root}/spine", f"{root}/payloads", f"{root}/ndjson", f"{root}/csv"
     )
@@ -143,14 +159,14 @@ def stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     events are there, then also those of the earlier ones."""
     root = scratch_path(spark, "article-stream")
     append_ndjson(enriched_spine(spark, sf_dir), f"{root}/spine", SPINE_LINES)
-    spine = read_ndjson(spark, f"{root}/spine", SPINE)
+    spine = durable(read_ndjson(spark, f"{root}/spine", SPINE))
     events = fix_events(spark, spine, f"{root}/store", "v1")
     late = F.coalesce(F.col("date") >= "1998-01-01", F.lit(False))
     dates = spine.select(F.col("fema_disaster_number").alias("disasterNumber"), "county_fips", "date")
     for part in (late, ~late):
         of_part = dates.where(part).drop("date")
         keys = dates.drop("date").join(of_part, ["disasterNumber", "county_fips"])
-        append_ndjson(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
+        append_lines(_landed_payloads(keys), f"{root}/payloads", PAYLOAD_LINES)
         start_article_stream(
             spark, events, f"{root}/payloads", f"{root}/store", f"{root}/checkpoint", slots=4
         ).awaitTermination()

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stormledger.functions.arrays import let
 from stormledger.functions.fixed import (
     CAPITAL_DISTRICT_NAMES,
     DISASTER_THEMES,
@@ -95,5 +96,20 @@ def keyword_set(query: Column) -> Column:
 
 def title_hits(keywords: Column, title: Column) -> Column:
     """Number of keywords that occur as substrings of the lower-case title."""
-    lowered = F.lower(title)
-    return F.size(F.filter(keywords, lambda k: F.contains(lowered, k)))
+    return let(
+        F.lower(title),
+        lambda lowered: F.size(F.filter(keywords, lambda k: F.contains(lowered, k))),
+    )
+
+
+def title_hits_of_each(keywords: Column, titles: Column) -> Column:
+    """``title_hits`` of every title of a list. The words are taken out of their row once for all
+    titles, and each title is lowered once for all words."""
+    lowered = F.transform(titles, F.lower)
+
+    def counted(words: Column) -> Column:
+        return F.transform(
+            lowered, lambda title: F.size(F.filter(words, lambda k: F.contains(title, k)))
+        )
+
+    return let(F.transform(keywords, lambda k: k), counted)

@@ -21,6 +21,12 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def is_blank(text: Column) -> Column:
+    """``strip(text) == ""``, decided at the first character that is no white space: trimming a
+    long text at its end looks at all of it."""
+    return F.ltrim(text, F.lit(WHITESPACE)) == ""
+
+
 def safe_trim(text: Column) -> Column:
     """``strip`` with NULL read as the empty string."""
     return strip(F.coalesce(text, F.lit("")))

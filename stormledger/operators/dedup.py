@@ -64,6 +64,11 @@ def filter_then_dedup(
 
 
 def keep_first_url(df: DataFrame, url: str, *order: Column | str) -> DataFrame:
-    """One row per URL without its query part, over all events."""
-    based = df.withColumn("_base", url_base(F.col(url)))
-    return keep_first(based, ["_base"], *order).drop("_base")
+    """One row per URL without its query part, over all events.
+
+    Rows are grouped by the URL's hash first and then by the URL: sorted by URL alone they would
+    all be compared in full, since URLs begin alike.
+    """
+    base = url_base(F.col(url))
+    based = df.withColumns({"_hash": F.xxhash64(base), "_base": base})
+    return keep_first(based, ["_hash", "_base"], *order).drop("_hash", "_base")

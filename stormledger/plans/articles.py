@@ -17,7 +17,13 @@ from stormledger.functions.fixed import (
     MIN_TITLE_HITS,
     TYPE_SYNONYMS,
 )
-from stormledger.functions.search import keyword_set, place_phrase, synonym_query, title_hits
+from stormledger.functions.search import (
+    keyword_set,
+    place_phrase,
+    synonym_query,
+    title_hits,
+    title_hits_of_each,
+)
 from stormledger.functions.text import field_fallback, safe_trim
 from stormledger.operators.dedup import keep_first_url
 from stormledger.operators.filters import enough_hits, not_empty
@@ -44,11 +50,19 @@ EVENT_COLUMNS = (
 )
 
 
+OFFERED, SCORE = "_offered", "_score"
+
+
 def events_from_spine(spine: DataFrame, *keep: str | Column) -> DataFrame:
     """Trimmed events with their search text; events lacking a required field go.
 
     ``keep`` names further columns to carry, such as a position that orders events.
     """
+    return _with_search_values(_queried(spine, *keep))
+
+
+def _queried(spine: DataFrame, *keep: str | Column) -> DataFrame:
+    """Trimmed events with their search text, without what is derived from it."""
     trimmed = spine.select(
         *keep,
         F.col("fema_disaster_number").alias("disasterNumber"),
@@ -70,7 +84,11 @@ def events_from_spine(spine: DataFrame, *keep: str | Column) -> DataFrame:
     query = synonym_query(
         place_phrase(F.col("county"), F.col("state")), F.col("designated"), F.col("incidentType")
     )
-    return trimmed.withColumn("gdelt_query", query).withColumns(
+    return trimmed.withColumn("gdelt_query", query)
+
+
+def _with_search_values(events: DataFrame) -> DataFrame:
+    return events.withColumns(
         {
             "keywords": keyword_set(F.col("gdelt_query")),
             "startdatetime": compact_ts(F.col("window_start")),
@@ -86,17 +104,34 @@ def attach_payloads(
     *keep: str,
     columns: Sequence[str] = EVENT_COLUMNS,
     first: int | None = None,
+    scored: bool = False,
 ) -> DataFrame:
     """One row per article of an event's landed payload, event ``columns`` on each.
 
     Events without a payload, or with an empty one, give no rows. With ``first`` only so many
     articles of each payload are taken; the others, and the list that is not used, stay where
-    they are.
+    they are. With ``scored`` the rows carry their title hits in ``SCORE``, counted once.
     """
-    offered = payloads.select(*keys, offered_articles(first).alias("_offered"))
-    needed = events.select(*dict.fromkeys([*keys, *keep, *columns]))
+    offered = payloads.select(*keys, offered_articles(first).alias(OFFERED))
+    return attach_offered(events, offered, keys, *keep, columns=columns, scored=scored)
+
+
+def attach_offered(
+    events: DataFrame,
+    offered: DataFrame,
+    keys: Sequence[str],
+    *keep: str,
+    columns: Sequence[str] = EVENT_COLUMNS,
+    scored: bool = False,
+) -> DataFrame:
+    """``attach_payloads`` where the articles to take lie in ``OFFERED`` already."""
+    words = ["keywords"] if scored else []
+    needed = events.select(*dict.fromkeys([*keys, *keep, *columns, *words]))
     joined = needed.join(offered, list(keys))
-    return explode_articles(joined, *keep, *columns, items=F.col("_offered"))
+    hits = {SCORE: title_hits_of_each(F.col("keywords"), F.col(OFFERED)["title"])}
+    return explode_articles(
+        joined, *keep, *columns, items=F.col(OFFERED), more=hits if scored else None
+    )
 
 
 def match_articles(
@@ -217,12 +252,18 @@ def score_articles(
 ) -> DataFrame:
     """The candidates with enough title hits as article rows, ``order`` before their columns.
 
-    ``columns`` are those of the event that the candidates carry.
+    ``columns`` are those of the event that the candidates carry. Candidates that have their
+    ``SCORE`` need no keywords.
     """
+    hits = (
+        F.col(SCORE)
+        if SCORE in candidates.columns
+        else title_hits(F.col("keywords"), F.col("title"))
+    )
     scored = candidates.withColumns(
         {
             "url": field_fallback(F.col("url"), F.col("seendateurl")),
-            "score": title_hits(F.col("keywords"), F.col("title")).cast("bigint"),
+            "score": hits.cast("bigint"),
         }
     ).where(not_empty(F.col("title"), F.col("url")) & enough_hits(F.col("score"), min_title_hits))
     return scored.select(
@@ -261,8 +302,8 @@ def first_articles(
     min_title_hits: int = MIN_TITLE_HITS,
     language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
-    """``select_articles`` for candidates that carry ``_order`` and ``keywords`` of their event,
-    in the order of ``_order`` and ``article_pos``, which are kept.
+    """``select_articles`` for candidates that carry ``_order`` and ``keywords`` of their event, or
+    ``_order`` and their ``SCORE``, in the order of ``_order`` and ``article_pos``, which are kept.
 
     ``_order`` is unique in ``events``, so the event's other columns are looked up for the rows
     that stay, instead of being sorted and sent with every candidate.
@@ -278,14 +319,10 @@ def first_articles(
 def ordered_events(spine: DataFrame) -> DataFrame:
     """The spine's events with their place in ``_order``: latest date first, then by number,
     county and their other fields, whatever files and appends the spine lies in."""
-    events = events_from_spine(spine, F.col("date").alias("_date"))
+    events = _queried(spine, F.col("date").alias("_date"))
     rest = [c for c in EVENT_COLUMNS if c not in ("keywords", *EVENT_KEY)]
-    place = F.struct("_date", "disasterNumber", "county_fips", *rest)
-    order = [
-        F.col("_place._date").desc_nulls_last(),
-        *[F.col(f"_place.{c}") for c in (*EVENT_KEY, *rest)],
-    ]
-    return index_rows(events.withColumn("_place", place), order, "_order").drop("_place", "_date")
+    order = [F.col("_date").desc_nulls_last(), *EVENT_KEY, *rest]
+    return _with_search_values(index_rows(events, order, "_order").drop("_date"))
 
 
 EVENT_KEY = ("disasterNumber", "county_fips")
@@ -323,7 +360,9 @@ def run_articles(
     events = ordered_events(spine)
     offered, kept = Observation("offered"), Observation("kept")
     candidates = (
-        attach_payloads(events, payloads, EVENT_KEY, "_order", columns=["keywords"], first=per_event)
+        attach_payloads(
+            events, payloads, EVENT_KEY, "_order", columns=[], first=per_event, scored=True
+        )
         .observe(offered, F.count("*").alias("n"))
     )
     selected = (

@@ -41,6 +41,12 @@ def append_ndjson(df: DataFrame, path: str, packed: int | None = None) -> None:
     write_ndjson(df, path, mode="append", packed=packed)
 
 
+def append_lines(lines: DataFrame, path: str, packed: int) -> None:
+    """Add texts as lines, in gzipped files of at most ``packed`` lines each."""
+    writer = lines.write.mode("append").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", packed).text(path)
+
+
 def write_json_array(df: DataFrame, path: str, position: str) -> None:
     """One JSON array over all part files, in ``position`` order, one record per line.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormledger.functions.arrays import let
-from stormledger.functions.text import strip
+from stormledger.functions.text import is_blank, strip
 from stormledger.storage import durable
 
 CORRUPT = "_corrupt_record"
@@ -44,32 +44,51 @@ def parsed_line(text: Column, schema: T.StructType) -> Column:
     entry. Fields are read as text first and cast to their type then, so a number written as
     a string is read too; a value that does not fit its type is NULL and the row stays.
     """
-    nested = (T.ArrayType, T.MapType, T.StructType)
+
+    def checked(found: Column) -> Column:
+        good = _is_whole(found, F.contains(text, F.lit(_LAST)))
+        row = F.struct(*_fields(found, schema))
+        return F.struct(good.alias("good"), F.when(good, row).alias("row"))
+
+    return let(_entries(text, schema), checked)
+
+
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+_LAST_NAME = _LAST.encode().decode("unicode_escape")
+
+
+def _entries(text: Column, schema: T.StructType) -> Column:
+    """The line and the known entry after it, with fields as text."""
     as_text = [
-        f if isinstance(f.dataType, nested) else T.StructField(f.name, T.StringType())
+        f if isinstance(f.dataType, _NESTED) else T.StructField(f.name, T.StringType())
         for f in schema
     ]
-    last = _LAST.encode().decode("unicode_escape")
-    entry = T.ArrayType(T.StructType([*as_text, T.StructField(last, T.StringType())]))
-    entries = F.from_json(
+    entry = T.ArrayType(T.StructType([*as_text, T.StructField(_LAST_NAME, T.StringType())]))
+    return F.from_json(
         F.concat(F.lit("["), text, F.lit(f',{{"{_LAST}":"0"}}]')),
         entry,
         {"allowSingleQuotes": "false"},
     )
 
-    def checked(found: Column) -> Column:
-        record = F.get(found, F.lit(0))
-        whole = (F.size(found) == 2) & (F.get(found, F.lit(1))[last] == "0") & record.isNotNull()
-        good = F.coalesce(whole & ~F.contains(text, F.lit(_LAST)), F.lit(False))
-        fields = [
-            record[f.name].alias(f.name)
-            if isinstance(f.dataType, (*nested, T.StringType))
-            else record[f.name].try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-        return F.struct(good.alias("good"), F.when(good, F.struct(*fields)).alias("row"))
 
-    return let(entries, checked)
+def _is_whole(found: Column, marked: Column) -> Column:
+    """Whether ``found`` are one object and the known entry. ``marked`` lines name that entry."""
+    whole = (
+        (F.size(found) == 2)
+        & (F.get(found, F.lit(1))[_LAST_NAME] == "0")
+        & F.get(found, F.lit(0)).isNotNull()
+    )
+    return F.coalesce(whole & ~marked, F.lit(False))
+
+
+def _fields(found: Column, schema: T.StructType) -> list[Column]:
+    record = F.get(found, F.lit(0))
+    return [
+        record[f.name].alias(f.name)
+        if isinstance(f.dataType, (*_NESTED, T.StringType))
+        else record[f.name].try_cast(f.dataType).alias(f.name)
+        for f in schema
+    ]
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
@@ -77,17 +96,25 @@ def parse_lines(lines: DataFrame, schema: T.StructType, text: str = "value") ->
 
     Other columns, such as the line index, stay next to the fields. Blank lines are dropped.
     A line is parsed once, also where the result is filtered: the parsed line is exploded, as
-    a list of one, and filters do not move below that.
+    a list of one, and filters do not move below that. Fields are taken from it as it is, without
+    a copy of its lists.
     """
     others = [c for c in lines.columns if c != text]
-    once = F.explode(F.array(parsed_line(F.col(text), schema))).alias("_line")
+    line = F.struct(
+        _entries(F.col(text), schema).alias("found"),
+        F.contains(F.col(text), F.lit(_LAST)).alias("marked"),
+    )
+    good = _is_whole(F.col("_line.found"), F.col("_line.marked"))
     return (
-        lines.where(strip(F.col(text)) != "")
-        .select(*others, F.col(text).alias("_text"), once)
+        lines.where(~is_blank(F.col(text)))
+        .select(*others, F.col(text).alias("_text"), F.explode(F.array(line)).alias("_line"))
         .select(
             *others,
-            *[F.col(f"_line.row.`{f.name}`").alias(f.name) for f in schema],
-            F.when(~F.col("_line.good"), F.col("_text")).alias(CORRUPT),
+            *[
+                F.when(good, field).alias(f.name)
+                for field, f in zip(_fields(F.col("_line.found"), schema), schema, strict=True)
+            ],
+            F.when(~good, F.col("_text")).alias(CORRUPT),
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,14 +59,33 @@ def offered_articles(first: int | None = None) -> Column:
     return items if first is None else F.slice(items, 1, first)
 
 
-def explode_articles(df: DataFrame, *keep: str, items: Column | None = None) -> DataFrame:
+def explode_articles(
+    df: DataFrame,
+    *keep: str,
+    items: Column | None = None,
+    more: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """One row per article of ``items``, by default all that a payload offers.
 
-    ``article_pos`` is the place of the article in its payload.
+    ``article_pos`` is the place of the article in its payload. ``more`` names lists with a value
+    for each of the ``items``, which become columns. Such a value is computed once, where a filter
+    on a column made later would compute it again.
     """
     items = offered_articles() if items is None else items
-    return df.select(*keep, F.posexplode(items).alias("article_pos", "_item")).select(
-        *keep, "article_pos", "_item.*"
+    if not more:
+        return df.select(*keep, F.posexplode(items).alias("article_pos", "_item")).select(
+            *keep, "article_pos", "_item.*"
+        )
+    made = {f"_more_{name}": values for name, values in more.items()}
+    return (
+        df.withColumns({"_item": items, **made})
+        .select(*keep, F.posexplode(F.arrays_zip("_item", *made)).alias("article_pos", "_both"))
+        .select(
+            *keep,
+            "article_pos",
+            "_both._item.*",
+            *[F.col(f"_both._more_{name}").alias(name) for name in more],
+        )
     )
 
 

@@ -68,7 +68,7 @@ def start_article_stream(
         rows = parse_lines(lines, LANDED_PAYLOAD)
         payloads = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         offered = attach_payloads(
-            events, payloads, EVENT_KEY, "_order", columns=["keywords"], first=per_event
+            events, payloads, EVENT_KEY, "_order", columns=[], first=per_event, scored=True
         )
         first = first_articles(events, offered, min_title_hits, language)
         SeenUrls(spark, root, slots).add(_run_id(batch), first, "url", *ORDER)

@@ -27,6 +27,12 @@ def test_strip_covers_every_white_space(evaluate):
     assert evaluate(text.safe_trim, None, "  ") == ["", ""]
 
 
+def test_blank_is_what_strips_to_nothing(evaluate):
+    every = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
+    rows = ["", every, every + "a", "a" + every, "\u200b", " x\x1c", "\u3000", None]
+    assert evaluate(text.is_blank, *rows) == evaluate(lambda v: text.strip(v) == "", *rows)
+
+
 def test_first_segment(evaluate):
     assert evaluate(text.first_segment, " A , B, C", "none", ",x", None) == ["A", "none", "", None]
 
@@ -268,6 +274,25 @@ def test_keywords_and_hits(evaluate):
     assert hits == [1, 4, 0]
 
 
+def test_hits_of_a_list_are_those_of_its_titles(spark):
+    words, titles = ["flood", "texas", "x", "flood"], ["FLOOD in Texas", "", None, "xx", "calm"]
+    rows = [(words, titles), ([], titles), (None, titles), (words, []), (words, None)]
+    df = spark.createDataFrame(rows, "k array<string>, t array<string>")
+    each = df.select(
+        search.title_hits_of_each(F.col("k"), F.col("t")).alias("got"),
+        *[search.title_hits(F.col("k"), F.get("t", F.lit(i))).alias(f"w{i}") for i in range(len(titles))],
+    ).collect()
+    assert [list(r.got) for r in each[:2]] == [list(r[1:]) for r in each[:2]] == [[4, 0, 0, 1, 0], [0] * 5]
+    assert [r.got for r in each[2:]] == [None, [], None]
+
+
+def test_title_is_lowered_once(spark):
+    """Not once for each word."""
+    hits = spark.range(1).select(search.title_hits(F.array(F.lit("a")), F.col("id").cast("string")))
+    plan = hits._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(" in plan and "contains(lower(" not in plan
+
+
 def test_row_keys(evaluate):
     digest = hashlib.sha1(b"http://a/b").hexdigest()[:10]
     assert digest == "d213c5ed66"

@@ -6,6 +6,7 @@ import csv
 import datetime as dt
 import hashlib
 import json
+import math
 import random
 import re
 
@@ -202,6 +203,56 @@ def test_candidates_carry_what_is_needed_and_give_the_same_articles(spark, tmp_p
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) > 5
 
 
+def test_titles_are_scored_once(spark):
+    """A filter on the score must not count the hits again."""
+    lines = [event(1, "Travis", "flood"), event(2, "Travis", "fire"), event(3, "Bexar", "flood")]
+    events = articles.ordered_events(spark.createDataFrame(lines, SPINE))
+    story = [article("Flood", "http://h/a?1"), article(None, "http://h/b"), None, article("Texas fire, flood", "http://h/c")]
+    landed = [(n, "48453", story, None) for n in (1, 2)] + [(3, "48453", [], story[::-1])]
+    payloads = spark.createDataFrame(landed, articles.LANDED_PAYLOAD)
+    key = list(articles.EVENT_KEY)
+    plain = articles.attach_payloads(events, payloads, key, "_order", columns=["keywords"])
+    scored = articles.attach_payloads(events, payloads, key, "_order", columns=[], scored=True)
+    assert scored.count() == plain.count() == 12
+    want, got = (articles.first_articles(events, c) for c in (plain, scored))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 2
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("CONTAINS(") == 1
+
+
+def test_events_are_sorted_without_what_is_derived(spark, monkeypatch):
+    sorted_as = []
+
+    def watched(df):
+        sorted_as.append(df.columns)
+        return durable(df)
+
+    monkeypatch.setattr("stormledger.operators.numbering.durable", watched)
+    made = articles.ordered_events(spark.createDataFrame([event(1, "Travis", "flood")], SPINE))
+    assert {"keywords", "startdatetime", "enddatetime", "_order", *articles.EVENT_COLUMNS} <= set(made.columns)
+    assert made.first().keywords and not {"keywords", "startdatetime", "_place"} & set(sorted_as[0])
+
+
+def test_payload_lines_are_the_json_of_their_articles(spark):
+    from stormledger.catalog import pipelines
+
+    keys_of = [(2, "00001"), (3, '1"\\é'), (-5, None), (None, "7")]
+    lines = pipelines._landed_payloads(spark.createDataFrame(keys_of, "disasterNumber bigint, county_fips string"))
+
+    def story(number, i):
+        page = None if number is None else f"http://h/{int(math.fmod(number * 7 + i * 13, 4001))}?{i}"
+        return {"title": pipelines.TITLES[i % 3], "url": page, "seendateurl": "", "seendate": f"day {i}", "date": None,
+                "sourcecountry": None, "domain": "", "language": ""}
+
+    want = []
+    for number, fips in keys_of:
+        every = [story(number, i) for i in range(pipelines.PER_PAYLOAD)]
+        filled = number is not None and number % 2 == 0
+        want.append({"disasterNumber": number, "county_fips": fips, "articles": every if filled else [], "timeline": every})
+    assert [json.loads(r.value) for r in lines.collect()] == want
+    assert "lambda" not in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_an_article_with_both_places_of_an_event_takes_one_rank(spark, monkeypatch):
     """It is ranked and kept once, after one shuffle by event."""
     events = articles.events_from_spine(

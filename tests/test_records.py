@@ -152,3 +152,13 @@ def test_lines_are_parsed_once(spark):
     rows = parse_lines(lines, T.StructType.fromDDL("a string, b bigint"))
     plan = rows.where(F.col(CORRUPT).isNull())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_parsed_lists_are_not_copied_and_lines_not_trimmed(spark):
+    """What a lambda gives is copied; trimming looks at a line from its end."""
+    from pyspark.sql import types as T
+
+    lines = spark.range(1).select(F.col("id").cast("string").alias("value"))
+    rows = parse_lines(lines, T.StructType.fromDDL("a array<struct<b: string>>"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "ltrim(" in plan and " trim(" not in plan.replace("ltrim(", "")
