@@ -356,13 +356,14 @@ def run_articles(
     and of malformed lines.
     """
     spine, bad_events = land_ndjson(spark, spine_path, SPINE)
-    payloads, bad_payloads = land_ndjson(spark, payload_path, LANDED_PAYLOAD)
+    offered_first = offered_articles(per_event).alias(OFFERED)
+    payloads, bad_payloads = land_ndjson(
+        spark, payload_path, LANDED_PAYLOAD, *EVENT_KEY, offered_first
+    )
     events = ordered_events(spine)
     offered, kept = Observation("offered"), Observation("kept")
     candidates = (
-        attach_payloads(
-            events, payloads, EVENT_KEY, "_order", columns=[], first=per_event, scored=True
-        )
+        attach_offered(events, payloads, EVENT_KEY, "_order", columns=[], scored=True)
         .observe(offered, F.count("*").alias("n"))
     )
     selected = (

@@ -127,14 +127,16 @@ def read_ndjson_tolerant(
 
 
 def land_ndjson(
-    spark: SparkSession, path: str, schema: T.StructType
+    spark: SparkSession, path: str, schema: T.StructType, *columns: Column | str
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, malformed lines) of one parse, whose rows are kept in the shared folder.
 
     For jobs that use the rows and also count or keep the malformed lines: these are read
-    back by their column alone.
+    back by their column alone. With ``columns`` the rows are kept as these, made while the lines
+    are parsed, for jobs that need only a part of long records.
     """
-    return _parted(durable(parse_lines(spark.read.text(path), schema)))
+    rows = parse_lines(spark.read.text(path), schema)
+    return _parted(durable(rows.select(*columns, CORRUPT) if columns else rows))
 
 
 def _parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

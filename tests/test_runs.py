@@ -7,6 +7,7 @@ import json
 from stormledger.plans import articles, counties, crawl
 from stormledger.schemas import SPINE
 from stormledger.sources import tabular
+from stormledger.storage import durable
 
 
 def records(folder):
@@ -86,3 +87,31 @@ def test_crawl_goes_on_where_it_stopped(spark, tmp_path):
     assert {r["disaster"] for r in records(tmp_path / "work2")} == {
         "hurricane", "tornado", "wildfire", "earthquake", "drought",
     }
+
+
+def test_payloads_are_landed_as_the_articles_to_take(spark, tmp_path, monkeypatch):
+    """Neither the list that is not used nor articles beyond the first are written again."""
+    landed = []
+
+    def watched(df):
+        landed.append(df.schema)
+        return durable(df)
+
+    monkeypatch.setattr("stormledger.sources.ndjson.durable", watched)
+    row = dict.fromkeys(SPINE.names, "x") | {
+        "state": "Texas", "county": "Travis", "county_fips": "48453", "disaster": "flood",
+        "fema_disaster_number": 1, "window_start": "2024-01-03", "window_end": "2024-01-26",
+    }
+    story = [{"title": "Flood", "url": f"http://h/{i}"} for i in range(5)]
+    payloads = [
+        {"disasterNumber": 1, "county_fips": "48453", "articles": [], "timeline": story},
+        {"disasterNumber": 1, "county_fips": "48453", "articles": story[::-1], "timeline": story[:1]},
+    ]
+    (tmp_path / "spine.ndjson").write_text(json.dumps(row))
+    (tmp_path / "payload.ndjson").write_text("\n".join([*map(json.dumps, payloads), "{broken"]))
+    paths = [str(tmp_path / n) for n in ("spine.ndjson", "payload.ndjson", "nd", "csv")]
+    totals = articles.run_articles(spark, *paths, per_event=2, bad_root=str(tmp_path / "bad"), run_id="r")
+    assert totals == {"candidates": 4, "kept": 4, "malformed_events": 0, "malformed_payloads": 1}
+    assert {r["url"] for r in records(tmp_path / "nd")} == {f"http://h/{i}" for i in (0, 1, 3, 4)}
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "bad" / "payloads" / "run_id=r")).collect()] == ["{broken"]
+    assert landed[1].names == ["disasterNumber", "county_fips", "_offered", "_corrupt_record"]
