@@ -20,9 +20,17 @@ _CELL = rf",({_QUOTED}[^,]*+|[^,]*+)"
 _CELL_PARTS = r'^"([^"]*+(?:""[^"]*+)*+)(?:"|\z)'
 
 
-def explode_structs(df: DataFrame, array: Column, *keep: str) -> DataFrame:
-    """One row per struct in ``array``, its fields next to the kept columns."""
-    return df.select(*keep, F.explode(array).alias("_item")).select(*keep, "_item.*")
+def explode_structs(df: DataFrame, array: Column, *keep: str, computed: bool = False) -> DataFrame:
+    """One row per struct in ``array``, its fields next to the kept columns.
+
+    Ahead of a plain ``explode`` Spark filters on the size of the array. Where the array is
+    ``computed`` from other columns that filter computes it anew, so rows without structs are
+    dropped after the explosion then.
+    """
+    if not computed:
+        return df.select(*keep, F.explode(array).alias("_item")).select(*keep, "_item.*")
+    exploded = df.select(*keep, F.posexplode_outer(array).alias("_nth", "_item"))
+    return exploded.where(F.col("_nth").isNotNull()).select(*keep, "_item.*")
 
 
 def read_declaration_pages(
@@ -166,4 +174,5 @@ def csv_payload_rows(
         df.select(*keep, csv_payload_array(F.col(text), fields).alias("_rows")),
         F.col("_rows"),
         *keep,
+        computed=True,
     )

@@ -486,3 +486,20 @@ def test_urls_are_deduped_within_a_payload_only(spark):
 def test_index_is_usable_as_event_position(spark):
     df = index_rows(spark.createDataFrame([("b",), ("a",)], "k string"), ["k"])
     assert {tuple(r) for r in df.collect()} == {("a", 0), ("b", 1)}
+
+
+def test_a_payload_is_parsed_once(spark):
+    """No filter ahead of the explosion works the days out again; payloads without days give no row."""
+    head = "DocumentIdentifier,Date,Title,SourceCommonName\n"
+    text = head + "http://u,20240110,A,s\nhttp://v,20240111,B,\n"
+    kinds = {"full": text, "no day": head + "http://u,undated,A,s\n", "head": head, "empty": "", "null": None}
+    schema = "state string, county string, disaster string, csv_text string"
+    landed = spark.createDataFrame([(k, None, "flood", t) for k, t in kinds.items()] * 2, schema)
+    made = crawl.county_articles(crawl.payload_days(landed))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(csv_text") == 1
+    assert sorted((r.state, r.county, r.date, r.articles[0].title) for r in made.collect()) == sorted(
+        [("full", None, "2024-01-10", "A"), ("full", None, "2024-01-11", "B")] * 2
+    )
+    rows = payloads.csv_payload_rows(landed, "csv_text", ["Title"], "state")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(csv_text") == 1
+    assert sorted(tuple(r) for r in rows.collect()) == sorted([("full", 0, "A"), ("full", 1, "B"), ("no day", 0, "A")] * 2)
