@@ -85,54 +85,57 @@ def newest_in_window(
     the midnight that begins ``end``, or with that whole day (``end_of_day``).
 
     - At most ``n`` points per key and slot can be among anyone's newest ``n``.
-    - Numbered per key from oldest to newest, the points of a window are a run of
-      numbers, and the newest ``n`` of them are its end. Counts per slot, summed over
-      the slots of a key, give the number of points before each edge.
+    - Numbered per key from newest to oldest, the points of a window are a run of
+      numbers, and the newest ``n`` of them are its start. Counts per slot, summed over
+      the later slots of a key, give the number of points that are newer than a slot: than
+      the last slot of a window, and than the last one before it.
     - Events meet blocks of ``n`` numbers by equality. A run of ``n`` touches two
       blocks at most, so an event meets no more than ``2 n`` points however many the
       key has.
 
-    The running sum goes over one row per key and slot, never over points or events. It
-    is needed three times and is written down.
+    Points and edges of windows are counted together, once. The running sum goes over one row
+    per key and slot, never over points or events. It is written down, and its three joins read
+    the same rows, so they share one shuffle of it.
     """
     day = F.col(at).cast("date")
     after_midnight = (F.col(at) != day.cast(points.schema[at].dataType)).cast("int")
-    slotted = points.withColumn("_slot", 2 * F.unix_date(day) + after_midnight)
+    slotted = points.withColumn("_own", 2 * F.unix_date(day) + after_midnight)
     newest_first = [F.col(at).desc(), *[F.col(c) for c in tie_break]]
-    kept = top_n_per_group(slotted, [*keys, "_slot"], newest_first, n, "_nth")
-
-    # The first slot of a window, and the first one after it.
-    first, after = 2 * F.unix_date(start), 2 * F.unix_date(end) + 1 + int(end_of_day)
-    edged = events.where(F.col(start) <= F.col(end)).withColumns({"_first": first, "_after": after})
-    edges = (
-        edged.select(*keys, F.explode(F.array("_first", "_after")).alias("_slot"))
-        .distinct()
-        .withColumn("_size", F.lit(0).cast("bigint"))
+    kept = top_n_per_group(slotted, [*keys, "_own"], newest_first, n, "_nth")
+
+    # The last slot of a window, and the last one before it.
+    last, earlier = 2 * F.unix_date(end) + int(end_of_day), 2 * F.unix_date(start) - 1
+    edged = events.where(F.col(start) <= F.col(end)).withColumns(
+        {"_last": last, "_earlier": earlier}
     )
-    sizes = slotted.groupBy(*keys, "_slot").agg(
-        F.least(F.count("*"), F.lit(n).cast("bigint")).alias("_size")
+    edges = edged.select(
+        *keys, F.explode(F.array("_last", "_earlier")).alias("_slot"), F.lit(0).alias("_size")
     )
-    earlier = W.partitionBy(*keys).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    slots = durable(
-        sizes.unionByName(edges)
+    sizes = (
+        slotted.select(*keys, F.col("_own").alias("_slot"), F.lit(1).alias("_size"))
+        .unionByName(edges)
         .groupBy(*keys, "_slot")
-        .agg(F.sum("_size").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .agg(F.least(F.sum("_size"), F.lit(n).cast("bigint")).alias("_size"))
     )
+    later = W.partitionBy(*keys).orderBy(F.col("_slot").desc()).rowsBetween(W.unboundedPreceding, -1)
+    newer = F.coalesce(F.sum("_size").over(later), F.lit(0))
+    # The filter holds for every row. Spark adds it for some of the joins, and those without it
+    # could not share a shuffle with them.
+    slots = durable(sizes.select(*keys, "_slot", newer.alias("_newer"))).where("_newer IS NOT NULL")
 
-    def before(slot: str, name: str) -> DataFrame:
-        return slots.select(*keys, F.col("_slot").alias(slot), F.col("_before").alias(name))
+    def newer_than(slot: str, name: str) -> DataFrame:
+        return slots.select(*keys, F.col("_slot").alias(slot), F.col("_newer").alias(name))
 
     numbered = (
-        kept.join(slots, [*keys, "_slot"])
-        .withColumn("_number", F.col("_before") + F.col("_size") - F.col("_nth"))
+        kept.join(newer_than("_own", "_above"), [*keys, "_own"])
+        .withColumn("_number", F.col("_above") + F.col("_nth") - 1)
         .withColumn("_block", F.floor(F.col("_number") / F.lit(n)))
-        .drop("_slot", "_nth", "_size", "_before")
+        .drop("_own", "_nth", "_above")
     )
     runs = (
-        edged.join(before("_first", "_low"), [*keys, "_first"])
-        .join(before("_after", "_high"), [*keys, "_after"])
-        .withColumn("_low", F.greatest(F.col("_low"), F.col("_high") - n))
+        edged.join(newer_than("_last", "_low"), [*keys, "_last"])
+        .join(newer_than("_earlier", "_high"), [*keys, "_earlier"])
+        .withColumn("_high", F.least(F.col("_high"), F.col("_low") + n))
         .where(F.col("_low") < F.col("_high"))
         .withColumn(
             "_block",
@@ -146,6 +149,6 @@ def newest_in_window(
     met = runs.join(numbered, [*keys, "_block"]).where(
         (F.col("_number") >= F.col("_low")) & (F.col("_number") < F.col("_high"))
     )
-    return met.withColumn("rank", (F.col("_high") - F.col("_number")).cast("int")).drop(
-        "_block", "_number", "_first", "_after", "_low", "_high"
+    return met.withColumn("rank", (F.col("_number") - F.col("_low") + 1).cast("int")).drop(
+        "_block", "_number", "_last", "_earlier", "_low", "_high"
     )

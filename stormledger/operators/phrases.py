@@ -53,11 +53,12 @@ def find_phrases(
     met = durable(
         spelled.select(*ids, words)
         .join(listed, "_word")
-        .select(*ids, "_phrase", "_whole", (F.col("_whole") == F.col("_word")).alias("_single"))
+        .select(*ids, "_phrase", (F.col("_whole") == F.col("_word")).alias("_single"))
         .distinct()
     )
+    whole = normalized(F.col("_phrase"))  # spelled again here, instead of sent along
     whole_words = F.contains(
-        F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), "_whole", F.lit(" "))
+        F.concat(F.lit(" "), "_text", F.lit(" ")), F.concat(F.lit(" "), whole, F.lit(" "))
     )
     searched = spelled.join(met.where("NOT _single"), list(ids)).where(whole_words)
     found = met.where("_single").select(*ids, "_phrase").unionByName(searched.select(*ids, "_phrase"))

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormledger.operators import dedup, filters, joins, numbering, phrases, ranking, rollups
+from stormledger.storage import durable
 
 DAY = dt.datetime(2024, 1, 1)
 EVENT = "e int, place string, w0 date, w1 date"
@@ -104,6 +105,71 @@ def test_newest_in_window_equals_ranked_pairs(spark, seed, n):
     assert len(got) == len(set(got)) and set(got) == ranked
 
 
+@pytest.mark.parametrize("end_of_day", [False, True])
+def test_newest_in_window_of_odd_rows(spark, end_of_day):
+    """No place, no instant, no or an inverted window, events that come twice, a hot place; no rows."""
+    first, day = DAY.date(), dt.timedelta(days=1)
+    events = [(1, "a", first, first + 3 * day), (2, None, first, first + day), (3, "a", None, first), (4, "a", first, None),
+              (5, "a", first + day, first), (6, "b", first, first), (7, "none", first, first)] + [(1, "a", first, first + 3 * day)]
+    points = [("a", DAY + dt.timedelta(hours=6 * h), h) for h in range(20)] + [("a", DAY + day, p) for p in range(100, 130)]
+    points += [(None, DAY, 1), ("a", None, 2), ("b", DAY, 3), ("b", DAY + dt.timedelta(hours=1), 4), ("c", DAY, 5)]
+
+    def newest(events, points, n):
+        found = joins.newest_in_window(
+            spark.createDataFrame(events, EVENT), spark.createDataFrame(points, POINT),
+            ["place"], "w0", "w1", "at", ["p"], n, end_of_day,
+        )
+        return sorted(tuple(r) for r in found.select("e", "p", "rank").collect())
+
+    for n in (1, 7, 50):
+        want = []
+        for e, place, w0, w1 in events:
+            if place is None or w0 is None or w1 is None or w0 > w1:
+                continue
+            until = dt.datetime.combine(w1 + day * end_of_day, dt.time()) - dt.timedelta(microseconds=int(end_of_day))
+            inside = [(at, p) for k, at, p in points if k == place and at and DAY <= at <= until]
+            ranked = sorted(inside, key=lambda x: (-x[0].timestamp(), x[1]))[:n]
+            want += [(e, p, rank) for rank, (_, p) in enumerate(ranked, start=1)]
+        assert newest(events, points, n) == sorted(want) and want
+    assert newest([], points, 3) == newest(events, [], 3) == []
+
+
+def test_newest_in_window_shuffles_its_counts_once(spark, monkeypatch):
+    """The three joins with the counts share a shuffle; points and edges are counted by one."""
+    events, points = random_case(5)
+    plans, before = [], {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    shown = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "durable", lambda df: plans.append(shown(df)) or durable(df))
+    for k, v in zip(before, ("-1", "false"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        found = joins.newest_in_window(
+            spark.createDataFrame(events, EVENT), spark.createDataFrame(points, POINT),
+            ["place"], "w0", "w1", "at", ["p"], 3,
+        )
+        plans.append(shown(found))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    counted, joined = plans
+    assert counted.count("Exchange hashpartitioning") == 2 and joined.count("ReusedExchange") == 2
+
+
+def test_find_phrases_in_texts_of_one_id(spark, broadcast_below, monkeypatch):
+    """Ids that come twice or are missing, also with other texts; a phrase is sent as it is, once."""
+    kept = []
+    monkeypatch.setattr(phrases, "durable", lambda df: kept.append(df.columns) or durable(df))
+    texts = [(1, "Flash flood"), (1, "Flash flood"), (1, "a storm"), (2, "flood, flash"), (None, "flash flood, storm"), (3, None)]
+    found = phrases.find_phrases(
+        spark.createDataFrame(texts, "id int, t string"), ["id"], "t",
+        spark.createDataFrame([("flash FLOOD",), ("Flash-Flood",), ("storm",), ("storm",), (None,)], "phrase string"),
+    )
+    got = [tuple(r) for r in found.select("id", "phrase").collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(1, "flash FLOOD"), (1, "Flash-Flood"), (1, "storm"), (None, "storm")}
+    assert kept[-1] == ["id", "_phrase", "_single"]
+
+
 def test_lookup_keeps_or_drops(spark):
     facts = spark.createDataFrame([(1, "a"), (2, "b")], "n int, k string")
     dim = spark.createDataFrame([("a", "A")], "k string, v string")

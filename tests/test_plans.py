@@ -274,6 +274,20 @@ def test_an_article_with_both_places_of_an_event_takes_one_rank(spark, monkeypat
     assert [p.count("Exchange hashpartitioning(_event") for p in plans] == [1]
 
 
+def test_events_are_matched_by_a_number(spark, monkeypatch):
+    """Not by a digest of their line; lines that come twice, or without a window, are as before."""
+    lines = [event(1, "Travis", "flood")] * 3 + [event(2, "Travis", "flood", "no", "date"), event(3, "Bexar", "flood")]
+    events = articles.events_from_spine(spark.createDataFrame(lines, SPINE))
+    title = "Flood in Travis County, Texas"
+    seen = [(f"u{i}", title, dt.datetime(2024, 1, 5 + i), "English") for i in range(4)] + [("n", None, None, None)]
+    local = spark.createDataFrame(seen, "url string, title string, seen timestamp, language string")
+    kinds = []
+    monkeypatch.setattr(articles, "durable", lambda df: kinds.append(dict(df.dtypes).get("_event")) or durable(df))
+    found = articles.match_articles(events, local, per_event=2)
+    assert sorted((r.disasterNumber, r.article_pos, r.url) for r in found.collect()) == [(1, 0, "u3")] * 3 + [(1, 1, "u2")] * 3
+    assert set(kinds) == {"bigint", None}
+
+
 def test_keys_of_incomplete_rows_carry_their_line(spark, tmp_path):
     good = '{"disasterNumber": 4332, "county_fips": "48453", "url": " http://a/b "}'
     lacking = '{"disasterNumber": 4332, "county_fips": "48453", "url": ""}'
