@@ -51,7 +51,8 @@ def interval_join(
     """Pairs with equal ``keys`` and ``start <= at <= end``, both ends included.
 
     Events are copied into every time bucket their window touches, points fall into
-    exactly one, so buckets join by equality and no pair comes up twice. Inverted
+    exactly one, so buckets join by equality and no pair comes up twice. A point's bucket is
+    worked out from its instant where it is needed and is not sent along. Inverted
     windows match nothing. Without ``bucket_days`` a bucket is as long as the mean window,
     which is read from the events: then there are about two copies per event, however long
     the windows are. Where both sides are too large to broadcast they shuffle on
@@ -60,10 +61,18 @@ def interval_join(
     upright = events.where(F.col(start) <= F.col(end))
     if bucket_days is None:
         bucket_days = _mean_days(upright, start, end)
-    spread = _spread(upright, start, end, bucket_days)
-    placed = points.withColumn("_bucket", _bucket(F.col(at), bucket_days))
-    pairs = spread.join(placed, [*keys, "_bucket"])
-    return pairs.where(F.col(at).between(F.col(start), F.col(end))).drop("_bucket")
+    rest = [c for c in events.columns if c not in keys]
+    spread = _spread(upright, start, end, bucket_days).select(*keys, *rest, "_bucket")
+    theirs = {key: f"_point_{key}" for key in keys}
+    pairs = spread.join(
+        points.withColumnsRenamed(theirs),
+        [
+            *[F.col(key) == F.col(name) for key, name in theirs.items()],
+            F.col("_bucket") == _bucket(F.col(at), bucket_days),
+            F.col(at).between(F.col(start), F.col(end)),
+        ],
+    )
+    return pairs.drop("_bucket", *theirs.values())
 
 
 def newest_in_window(

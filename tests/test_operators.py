@@ -84,6 +84,26 @@ def test_interval_join_copies_an_event_twice_or_so(spark, broadcast_below, days)
     assert {(r.e, r.p) for r in joined.collect()} == want and want
 
 
+def test_interval_join_of_odd_rows(spark, broadcast_below):
+    """No place, no instant, no or an inverted window, rows that come twice, no rows. Points do
+    not carry their bucket."""
+    first, day = DAY.date(), dt.timedelta(days=1)
+    events = [(1, "a", first, first + 3 * day), (2, None, first, first), (3, "a", None, first), (4, "a", first, None),
+              (5, "a", first + day, first), (1, "a", first, first + 3 * day)]
+    points = [("a", DAY + 3 * day, 1), ("a", DAY + 3 * day, 1), ("a", DAY + 4 * day, 2), (None, DAY, 3), ("a", None, 4), ("b", DAY, 5)]
+
+    def joined(events, points):
+        return joins.interval_join(
+            spark.createDataFrame(events, EVENT), spark.createDataFrame(points, POINT), ["place"], "w0", "w1", "at"
+        )
+
+    found = joined(events, points)
+    assert found.columns == ["place", "e", "w0", "w1", "at", "p"]
+    assert [tuple(r) for r in found.collect()] == [("a", 1, first, first + 3 * day, DAY + 3 * day, 1)] * 4
+    assert joined([], points).count() == joined(events, []).count() == 0
+    assert "AS _bucket" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize(("seed", "n"), [(1, 1), (2, 3), (3, 30), (4, 1000)])
 def test_newest_in_window_equals_ranked_pairs(spark, seed, n):
     events, points = random_case(seed)
